@@ -7,11 +7,17 @@ from itertools import product
 DAY = 86400
 
 
-def stable(c: str) -> str:
-    """Rounds to about seven digits whatever the size, so that the order of additions does not show."""
+# (values below this size, decimals kept): about seven digits
+LADDER = (("1e1", 6), ("1e3", 4), ("1e5", 2), ("1e7", 0), ("1e10", -3), ("1e13", -6), ("1e17", -10))
+
+
+def stable(c: str, factor: str = "1.00000000123::DOUBLE") -> str:
+    """Rounds to about seven digits whatever the size, so that the order of additions does not show.
+
+    The factor moves decimal data off the exact halves, where the last bit would decide.
+    """
     cases = [f"WHEN abs({c}) < 5e-7 THEN 0.0"]
-    # the factor moves decimal data off the exact halves, where the last bit would decide
-    cases += [f"WHEN abs({c}) < 1e{2 * j + 1} THEN round({c} * 1.00000000123::DOUBLE, {6 - 2 * j})" for j in range(10)]
+    cases += [f"WHEN abs({c}) < {size} THEN round({c} * {factor}, {digits})" for size, digits in LADDER]
     return f"CAST(CASE {' '.join(cases)} ELSE {c} END AS DOUBLE)"
 
 
