@@ -35,11 +35,6 @@ def share(predicate: Column) -> Column:
     return F.avg(predicate.cast("double"))
 
 
-def nlogn(p: Column) -> Column:
-    """p ln p, with 0 at p = 0."""
-    return F.when(p > 0, p * F.ln(p)).otherwise(F.lit(0.0))
-
-
 def pearson(a: Column, b: Column) -> Column:
     """Pearson correlation over the rows where both sides are present; NULL if a side is constant."""
     both = a.isNotNull() & b.isNotNull()

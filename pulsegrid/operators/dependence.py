@@ -71,27 +71,19 @@ def lagged_products(vec: DataFrame, powers: range = range(1, 5), tau: Column | N
     long = at.select(*KEYS, F.inline_outer(triples)).withColumns(
         {"p": F.abs("a"), "q": F.abs("b"), "dx": F.col("b") - F.col("a")})
 
-    def pw(c: str, k: int) -> Column:
-        out = F.col(c)
-        for _ in range(k - 1):
-            out = out * F.col(c)
-        return out
-
-    third = F.col("c").isNotNull()
-    sums = {f"p{k}": F.avg(pw("p", k)) for k in range(1, 2 * max(powers) + 1)}
-    sums |= {f"q{k}": F.avg(pw("q", k)) for k in range(1, 2 * max(powers) + 1)}
-    sums |= {f"pq{a}{b}": F.avg(pw("p", a) * pw("q", b)) for a in powers for b in powers}
-    sums |= {"abc": F.avg(F.col("a") * F.col("b") * F.col("c")),
-             "ab": F.avg(F.when(third, F.col("a") * F.col("b"))),
-             "d2": F.avg(pw("dx", 2)), "d3": F.avg(pw("dx", 3))}
-    m = long.groupBy(*KEYS).agg(*[c.alias(k) for k, c in sums.items()])
+    def pw(c: str, k: int) -> str:
+        return " * ".join([c] * k)
+
+    sums = {f"{c}{k}": f"avg({pw(c, k)})" for c in "pq" for k in range(1, 2 * max(powers) + 1)}
+    sums |= {f"pq{a}{b}": f"avg({pw('p', a)} * {pw('q', b)})" for a in powers for b in powers}
+    sums |= {"abc": "avg(a * b * c)", "ab": "avg(CASE WHEN c IS NOT NULL THEN a * b END)",
+             "d2": f"avg({pw('dx', 2)})", "d3": f"avg({pw('dx', 3)})"}
+    m = long.groupBy(*KEYS).agg(*[F.expr(e).alias(k) for k, e in sums.items()])
 
     def glscf(a: int, b: int) -> Column:
-        top = F.col(f"pq{a}{b}") - F.col(f"p{a}") * F.col(f"q{b}")
-        va = F.greatest(F.col(f"p{2 * a}") - F.col(f"p{a}") * F.col(f"p{a}"), F.lit(0.0))
-        vb = F.greatest(F.col(f"q{2 * b}") - F.col(f"q{b}") * F.col(f"q{b}"), F.lit(0.0))
-        bottom = F.sqrt(va) * F.sqrt(vb)
-        return F.when(bottom == 0, F.lit(float("inf"))).otherwise(top / bottom)
+        top = f"(pq{a}{b} - p{a} * q{b})"
+        bottom = (f"(sqrt(greatest(p{2 * a} - p{a} * p{a}, 0D)) * sqrt(greatest(q{2 * b} - q{b} * q{b}, 0D)))")
+        return F.expr(f"CASE WHEN {bottom} = 0 THEN double('inf') ELSE {top} / {bottom} END")
 
     def three_halves(c: Column) -> Column:
         return c * F.sqrt(c)

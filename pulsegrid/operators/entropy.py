@@ -13,7 +13,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.expr import KEYS, by, nlogn, per, upto
+from pulsegrid.functions.expr import KEYS, by, per, upto
 
 # cells are a hair wider than the tolerance, so that rounding cannot put a match two cells away
 CELL_MARGIN = 1.0 + 1e-9
@@ -162,8 +162,6 @@ def complexity_invariant(o: DataFrame) -> DataFrame:
         (second("a") / second("b")).alias("en_cid_ce2_norm"))
 
 
-def entropy_of(parts: list[Column]) -> Column:
-    """Natural-log entropy of a list of shares."""
-    return -sum((nlogn(p) for p in parts), F.lit(0.0))
-
-
+def entropy_of(shares: list[str]) -> str:
+    """SQL text of the natural-log entropy of the named shares; a share of 0 adds nothing."""
+    return "-(" + " + ".join(f"CASE WHEN {p} > 0 THEN {p} * ln({p}) ELSE 0D END" for p in shares) + ")"

@@ -7,7 +7,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.expr import KEYS, by, div, share
+from pulsegrid.functions.expr import KEYS, by, div
 from pulsegrid.operators.entropy import entropy_of
 
 METHODS = ("diff", "mean", "median", "iqr")
@@ -62,7 +62,7 @@ def binary_stats(o: DataFrame, methods: tuple[str, ...] = METHODS) -> DataFrame:
     names = ["pupstat2", "pstretch1", "longstretch0", "meanstretch0", "stdstretch0",
              "longstretch1", "meanstretch1", "stdstretch1", "meanstretchdiff", "stdstretchdiff"]
     return each.groupBy(*KEYS).agg(*[
-        F.max(F.when(F.col("method") == m, F.col(c))).alias(f"sb_binarymethod_{m}_{c}")
+        F.expr(f"max(CASE WHEN method = '{m}' THEN {c} END)").alias(f"sb_binarymethod_{m}_{c}")
         for m in methods for c in names])
 
 
@@ -77,9 +77,9 @@ def motifs(o: DataFrame, method: str = "diff") -> DataFrame:
     coded = bits.select(*KEYS, *[c.alias(f"c{size}") for size, c in words.items()])
     names = {size: ["".join(LETTERS[k] for k in p) for p in product((0, 1), repeat=size)] for size in words}
     freq = coded.groupBy(*KEYS).agg(*[
-        share(F.col(f"c{size}") == code).alias(word)
+        F.expr(f"avg(CAST(c{size} = {code} AS DOUBLE))").alias(word)
         for size in words for code, word in enumerate(names[size])])
     prefix = f"sb_motiftwo_{method}_"
     return freq.select(
         *KEYS, *[F.col(w).alias(prefix + w) for size in words for w in names[size]],
-        *[entropy_of([F.col(w) for w in names[size]]).alias(prefix + "h" * size) for size in words])
+        *[F.expr(entropy_of(names[size])).alias(prefix + "h" * size) for size in words])

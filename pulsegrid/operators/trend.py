@@ -81,9 +81,9 @@ def moving_threshold(vec: DataFrame, gains=KICK_GAINS, decays=DECAYS) -> DataFra
     The fold keeps only the kicks. Between kicks the threshold is a known power of its decay, so its values
     follow without a growing state.
     """
-    grid = F.array(*[F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b"),
-                              F.lit(f"a{_slug(a)}_b{_slug(b)}").alias("tag"))
-                     for a in gains for b in decays])
+    plans = {f"a{_slug(a)}_b{_slug(b)}": (float(a), float(b)) for a in gains for b in decays}
+    grid = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(tag).alias("tag"))
+                     for tag, (a, b) in plans.items()])
     rows = vec.select(*KEYS, "n", F.transform("xs", lambda x: F.abs(x)).alias("ys"), F.inline(grid))
     ys, a, b, n = F.col("ys"), F.col("a"), F.col("b"), F.col("n")
 
@@ -122,9 +122,8 @@ def moving_threshold(vec: DataFrame, gains=KICK_GAINS, decays=DECAYS) -> DataFra
     }
     each = state.select(*KEYS, "tag", *[c.alias(k) for k, c in out.items()])
     return each.groupBy(*KEYS).agg(*[
-        F.max(F.when(F.col("tag") == f"a{_slug(x)}_b{_slug(y)}", F.col(c))).alias(
-            f"ex_movingthreshold_a{_slug(x)}_b{_slug(y)}_{c}")
-        for x in gains for y in decays for c in out])
+        F.expr(f"max(CASE WHEN tag = '{tag}' THEN {c} END)").alias(f"ex_movingthreshold_{tag}_{c}")
+        for tag in plans for c in out])
 
 
 def hurst_exponent(o: DataFrame) -> DataFrame:

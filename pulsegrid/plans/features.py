@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import names as N
@@ -79,16 +79,15 @@ def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
             frames.append(_groups()[name](rows, base, o, vec).select(*KEYS, *cols))
             known += cols
     wide = combine([window_spine(points, length, step), counts, *frames])
-    enough = (F.col("points") > 1) & (F.col("observations") > LEAST_READINGS)
+    enough = f"points > 1 AND observations > {LEAST_READINGS}"
     always = {N.slug(n) for n in N.CONSTANT_WINDOW}
 
-    def gated(c: str) -> Column:
+    def gated(c: str) -> str:
         if c == "observations":
-            return F.when(F.col("points") > 1, F.col(c)).alias(c)
-        return F.when(enough if c in always else enough & (F.col("gate_sd") > 0), F.col(c)).alias(c)
+            return "CASE WHEN points > 1 THEN observations END AS observations"
+        return f"CASE WHEN {enough if c in always else enough + ' AND gate_sd > 0'} THEN {c} END AS {c}"
 
-    order = [c for c in wanted if c in known]
-    out = wide.select(*KEYS, F.col("w_end").alias("time"), *[gated(c) for c in order])
+    out = wide.selectExpr(*KEYS, "w_end AS time", *[gated(c) for c in wanted if c in known])
     return N.with_published_names(out) if published else out
 
 
