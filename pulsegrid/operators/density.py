@@ -44,29 +44,21 @@ def _power_udf():
     return F.pandas_udf(power, "array<double>")
 
 
-def kernel_density(vec: DataFrame, points: int) -> DataFrame:
-    """Gaussian density (Scott's width) on evenly spaced points from the window's minimum to its maximum."""
+def kernel_density(vec: DataFrame, points: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Gaussian density (Scott's width) on evenly spaced points from the window's minimum to its maximum.
+
+    ``carry`` names further columns to hand on.
+    """
     n = F.col("n")
     sd1 = F.col("sd") * F.sqrt(div(n, n - 1))
     wide = vec.where("n > 1 and sd > 0").select(
-        *KEYS, "n", "mu", "sd", "xs", (sd1 * F.pow(n.cast("double"), F.lit(-0.2))).alias("h"),
+        *KEYS, *carry, "n", "mu", "sd", "xs", (sd1 * F.pow(n.cast("double"), F.lit(-0.2))).alias("h"),
         F.array_min("xs").alias("lo"), F.array_max("xs").alias("hi"))
-    return wide.select(*KEYS, "n", "mu", "sd", "lo", "hi", "h",
+    return wide.select(*KEYS, *carry, "n", "mu", "sd", "lo", "hi", "h",
                        ((F.col("hi") - F.col("lo")) / (points - 1)).alias("dx"),
                        _density_udf(points)("xs", "h").alias("f"))
 
 
-def _scaled(vec: DataFrame) -> DataFrame:
-    """Values squeezed into (0, 1) for the beta fit."""
-    lo, hi, sd = F.array_min("xs"), F.array_max("xs"), F.col("sd")
-    width = hi - lo + 0.02 * sd
-    xs = F.transform("xs", lambda x: (x - F.col("lo") + 0.01 * F.col("sd0")) / F.col("width"))
-    return vec.where("sd > 0").select(
-        *KEYS, "n", "xs", "mu", F.col("sd").alias("sd0"), lo.alias("lo"), width.alias("width")).select(
-        *KEYS, "n", ((F.col("mu") - F.col("lo") + 0.01 * F.col("sd0")) / F.col("width")).alias("mu"),
-        (F.col("sd0") / F.col("width")).alias("sd"), xs.alias("xs"))
-
-
 # fixed values: Lanczos coefficients for g = 7
 LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313,
            -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6,
@@ -82,21 +74,39 @@ def log_gamma(x: Column) -> Column:
     return 0.5 * math.log(2 * math.pi) + (x + 0.5) * F.ln(edge) - edge + F.ln(total) - F.ln(x)
 
 
+def _scaled(vec: DataFrame) -> DataFrame:
+    """Values squeezed into (0, 1), with the beta shape ``al``, ``be`` of the same mean and variance.
+
+    ``lb`` is the log of its normalising constant, known before any grid point is looked at.
+    """
+    wide = vec.where("sd > 0").select(
+        *KEYS, "n", "xs", "mu", F.col("sd").alias("sd0"), F.array_min("xs").alias("lo"),
+        (F.array_max("xs") - F.array_min("xs") + 0.02 * F.col("sd")).alias("width"))
+    xs = F.transform("xs", lambda x: (x - F.col("lo") + 0.01 * F.col("sd0")) / F.col("width"))
+    unit = wide.select(*KEYS, "n", xs.alias("xs"), (F.col("sd0") / F.col("width")).alias("sd"),
+                       ((F.col("mu") - F.col("lo") + 0.01 * F.col("sd0")) / F.col("width")).alias("mu"))
+    mu, sd = F.col("mu"), F.col("sd")
+    both = mu * (1 - mu) / (sd * sd) - 1
+    shaped = unit.withColumns({"al": mu * both, "be": (1 - mu) * both})
+    return shaped.withColumn(
+        "lb", log_gamma(F.col("al")) + log_gamma(F.col("be")) - log_gamma(F.col("al") + F.col("be")))
+
+
 def compare_fit(vec: DataFrame, dist: str = "norm", points: int = 1000) -> DataFrame:
     """Distance between the kernel density and a fitted normal, uniform or beta density.
 
     The beta shape comes from the mean and variance of the squeezed values.
     """
-    grid = kernel_density(_scaled(vec) if dist == "beta" else vec, points)
+    if dist == "beta":
+        grid = kernel_density(_scaled(vec), points, ("al", "be", "lb"))
+    else:
+        grid = kernel_density(vec, points)
     mu, sd, lo, dx = (F.col(c) for c in ("mu", "sd", "lo", "dx"))
     if dist == "norm":
         fit = lambda x: F.exp(-0.5 * F.pow((x - mu) / sd, F.lit(2.0))) / (sd * math.sqrt(2 * math.pi))
     elif dist == "uni":
         fit = lambda x: 1 / (F.col("hi") - lo)
     else:
-        both = mu * (1 - mu) / (sd * sd) - 1
-        grid = grid.withColumns({"al": mu * both, "be": (1 - mu) * both}).withColumn(
-            "lb", log_gamma(F.col("al")) + log_gamma(F.col("be")) - log_gamma(F.col("al") + F.col("be")))
         fit = lambda x: F.exp((F.col("al") - 1) * F.ln(x) + (F.col("be") - 1) * F.ln(1 - x) - F.col("lb"))
     steps = F.sequence(F.lit(0), F.lit(points - 1))
     both = grid.withColumn("g", F.transform(steps, lambda k: fit(lo + k * dx)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import vectors as V
@@ -17,17 +17,57 @@ from pulsegrid.functions.expr import KEYS, by, combine, div, per, share
 QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
-def base(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """The per-window numbers many features start from; computed once and joined where needed."""
+def base(rows: DataFrame, keys: list[str] = KEYS, large: bool = False) -> DataFrame:
+    """The per-window numbers many features start from; computed once and joined where needed.
+
+    ``large`` is for windows whose distinct values may not fit the memory of one task: quantiles are then
+    found by ``large_quantiles``, and all else is merged from partial sums.
+    """
     x = F.col("x")
-    agg = rows.groupBy(*keys).agg(
-        F.count(x).alias("n"), F.avg(x).alias("mu"), F.stddev_pop(x).alias("sd"),
-        F.min(x).alias("lo"), F.max(x).alias("hi"),
-        F.skewness(x).alias("skew"), F.kurtosis(x).alias("kurt"),
-        F.percentile(x, F.array(*[F.lit(q) for q in QUANTILES])).alias("q"))
     names = ("q25", "med", "q75", "q90", "q95", "q99")
-    return agg.select(*keys, "n", "mu", "sd", "lo", "hi", "skew", "kurt",
-                      *[F.col("q")[i].alias(c) for i, c in enumerate(names)])
+    sums = [F.count(x).alias("n"), F.avg(x).alias("mu"), F.stddev_pop(x).alias("sd"),
+            F.min(x).alias("lo"), F.max(x).alias("hi"),
+            F.skewness(x).alias("skew"), F.kurtosis(x).alias("kurt")]
+    plain = ["n", "mu", "sd", "lo", "hi", "skew", "kurt"]
+    if large:
+        found = large_quantiles(rows, dict(zip(names, QUANTILES)), keys)
+        return rows.groupBy(*keys).agg(*sums).join(found, keys).select(*keys, *plain, *names)
+    agg = rows.groupBy(*keys).agg(*sums, F.percentile(x, F.array(*[F.lit(q) for q in QUANTILES])).alias("q"))
+    return agg.select(*keys, *plain, *[F.col("q")[i].alias(c) for i, c in enumerate(names)])
+
+
+def large_quantiles(rows: DataFrame, probs: dict[str, float], keys: list[str] = KEYS,
+                    accuracy: int = 10000) -> DataFrame:
+    """Exact interpolated quantiles of ``x`` for windows of any size, spread over many tasks.
+
+    A mergeable sketch brackets each quantile within a few parts in ``accuracy`` of the rows. Only the values
+    inside a bracket are put in order; the rows below and above it are counted, and keep the one value next to
+    the bracket, which a window smaller than ``accuracy`` may need (the sketch is then exact to one rank).
+    """
+    margin = 2.0 / accuracy
+    sides = [v for p in probs.values() for v in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    sketch = rows.groupBy(*keys).agg(
+        F.count("x").alias("n"),
+        F.percentile_approx("x", F.array(*[F.lit(v) for v in sides]), accuracy).alias("v"))
+    bands = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(p).alias("p"), F.col("v")[2 * i].alias("a"),
+                               F.col("v")[2 * i + 1].alias("b")) for i, (name, p) in enumerate(probs.items())])
+    near = rows.select(*keys, "x").join(sketch, keys).select(*keys, "x", "n", F.inline(bands))
+    x = F.col("x")
+    side = F.when(x < F.col("a"), 0).when(x > F.col("b"), 2).otherwise(1)
+    inside = F.when((x >= F.col("a")) & (x <= F.col("b")), x)
+    counted = near.groupBy(*keys, "q", "p", "n", side.alias("side"), inside.alias("inside")).agg(
+        F.count("*").alias("c"), F.max("x").alias("top"), F.min("x").alias("low")).withColumn(
+        "x", F.when(F.col("side") == 0, F.col("top")).otherwise(F.col("low")))
+    order = by("side", "x", keys=keys + ["q"])
+    upto_x = F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    at = F.col("p") * (F.col("n") - 1)
+    lower, upper = F.floor(at), F.ceil(at)
+    picked = counted.withColumn("upto", upto_x).groupBy(*keys, "q").agg(
+        F.max(at - lower).alias("f"),
+        F.min(F.when(F.col("upto") > lower, F.col("x"))).alias("x0"),
+        F.min(F.when(F.col("upto") > upper, F.col("x"))).alias("x1"))
+    value = F.col("x0") + F.col("f") * (F.col("x1") - F.col("x0"))
+    return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == q, value)).alias(q) for q in probs])
 
 
 def observation_count(win: DataFrame) -> DataFrame:
@@ -62,8 +102,8 @@ def summary(b: DataFrame) -> DataFrame:
         div(sd * sd * sd, mu * mu * mu).alias("dn_cv_3"))
 
 
-def deviations(rows: DataFrame, b: DataFrame, th: float = 0.1) -> DataFrame:
-    """Features of the distance to the window's mean or median."""
+def deviations(rows: DataFrame, b: DataFrame, th: float = 0.1, large: bool = False) -> DataFrame:
+    """Features of the distance to the window's mean or median. ``large`` as in ``base``."""
     x, mu, sd, med = F.col("x"), F.col("mu"), F.col("sd"), F.col("med")
     near = rows.join(b.select(*KEYS, "mu", "sd", "med", "q25", "q75"), KEYS)
     wide = 1.35 * (F.col("q75") - F.col("q25"))
@@ -75,14 +115,20 @@ def deviations(rows: DataFrame, b: DataFrame, th: float = 0.1) -> DataFrame:
         return F.when(F.max(sd) == 0, 0.0).otherwise(div(F.avg(F.pow(x - mu, F.lit(float(k)))), F.max(sd)))
 
     above, below = F.avg(F.when(x > mu, x)), F.avg(F.when(x < mu, x))
-    return near.groupBy(*KEYS).agg(
+    sums = [
         within(mu, sd).alias("dn_withinp_1"), within(mu, 2 * sd).alias("dn_withinp_2"),
         within(med, wide).alias("dn_withinp_median_1"), within(med, 2 * wide).alias("dn_withinp_median_2"),
         *[moment(k).alias(f"dn_moment_{k}") for k in range(2, 7)],
-        div(F.percentile(F.abs(x - mu), F.lit(1 - th)), F.max(sd)).alias("dn_pleft"),
         div(above - F.max(mu), F.max(mu) - below).alias("dn_highlowmu"),
-        F.avg(F.abs(x - mu)).alias("dn_spread_mad"),
-        F.median(F.abs(x - med)).alias("dn__spread_mead"))
+        F.avg(F.abs(x - mu)).alias("dn_spread_mad")]
+    if not large:
+        return near.groupBy(*KEYS).agg(
+            *sums, div(F.percentile(F.abs(x - mu), F.lit(1 - th)), F.max(sd)).alias("dn_pleft"),
+            F.median(F.abs(x - med)).alias("dn__spread_mead"))
+    far = large_quantiles(near.select(*KEYS, F.abs(x - mu).alias("x")), {"far": 1 - th})
+    mid = large_quantiles(near.select(*KEYS, F.abs(x - med).alias("x")), {"dn__spread_mead": 0.5})
+    return combine([near.groupBy(*KEYS).agg(*sums, F.max(sd).alias("sd")), far, mid]).withColumn(
+        "dn_pleft", div(F.col("far"), F.col("sd"))).drop("far", "sd")
 
 
 def value_counts(rows: DataFrame) -> DataFrame:
@@ -217,8 +263,8 @@ def outlier_thresholds(rows: DataFrame, how: str = "abs", inc: float = 0.01) ->
     ).withColumn("th", F.col("step") * F.lit(inc)).drop("step")
 
 
-def distribution(rows: DataFrame) -> DataFrame:
+def distribution(rows: DataFrame, large: bool = False) -> DataFrame:
     """All default distribution features of a window in one row."""
-    b = base(rows)
-    return combine([summary(b), deviations(rows, b), value_counts(rows), trimmed_means(rows),
+    b = base(rows, large=large)
+    return combine([summary(b), deviations(rows, b, large=large), value_counts(rows), trimmed_means(rows),
                     remove_points(rows, "absfar", 0.5)])

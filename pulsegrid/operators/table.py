@@ -52,27 +52,28 @@ def clean(df: DataFrame, ids: tuple[str, ...] = ("series", "w")) -> DataFrame:
     return keep_finite(keep_varying(drop_features(df, names), ids), ids)
 
 
-def normalise(df: DataFrame, ids: tuple[str, ...] = ("series", "w", "time")) -> DataFrame:
-    """(x - mean) / (max - min) per column over the whole table; NULL for a constant column.
+def _whole_table(df: DataFrame, stats: list[Column]) -> DataFrame:
+    """Adds ``_s``, the one-row statistics of the whole table, as a scalar subquery."""
+    return df.withColumn("_s", df.agg(F.struct(*stats).alias("s")).scalar())
 
-    The one-row table of column statistics is the only thing sent to all tasks.
-    """
+
+def normalise(df: DataFrame, ids: tuple[str, ...] = ("series", "w", "time")) -> DataFrame:
+    """(x - mean) / (max - min) per column over the whole table; NULL for a constant column."""
     ids = tuple(c for c in ids if c in df.columns)
     cols = feature_columns(df, ids)
-    stats = df.agg(*[c for i, name in enumerate(cols) for c in (
+    wide = _whole_table(df, [c for i, name in enumerate(cols) for c in (
         F.avg(_q(name)).alias(f"m{i}"), (F.max(_q(name)) - F.min(_q(name))).alias(f"r{i}"))])
-    wide = df.crossJoin(F.broadcast(stats))
     return wide.select(*ids, *[
-        F.try_divide(_q(name) - F.col(f"m{i}"), F.col(f"r{i}")).alias(name) for i, name in enumerate(cols)])
+        F.try_divide(_q(name) - F.col(f"_s.m{i}"), F.col(f"_s.r{i}")).alias(name) for i, name in enumerate(cols)])
 
 
 def hours(df: DataFrame, steps: int = 46) -> DataFrame:
     """Adds ``hour`` = time / 3600 and ``label``, the step it falls in between the first and last hour."""
-    bounds = df.agg((F.min("time") / 3600).alias("h0"), (F.max("time") / 3600).alias("h1"))
-    wide = df.crossJoin(F.broadcast(bounds)).withColumn("hour", F.col("time") / 3600)
-    size = (F.col("h1") - F.col("h0")) / steps
-    at = F.least(F.floor(F.try_divide(F.col("hour") - F.col("h0"), size)), F.lit(steps - 1))
-    return wide.withColumn("label", F.round(F.col("h0") + F.coalesce(at, F.lit(0)) * size)).drop("h0", "h1")
+    wide = _whole_table(df, [(F.min("time") / 3600).alias("h0"), (F.max("time") / 3600).alias("h1")])
+    wide = wide.withColumn("hour", F.col("time") / 3600)
+    size = (F.col("_s.h1") - F.col("_s.h0")) / steps
+    at = F.least(F.floor(F.try_divide(F.col("hour") - F.col("_s.h0"), size)), F.lit(steps - 1))
+    return wide.withColumn("label", F.round(F.col("_s.h0") + F.coalesce(at, F.lit(0)) * size)).drop("_s")
 
 
 def long_form(df: DataFrame, ids: tuple[str, ...] = ("series", "w")) -> DataFrame:
@@ -107,10 +108,10 @@ def correlation(df: DataFrame, ids: tuple[str, ...] = ("series", "w"), absolute:
     feature list and emits only that; Spark adds the partial sums up.
     """
     cols = feature_columns(df, ids)
-    stats = df.agg(*[c for i, name in enumerate(cols) for c in (
+    wide = _whole_table(df, [c for i, name in enumerate(cols) for c in (
         F.avg(_q(name)).alias(f"m{i}"), F.stddev_pop(_q(name)).alias(f"s{i}"))])
-    z = df.crossJoin(F.broadcast(stats)).select(*[
-        F.coalesce(F.try_divide(_q(c) - F.col(f"m{i}"), F.col(f"s{i}")), F.lit(0.0)).alias(f"z{i}")
+    z = wide.select(*[
+        F.coalesce(F.try_divide(_q(c) - F.col(f"_s.m{i}"), F.col(f"_s.s{i}")), F.lit(0.0)).alias(f"z{i}")
         for i, c in enumerate(cols)])
     partial = z.mapInPandas(_gram_partials(cols),
                             "a int, b int, n double, sa double, sb double, ab double, aa double, bb double")

@@ -35,7 +35,9 @@ POINTS = {
     "centred": "SELECT CAST(user_id AS VARCHAR) AS series, epoch_us(ts) / 1e6 AS t, value - 50 AS y FROM events",
     "scaled": "SELECT CAST(user_id AS VARCHAR) AS series, epoch_us(ts) / 1e6 AS t, value / 50 - 1 AS y FROM events",
 }
-SPANS = {"user": (20 * DAY, 5 * DAY), "gappy": (20 * DAY, 5 * DAY), "centred": (20 * DAY, 5 * DAY),
+POINTS["supplier"] = ("SELECT CAST(l_suppkey AS VARCHAR) AS series, epoch_us(l_shipdate) / 1e6 AS t, "
+                      "l_extendedprice AS y FROM lineitem")
+SPANS = {"supplier": (1000 * DAY, 500 * DAY), "user": (20 * DAY, 5 * DAY), "gappy": (20 * DAY, 5 * DAY), "centred": (20 * DAY, 5 * DAY),
          "scaled": (20 * DAY, 5 * DAY), "type": (2 * DAY, DAY)}
 
 
@@ -43,7 +45,7 @@ def windows(kind: str = "user", span: tuple[int, int] | None = None) -> str:
     """CTEs: raw, points (with yf), bounds, spine, win, r (readings), o (ordered), st (statistics of o)."""
     length, step = span or SPANS[kind]
     return f"""raw AS ({POINTS[kind]}),
-points AS (SELECT *, last_value(y IGNORE NULLS) OVER (PARTITION BY series ORDER BY t
+points AS (SELECT *, last_value(y IGNORE NULLS) OVER (PARTITION BY series ORDER BY t, y NULLS FIRST
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS yf FROM raw),
 bounds AS (SELECT series, min(t) AS t0, max(t) AS t1 FROM points GROUP BY series),
 spine AS (SELECT series, w, t0 + {length} + {step} * w AS w_end FROM (
@@ -52,7 +54,7 @@ spine AS (SELECT series, w, t0 + {length} + {step} * w AS w_end FROM (
 win AS MATERIALIZED (SELECT p.series, s.w, p.t, p.y, p.yf FROM points p JOIN spine s ON p.series = s.series
   AND p.t <= trunc(s.w_end) AND p.t > trunc(s.w_end) - {length}),
 r AS (SELECT series, w, t, y AS x FROM win WHERE y IS NOT NULL),
-o AS MATERIALIZED (SELECT series, w, t, yf AS x, row_number() OVER (PARTITION BY series, w ORDER BY t) - 1 AS i
+o AS MATERIALIZED (SELECT series, w, t, yf AS x, row_number() OVER (PARTITION BY series, w ORDER BY t, yf) - 1 AS i
   FROM win WHERE yf IS NOT NULL),
 st AS MATERIALIZED (SELECT series, w, count(*) AS n, avg(x) AS mu, stddev_pop(x) AS sd, stddev_samp(x) AS sd1,
   min(x) AS lo, max(x) AS hi, quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.5) AS med,
@@ -331,11 +333,11 @@ sc AS (SELECT series, w, scale, i // scale AS i, avg(x) AS x FROM o JOIN st USIN
 fin AS (SELECT series, w, scale, CASE WHEN e < 'inf'::DOUBLE THEN e END AS en_mse FROM en)"""
 
 
-def mse_scales(kind: str = "type") -> str:
+def mse_scales(kind: str = "supplier") -> str:
     return tidy(["en_mse"], "SELECT * FROM fin", _mse(kind), keys=("series", "w", "scale"))
 
 
-def mse(kind: str = "type") -> str:
+def mse(kind: str = "supplier") -> str:
     ctes = _mse(kind) + """,
 rk AS (SELECT series, w, scale, en_mse AS e, en_mse - lag(en_mse) OVER (PARTITION BY series, w ORDER BY scale) AS ch,
   row_number() OVER (PARTITION BY series, w ORDER BY en_mse DESC, scale) AS top,

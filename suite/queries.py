@@ -41,6 +41,9 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf: str, kind: str = "user") -> DataFrame:
+    if kind == "supplier":
+        return series.points_from(spark.read.parquet(f"{sf}/lineitem.parquet"), "l_suppkey", "l_shipdate",
+                                  "l_extendedprice")
     ev = events(spark, sf)
     value = {"gappy": F.when(F.col("event_id") % 17 != 0, F.col("value")), "centred": F.col("value") - 50,
              "scaled": F.col("value") / 50 - 1}.get(kind, F.col("value"))
@@ -131,10 +134,10 @@ def _distribution() -> None:
     D = distribution
     for name, cols in DISTRIBUTION.items():
         on_rows(name, S.distribution(cols, "type"),
-                lambda r, cols=cols: D.summary(D.base(r)).select("series", "w", *cols), "type")
+                lambda r, cols=cols: D.summary(D.base(r, large=True)).select("series", "w", *cols), "type")
     for name, cols in DEVIATIONS.items():
         on_rows(name, S.distribution(cols, "type"),
-                lambda r, cols=cols: D.deviations(r, D.base(r)).select("series", "w", *cols), "type")
+                lambda r, cols=cols: D.deviations(r, D.base(r, large=True), large=True).select("series", "w", *cols), "type")
     for name, cols in COUNTED.items():
         on_rows(name, S.value_counts(cols, "type"),
                 lambda r, cols=cols: D.value_counts(r).select("series", "w", *cols), "type")
@@ -186,8 +189,8 @@ def _entropy() -> None:
     E = entropy
     on_ordered("en_apen", S.apen(), E.approximate_entropy)
     on_ordered("en_sampen", S.sampen(), E.sample_entropy)
-    on_ordered("en_mse_scales", S.mse_scales(), lambda o: E.multiscale_entropy(o)[0], "type", ("series", "w", "scale"))
-    on_ordered("en_mse", S.mse(), lambda o: E.multiscale_entropy(o)[1], "type")
+    on_ordered("en_mse_scales", S.mse_scales(), lambda o: E.multiscale_entropy(o)[0], "supplier", ("series", "w", "scale"))
+    on_ordered("en_mse", S.mse(), lambda o: E.multiscale_entropy(o)[1], "supplier")
     on_ordered("en_permen_2_1", S.permen(2, 1), lambda o: E.permutation_entropy(o, 2, 1))
     on_ordered("en_permen_3_6", S.permen(3, 6), lambda o: E.permutation_entropy(o, 3, 6))
     on_ordered("en_cid", S.cid(), E.complexity_invariant)
@@ -206,8 +209,8 @@ def _trend() -> None:
     on_ordered("sc_hurstexp", S.hurst(), T.hurst_exponent)
     on_ordered("sc_dfa", S.dfa("sc_dfa", "t >= 5 AND t <= n // 2"), T.detrended_fluctuation)
     sizes = T.power_sizes()
-    on_ordered("dfa_power_sizes", S.dfa("dfa", f"t IN ({', '.join(map(str, sizes))})", "type"),
-               lambda o: T.detrended_fluctuation(o, sizes, "dfa", F.log2), "type")
+    on_ordered("dfa_power_sizes", S.dfa("dfa", f"t IN ({', '.join(map(str, sizes))})", "supplier"),
+               lambda o: T.detrended_fluctuation(o, sizes, "dfa", F.log2), "supplier")
     on_vectors("dt_isseasonal", S.seasonal(), density.seasonal)
     for dist in ("norm", "uni", "beta"):
         on_vectors(f"dn_compareksfit_{dist}", S.compare_fit(dist), lambda v, dist=dist: density.compare_fit(v, dist))
