@@ -1,10 +1,13 @@
 """Autocorrelation and dependence features of the filled, ordered values of a window.
 
-``o`` is ``ordered(win)``: ``(series, w, t, x, i)``.
+``led`` are rows from ``plans.leads`` with the lags an operator needs, ``o`` is ``ordered(win)``:
+``(series, w, t, x, i)``, and ``vec`` is ``vectors(o)``: one array per window.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,24 +15,28 @@ from pulsegrid.functions import vectors as V
 from pulsegrid.functions.expr import KEYS, by, div, pearson, per, share
 
 
-def ahead(k: int, value: str = "x") -> Column:
-    """The value ``k`` positions later in the window, NULL past its end."""
-    return F.lead(value, k).over(by("i"))
-
-
-def autocorrelation(o: DataFrame, lags: range | list[int] = range(1, 26)) -> DataFrame:
-    """Biased autocorrelation per lag; NULL for lags the window is too short for."""
-    d = o.withColumn("d", F.col("x") - F.avg("x").over(per()))
-    d = d.select(*KEYS, "d", *[ahead(k, "d").alias(f"d{k}") for k in lags])
-    power = F.sum(F.col("d") * F.col("d"))
-    return d.groupBy(*KEYS).agg(
-        *[div(F.sum(F.col("d") * F.col(f"d{k}")), power).alias(f"co_autocorr_lag_{k}") for k in lags])
+def autocorrelation(led: DataFrame, lags: Iterable[int] = range(1, 26), exact_centre: bool = True) -> DataFrame:
+    """Biased autocorrelation per lag; NULL for lags the window is too short for.
 
-
-def slice_correlation(o: DataFrame, lags: range | list[int] = range(1, 6)) -> DataFrame:
+    ``exact_centre=False`` corrects for a centre ``c`` that is not the window's own mean.
+    """
+    lags = list(lags)
+    d = led.selectExpr(*KEYS, "x - c AS d", *[f"x{k} - c AS d{k}" for k in lags])
+    sums = {"v": "sum(d * d)", **{f"s{k}": f"sum(d * d{k})" for k in lags}}
+    if not exact_centre:
+        sums |= {"n": "count(d)", "m": "avg(d)"}
+        for k in lags:
+            sums |= {f"h{k}": f"sum(CASE WHEN d{k} IS NOT NULL THEN d END + d{k})", f"n{k}": f"count(d{k})"}
+    s = d.groupBy(*KEYS).agg(*[F.expr(e).alias(c) for c, e in sums.items()])
+    if exact_centre:
+        return s.selectExpr(*KEYS, *[f"try_divide(s{k}, v) AS co_autocorr_lag_{k}" for k in lags])
+    return s.selectExpr(*KEYS, *[
+        f"try_divide(s{k} - m * h{k} + n{k} * m * m, v - n * m * m) AS co_autocorr_lag_{k}" for k in lags])
+
+
+def slice_correlation(led: DataFrame, lags: Iterable[int] = range(1, 6)) -> DataFrame:
     """Pearson correlation of the series with itself ``k`` positions later."""
-    d = o.select(*KEYS, "x", *[ahead(k).alias(f"x{k}") for k in lags])
-    return d.groupBy(*KEYS).agg(
+    return led.groupBy(*KEYS).agg(
         *[pearson(F.col("x"), F.col(f"x{k}")).alias(f"co_slicecorr_lag_{k}") for k in lags])
 
 
@@ -41,11 +48,9 @@ def first_lags(vec: DataFrame) -> DataFrame:
                       V.first_zero(ds, n).alias("co_firstzero"))
 
 
-def first_minimum_of_information(o: DataFrame, delays: int = 26) -> DataFrame:
+def first_minimum_of_information(led: DataFrame, delays: int = 26) -> DataFrame:
     """First local minimum of the Gaussian mutual information over the delays, else n."""
-    d = o.withColumn("n", F.count("*").over(per())).select(
-        *KEYS, "n", "x", *[ahead(k).alias(f"x{k}") for k in range(1, delays + 1)])
-    r = d.groupBy(*KEYS).agg(F.max("n").cast("int").alias("n"), *[
+    r = led.groupBy(*KEYS).agg(F.count("x").cast("int").alias("n"), *[
         pearson(F.col("x"), F.col(f"x{k}")).alias(f"r{k}") for k in range(1, delays + 1)])
     # the information grows with the squared correlation, so minima are found on r * r
     size = [F.col(f"r{k}") * F.col(f"r{k}") for k in range(1, delays + 1)]
@@ -99,10 +104,9 @@ def _information(r: Column) -> Column:
     return -0.5 * F.ln(F.nullif(1 - r * r, F.lit(0.0)))
 
 
-def mutual_information(o: DataFrame, delays: list[int] = [1]) -> DataFrame:
+def mutual_information(led: DataFrame, delays: Iterable[int] = (1,)) -> DataFrame:
     """Gaussian mutual information of the series and itself ``k`` positions later."""
-    d = o.select(*KEYS, "x", *[ahead(k).alias(f"x{k}") for k in delays])
-    return d.groupBy(*KEYS).agg(*[
+    return led.groupBy(*KEYS).agg(*[
         _information(pearson(F.col("x"), F.col(f"x{k}"))).alias(f"in_automutualinfo_auto_mutual_{k}")
         for k in delays])
 
@@ -119,9 +123,9 @@ def mutual_information_at_zero(vec: DataFrame) -> DataFrame:
         _information(pearson(F.col("a"), F.col("b"))).alias("in_automutualinfo_tau"))
 
 
-def embedding_density(o: DataFrame, tau: int = 5, scale: float = 1.0) -> DataFrame:
+def embedding_density(led: DataFrame, tau: int = 5, scale: float = 1.0) -> DataFrame:
     """Shares of points near diagonals, parabolas, rings and discs in the plane (x[j], x[j + tau])."""
-    d = o.select(*KEYS, "x", ahead(tau).alias("z")).where(F.col("z").isNotNull())
+    d = led.select(*KEYS, "x", F.col(f"x{tau}").alias("z")).where(F.col("z").isNotNull())
     x, z = F.col("x"), F.col("z")
     r2 = x * x + z * z
     s = float(scale)
@@ -148,22 +152,20 @@ def embedding_density(o: DataFrame, tau: int = 5, scale: float = 1.0) -> DataFra
         (V.std_of(inside, mean) * F.sqrt(F.lit(6.0 / 5.0))).alias("co_embed2_stdincircle"))
 
 
-def crinkle_and_q(o: DataFrame) -> DataFrame:
-    """Crinkle statistic (centred) and Theiler's Q (not centred)."""
-    d = o.withColumn("d", F.col("x") - F.avg("x").over(per())).select(
-        *KEYS, "x", "d", F.lag("d").over(by("i")).alias("back"), ahead(1, "d").alias("next"),
-        ahead(1).alias("x1"))
-    bend = 2 * F.col("d") - F.col("back") - F.col("next")
-    pair = F.col("x") + F.col("x1")
-    size, energy = F.avg(F.col("d") * F.col("d")), F.avg(F.col("x") * F.col("x"))
-    return d.groupBy(*KEYS).agg(
-        F.coalesce(div(F.avg(bend * bend * bend * bend), size * size), F.lit(0.0)).alias("dk_crinkle"),
-        F.coalesce(div(F.avg(pair * pair * pair), energy * F.sqrt(energy)), F.lit(0.0)).alias("dk_theilerq"))
+def crinkle_and_q(led: DataFrame) -> DataFrame:
+    """Crinkle statistic (of the centred series) and Theiler's Q (not centred); needs lags 1 and 2."""
+    bend = "(2 * x1 - x - x2)"  # a shift of the series does not change it
+    pair = "(x + x1)"
+    return led.groupBy(*KEYS).agg(
+        F.expr(f"coalesce(try_divide(avg({bend} * {bend} * {bend} * {bend}), var_pop(x) * var_pop(x)), 0D)").alias(
+            "dk_crinkle"),
+        F.expr(f"coalesce(try_divide(avg({pair} * {pair} * {pair}), avg(x * x) * sqrt(avg(x * x))), 0D)").alias(
+            "dk_theilerq"))
 
 
 def embed(o: DataFrame, tau: int = 1, m: int = 2) -> DataFrame:
     """Delay embedding: ``e0..e{m-1}`` are the values 0, tau, 2 tau, ... positions later."""
-    d = o.select(*KEYS, "i", *[(F.col("x") if k == 0 else ahead(k * tau)).alias(f"e{k}") for k in range(m)])
+    d = o.select(*KEYS, "i", *[F.lead("x", k * tau).over(by("i")).alias(f"e{k}") for k in range(m)])
     return d.where(F.col(f"e{m - 1}").isNotNull())
 
 
@@ -174,10 +176,9 @@ def buffers(o: DataFrame, size: int) -> DataFrame:
         *KEYS, F.floor(F.col("i") / size).alias("b"), (F.col("i") % size).alias("j"), "x")
 
 
-def sign_changes(o: DataFrame) -> DataFrame:
+def sign_changes(led: DataFrame) -> DataFrame:
     """Number of neighbours of opposite sign."""
-    d = o.select(*KEYS, (F.col("x") * F.lag("x").over(by("i")) < 0).alias("flip"))
-    return d.groupBy(*KEYS).agg(F.count_if("flip").alias("sign_changes"))
+    return led.groupBy(*KEYS).agg(F.count_if(F.col("x") * F.col("x1") < 0).alias("sign_changes"))
 
 
 def is_zscored(b: DataFrame, tolerance: float = 2.2204e-16) -> DataFrame:

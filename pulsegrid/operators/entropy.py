@@ -124,15 +124,17 @@ def multiscale_entropy(o: DataFrame, scales: range | list[int] = range(2, 11), m
     return each.withColumnRenamed("e", "en_mse"), whole
 
 
-def permutation_entropy(o: DataFrame, m: int = 2, tau: int = 1) -> DataFrame:
-    """Entropy of ordinal patterns, in bits and as a share of its maximum. Ties rank by position."""
-    step = by("i")
-    parts = [(F.col("x") if k == 0 else F.lead("x", k * tau).over(step)).alias(f"x{k}") for k in range(m)]
-    emb = o.select(*KEYS, *parts).where(F.col(f"x{m - 1}").isNotNull())
+def permutation_entropy(led: DataFrame, m: int = 2, tau: int = 1) -> DataFrame:
+    """Entropy of ordinal patterns, in bits and as a share of its maximum. Ties rank by position.
+
+    Needs the lags tau, 2 tau, ..., (m - 1) tau.
+    """
+    parts = [F.col("x" if k == 0 else f"x{k * tau}").alias(f"p{k}") for k in range(m)]
+    emb = led.select(*KEYS, *parts).where(F.col(f"p{m - 1}").isNotNull())
 
     def rank(k: int) -> Column:
-        before = [F.col(f"x{j}") <= F.col(f"x{k}") for j in range(k)]
-        after = [F.col(f"x{j}") < F.col(f"x{k}") for j in range(k + 1, m)]
+        before = [F.col(f"p{j}") <= F.col(f"p{k}") for j in range(k)]
+        after = [F.col(f"p{j}") < F.col(f"p{k}") for j in range(k + 1, m)]
         return sum((c.cast("int") for c in before + after), F.lit(0))
 
     word = F.concat_ws("-", *[rank(k).cast("string") for k in range(m)])

@@ -66,20 +66,19 @@ def binary_stats(o: DataFrame, methods: tuple[str, ...] = METHODS) -> DataFrame:
         for m in methods for c in names])
 
 
-def motifs(o: DataFrame, method: str = "diff") -> DataFrame:
-    """Frequencies of words of one to four letters (d, u) and their entropies."""
-    bits = binarize(o, (method,))
-    words, code = {}, None
+def motifs(led: DataFrame) -> DataFrame:
+    """Frequencies of words of one to four steps (d, u) and their entropies; needs lags 1 to 4."""
+    at = ["x", "x1", "x2", "x3", "x4"]
+    bits = [f"CAST({b} > {a} AS INT)" for a, b in zip(at, at[1:])]
+    words = {}
     for size in range(1, 5):
-        nxt = F.col("b") if size == 1 else F.lead("b", size - 1).over(by("i"))
-        code = nxt if code is None else code * 2 + nxt
-        words[size] = code
-    coded = bits.select(*KEYS, *[c.alias(f"c{size}") for size, c in words.items()])
+        words[size] = " + ".join(f"{2 ** (size - 1 - k)} * {bits[k]}" for k in range(size))
+    coded = led.selectExpr(*KEYS, *[f"{code} AS c{size}" for size, code in words.items()])
     names = {size: ["".join(LETTERS[k] for k in p) for p in product((0, 1), repeat=size)] for size in words}
     freq = coded.groupBy(*KEYS).agg(*[
         F.expr(f"avg(CAST(c{size} = {code} AS DOUBLE))").alias(word)
         for size in words for code, word in enumerate(names[size])])
-    prefix = f"sb_motiftwo_{method}_"
+    prefix = "sb_motiftwo_diff_"
     return freq.select(
         *KEYS, *[F.col(w).alias(prefix + w) for size in words for w in names[size]],
         *[F.expr(entropy_of(names[size])).alias(prefix + "h" * size) for size in words])

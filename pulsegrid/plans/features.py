@@ -9,39 +9,40 @@ from pulsegrid.functions import names as N
 from pulsegrid.functions.expr import KEYS, combine
 from pulsegrid.functions.vectors import vectors
 from pulsegrid.operators import density, dependence, distribution, entropy, symbolic, table, trend
+from pulsegrid.plans.leads import window_leads
 from pulsegrid.plans.windows import observed, ordered, window_spine, windowed
 
 LEAST_READINGS = 10
 
 
 def _groups() -> dict:
-    """Feature groups: name -> builder(rows, base, o, vec). A group is one aggregate over one grouping."""
+    """Feature groups: name -> builder(rows, base, o, vec, led). A group is one aggregate over one grouping."""
     D, C, E, S, T = distribution, dependence, entropy, symbolic, trend
     return {
-        "summary": lambda r, b, o, v: D.summary(b),
-        "deviations": lambda r, b, o, v: D.deviations(r, b),
-        "values": lambda r, b, o, v: D.value_counts(r),
-        "trimmed": lambda r, b, o, v: D.trimmed_means(r),
-        "removed": lambda r, b, o, v: D.remove_points(r, "absfar", 0.5),
-        "autocorrelation": lambda r, b, o, v: C.autocorrelation(o),
-        "first_lags": lambda r, b, o, v: C.first_lags(v),
-        "lagged": lambda r, b, o, v: C.lagged_products(v),
-        "fit": lambda r, b, o, v: density.compare_fit(v),
-        "season": lambda r, b, o, v: density.seasonal(v).drop("seasonal_r2"),
-        "apen": lambda r, b, o, v: E.approximate_entropy(o),
-        "cid": lambda r, b, o, v: E.complexity_invariant(o),
-        "sampen": lambda r, b, o, v: E.sample_entropy(o),
-        "information": lambda r, b, o, v: C.mutual_information(o),
-        "trend": lambda r, b, o, v: T.trend(o),
-        "removed_far": lambda r, b, o, v: D.remove_points(
+        "summary": lambda r, b, o, v, l: D.summary(b),
+        "deviations": lambda r, b, o, v, l: D.deviations(r, b),
+        "values": lambda r, b, o, v, l: D.value_counts(r),
+        "trimmed": lambda r, b, o, v, l: D.trimmed_means(r),
+        "removed": lambda r, b, o, v, l: D.remove_points(r, "absfar", 0.5),
+        "autocorrelation": lambda r, b, o, v, l: C.autocorrelation(l),
+        "first_lags": lambda r, b, o, v, l: C.first_lags(v),
+        "lagged": lambda r, b, o, v, l: C.lagged_products(v),
+        "fit": lambda r, b, o, v, l: density.compare_fit(v),
+        "season": lambda r, b, o, v, l: density.seasonal(v).drop("seasonal_r2"),
+        "apen": lambda r, b, o, v, l: E.approximate_entropy(o),
+        "cid": lambda r, b, o, v, l: E.complexity_invariant(o),
+        "sampen": lambda r, b, o, v, l: E.sample_entropy(o),
+        "information": lambda r, b, o, v, l: C.mutual_information(l),
+        "trend": lambda r, b, o, v, l: T.trend(o),
+        "removed_far": lambda r, b, o, v, l: D.remove_points(
             o, "absfar", 0.6, prefix="dn_removepointsabsfar_0_6_"),
-        "removed_close": lambda r, b, o, v: D.remove_points(
+        "removed_close": lambda r, b, o, v, l: D.remove_points(
             o, "absclose", 0.6, prefix="dn_removepointsabsclose_0_6_"),
-        "crinkle": lambda r, b, o, v: C.crinkle_and_q(o),
-        "motifs": lambda r, b, o, v: S.motifs(o),
-        "binary": lambda r, b, o, v: S.binary_stats(o),
-        "threshold": lambda r, b, o, v: T.moving_threshold(v),
-        "drift": lambda r, b, o, v: T.drifting_mean(o),
+        "crinkle": lambda r, b, o, v, l: C.crinkle_and_q(l),
+        "motifs": lambda r, b, o, v, l: S.motifs(l),
+        "binary": lambda r, b, o, v, l: S.binary_stats(o),
+        "threshold": lambda r, b, o, v, l: T.moving_threshold(v),
+        "drift": lambda r, b, o, v, l: T.drifting_mean(o),
     }
 
 
@@ -69,14 +70,14 @@ def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
     wanted = selected(select)
     win = windowed(points, length, step, impute)
     rows, o = observed(win), ordered(win)
-    base, vec = distribution.base(rows), vectors(o)
+    base, vec, led = distribution.base(rows), vectors(o), window_leads(o, range(1, 26))
     counts = win.groupBy(*KEYS).agg(
         F.count("*").alias("points"), F.count("y").alias("observations"), F.stddev_pop("y").alias("gate_sd"))
     frames, known = [], ["observations"]
     for name in groups:
         cols = [c for c in N.group_columns(name) if c in wanted]
         if cols:
-            frames.append(_groups()[name](rows, base, o, vec).select(*KEYS, *cols))
+            frames.append(_groups()[name](rows, base, o, vec, led).select(*KEYS, *cols))
             known += cols
     wide = combine([window_spine(points, length, step), counts, *frames])
     enough = f"points > 1 AND observations > {LEAST_READINGS}"

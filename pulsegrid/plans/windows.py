@@ -25,25 +25,48 @@ def _chunked(points: DataFrame, chunk: float) -> DataFrame:
 
 
 def _chunk_table(chunked: DataFrame) -> DataFrame:
-    """Per chunk: bounds of its series, and the last reading before the chunk starts."""
+    """Per chunk: bounds and mean of its series, last reading and numbers of rows and readings before it."""
     seen = F.col("y").isNotNull()
     small = chunked.groupBy("series", "chunk").agg(
-        F.min("t").alias("lo"), F.max("t").alias("hi"),
+        F.min("t").alias("lo"), F.max("t").alias("hi"), F.count("*").alias("rows"),
+        F.sum("y").alias("total"), F.count("y").alias("readings"),
         F.max_by(F.when(seen, F.col("y")), F.when(seen, F.col("t"))).alias("last_y"))
     whole = Window.partitionBy("series")
     before = whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     return small.select(
         "series", "chunk",
         F.min("lo").over(whole).alias("t0"), F.max("hi").over(whole).alias("t1"),
+        F.try_divide(F.sum("total").over(whole), F.sum("readings").over(whole)).alias("c"),
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("readings").over(before), F.lit(0)).alias("readings_before"),
         F.last("last_y", ignorenulls=True).over(before).alias("carry"))
 
 
-def _imputed(chunked: DataFrame, table: DataFrame) -> DataFrame:
-    inside = Window.partitionBy("series", "chunk").orderBy("t", "y").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+def _inside_chunk():
+    return Window.partitionBy("series", "chunk").orderBy("t", "y")
+
+
+def _filled(chunked: DataFrame, table: DataFrame, impute: bool) -> DataFrame:
+    """Adds the series' bounds and ``yf``, the reading to use."""
+    if not impute:
+        return chunked.join(table, ["series", "chunk"]).withColumn("yf", F.col("y"))
+    inside = _inside_chunk().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = chunked.withColumn("local", F.last("y", ignorenulls=True).over(inside))
-    return local.join(table, ["series", "chunk"]).withColumn(
-        "yf", F.coalesce("local", "carry")).drop("local")
+    return local.join(table, ["series", "chunk"]).withColumn("yf", F.coalesce("local", "carry")).drop("local")
+
+
+def numbered(points: DataFrame, chunk: float, impute: bool = True) -> DataFrame:
+    """Adds ``yf``, ``c``, ``t0``, ``t1`` and ``g``, the 0-based position of a row in its series.
+
+    A missing reading that is not filled takes no position.
+    """
+    chunked = _chunked(points, chunk)
+    inside = _inside_chunk()
+    upto_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.row_number().over(inside) if impute else F.count("y").over(upto_here)
+    before = F.col("rows_before" if impute else "readings_before")
+    filled = _filled(chunked.withColumn("r", place), _chunk_table(chunked), impute)
+    return filled.withColumn("g", before + F.col("r") - 1)
 
 
 def carry_forward(points: DataFrame, chunk: float = 86400.0) -> DataFrame:
@@ -52,7 +75,7 @@ def carry_forward(points: DataFrame, chunk: float = 86400.0) -> DataFrame:
     Exact for any ``chunk``; it only sets how finely a long series is split.
     """
     chunked = _chunked(points, chunk)
-    return _imputed(chunked, _chunk_table(chunked)).drop("chunk", "t0", "t1", "carry")
+    return _filled(chunked, _chunk_table(chunked), True).select("series", "t", "y", "yf")
 
 
 def _window_count(t0: Column, t1: Column, length: float, step: float) -> Column:
@@ -69,30 +92,33 @@ def window_spine(points: DataFrame, length: float, step: float) -> DataFrame:
                        (F.col("t0") + float(length) + F.col("w") * float(step)).alias("w_end"))
 
 
-def windowed(points: DataFrame, length: float, step: float, impute: bool = True,
-             chunk: float | None = None) -> DataFrame:
-    """``(series, w, t, y, yf)``: every point once per window that contains it.
+def spread_over_windows(rows: DataFrame, length: float, step: float) -> DataFrame:
+    """Repeats each row for every window that contains it; adds ``w`` and ``edge``, the window's whole-second end.
 
-    A point tries only the few windows that can hold it; exact bounds decide. With ``impute`` a
-    missing reading takes the last one seen in the series, also from before the window.
-    Without it ``yf`` equals ``y``.
+    ``rows`` carry ``t`` and the bounds ``t0``, ``t1`` of their series. A row tries only the few windows that
+    can hold it; exact bounds decide.
     """
-    chunked = _chunked(points, chunk or CHUNKS_PER_WINDOW * length)
-    table = _chunk_table(chunked)
-    if impute:
-        ready = _imputed(chunked, table)
-    else:
-        ready = chunked.join(table.drop("carry"), ["series", "chunk"]).withColumn("yf", F.col("y"))
     length, step = float(length), float(step)
     offset = (F.col("t") - F.col("t0") - length) / step
     lo = F.greatest(F.floor(offset), F.lit(0))
     hi = F.least(F.floor(offset + (length + 1.0) / step),
                  _window_count(F.col("t0"), F.col("t1"), length, step) - 1)
-    spread = ready.select("series", "t", "y", "yf", "t0", lo.alias("lo"), hi.alias("hi")).where(
-        "lo <= hi").withColumn("w", F.explode(F.sequence("lo", "hi")))
+    tried = rows.select("*", lo.alias("lo"), hi.alias("hi")).where("lo <= hi").withColumn(
+        "w", F.explode(F.sequence("lo", "hi"))).drop("lo", "hi")
     edge = (F.col("t0") + length + F.col("w") * step).cast("long")
-    return spread.where((F.col("t") <= edge) & (F.col("t") > edge - length)).select(
-        "series", "w", "t", "y", "yf")
+    return tried.withColumn("edge", edge).where("t <= edge").where(F.col("t") > F.col("edge") - length)
+
+
+def windowed(points: DataFrame, length: float, step: float, impute: bool = True,
+             chunk: float | None = None) -> DataFrame:
+    """``(series, w, t, y, yf)``: every point once per window that contains it.
+
+    With ``impute`` a missing reading takes the last one seen in the series, also from before the window.
+    Without it ``yf`` equals ``y``.
+    """
+    chunked = _chunked(points, chunk or CHUNKS_PER_WINDOW * length)
+    ready = _filled(chunked, _chunk_table(chunked), impute).select("series", "t", "y", "yf", "t0", "t1")
+    return spread_over_windows(ready, length, step).select("series", "w", "t", "y", "yf")
 
 
 def ordered(win: DataFrame, keys: list[str] = KEYS) -> DataFrame:

@@ -13,6 +13,7 @@ from pulsegrid.functions import names as N
 from pulsegrid.functions.vectors import vectors
 from pulsegrid.operators import density, dependence, distribution, entropy, provenance, symbolic, table, trend
 from pulsegrid.plans import windows as W
+from pulsegrid.plans.leads import series_leads, window_leads
 from pulsegrid.plans.features import DISTRIBUTION_GROUPS, GROUPS, correlate, features
 from pulsegrid.sources import digest, series
 from pulsegrid.streaming.windows import run_available, streaming_features
@@ -80,6 +81,17 @@ def on_ordered(name: str, sql: str, build, kind: str = "user", keys=("series", "
     add(name, sql, lambda spark, sf: build(W.ordered(win(spark, sf, kind, span))), keys)
 
 
+def on_leads(name: str, sql: str, build, lags, kind: str = "user") -> None:
+    """Lag operator, looking ahead inside each window."""
+    on_ordered(name, sql, lambda o: build(window_leads(o, lags)), kind)
+
+
+def on_series_leads(name: str, sql: str, build, lags, kind: str = "type") -> None:
+    """Lag operator over crowded windows, looking ahead in the series."""
+    add(name, sql, lambda s, d: build(series_leads(
+        points(s, d, kind), *S.SPANS[kind], lags, impute=kind == "gappy")))
+
+
 def on_vectors(name: str, sql: str, build, kind: str = "user") -> None:
     """Operator over windows held as arrays."""
     on_ordered(name, sql, lambda o: build(vectors(o)), kind)
@@ -157,30 +169,36 @@ def _distribution() -> None:
 
 def _dependence() -> None:
     C = dependence
-    on_ordered("co_autocorr", S.autocorrelation(), C.autocorrelation)
-    on_ordered("co_autocorr_filled", S.autocorrelation(kind="gappy"), C.autocorrelation, "gappy")
-    on_ordered("co_autocorr_slices", S.slice_correlation(), C.slice_correlation)
-    on_ordered("sub_acf", S.autocorrelation(range(1, 9)), lambda o: C.autocorrelation(o, range(1, 9)))
+    wide = range(1, 26)
+    on_leads("co_autocorr", S.autocorrelation(), C.autocorrelation, wide)
+    on_leads("co_autocorr_filled", S.autocorrelation(kind="gappy"), C.autocorrelation, wide, "gappy")
+    on_series_leads("co_autocorr_by_type", S.autocorrelation(kind="type"),
+                    lambda l: C.autocorrelation(l, exact_centre=False), wide)
+    on_series_leads("co_autocorr_filled_ahead", S.autocorrelation(kind="gappy"),
+                    lambda l: C.autocorrelation(l, exact_centre=False), wide, "gappy")
+    on_series_leads("co_autocorr_slices", S.slice_correlation(kind="type"), C.slice_correlation, range(1, 6))
+    on_leads("sub_acf", S.autocorrelation(range(1, 9)), lambda l: C.autocorrelation(l, range(1, 9)), range(1, 9))
     for name in ("co_firstzero", "co_firstmin", "co_f1ecac"):
         on_vectors(name, S.first_lags([name]), lambda v, name=name: C.first_lags(v).select("series", "w", name))
-    on_ordered("co_firstmin_mi", S.first_minimum_mi(), C.first_minimum_of_information)
+    on_leads("co_firstmin_mi", S.first_minimum_mi(), C.first_minimum_of_information, range(1, 27))
     glscf = [f"co_glscf_{a}_{b}" for a in range(1, 5) for b in range(1, 5)]
     on_vectors("co_glscf", S.lagged_products(glscf), lambda v: C.lagged_products(v).select("series", "w", *glscf))
     both = ["co_tc3", "co_trev"]
     on_vectors("co_tc3_trev", S.lagged_products(both), lambda v: C.lagged_products(v).select("series", "w", *both))
-    on_ordered("in_automutualinfo", S.mutual_information([1, 2, 3]), lambda o: C.mutual_information(o, [1, 2, 3]))
+    on_series_leads("in_automutualinfo", S.mutual_information([1, 2, 3], "type"),
+                    lambda l: C.mutual_information(l, [1, 2, 3]), [1, 2, 3])
     on_vectors("in_automutualinfo_tau", S.mutual_information_tau(), C.mutual_information_at_zero)
-    on_ordered("co_embed2_basic", S.embedding(), C.embedding_density, "scaled")
-    on_ordered("dk_crinkle_theilerq", S.crinkle(), C.crinkle_and_q)
+    on_series_leads("co_embed2_basic", S.embedding(), C.embedding_density, [5], "scaled")
+    on_series_leads("dk_crinkle_theilerq", S.crinkle("type"), C.crinkle_and_q, [1, 2])
     on_ordered("bf_embed", S.tidy(["i", "e0", "e1", "e2"], "SELECT a.series, a.w, a.i, a.x AS e0, b.x AS e1, c.x AS e2 "
                "FROM o a JOIN o b ON a.series = b.series AND a.w = b.w AND b.i = a.i + 2 "
                "JOIN o c ON a.series = c.series AND a.w = c.w AND c.i = a.i + 4", S.windows()),
                lambda o: C.embed(o, 2, 3))
     on_ordered("bf_makebuffer", S.tidy(["b", "j", "x"], "SELECT series, w, i // 7 AS b, i % 7 AS j, x FROM o "
                "JOIN st USING (series, w) WHERE i < n // 7 * 7", S.windows()), lambda o: C.buffers(o, 7))
-    on_ordered("bf_sgnchange", S.tidy(["sign_changes"], "SELECT series, w, count(*) FILTER (WHERE s < 0) AS sign_changes "
+    on_leads("bf_sgnchange", S.tidy(["sign_changes"], "SELECT series, w, count(*) FILTER (WHERE s < 0) AS sign_changes "
                "FROM (SELECT series, w, x * lag(x) OVER (PARTITION BY series, w ORDER BY i) AS s FROM o) GROUP BY series, w",
-               S.windows("centred")), C.sign_changes, "centred")
+               S.windows("centred")), C.sign_changes, [1], "centred")
     on_ordered("bf_iszscored", f"WITH RECURSIVE {S.windows()} SELECT series, w, abs(mu) < 2.2204e-16 AND abs(sd - 1) < 2.2204e-16 "
                "AS is_zscored FROM st", lambda o: C.is_zscored(distribution.base(o)))
 
@@ -191,12 +209,12 @@ def _entropy() -> None:
     on_ordered("en_sampen", S.sampen(), E.sample_entropy)
     on_ordered("en_mse_scales", S.mse_scales(), lambda o: E.multiscale_entropy(o)[0], "supplier", ("series", "w", "scale"))
     on_ordered("en_mse", S.mse(), lambda o: E.multiscale_entropy(o)[1], "supplier")
-    on_ordered("en_permen_2_1", S.permen(2, 1), lambda o: E.permutation_entropy(o, 2, 1))
-    on_ordered("en_permen_3_6", S.permen(3, 6), lambda o: E.permutation_entropy(o, 3, 6))
+    on_series_leads("en_permen_2_1", S.permen(2, 1, "type"), lambda l: E.permutation_entropy(l, 2, 1), [1])
+    on_series_leads("en_permen_3_6", S.permen(3, 6, "type"), lambda l: E.permutation_entropy(l, 3, 6), [6, 12])
     on_ordered("en_cid", S.cid(), E.complexity_invariant)
     on_ordered("bf_binarize", S.binarized(), lambda o: symbolic.binarize(o).drop("n"), keys=("series", "w", "method"))
     on_ordered("sb_binarystats", S.binary_stats(), symbolic.binary_stats)
-    on_ordered("sb_motiftwo", S.motifs(), symbolic.motifs)
+    on_series_leads("sb_motiftwo", S.motifs("type"), symbolic.motifs, range(1, 5))
 
 
 def _trend() -> None:
