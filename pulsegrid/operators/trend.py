@@ -20,7 +20,8 @@ def trend(o: DataFrame) -> DataFrame:
     z, c, i = F.col("z"), F.col("c"), F.col("i").cast("double")
     first = F.col("i") < F.col("half")
     return rows.groupBy(*KEYS).agg(
-        F.sqrt(1 - F.regr_r2(z, i)).alias("trend_stdratio"),
+        # rounding may lift the explained share of an exact line just above 1
+        F.sqrt(1 - F.least(F.regr_r2(z, i), F.when(F.regr_r2(z, i).isNotNull(), 1.0))).alias("trend_stdratio"),
         F.regr_slope(z, i).alias("trend_gradient"), F.regr_intercept(z, i).alias("trend_intercept"),
         F.avg(c).alias("trend_meanyc"), F.stddev_pop(c).alias("trend_stdyc"),
         F.regr_slope(c, i).alias("trend_gradientyc"), F.regr_intercept(c, i).alias("trend_interceptyc"),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.expr import KEYS, by, per
-from pulsegrid.plans.windows import CHUNKS_PER_WINDOW, numbered, spread_over_windows
+from pulsegrid.plans.windows import default_chunk, numbered, spread_over_windows
 
 BLOCK_ROWS = 65536
 
@@ -37,7 +37,7 @@ def series_leads(points: DataFrame, length: float, step: float, lags: Iterable[i
     lags = list(lags)
     if max(lags) >= block:
         raise ValueError("block must exceed the longest lag")
-    rows = numbered(points, chunk or CHUNKS_PER_WINDOW * length, impute).where("yf is not null")
+    rows = numbered(points, chunk or default_chunk(length, True), impute).where("yf is not null")
     home = F.floor(F.col("g") / F.lit(block))
     also = F.when((F.col("g") % block < max(lags)) & (home > 0), home - 1)
     # the first rows of a block are also needed at the end of the block before

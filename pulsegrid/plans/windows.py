@@ -17,7 +17,15 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.expr import KEYS, by, combine
 
-CHUNKS_PER_WINDOW = 4
+
+def default_chunk(length: float, ordered: bool) -> float:
+    """Length in time of the pieces a series is cut into.
+
+    Pieces whose rows are put in order are short, so that a crowded series makes many small tasks; where only
+    the bounds of the series are attached, long ones keep the table of pieces small.
+    """
+    return length / 16 if ordered else length * 4
+
 
 
 def _chunked(points: DataFrame, chunk: float) -> DataFrame:
@@ -116,7 +124,7 @@ def windowed(points: DataFrame, length: float, step: float, impute: bool = True,
     With ``impute`` a missing reading takes the last one seen in the series, also from before the window.
     Without it ``yf`` equals ``y``.
     """
-    chunked = _chunked(points, chunk or CHUNKS_PER_WINDOW * length)
+    chunked = _chunked(points, chunk or default_chunk(length, impute))
     ready = _filled(chunked, _chunk_table(chunked), impute).select("series", "t", "y", "yf", "t0", "t1")
     return spread_over_windows(ready, length, step).select("series", "w", "t", "y", "yf")
 

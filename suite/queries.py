@@ -25,6 +25,7 @@ PLAIN: dict[str, Query] = {}  # the same without the rounding that the compariso
 ORACLES: dict[str, str] = {}
 
 DAY = 86400
+CROWDED_CHUNK = 600.0  # seconds; five event types share all rows, so their pieces must be short
 
 
 def tidy(df: DataFrame, keys: tuple[str, ...] = ("series", "w")) -> DataFrame:
@@ -89,7 +90,7 @@ def on_leads(name: str, sql: str, build, lags, kind: str = "user") -> None:
 def on_series_leads(name: str, sql: str, build, lags, kind: str = "type") -> None:
     """Lag operator over crowded windows, looking ahead in the series."""
     add(name, sql, lambda s, d: build(series_leads(
-        points(s, d, kind), *S.SPANS[kind], lags, impute=kind == "gappy")))
+        points(s, d, kind), *S.SPANS[kind], lags, impute=kind == "gappy", chunk=CROWDED_CHUNK if kind == "type" else None)))
 
 
 def on_vectors(name: str, sql: str, build, kind: str = "user") -> None:
