@@ -2,40 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names; sets a temporary one only on a single machine without one."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return
-    if spark.sparkContext.getCheckpointDir():
-        return
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-"))
+from pulsegrid.plans.staging import staged
 
 
 def supports(edges: DataFrame, starts: DataFrame, max_depth: int = 32) -> DataFrame:
     """``(start, item, depth)``: all items reached from each start along ``(src, dst)``, shortest depth.
 
     Each round extends only the items found in the round before and keeps those not yet seen, so cycles end.
-    Rounds are cut by reliable checkpoints; nothing but a yes/no on new rows reaches the driver.
+    Every round is written to the shared folder, which cuts the plan; nothing but a yes/no on new rows
+    reaches the driver.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    steps = edges.select(F.col("src").alias("item"), F.col("dst").alias("next")).distinct().checkpoint()
-    seen = starts.select(F.col("start"), F.col("start").alias("item")).distinct().withColumn(
-        "depth", F.lit(0)).checkpoint()
-    frontier = seen
-    for depth in range(1, max_depth + 1):
-        reached = frontier.join(steps, "item").select("start", F.col("next").alias("item")).distinct()
-        frontier = reached.join(seen, ["start", "item"], "left_anti").withColumn(
-            "depth", F.lit(depth)).checkpoint()
+    steps = staged(edges.select(F.col("src").alias("item"), F.col("dst").alias("next")).distinct())
+    first = starts.select("start").distinct()
+    frontier = staged(first.join(steps, first["start"] == steps["item"]).select(
+        "start", F.col("next").alias("item")).where("start <> item"))
+    found = [frontier.withColumn("depth", F.lit(1))]
+    for depth in range(2, max_depth + 1):
         if frontier.isEmpty():
             break
-        seen = seen.unionByName(frontier)
-    return seen.where("depth > 0")
+        known = found[0].select("start", "item")
+        for f in found[1:]:
+            known = known.unionByName(f.select("start", "item"))
+        reached = frontier.join(steps, "item").select("start", F.col("next").alias("item")).where(
+            "start <> item").distinct()
+        frontier = staged(reached.join(known, ["start", "item"], "left_anti"))
+        found.append(frontier.withColumn("depth", F.lit(depth)))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out

@@ -10,6 +10,7 @@ from pulsegrid.functions.expr import KEYS, combine
 from pulsegrid.functions.vectors import vectors
 from pulsegrid.operators import density, dependence, distribution, entropy, symbolic, table, trend
 from pulsegrid.plans.leads import window_leads
+from pulsegrid.plans.staging import staged
 from pulsegrid.plans.windows import observed, ordered, window_spine, windowed
 
 LEAST_READINGS = 10
@@ -60,7 +61,7 @@ def selected(select: list[str] | None) -> list[str]:
 
 def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
              groups: tuple[str, ...] | list[str] = GROUPS, select: list[str] | None = None,
-             impute: bool = True, published: bool = False) -> DataFrame:
+             impute: bool = True, published: bool = False, stage: bool = False) -> DataFrame:
     """One row per window: ``series, w, time, observations`` and the chosen features.
 
     A window with at most one point has only its time; with at most ten readings only time and count; a
@@ -68,7 +69,11 @@ def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
     the columns of the named operators or features (groups without any of them are not built). Gates never depend on the choice.
     """
     wanted = selected(select)
+    if stage:
+        points = staged(points)
     win = windowed(points, length, step, impute)
+    if stage:
+        win = staged(win)
     rows, o = observed(win), ordered(win)
     base, vec, led = distribution.base(rows), vectors(o), window_leads(o, range(1, 26))
     counts = win.groupBy(*KEYS).agg(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +13,7 @@ from pulsegrid.operators import density, dependence, distribution, entropy, prov
 from pulsegrid.plans import windows as W
 from pulsegrid.plans.leads import series_leads, window_leads
 from pulsegrid.plans.features import DISTRIBUTION_GROUPS, GROUPS, correlate, features
+from pulsegrid.plans.staging import shared_folder
 from pulsegrid.sources import digest, series
 from pulsegrid.streaming.windows import run_available, streaming_features
 from suite import oracle as S
@@ -57,15 +56,6 @@ def win(spark: SparkSession, sf: str, kind: str = "user", span=None) -> DataFram
     return W.windowed(points(spark, sf, kind), *(span or S.SPANS[kind]), impute=kind == "gappy")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares; on one machine without it, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        provenance.ensure_checkpoint_dir(spark)
-        base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="pulsegrid-")
-    return f"{base}/pulsegrid-{uuid.uuid4().hex}"
-
-
 def add(name: str, sql: str, run: Query, keys: tuple[str, ...] = ("series", "w")) -> None:
     PLAIN[name] = run
     QUERIES[name] = lambda spark, sf: tidy(run(spark, sf), keys)
@@ -318,13 +308,13 @@ def _jobs() -> None:
         points(s, d), *S.SPANS["user"], groups=DISTRIBUTION_GROUPS, impute=False))
     every = [N.slug(n) for n in N.published_names()]
     add("feature_table", S.joined([parts[g] for g in GROUPS], start, ["series", "w", "time", *every]),
-        lambda s, d: features(points(s, d), *S.SPANS["user"], impute=False))
+        lambda s, d: features(points(s, d), *S.SPANS["user"], impute=False, stage=True))
 
 
 def _sources() -> None:
     def csv_job(name, sid, order, pattern, sql):
         def run(s, d):
-            path = scratch(s)
+            path = shared_folder(s)
             first, second = ("value", "time") if order == "value_time" else ("time", "value")
             ev = series.points_from(events(s, d).withColumn("sid", sid()), "sid", "ts", "value")
             ev.select(F.col("series").alias("file"), F.col("y" if first == "value" else "t").alias(first),
@@ -356,14 +346,14 @@ res AS (SELECT series, t, CASE WHEN v IS NOT NULL AND n IS NULL THEN held ELSE n
 SELECT series, {S.stable('t')} AS t, {S.stable('y')} AS y FROM res""", damaged, ("series",))
 
     def sink(s, d):
-        path = scratch(s)
+        path = shared_folder(s)
         series.write_features(small_table(s, d).drop("isseasonal"), path, partition_by=["series"])
         return s.read.parquet(path)
 
     add("feature_sink_parquet", S.table_query(["time", *S.TABLE_COLS, "dead", "ratio"], "SELECT * FROM ft"), sink)
 
     def sink_csv(s, d):
-        path = scratch(s)
+        path = shared_folder(s)
         series.write_features(small_table(s, d).withColumn("note", F.lit("text")).drop("series"), path, "csv")
         return series.read_feature_csv(s, path)
 
@@ -418,7 +408,7 @@ def _streaming() -> None:
         schema = events(s, d).schema
         stream = s.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
         readings = stream.select(F.col("event_type").alias("series"), "ts", F.col("value").alias("y"))
-        path = scratch(s)
+        path = shared_folder(s)
         run_available(streaming_features(readings, f"{span} seconds", f"{step} seconds", f"{late} seconds"),
                       f"{path}/out", f"{path}/state")
         return s.read.parquet(f"{path}/out")
