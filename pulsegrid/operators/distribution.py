@@ -36,40 +36,79 @@ def base(rows: DataFrame, keys: list[str] = KEYS, large: bool = False) -> DataFr
     return agg.select(*keys, *plain, *[F.col("q")[i].alias(c) for i, c in enumerate(names)])
 
 
-def large_quantiles(rows: DataFrame, probs: dict[str, float], keys: list[str] = KEYS,
-                    accuracy: int = 10000) -> DataFrame:
-    """Exact interpolated quantiles of ``x`` for windows of any size, spread over many tasks.
-
-    A mergeable sketch brackets each quantile within a few parts in ``accuracy`` of the rows. Only the values
-    inside a bracket are put in order; the rows below and above it are counted, and keep the one value next to
-    the bracket, which a window smaller than ``accuracy`` may need (the sketch is then exact to one rank).
+def _order_statistics(rows: DataFrame, wanted: dict[str, tuple[float, Column]], keys: list[str],
+                      accuracy: int) -> DataFrame:
+    """``(keys, q, f, x0, x1)``: the values around the 0-based rank ``at(n)`` of each window, for windows of any size.
+
+    ``wanted``: name -> (share of the rows below, rank as an expression of ``n``); the two may differ by
+    one rank. A mergeable sketch brackets the share within a few parts in ``accuracy`` of the rows. Only the
+    values inside a bracket are put in order; the rows below and above it are counted, and keep the one value next
+    to the bracket, which a window smaller than ``accuracy`` may need (the sketch is then exact to one rank).
     """
     margin = 2.0 / accuracy
-    sides = [v for p in probs.values() for v in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    sides = [v for p, _ in wanted.values() for v in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = rows.groupBy(*keys).agg(
         F.count("x").alias("n"),
         F.percentile_approx("x", F.array(*[F.lit(v) for v in sides]), accuracy).alias("v"))
-    bands = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(p).alias("p"), F.col("v")[2 * i].alias("a"),
-                               F.col("v")[2 * i + 1].alias("b")) for i, (name, p) in enumerate(probs.items())])
-    near = rows.select(*keys, "x").join(sketch, keys).select(*keys, "x", "n", F.inline(bands))
+    bands = F.array(*[F.struct(F.lit(name).alias("q"), at.cast("double").alias("at"), F.col("v")[2 * i].alias("a"),
+                               F.col("v")[2 * i + 1].alias("b")) for i, (name, (_, at)) in enumerate(wanted.items())])
+    near = rows.select(*keys, "x").join(sketch, keys).select(*keys, "x", F.inline(bands))
     x = F.col("x")
     side = F.when(x < F.col("a"), 0).when(x > F.col("b"), 2).otherwise(1)
     inside = F.when((x >= F.col("a")) & (x <= F.col("b")), x)
-    counted = near.groupBy(*keys, "q", "p", "n", side.alias("side"), inside.alias("inside")).agg(
+    counted = near.groupBy(*keys, "q", "at", side.alias("side"), inside.alias("inside")).agg(
         F.count("*").alias("c"), F.max("x").alias("top"), F.min("x").alias("low")).withColumn(
         "x", F.when(F.col("side") == 0, F.col("top")).otherwise(F.col("low")))
     order = by("side", "x", keys=keys + ["q"])
     upto_x = F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    at = F.col("p") * (F.col("n") - 1)
+    at = F.col("at")
     lower, upper = F.floor(at), F.ceil(at)
-    picked = counted.withColumn("upto", upto_x).groupBy(*keys, "q").agg(
+    return counted.withColumn("upto", upto_x).groupBy(*keys, "q").agg(
         F.max(at - lower).alias("f"),
         F.min(F.when(F.col("upto") > lower, F.col("x"))).alias("x0"),
         F.min(F.when(F.col("upto") > upper, F.col("x"))).alias("x1"))
+
+
+def large_quantiles(rows: DataFrame, probs: dict[str, float], keys: list[str] = KEYS,
+                    accuracy: int = 10000) -> DataFrame:
+    """Exact interpolated quantiles of ``x`` for windows of any size, spread over many tasks."""
+    picked = _order_statistics(rows, {q: (p, F.lit(p) * (F.col("n") - 1)) for q, p in probs.items()}, keys, accuracy)
     value = F.col("x0") + F.col("f") * (F.col("x1") - F.col("x0"))
     return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == q, value)).alias(q) for q in probs])
 
 
+def large_trimmed_means(rows: DataFrame, shares: tuple[float, ...] = (0.5, 0.75, 0.25),
+                        accuracy: int = 10000) -> DataFrame:
+    """``trimmed_means`` for windows of any size.
+
+    The cut-off values on both sides are found first; the values beyond them, and as many copies of them as
+    the cut takes, are then subtracted from the sum.
+    """
+    n, x = F.col("n"), F.col("x")
+    cuts = {p: F.bround(n * F.lit(p) / 2) for p in shares}
+    wanted = {}
+    for p, cut in cuts.items():
+        wanted[f"lo{p}"] = (p / 2, F.greatest(cut - 1, F.lit(0)))
+        wanted[f"hi{p}"] = (1 - p / 2, F.least(n - cut, n - 1))
+    edges = _order_statistics(rows, wanted, KEYS, accuracy).groupBy(*KEYS).agg(
+        *[F.max(F.when(F.col("q") == q, F.col("x0"))).alias(f"e{i}") for i, q in enumerate(wanted)])
+    sums = [F.sum(x).alias("total"), F.count(x).alias("n")]
+    for i in range(0, len(wanted), 2):
+        lo, hi = F.col(f"e{i}"), F.col(f"e{i + 1}")
+        sums += [F.max(lo).alias(f"lo{i}"), F.max(hi).alias(f"hi{i}"),
+                 F.sum(F.when(x < lo, x).otherwise(F.lit(0.0))).alias(f"sl{i}"), F.count_if(x < lo).alias(f"nl{i}"),
+                 F.sum(F.when(x > hi, x).otherwise(F.lit(0.0))).alias(f"sh{i}"), F.count_if(x > hi).alias(f"nh{i}")]
+    s = rows.join(edges, KEYS).groupBy(*KEYS).agg(*sums)
+
+    def kept(i: int, cut: Column) -> Column:
+        low = F.col(f"sl{i}") + (cut - F.col(f"nl{i}")) * F.col(f"lo{i}")
+        high = F.col(f"sh{i}") + (cut - F.col(f"nh{i}")) * F.col(f"hi{i}")
+        return F.when(cut == 0, F.col("total") / n).otherwise(div(F.col("total") - low - high, n - 2 * cut))
+
+    return s.select(*KEYS, *[kept(2 * i, cut).alias(f"dn_trimmedmean_{round(p * 100)}")
+                             for i, (p, cut) in enumerate(cuts.items())])
+
+
 def observation_count(win: DataFrame) -> DataFrame:
     """Number of readings that are not missing."""
     return win.groupBy(*KEYS).agg(F.count("y").alias("observations"))
@@ -266,5 +305,6 @@ def outlier_thresholds(rows: DataFrame, how: str = "abs", inc: float = 0.01) ->
 def distribution(rows: DataFrame, large: bool = False) -> DataFrame:
     """All default distribution features of a window in one row."""
     b = base(rows, large=large)
-    return combine([summary(b), deviations(rows, b, large=large), value_counts(rows), trimmed_means(rows),
+    return combine([summary(b), deviations(rows, b, large=large), value_counts(rows),
+                    large_trimmed_means(rows) if large else trimmed_means(rows),
                     remove_points(rows, "absfar", 0.5)])

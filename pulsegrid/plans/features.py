@@ -9,23 +9,23 @@ from pulsegrid.functions import names as N
 from pulsegrid.functions.expr import KEYS, combine
 from pulsegrid.functions.vectors import vectors
 from pulsegrid.operators import density, dependence, distribution, entropy, symbolic, table, trend
-from pulsegrid.plans.leads import window_leads
+from pulsegrid.plans.leads import series_leads, window_leads
 from pulsegrid.plans.staging import staged
 from pulsegrid.plans.windows import observed, ordered, window_spine, windowed
 
 LEAST_READINGS = 10
 
 
-def _groups() -> dict:
+def _groups(large: bool = False) -> dict:
     """Feature groups: name -> builder(rows, base, o, vec, led). A group is one aggregate over one grouping."""
     D, C, E, S, T = distribution, dependence, entropy, symbolic, trend
     return {
         "summary": lambda r, b, o, v, l: D.summary(b),
-        "deviations": lambda r, b, o, v, l: D.deviations(r, b),
+        "deviations": lambda r, b, o, v, l: D.deviations(r, b, large=large),
         "values": lambda r, b, o, v, l: D.value_counts(r),
-        "trimmed": lambda r, b, o, v, l: D.trimmed_means(r),
+        "trimmed": lambda r, b, o, v, l: (D.large_trimmed_means if large else D.trimmed_means)(r),
         "removed": lambda r, b, o, v, l: D.remove_points(r, "absfar", 0.5),
-        "autocorrelation": lambda r, b, o, v, l: C.autocorrelation(l),
+        "autocorrelation": lambda r, b, o, v, l: C.autocorrelation(l, exact_centre=not large),
         "first_lags": lambda r, b, o, v, l: C.first_lags(v),
         "lagged": lambda r, b, o, v, l: C.lagged_products(v),
         "fit": lambda r, b, o, v, l: density.compare_fit(v),
@@ -61,12 +61,15 @@ def selected(select: list[str] | None) -> list[str]:
 
 def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
              groups: tuple[str, ...] | list[str] = GROUPS, select: list[str] | None = None,
-             impute: bool = True, published: bool = False, stage: bool = False) -> DataFrame:
+             impute: bool = True, published: bool = False, stage: bool = False, large: bool = False) -> DataFrame:
     """One row per window: ``series, w, time, observations`` and the chosen features.
 
     A window with at most one point has only its time; with at most ten readings only time and count; a
     constant one stops after the standard deviation. ``groups`` chooses what is computed, ``select`` keeps
     the columns of the named operators or features (groups without any of them are not built). Gates never depend on the choice.
+
+    ``stage`` writes the windows once to the shared folder and computes every group from there. ``large`` is for
+    crowded windows: quantiles are bracketed by sketches and lag operators look ahead in the series.
     """
     wanted = selected(select)
     if stage:
@@ -75,14 +78,17 @@ def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
     if stage:
         win = staged(win)
     rows, o = observed(win), ordered(win)
-    base, vec, led = distribution.base(rows), vectors(o), window_leads(o, range(1, 26))
+    base, vec = distribution.base(rows, large=large), vectors(o)
+    lags = range(1, 26)
+    led = series_leads(points, length, step, lags, impute) if large else window_leads(o, lags)
     counts = win.groupBy(*KEYS).agg(
         F.count("*").alias("points"), F.count("y").alias("observations"), F.stddev_pop("y").alias("gate_sd"))
+    builders = _groups(large)
     frames, known = [], ["observations"]
     for name in groups:
         cols = [c for c in N.group_columns(name) if c in wanted]
         if cols:
-            frames.append(_groups()[name](rows, base, o, vec, led).select(*KEYS, *cols))
+            frames.append(builders[name](rows, base, o, vec, led).select(*KEYS, *cols))
             known += cols
     wide = combine([window_spine(points, length, step), counts, *frames])
     enough = f"points > 1 AND observations > {LEAST_READINGS}"

@@ -145,6 +145,7 @@ def _distribution() -> None:
         on_rows(name, S.value_counts(cols, "type"),
                 lambda r, cols=cols: D.value_counts(r).select("series", "w", *cols), "type")
     on_rows("dn_trimmedmean", S.trimmed(), D.trimmed_means)
+    on_rows("dn_trimmedmean_by_type", S.trimmed("type"), D.large_trimmed_means, "type")
     cols = ["dn_proportion_zeros", "dn_proportion_positive", "dn_proportion_negative"]
     on_rows("dn_proportionvalues", S.distribution(cols, "centred"), D.proportions, "centred")
     on_rows("dn_fit_mle", S.distribution(["dn_fit_mle_mean", "dn_fit_mle_std"]), lambda r: D.gaussian_fit(D.base(r)))

@@ -106,3 +106,16 @@ def test_selection(make):
     got = features(p, 40, 20, select=["DN_MinMax", "EN_CID"])
     assert got.columns == ["series", "w", "time", "observations", "dn_max", "dn_min", "en_cid_ce1", "en_cid_ce2",
                            "en_cid_mince1", "en_cid_mince2", "en_cid_ce1_norm", "en_cid_ce2_norm"]
+
+
+def test_crowded_form_equals_plain_form(make):
+    p = make({"a": [(t, None if t % 9 == 2 else (t * 37) % 11 + t / 7) for t in range(300)],
+              "b": [(t * 2, (t * 5) % 4) for t in range(100)]})
+    groups = ["summary", "deviations", "trimmed", "autocorrelation", "information", "crinkle", "motifs"]
+    plain = features(p, 60, 30, groups=groups).orderBy("series", "w").collect()
+    large = features(p, 60, 30, groups=groups, large=True).orderBy("series", "w").collect()
+    staged = features(p, 60, 30, groups=groups, stage=True).orderBy("series", "w").collect()
+    assert len(plain) == len(large) > 10
+    for a, b, c in zip(plain, large, staged, strict=True):
+        assert list(a[3:]) == pytest.approx(list(b[3:]), rel=1e-8, abs=1e-8)
+        assert list(a[3:]) == pytest.approx(list(c[3:]), rel=1e-12)
