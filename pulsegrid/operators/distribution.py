@@ -171,17 +171,18 @@ def deviations(rows: DataFrame, b: DataFrame, th: float = 0.1, large: bool = Fal
 
 
 def value_counts(rows: DataFrame) -> DataFrame:
-    """Mode, share of distinct values and Shannon entropy.
+    """Mode (the smallest on ties), share of distinct values and Shannon entropy.
 
-    Counts per value are formed before the shuffle, so repeated values travel once, and a crowded
-    window is counted by many tasks.
+    Counts per value are formed before the shuffle, so repeated values travel once, and a crowded window is
+    counted by many tasks. Values with equal counts are then merged in the same way.
     """
     counted = rows.groupBy(*KEYS, "x").agg(F.count("*").cast("double").alias("c"))
-    total = F.sum("c")
-    return counted.groupBy(*KEYS).agg(
-        F.max_by("x", F.struct(F.col("c"), (-F.col("x")).alias("lower"))).alias("dn_mode"),
-        (F.count("*") / total).alias("dn_unique"),
-        (F.log2(total) - F.sum(F.col("c") * F.log2("c")) / total).alias("en_shannonentropy"))
+    level = counted.groupBy(*KEYS, "c").agg(F.count("*").cast("double").alias("m"), F.min("x").alias("x"))
+    mass = F.col("c") * F.col("m")
+    total = F.sum(mass)
+    return level.groupBy(*KEYS).agg(
+        F.max_by("x", "c").alias("dn_mode"), (F.sum("m") / total).alias("dn_unique"),
+        (F.log2(total) - F.sum(mass * F.log2("c")) / total).alias("en_shannonentropy"))
 
 
 def proportions(rows: DataFrame) -> DataFrame:
