@@ -130,6 +130,8 @@ DEVIATIONS = {
     "dn_moments": [f"dn_moment_{k}" for k in range(2, 7)], "dn_pleft": ["dn_pleft"],
     "dn_highlowmu": ["dn_highlowmu"], "dn_spread": ["dn_spread_mad", "dn__spread_mead"],
 }
+# these need quantiles; in the others the quantiles of ``base`` are pruned and only sums remain
+RANKED = {"dn_iqr", "dn_median", "dn_customskewness", "dn_quantile", "dn_withinp", "dn_pleft", "dn_spread"}
 COUNTED = {"dn_mode": ["dn_mode"], "dn_unique": ["dn_unique"], "en_shannonen": ["en_shannonentropy"]}
 
 
@@ -137,10 +139,11 @@ def _distribution() -> None:
     D = distribution
     for name, cols in DISTRIBUTION.items():
         on_rows(name, S.distribution(cols, "type"),
-                lambda r, cols=cols: D.summary(D.base(r, large=True)).select("series", "w", *cols), "type")
+                lambda r, cols=cols, big=name in RANKED: D.summary(D.base(r, large=big)).select("series", "w", *cols), "type")
     for name, cols in DEVIATIONS.items():
         on_rows(name, S.distribution(cols, "type"),
-                lambda r, cols=cols: D.deviations(r, D.base(r, large=True), large=True).select("series", "w", *cols), "type")
+                lambda r, cols=cols, big=name in RANKED: D.deviations(r, D.base(r, large=big), large=big).select(
+                    "series", "w", *cols), "type")
     for name, cols in COUNTED.items():
         on_rows(name, S.value_counts(cols, "type"),
                 lambda r, cols=cols: D.value_counts(r).select("series", "w", *cols), "type")
