@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FOLDER = "pulsegrid-"
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary one only on a single machine without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="pulsegrid-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base}/pulsegrid-{uuid.uuid4().hex}"
 
+def stage_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; where it is unset, the session's checkpoint folder or else its warehouse, shared like it."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
-def staged(df: DataFrame) -> DataFrame:
+
+def shared_folder(spark: SparkSession, stage_dir: str | None = None) -> str:
+    """The name of a new folder below ``stage_dir`` or the root of the session."""
+    return f"{(stage_dir or stage_root(spark)).rstrip('/')}/{FOLDER}{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, stage_dir: str | None = None) -> DataFrame:
     """Writes the frame once and reads it back: later work neither repeats nor depends on what made it."""
-    path = shared_folder(df.sparkSession)
+    path = shared_folder(df.sparkSession, stage_dir)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession, stage_dir: str | None = None) -> bool:
+    """Deletes everything that this application has staged; frames that read it can no longer run."""
+    root = f"{(stage_dir or stage_root(spark)).rstrip('/')}/{FOLDER}{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,10 +9,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from suite import queries as Q
 from suite.check import differences, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = Q.QUERIES, Q.ORACLES
 SAME_BUILDER = {"dn_mean", "dn_range", "dn_iqr", "dn_median", "dn_minmax", "dn_burstiness", "dn_std", "dn_cumulants",
                 "dn_nlogl_norm", "dn_cv", "dn_withinp", "dn_highlowmu", "dn_spread", "dn_mode", "dn_unique",
                 "dn_removepoints_min", "dn_removepoints_max", "dn_outlierinclude_p", "co_firstzero", "co_firstmin",
