@@ -10,7 +10,7 @@ from pulsegrid.llm.common import BLANK_RUN, BLANKS, packed, small, staged, text_
 SYMBOLS = "#*$%&|<>"
 
 #: Shares that are compared with their group: (name, least width of the fence, also from below).
-SHARES = (("mean_word_chars", 0.5, True), ("symbol_share", 0.02, False), ("dup_line_share", 0.05, False),
+SHARES = (("mean_word_chars", 0.5, True), ("symbol_share", 0.02, False), ("dup_line_share", 0.1, False),
           ("repeat_share", 0.05, False))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import quality
+from pulsegrid.llm import licenses, quality, secret_scans
 from pulsegrid.llm.common import read
 
 QUERIES = {}
@@ -17,9 +17,26 @@ def query(f):
     return f
 
 
+@query
+def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Words, base places and labels of every document."""
+    return licenses.digest(licenses.license_scan(read(spark, sf, "documents"), columns=["doc_id"]))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Counts and verdict of every document."""
     j = quality.judged(read(spark, sf, "documents"), columns=["doc_id"])
     return j.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     "kept", *[name for name, _, _ in quality.SHARES])
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of base secrets, digest of their places, and all places, of every document."""
+    scan = secret_scans.secret_scan(read(spark, sf, "documents"), columns=["doc_id"])
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*[r.kind for r in secret_scans.RULES if r.base]))
+    of = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+    return scan.select("row.doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+                       F.sha2(secret_scans.listed(base), 256).alias("base_sha256"), secret_scans.listed(spans).alias("spans"))
