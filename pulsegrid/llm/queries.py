@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import licenses, quality, secret_scans
+from pulsegrid.llm import licenses, lines, quality, secret_scans
 from pulsegrid.llm.common import read
 
 QUERIES = {}
@@ -40,3 +40,26 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     of = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
     return scan.select("row.doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
                        F.sha2(secret_scans.listed(base), 256).alias("base_sha256"), secret_scans.listed(spans).alias("spans"))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document: its lines and chunks, how many of them were repeats, and a digest of what is left."""
+    d = lines.line_dedup(read(spark, sf, "documents").select("doc_id", "text"))
+    return d.select("row.doc_id", "n_lines", "n_chunks", "removed_lines", "removed_chunks",
+                    F.length(F.coalesce("new_text", F.lit(""))).cast("bigint").alias("n_chars"),
+                    F.sha2(F.coalesce("new_text", F.lit("")), 256).alias("text_sha256"))
+
+
+ORACLES["op4_line_dedup"] = """WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+hs AS (SELECT *, ('0x' || substr(md5(line), 1, 12))::BIGINT % 1000003 AS h FROM l),
+cu AS (SELECT *, (h + 31 * coalesce(lag(h) OVER w, 0)) % 3 = 0 OR lead(h) OVER w IS NULL AS cut FROM hs
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+nu AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cu),
+ch AS (SELECT doc_id, c, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM nu GROUP BY doc_id, c),
+ra AS (SELECT *, n > 1 AND regexp_matches(t, '[^\\x20\\x09-\\x0D]') AND row_number() OVER (PARTITION BY t, n > 1 ORDER BY doc_id, c) > 1 AS gone FROM ch)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS removed_lines,
+  count(*) FILTER (gone)::BIGINT AS removed_chunks, length(coalesce(string_agg(t, chr(10) ORDER BY c) FILTER (NOT gone), ''))::BIGINT AS n_chars,
+  sha256(coalesce(string_agg(t, chr(10) ORDER BY c) FILTER (NOT gone), '')) AS text_sha256
+FROM ra GROUP BY doc_id"""
