@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import licenses, lines, quality, secret_scans
+from pulsegrid.llm import licenses, lines, quality, secret_scans, sharding
 from pulsegrid.llm.common import read
 
 QUERIES = {}
@@ -63,3 +63,11 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, coalesce
   count(*) FILTER (gone)::BIGINT AS removed_chunks, length(coalesce(string_agg(t, chr(10) ORDER BY c) FILTER (NOT gone), ''))::BIGINT AS n_chars,
   sha256(coalesce(string_agg(t, chr(10) ORDER BY c) FILTER (NOT gone), '')) AS text_sha256
 FROM ra GROUP BY doc_id"""
+
+
+@query
+def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard and slot of every document; counts are even."""
+    s = sharding.shard(read(spark, sf, "documents"))
+    return s.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
