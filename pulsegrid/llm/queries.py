@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import licenses, lines, quality, secret_scans, sharding
-from pulsegrid.llm.common import read
+from pulsegrid.llm import bpe, licenses, lines, packing, quality, secret_scans, sharding
+from pulsegrid.llm.common import read, staged
 
 QUERIES = {}
 ORACLES = {}
@@ -71,3 +72,22 @@ def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     s = sharding.shard(read(spark, sf, "documents"))
     return s.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of tokens of every document, and digests of its ids and of the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    e = bpe.encode(read(spark, sf, "documents"), path)
+    e = e.select(F.struct("id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
+                 .alias("of"), "ids")
+    return bpe.decode(e, path).select(F.col("of.id").alias("doc_id"), "of.n_tokens", "of.ids_sha256",
+                                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of at most 4096 tokens."""
+    cut = staged(packing.pieces(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(cut).select(F.col("id").alias("doc_id"), "start", "length", F.col("crc").alias("ids_crc32"),
+                                    "doc_tokens", "sequence_id", "offset")
