@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, licenses, lines, packing, quality, secret_scans, sharding
+from pulsegrid.llm import bpe, licenses, lines, packing, quality, secret_scans, sharding, simhash
 from pulsegrid.llm.common import read, staged
 
 QUERIES = {}
@@ -91,3 +91,11 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     cut = staged(packing.pieces(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")))
     return packing.pack(cut).select(F.col("id").alias("doc_id"), "start", "length", F.col("crc").alias("ids_crc32"),
                                     "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    d = simhash.near_duplicates(read(spark, sf, "documents"))
+    return d.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                    F.col("component").alias("component_id"))
