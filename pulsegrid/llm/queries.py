@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, licenses, lines, packing, quality, secret_scans, sharding, simhash
+from pulsegrid.llm import bpe, licenses, lines, packing, quality, secret_scans, sharding, simhash, warc
 from pulsegrid.llm.common import read, staged
 
 QUERIES = {}
@@ -99,3 +99,19 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     d = simhash.near_duplicates(read(spark, sf, "documents"))
     return d.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.col("component").alias("component_id"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as its record says that was read back from the archives."""
+    return warc.archive_and_read(read(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS s FROM p),
+b AS (SELECT *, min(page_id) OVER (PARTITION BY s) AS first, array_to_string(list_transform(range(32), lambda i:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(s, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS digest FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM b"""
