@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, licenses, lines, packing, quality, secret_scans, sharding, simhash, warc
+from pulsegrid.llm import bpe, embeddings, licenses, lines, packing, quality, secret_scans, sharding, simhash, warc
 from pulsegrid.llm.common import read, staged
 
 QUERIES = {}
@@ -115,3 +115,11 @@ b AS (SELECT *, min(page_id) OVER (PARTITION BY s) AS first, array_to_string(lis
 SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM b"""
+
+
+@query
+def op1_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and component of every vector; the first of each component is kept."""
+    d = embeddings.near_vectors(read(spark, sf, "embeddings"))
+    return d.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                    (F.col("id") == F.col("component")).alias("kept"))
