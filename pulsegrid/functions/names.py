@@ -112,14 +112,18 @@ PLAIN_NAMES = {
     "DN_TrimmedMean 50": "trimmed mean 50", "DN_TrimmedMean 75": "trimmed mean 75",
     "DN_TrimmedMean 25": "trimmed mean 25",
 }
-KEPT_NAMES = ("DN_cv", "DN_RemovePoints", "DN_CompareKSFit", "EN_CID", "IN_AutoMutualInfo", "Trend", "IsSeasonal?",
-              "Observations")
+KEPT_NAMES = ("DN_cv", "DN_RemovePoints", "DN_CompareKSFit", "Trend", "IsSeasonal?", "Observations")
+# groups of columns with a word of their own in that format
+PLAIN_GROUPS = {"EN_CID ": "Complexity ", "IN_AutoMutualInfo ": "Auto Mutual Info "}
 
 
 def plain_name(name: str) -> str:
     """Name of a published feature in the earlier output format."""
     if name in PLAIN_NAMES or name.startswith(KEPT_NAMES):
         return PLAIN_NAMES.get(name, name)
+    for start, word in PLAIN_GROUPS.items():
+        if name.startswith(start):
+            return word + name.removeprefix(start)
     rest = re.sub(r"^(DN|CO|EN)_", "", name).replace("_", " ")
     return rest.lower() if rest in ("Mean", "Range", "IQR", "Median", "Max", "Min", "Mode") else rest
 

@@ -43,42 +43,55 @@ def first_zero(ds: Column, n: Column) -> Column:
     return F.when((n >= 3) & (hit > 0), hit).otherwise(n)
 
 
-def first_minimum(ds: Column, n: Column) -> Column:
-    """First local minimum of the autocorrelation, else n. ``ds`` must be centred."""
+def _first_rise(value, n: Column, most: Column) -> Column:
+    """First lag whose ``value(k)`` is below both neighbours', or 1 if it rises at once, else n; lags up to ``most``."""
     def step(acc, k):
-        cur = lag_dot(ds, n, k)
+        cur = value(k)
         hit = (acc["a"] > acc["b"]) & (acc["b"] < cur)
         return F.when(acc["found"] > 0, acc).otherwise(F.struct(
             acc["b"].alias("a"), cur.alias("b"),
             F.when(hit, k - 1).otherwise(F.lit(0)).alias("found")))
 
-    start = F.struct(lag_dot(ds, n, F.lit(1)).alias("a"), lag_dot(ds, n, F.lit(2)).alias("b"),
-                     F.lit(0).alias("found"))
-    later = F.aggregate(F.sequence(F.lit(3), n - 2), start, step, lambda acc: acc["found"])
-    rises = lag_dot(ds, n, F.lit(2)) > lag_dot(ds, n, F.lit(1))
-    return (F.when((n >= 4) & rises, F.lit(1))
-            .when((n >= 5) & (later > 0), later).otherwise(n))
+    start = F.struct(value(F.lit(1)).alias("a"), value(F.lit(2)).alias("b"), F.lit(0).alias("found"))
+    later = F.aggregate(F.sequence(F.lit(3), most), start, step, lambda acc: acc["found"])
+    rises = value(F.lit(2)) > value(F.lit(1))
+    return (F.when((n >= 4) & (most >= 2) & rises, F.lit(1))
+            .when((n >= 5) & (most >= 3) & (later > 0), later).otherwise(n))
 
 
-def first_below(ds: Column, n: Column, level: float = 1 / math.e) -> Column:
-    """First lag whose slice-wise Pearson correlation is below ``level``, else n."""
+def first_minimum(ds: Column, n: Column) -> Column:
+    """First local minimum of the autocorrelation, else n. ``ds`` must be centred."""
+    return _first_rise(lambda k: lag_dot(ds, n, k), n, n - 2)
+
+
+def slice_pearson(ds: Column, n: Column, k) -> Column:
+    """Pearson correlation of the values with those ``k`` positions later; NULL without variance."""
     zero = F.struct(*[F.lit(0.0).alias(c) for c in ("a", "b", "aa", "bb", "ab")])
+    return F.aggregate(
+        F.sequence(F.lit(0), n - 1 - k), zero,
+        lambda s, j: F.struct((s["a"] + ds[j]).alias("a"), (s["b"] + ds[j + k]).alias("b"),
+                              (s["aa"] + ds[j] * ds[j]).alias("aa"),
+                              (s["bb"] + ds[j + k] * ds[j + k]).alias("bb"),
+                              (s["ab"] + ds[j] * ds[j + k]).alias("ab")),
+        lambda s: F.try_divide(
+            s["ab"] - s["a"] * s["b"] / (n - k),
+            F.sqrt((s["aa"] - s["a"] * s["a"] / (n - k)) * (s["bb"] - s["b"] * s["b"] / (n - k)))))
+
+
+def first_minimum_of_information(ds: Column, n: Column, delays: int | None = None) -> Column:
+    """First local minimum of the Gaussian mutual information, else n; it grows with the squared correlation."""
+    def squared(k):
+        return F.transform(F.array(slice_pearson(ds, n, k)), lambda r: r * r)[0]
 
-    def gather(k):
-        return F.aggregate(
-            F.sequence(F.lit(0), n - 1 - k), zero,
-            lambda s, j: F.struct((s["a"] + ds[j]).alias("a"), (s["b"] + ds[j + k]).alias("b"),
-                                  (s["aa"] + ds[j] * ds[j]).alias("aa"),
-                                  (s["bb"] + ds[j + k] * ds[j + k]).alias("bb"),
-                                  (s["ab"] + ds[j] * ds[j + k]).alias("ab")),
-            lambda s: F.try_divide(
-                s["ab"] - s["a"] * s["b"] / (n - k),
-                F.sqrt((s["aa"] - s["a"] * s["a"] / (n - k)) * (s["bb"] - s["b"] * s["b"] / (n - k)))))
+    return _first_rise(squared, n, n - 2 if delays is None else F.least(n - 2, F.lit(delays)))
 
+
+def first_below(ds: Column, n: Column, level: float = 1 / math.e) -> Column:
+    """First lag whose slice-wise Pearson correlation is below ``level``, else n."""
     # one point (n - k = 1) has no correlation
     hit = F.aggregate(
         F.sequence(F.lit(1), n - 2), F.lit(0),
-        lambda found, k: F.when(found > 0, found).when(gather(k) < level, k).otherwise(F.lit(0)))
+        lambda found, k: F.when(found > 0, found).when(slice_pearson(ds, n, k) < level, k).otherwise(F.lit(0)))
     return F.when((n >= 3) & (hit > 0), hit).otherwise(n)
 
 

@@ -48,17 +48,10 @@ def first_lags(vec: DataFrame) -> DataFrame:
                       V.first_zero(ds, n).alias("co_firstzero"))
 
 
-def first_minimum_of_information(led: DataFrame, delays: int = 26) -> DataFrame:
-    """First local minimum of the Gaussian mutual information over the delays, else n."""
-    r = led.groupBy(*KEYS).agg(F.count("x").cast("int").alias("n"), *[
-        pearson(F.col("x"), F.col(f"x{k}")).alias(f"r{k}") for k in range(1, delays + 1)])
-    # the information grows with the squared correlation, so minima are found on r * r
-    size = [F.col(f"r{k}") * F.col(f"r{k}") for k in range(1, delays + 1)]
-    found = F.when((size[1] > size[0]) & (F.col("n") >= 4), F.lit(1))
-    for i in range(3, delays + 1):
-        found = found.when((size[i - 3] > size[i - 2]) & (size[i - 2] < size[i - 1])
-                           & (F.lit(i) <= F.col("n") - 2), F.lit(i - 1))
-    return r.select(*KEYS, found.otherwise(F.col("n")).alias("co_firstmin_mi"))
+def first_minimum_of_information(vec: DataFrame, delays: int | None = None) -> DataFrame:
+    """First local minimum of the Gaussian mutual information over all lags 1..n-2 (or up to ``delays``), else n."""
+    ds, n = F.col("ds"), F.col("n")
+    return vec.select(*KEYS, V.first_minimum_of_information(ds, n, delays).alias("co_firstmin_mi"))
 
 
 def lagged_products(vec: DataFrame, powers: range = range(1, 5), tau: Column | None = None) -> DataFrame:

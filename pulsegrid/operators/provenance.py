@@ -8,29 +8,29 @@ from pyspark.sql import functions as F
 from pulsegrid.plans.staging import staged
 
 
-def supports(edges: DataFrame, starts: DataFrame, max_depth: int = 32) -> DataFrame:
-    """``(start, item, depth)``: all items reached from each start along ``(src, dst)``, shortest depth.
+def reach(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """``(item, next, depth)``: all items reached from each item along ``(src, dst)``, shortest depth; cycles end.
 
-    Each round extends only the items found in the round before and keeps those not yet seen, so cycles end.
-    Every round is written to the shared folder, which cuts the plan; nothing but a yes/no on new rows
-    reaches the driver.
+    Each round joins the reached pairs with themselves, which doubles the depth they cover, and is written to the
+    shared folder; the rounds are the logarithm of the longest chain. Both sides of a join are staged tables, so an
+    item that very many others reach is split at run time. Only two sums per round come to the driver.
     """
-    steps = staged(edges.select(F.col("src").alias("item"), F.col("dst").alias("next")).distinct())
+    pairs = staged(edges.select(F.col("src").alias("item"), F.col("dst").alias("next"), F.lit(1).cast("bigint").alias("depth"))
+                   .where("item <> next").distinct())
+    size = lambda df: tuple(df.agg(F.count("*"), F.sum("depth")).first())
+    last, now = None, size(pairs)
+    while last != now:
+        on = pairs.select(F.col("item").alias("from"), F.col("next").alias("to"), F.col("depth").alias("more"))
+        longer = pairs.join(on, pairs["next"] == on["from"]).select("item", F.col("to").alias("next"), (F.col("depth") + F.col("more")).alias("depth"))
+        if max_depth is not None:
+            longer = longer.where(F.col("depth") <= max_depth)
+        pairs = staged(pairs.unionByName(longer.where("item <> next")).groupBy("item", "next").agg(F.min("depth").alias("depth")))
+        last, now = now, size(pairs)
+    return pairs
+
+
+def supports(edges: DataFrame, starts: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """``(start, item, depth)``: all items reached from each start, or those within ``max_depth`` steps if given."""
     first = starts.select("start").distinct()
-    frontier = staged(first.join(steps, first["start"] == steps["item"]).select(
-        "start", F.col("next").alias("item")).where("start <> item"))
-    found = [frontier.withColumn("depth", F.lit(1))]
-    for depth in range(2, max_depth + 1):
-        if frontier.isEmpty():
-            break
-        known = found[0].select("start", "item")
-        for f in found[1:]:
-            known = known.unionByName(f.select("start", "item"))
-        reached = frontier.join(steps, "item").select("start", F.col("next").alias("item")).where(
-            "start <> item").distinct()
-        frontier = staged(reached.join(known, ["start", "item"], "left_anti"))
-        found.append(frontier.withColumn("depth", F.lit(depth)))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+    found = reach(edges, max_depth)
+    return first.join(found, first["start"] == found["item"]).select("start", F.col("next").alias("item"), "depth")

@@ -66,19 +66,31 @@ def binary_stats(o: DataFrame, methods: tuple[str, ...] = METHODS) -> DataFrame:
         for m in methods for c in names])
 
 
-def motifs(led: DataFrame) -> DataFrame:
-    """Frequencies of words of one to four steps (d, u) and their entropies; needs lags 1 to 4."""
-    at = ["x", "x1", "x2", "x3", "x4"]
-    bits = [f"CAST({b} > {a} AS INT)" for a, b in zip(at, at[1:])]
-    words = {}
-    for size in range(1, 5):
-        words[size] = " + ".join(f"{2 ** (size - 1 - k)} * {bits[k]}" for k in range(size))
-    coded = led.selectExpr(*KEYS, *[f"{code} AS c{size}" for size, code in words.items()])
-    names = {size: ["".join(LETTERS[k] for k in p) for p in product((0, 1), repeat=size)] for size in words}
+WORDS = {size: ["".join(LETTERS[k] for k in p) for p in product((0, 1), repeat=size)] for size in range(1, 5)}
+
+
+def _word_counts(coded: DataFrame, how: str) -> DataFrame:
+    """Frequencies of the words coded as ``c1`` to ``c4`` and the entropy of each size."""
     freq = coded.groupBy(*KEYS).agg(*[
         F.expr(f"avg(CAST(c{size} = {code} AS DOUBLE))").alias(word)
-        for size in words for code, word in enumerate(names[size])])
-    prefix = "sb_motiftwo_diff_"
+        for size in WORDS for code, word in enumerate(WORDS[size])])
+    prefix = f"sb_motiftwo_{how}_"
     return freq.select(
-        *KEYS, *[F.col(w).alias(prefix + w) for size in words for w in names[size]],
-        *[F.expr(entropy_of(names[size])).alias(prefix + "h" * size) for size in words])
+        *KEYS, *[F.col(w).alias(prefix + w) for size in WORDS for w in WORDS[size]],
+        *[F.expr(entropy_of(WORDS[size])).alias(prefix + "h" * size) for size in WORDS])
+
+
+def _codes(bits: list[str]) -> list[str]:
+    return [" + ".join(f"{2 ** (size - 1 - k)} * {bits[k]}" for k in range(size)) + f" AS c{size}" for size in WORDS]
+
+
+def motifs(led: DataFrame) -> DataFrame:
+    """Frequencies of words of one to four steps (d, u) and their entropies; needs lags 1 to 4."""
+    at = ["x", "x1", "x2", "x3", "x4"]
+    return _word_counts(led.selectExpr(*KEYS, *_codes([f"CAST({b} > {a} AS INT)" for a, b in zip(at, at[1:])])), "diff")
+
+
+def motifs_of(o: DataFrame, how: str) -> DataFrame:
+    """The same for any way to make 0/1 sequences: words of one to four values, d for 0 and u for 1."""
+    ahead = [F.lead("b", k).over(by("i")).alias(f"b{k}") for k in (1, 2, 3)]
+    return _word_counts(binarize(o, (how,)).select(*KEYS, "b", *ahead).selectExpr(*KEYS, *_codes(["b", "b1", "b2", "b3"])), how)

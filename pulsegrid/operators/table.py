@@ -88,37 +88,42 @@ def _gram_partials(names: list[str]):
         import numpy as np
         import pandas as pd
 
-        total = np.zeros((len(names) + 1, len(names) + 1))
-        for pdf in batches:
-            x = np.column_stack([np.ones(len(pdf)), pdf.to_numpy(dtype="float64")])
-            total += x.T @ x
         d = len(names)
-        if total[0, 0] > 0:
+        total = np.zeros((6, d, d))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype="float64")
+            p = (~np.isnan(x)).astype("float64")
+            x = np.nan_to_num(x)
+            s = x.T @ p
+            q = (x * x).T @ p
+            total += np.stack([p.T @ p, s, s.T, x.T @ x, q, q.T])
+        if total[0].any():
             a, b = np.triu_indices(d)
-            yield pd.DataFrame({"a": a, "b": b, "n": total[0, 0], "sa": total[0, a + 1], "sb": total[0, b + 1],
-                                "ab": total[a + 1, b + 1], "aa": total[a + 1, a + 1], "bb": total[b + 1, b + 1]})
+            yield pd.DataFrame({"a": a, "b": b, **{c: total[i, a, b] for i, c in enumerate(("n", "sa", "sb", "ab", "aa", "bb"))}})
 
     return sums
 
 
 def correlation(df: DataFrame, ids: tuple[str, ...] = ("series", "w"), absolute: bool = True) -> DataFrame:
-    """``(f1, f2, r)``: Pearson correlation of all pairs of feature columns. Rows must be finite.
+    """``(f1, f2, r)``: Pearson correlation of all pairs of feature columns, each over the rows that have both.
 
-    Columns are standardised first. Each task multiplies its own rows into one matrix of the size of the
-    feature list and emits only that; Spark adds the partial sums up.
+    Missing (NULL or NaN) values leave a pair's sums; infinite ones must be gone. Columns are standardised first. Each
+    task multiplies its own rows into matrices of the size of the feature list and emits only those; Spark adds
+    the partial sums up.
     """
     cols = feature_columns(df, ids)
     wide = _whole_table(df, [c for i, name in enumerate(cols) for c in (
-        F.avg(_q(name)).alias(f"m{i}"), F.stddev_pop(_q(name)).alias(f"s{i}"))])
+        F.avg(_present(_q(name).cast("double"))).alias(f"m{i}"), F.stddev_pop(_present(_q(name).cast("double"))).alias(f"s{i}"))])
     z = wide.select(*[
-        F.coalesce(F.try_divide(_q(c) - F.col(f"_s.m{i}"), F.col(f"_s.s{i}")), F.lit(0.0)).alias(f"z{i}")
+        F.try_divide(_present(_q(c).cast("double")) - F.col(f"_s.m{i}"), F.col(f"_s.s{i}")).alias(f"z{i}")
         for i, c in enumerate(cols)])
     partial = z.mapInPandas(_gram_partials(cols),
                             "a int, b int, n double, sa double, sb double, ab double, aa double, bb double")
     s = partial.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "ab", "aa", "bb")])
-    cov = F.col("ab") - F.col("sa") * F.col("sb") / F.col("n")
-    va = F.col("aa") - F.col("sa") * F.col("sa") / F.col("n")
-    vb = F.col("bb") - F.col("sb") * F.col("sb") / F.col("n")
+    share = lambda e: F.try_divide(e, F.col("n"))
+    cov = F.col("ab") - share(F.col("sa") * F.col("sb"))
+    va = F.col("aa") - share(F.col("sa") * F.col("sa"))
+    vb = F.col("bb") - share(F.col("sb") * F.col("sb"))
     r = F.try_divide(cov, F.sqrt(va * vb))
     r = F.abs(r) if absolute else r
     names = F.array(*[F.lit(c) for c in cols])

@@ -104,5 +104,9 @@ def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
 
 
 def correlate(feature_table: DataFrame, ids: tuple[str, ...] = ("series", "w")) -> DataFrame:
-    """The second job: clean a feature table and take the absolute correlation of its columns."""
+    """The second job: clean a feature table and take the absolute correlation of its columns.
+
+    The table is staged first: column statistics and sums read it three times, the job that made it runs once.
+    """
+    feature_table = staged(feature_table)
     return table.correlation(table.clean(feature_table, ids), ids)

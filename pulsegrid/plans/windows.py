@@ -38,7 +38,7 @@ def _chunk_table(chunked: DataFrame) -> DataFrame:
     small = chunked.groupBy("series", "chunk").agg(
         F.min("t").alias("lo"), F.max("t").alias("hi"), F.count("*").alias("rows"),
         F.sum("y").alias("total"), F.count("y").alias("readings"),
-        F.max_by(F.when(seen, F.col("y")), F.when(seen, F.col("t"))).alias("last_y"))
+        F.max_by(F.when(seen, F.col("y")), F.when(seen, F.struct("t", "y"))).alias("last_y"))  # ties as inside a chunk
     whole = Window.partitionBy("series")
     before = whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     return small.select(
@@ -80,6 +80,8 @@ def numbered(points: DataFrame, chunk: float, impute: bool = True) -> DataFrame:
 def carry_forward(points: DataFrame, chunk: float = 86400.0) -> DataFrame:
     """Adds ``yf``: the last reading at or before each point, NULL before the first reading.
 
+    Points of equal time count by value, missing ones first.
+
     Exact for any ``chunk``; it only sets how finely a long series is split.
     """
     chunked = _chunked(points, chunk)

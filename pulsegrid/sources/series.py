@@ -23,7 +23,8 @@ def repair(raw: DataFrame, chunk: float = 86400.0) -> DataFrame:
 
     A value that is present but is not a number takes the last good value before it; an empty one, or NaN,
     stays missing. Rows without a usable time are dropped, since they have no place in a series. Long
-    series are repaired per chunk of time, with the last good value of earlier chunks carried in.
+    series are repaired per chunk of time, with the last good value of earlier chunks carried in. Cells of equal
+    time count by value, bad ones first, so the result depends neither on chunks nor on the order of rows.
     """
     text = F.trim("value")
     blank = F.col("value").isNull() | (text == "") | (F.lower(text) == "nan")
@@ -32,10 +33,10 @@ def repair(raw: DataFrame, chunk: float = 86400.0) -> DataFrame:
     typed = typed.withColumn("chunk", F.floor(F.col("t") / F.lit(float(chunk))))
     good = F.col("v").isNotNull()
     ends = typed.groupBy("series", "chunk").agg(
-        F.max_by(F.when(good, F.col("v")), F.when(good, F.col("t"))).alias("last_v"))
+        F.max_by(F.when(good, F.col("v")), F.when(good, F.struct("t", "v"))).alias("last_v"))
     before = Window.partitionBy("series").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select("series", "chunk", F.last("last_v", ignorenulls=True).over(before).alias("carry"))
-    inside = Window.partitionBy("series", "chunk").orderBy("t").rowsBetween(
+    inside = Window.partitionBy("series", "chunk").orderBy("t", "v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     held = typed.withColumn("held", F.last("v", ignorenulls=True).over(inside)).join(carry, ["series", "chunk"])
     return held.select("series", "t", F.when(F.col("bad"), F.coalesce("held", "carry")).otherwise(
@@ -53,9 +54,9 @@ def read_series_csv(spark: SparkSession, path: str, order: str = "value_time", h
     return raw.select(name.alias("series"), "time", "value")
 
 
-def patient_file(patient: int) -> str:
+def patient_file(patient: int, prefix: str, suffix: str = "_hr.csv") -> str:
     """File name of one patient's heart-rate file: the number is padded to four digits."""
-    return f"UVA{str(patient).zfill(4)}_hr.csv"
+    return f"{prefix}{str(patient).zfill(4)}{suffix}"
 
 
 def points_from(df: DataFrame, series: str, time: str, value: str) -> DataFrame:

@@ -37,7 +37,8 @@ POINTS = {
 }
 POINTS["supplier"] = ("SELECT CAST(l_suppkey AS VARCHAR) AS series, epoch_us(l_shipdate) / 1e6 AS t, "
                       "l_extendedprice AS y FROM lineitem")
-SPANS = {"supplier": (1000 * DAY, 500 * DAY), "user": (20 * DAY, 5 * DAY), "gappy": (20 * DAY, 5 * DAY), "centred": (20 * DAY, 5 * DAY),
+POINTS["tied"] = POINTS["supplier"].replace("l_extendedprice AS y", "CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE l_extendedprice END AS y")
+SPANS = {"supplier": (1000 * DAY, 500 * DAY), "tied": (1000 * DAY, 500 * DAY), "user": (20 * DAY, 5 * DAY), "gappy": (20 * DAY, 5 * DAY), "centred": (20 * DAY, 5 * DAY),
          "scaled": (20 * DAY, 5 * DAY), "type": (2 * DAY, DAY)}
 
 
@@ -221,7 +222,7 @@ fe AS (SELECT series, w, min(CASE WHEN r < exp(-1) THEN k END) AS k FROM sr {G})
 
 
 def first_minimum_mi(kind: str = "user") -> str:
-    ctes = windows(kind) + ", " + SLICES.format(more="AND b.i - a.i <= 26") + f""",
+    ctes = windows(kind) + ", " + SLICES.format(more="") + f""",
 mn AS (SELECT series, w, k, r * r AS f, lag(r * r) OVER q AS f1, lag(r * r, 2) OVER q AS f2 FROM sr
   WINDOW q AS (PARTITION BY series, w ORDER BY k)),
 fm AS (SELECT series, w, min(CASE WHEN k = 2 AND f > f1 AND n >= 4 THEN 1
@@ -406,9 +407,9 @@ al AS (SELECT *, meanstretch1 - meanstretch0 AS meanstretchdiff, stdstretch1 - s
     return simple(e, f"FROM al {G}", ctes)
 
 
-def motifs(kind: str = "user") -> str:
+def motifs(kind: str = "user", how: str = "diff") -> str:
     ctes = windows(kind) + ", " + BITS + """,
-l0 AS (SELECT series, w, i, CASE WHEN b = 1 THEN 'u' ELSE 'd' END AS l FROM bits WHERE method = 'diff'),
+l0 AS (SELECT series, w, i, CASE WHEN b = 1 THEN 'u' ELSE 'd' END AS l FROM bits WHERE method = '""" + how + """'),
 wd AS (SELECT series, w, l AS w1, l || lead(l) OVER q AS w2, l || lead(l) OVER q || lead(l, 2) OVER q AS w3,
   l || lead(l) OVER q || lead(l, 2) OVER q || lead(l, 3) OVER q AS w4 FROM l0
   WINDOW q AS (PARTITION BY series, w ORDER BY i))"""
@@ -417,10 +418,10 @@ wd AS (SELECT series, w, l AS w1, l || lead(l) OVER q AS w2, l || lead(l) OVER q
         for p in product("du", repeat=size):
             word = "".join(p)
             freq[word] = f"count(*) FILTER (WHERE w{size} = '{word}') / count(w{size})"
-            e["sb_motiftwo_diff_" + word] = freq[word]
+            e[f"sb_motiftwo_{how}_" + word] = freq[word]
     for size in range(1, 5):
         terms = [f"coalesce(({freq[''.join(p)]}) * ln(nullif({freq[''.join(p)]}, 0)), 0)" for p in product("du", repeat=size)]
-        e["sb_motiftwo_diff_" + "h" * size] = "-(" + " + ".join(terms) + ")"
+        e[f"sb_motiftwo_{how}_" + "h" * size] = "-(" + " + ".join(terms) + ")"
     return simple(e, f"FROM wd {G}", ctes)
 
 

@@ -42,9 +42,11 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf: str, kind: str = "user") -> DataFrame:
-    if kind == "supplier":
-        return series.points_from(spark.read.parquet(f"{sf}/lineitem.parquet"), "l_suppkey", "l_shipdate",
-                                  "l_extendedprice")
+    if kind in ("supplier", "tied"):  # many lines of a supplier ship on one day
+        items = spark.read.parquet(f"{sf}/lineitem.parquet")
+        if kind == "tied":
+            items = items.withColumn("l_extendedprice", F.when(F.col("l_orderkey") % 17 != 0, F.col("l_extendedprice")))
+        return series.points_from(items, "l_suppkey", "l_shipdate", "l_extendedprice")
     ev = events(spark, sf)
     value = {"gappy": F.when(F.col("event_id") % 17 != 0, F.col("value")), "centred": F.col("value") - 50,
              "scaled": F.col("value") / 50 - 1}.get(kind, F.col("value"))
@@ -96,6 +98,9 @@ def _windows_and_gates() -> None:
     add("window_rows_carried", S.window_rows("gappy"), lambda s, d: win(s, d, "gappy"))
     add("window_positions", S.ordered_rows(), lambda s, d: W.ordered(win(s, d, "gappy")).select("series", "w", "i", "t", "x"))
     add("carry_forward", S.carried(), lambda s, d: W.carry_forward(points(s, d, "gappy"), 3 * DAY), ("series",))
+    for chunk in (30, 3000):  # in days
+        add(f"carry_forward_ties_{chunk}", S.carried("tied"), lambda s, d, chunk=chunk: W.carry_forward(points(s, d, "tied"), chunk * DAY),
+            ("series",))
     add("observation_count", S.observations(), lambda s, d: distribution.observation_count(win(s, d, "gappy")))
     always = {"dn_mean": ("mu", True), "dn_std": ("sd", True), "dn_median": ("med", True)}
     late = {"dn_quantile_90": ("q90", False), "dn_cv_1": ("sd / nullif(mu, 0)", False)}
@@ -159,7 +164,7 @@ def _distribution() -> None:
         on_rows(f"dn_removepoints_{how}", S.remove_points(how, p, "dn_removepoints_", kind="centred"),
                 lambda r, how=how, p=p: D.remove_points(r, how, p), "centred")
     for how in ("abs", "p", "n"):
-        on_ordered(f"dn_outlierinclude_{how}", S.outliers(how, 0.25), lambda o, how=how: D.outlier_thresholds(o, how, 0.25))
+        on_ordered(f"dn_outlierinclude_{how}", S.outliers(how, 0.01), lambda o, how=how: D.outlier_thresholds(o, how))
 
 
 def _dependence() -> None:
@@ -175,7 +180,7 @@ def _dependence() -> None:
     on_leads("sub_acf", S.autocorrelation(range(1, 9)), lambda l: C.autocorrelation(l, range(1, 9)), range(1, 9))
     for name in ("co_firstzero", "co_firstmin", "co_f1ecac"):
         on_vectors(name, S.first_lags([name]), lambda v, name=name: C.first_lags(v).select("series", "w", name))
-    on_leads("co_firstmin_mi", S.first_minimum_mi(), C.first_minimum_of_information, range(1, 27))
+    on_vectors("co_firstmin_mi", S.first_minimum_mi(), C.first_minimum_of_information)
     glscf = [f"co_glscf_{a}_{b}" for a in range(1, 5) for b in range(1, 5)]
     on_vectors("co_glscf", S.lagged_products(glscf), lambda v: C.lagged_products(v).select("series", "w", *glscf))
     both = ["co_tc3", "co_trev"]
@@ -210,6 +215,8 @@ def _entropy() -> None:
     on_ordered("bf_binarize", S.binarized(), lambda o: symbolic.binarize(o).drop("n"), keys=("series", "w", "method"))
     on_ordered("sb_binarystats", S.binary_stats(), symbolic.binary_stats)
     on_series_leads("sb_motiftwo", S.motifs("type"), symbolic.motifs, range(1, 5))
+    for how in ("mean", "median", "iqr"):
+        on_ordered(f"sb_motiftwo_{how}", S.motifs(how=how), lambda o, how=how: symbolic.motifs_of(o, how))
 
 
 def _trend() -> None:
@@ -260,6 +267,11 @@ def _table() -> None:
         lambda s, d: table.keep_finite(small_table(s, d).drop("isseasonal")))
     add("table_correlation", S.correlations(cols, "TRUE"), lambda s, d: table.correlation(
         small_table(s, d).select("series", "w", *cols)), ("f1", "f2"))
+    holes = {c: 2 + i for i, c in enumerate(cols)}  # every column lacks other windows
+    with_holes = ", ".join(f"CASE WHEN w % {k} <> 1 THEN {c} END AS {c}" for c, k in holes.items())
+    add("table_correlation_nulls", S.correlations(cols, "TRUE", "fh").replace(", lg AS (", f", fh AS (SELECT series, w, {with_holes} FROM ft), lg AS (", 1),
+        lambda s, d: table.correlation(small_table(s, d).select("series", "w", *[
+            F.when(F.col("w") % k != 1, F.col(c)).alias(c) for c, k in holes.items()])), ("f1", "f2"))
     norm = ", ".join(f"({c} - avg({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0) AS {c}" for c in cols + ["dead"])
     add("table_normalise", S.table_query(["time", *cols, "dead"], f"SELECT series, w, time, {norm} FROM ft"),
         lambda s, d: table.normalise(small_table(s, d).drop("ratio", "isseasonal")))
@@ -330,8 +342,8 @@ def _sources() -> None:
 
     csv_job("csv_series", lambda: F.col("event_type"), "value_time", r"file=([^/]+)/",
             "SELECT event_type AS series, epoch_us(ts) / 1e6 AS t, value AS y FROM events")
-    patient = lambda: F.concat(F.lit("UVA"), F.lpad((F.col("user_id") % 25).cast("string"), 4, "0"))
-    csv_job("csv_patient_files", patient, "time_value", r"UVA(\d{4})",
+    patient = lambda: F.concat(F.lit("P"), F.lpad((F.col("user_id") % 25).cast("string"), 4, "0"))
+    csv_job("csv_patient_files", patient, "time_value", r"file=P(\d{4})",
             "SELECT lpad(CAST(user_id % 25 AS VARCHAR), 4, '0') AS series, epoch_us(ts) / 1e6 AS t, value AS y FROM events")
 
     def damaged(s, d):
@@ -349,6 +361,21 @@ ty AS (SELECT series, t, v, try_cast(v AS DOUBLE) AS n, last_value(try_cast(v AS
 res AS (SELECT series, t, CASE WHEN v IS NOT NULL AND n IS NULL THEN held ELSE n END AS y FROM ty)
 SELECT series, {S.stable('t')} AS t, {S.stable('y')} AS y FROM res""", damaged, ("series",))
 
+    def damaged_ties(s, d):
+        items = s.read.parquet(f"{d}/lineitem.parquet")
+        text = F.when(F.col("l_orderkey") % 29 == 0, "bad cell").when(F.col("l_orderkey") % 17 == 0, F.lit(None)).otherwise(
+            F.col("l_extendedprice").cast("string"))
+        raw = items.select(F.col("l_suppkey").cast("string").alias("series"), text.alias("value"),
+                           (F.unix_micros(F.col("l_shipdate").cast("timestamp")) / 1e6).cast("string").alias("time"))
+        return series.repair(raw, 30 * DAY)
+
+    add("bad_cell_repair_ties", f"""WITH tx AS (SELECT CAST(l_suppkey AS VARCHAR) AS series, epoch_us(l_shipdate) / 1e6 AS t,
+  CASE WHEN l_orderkey % 29 = 0 THEN 'bad cell' WHEN l_orderkey % 17 = 0 THEN NULL ELSE CAST(l_extendedprice AS VARCHAR) END AS v FROM lineitem),
+ty AS (SELECT series, t, v, try_cast(v AS DOUBLE) AS n, last_value(try_cast(v AS DOUBLE) IGNORE NULLS) OVER (
+  PARTITION BY series ORDER BY t, try_cast(v AS DOUBLE) NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held FROM tx),
+res AS (SELECT series, t, CASE WHEN v IS NOT NULL AND n IS NULL THEN held ELSE n END AS y FROM ty)
+SELECT series, {S.stable('t')} AS t, {S.stable('y')} AS y FROM res""", damaged_ties, ("series",))
+
     def sink(s, d):
         path = shared_folder(s)
         series.write_features(small_table(s, d).drop("isseasonal"), path, partition_by=["series"])

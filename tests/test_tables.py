@@ -63,7 +63,7 @@ def test_sink_reads_back(spark, small, tmp_path, fmt):
 def test_csv_sources_and_repair(spark, tmp_path):
     (tmp_path / "UVA0007_hr.csv").write_text("time,value\n1,60\n2,x\n3,\n4,NaN\n5,65\n")
     (tmp_path / "UVA0123_hr.csv").write_text("time,value\n1,bad\n2,70\n")
-    assert series.patient_file(7) == "UVA0007_hr.csv"
+    assert series.patient_file(7, "P") == "P0007_hr.csv"
     raw = series.read_series_csv(spark, str(tmp_path / "UVA*_hr.csv"), "time_value", True, r"UVA(\d{4})")
     got = {(r.series, r.t): r.y for r in series.repair(raw, 2.0).collect()}
     assert got == {("0007", 1): 60, ("0007", 2): 60, ("0007", 3): None, ("0007", 4): None, ("0007", 5): 65,
@@ -81,6 +81,7 @@ def test_feature_csv_drops_text_columns(spark, tmp_path):
 def test_names():
     assert len(N.published_names()) == 328
     assert N.slug("EX_MovingThreshold_a0.25_b0.05 meanq") == "ex_movingthreshold_a0_25_b0_05_meanq"
+    assert N.plain_name("EN_CID CE1") == "Complexity CE1" and N.plain_name("IN_AutoMutualInfo Auto Mutual 1") == "Auto Mutual Info Auto Mutual 1"
     assert N.plain_name("DN_Quantile_50") == "Quantile 50" and N.plain_name("DN_Mean") == "mean"
     assert sorted(c for g in N.GROUP_PREFIXES for c in N.group_columns(g)) == sorted(
         N.slug(n) for n in N.published_names()[1:])
@@ -102,3 +103,9 @@ def test_closure_ends_on_cycles(spark):
     got = sorted(tuple(r) for r in provenance.supports(edges, starts).collect())
     assert got == [("a", "b", 1), ("a", "c", 2), ("a", "d", 3), ("x", "y", 1)]
     assert provenance.supports(edges, starts, max_depth=1).count() == 2
+
+
+def test_closure_follows_long_chains(spark):
+    edges = spark.createDataFrame([(f"{i}", f"{i + 1}") for i in range(40)], "src string, dst string")
+    got = provenance.supports(edges, spark.createDataFrame([("0",)], "start string")).collect()
+    assert sorted(r.depth for r in got) == list(range(1, 41))
