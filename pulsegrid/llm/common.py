@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.plans.staging import staged
+from pulsegrid.plans.staging import shared_folder, staged
 
 #: Rows of a table that may be sent to every executor; a larger one is shuffled.
 BROADCAST_ROWS = 10_000
@@ -14,7 +16,7 @@ BROADCAST_ROWS = 10_000
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
-__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "packed", "read", "row_key", "small", "staged", "text_of"]
+__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bucketed", "packed", "read", "row_key", "small", "staged", "text_of"]
 
 
 def read(spark, sf_dir: str, table: str) -> DataFrame:
@@ -39,3 +41,11 @@ def row_key(identifier: Column, text: Column) -> Column:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a staged table for broadcasting if it has been counted to have at most ``rows`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """The frame as a staged table in buckets of ``key``: it meets other tables by that key without being shuffled again."""
+    spark = df.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"pulsegrid_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.bucketBy(n, key).option("path", shared_folder(spark)).saveAsTable(name)
+    return spark.table(name)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import packed, row_key, staged, text_of
+from pulsegrid.llm.common import bucketed, packed, staged, text_of
 
 #: Mean lines per chunk and lines under the rolling hash.
 DIVISOR, WINDOW = 3, 2
 
-CHUNK = "array<struct<i:int,n_lines:int,text:string>>"
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def line_number(line: Column) -> Column:
@@ -18,8 +18,9 @@ def line_number(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 12), 16, 10).cast("bigint")
 
 
-def _chunks(lines: Column, divisor: int, window: int) -> Column:
-    """Cuts behind a line where the hash rolling over it and the lines before it is a multiple of ``divisor``.
+def _ends(lines: Column, divisor: int, window: int) -> Column:
+    """Last line of each chunk. A cut comes behind a line where the hash rolling over it and the lines before it is a
+    multiple of ``divisor``.
 
     The hash depends on the last ``window`` lines only, so an inserted line moves no cut further down.
     """
@@ -29,42 +30,53 @@ def _chunks(lines: Column, divisor: int, window: int) -> Column:
                                h[i] % 1_000_003)
         return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolled(i) % divisor == 0))
 
-    def pieces(ends: Column) -> Column:
-        begin = lambda k: F.when(k == 0, 0).otherwise(ends[F.greatest(k - 1, F.lit(0))] + 1)
-        return F.transform(ends, lambda e, k: F.struct(
-            k.alias("i"), (e - begin(k) + 1).cast("int").alias("n_lines"),
-            F.array_join(F.slice(lines, begin(k) + 1, e - begin(k) + 1), "\n").alias("text")))
+    return F.transform(F.array(F.transform(lines, line_number)), cut_at)[0]
 
-    hashes = F.transform(lines, line_number)
-    return F.transform(F.transform(F.array(hashes), cut_at), pieces)[0].cast(CHUNK)
+
+def _begin(ends: Column, k: Column) -> Column:
+    return F.when(k == 0, 0).otherwise(F.coalesce(F.get(ends, k - 1), F.lit(-1)) + 1)
+
+
+def _chunk_text(lines: Column, ends: Column, k: Column) -> Column:
+    return F.array_join(F.slice(lines, _begin(ends, k) + 1, F.get(ends, k) - _begin(ends, k) + 1), "\n")
 
 
 def chunked(docs: DataFrame, text: str = "text", identifier: str = "doc_id", divisor: int = DIVISOR,
             window: int = WINDOW) -> DataFrame:
-    """``row`` (all columns), ``id`` and ``h`` (the document's key) and its ``chunks`` in order."""
+    """``row`` (all columns), ``key`` of the document, ``ends`` of its chunks, and their ``hashes``.
+
+    The hash is NULL for a chunk of one line or without a word. The table is in buckets of the key.
+    """
     t = packed(docs, t=text_of(docs, text))
-    return t.select("row", row_key(F.col("row")[identifier], F.col("t")).alias("key"),
-                    _chunks(F.split("t", "\n"), divisor, window).alias("chunks")).select(
-        "row", F.col("key.id").alias("id"), F.col("key.h").alias("h"), "chunks")
+    t = t.select("row", F.xxhash64(F.col("row")[identifier], "t").alias("key"), F.split("t", "\n").alias("lines"))
+    t = t.select("*", _ends(F.col("lines"), divisor, window).alias("ends"))
+
+    def hashed(e: Column, k: Column) -> Column:
+        chunk = _chunk_text(F.col("lines"), F.col("ends"), k)
+        return F.when((e > _begin(F.col("ends"), k)) & chunk.rlike(WORD), F.xxhash64(chunk))
 
+    return bucketed(t.select("row", "key", "ends", F.transform("ends", hashed).alias("hashes")), "key")
 
-def repeated_chunks(c: DataFrame) -> DataFrame:
-    """(id, h, i) of multi-line chunks with a word that also stand earlier: in a smaller id, or further up.
 
-    Only hashes travel first. Chunks whose hash occurs twice are then grouped by their text itself, which compares
-    bytes; equal hashes of different texts are told apart there.
+def repeated_chunks(c: DataFrame, text: str, identifier: str) -> DataFrame:
+    """(key, i) of the chunks that also stand earlier: in a smaller id, or further up.
+
+    Hashes travel first, without text. Chunks whose hash occurs twice are then grouped by their text itself, which
+    compares bytes; equal hashes of different texts are told apart there.
     """
-    each = c.select("id", "h", F.explode("chunks").alias("c")).where(
-        (F.col("c.n_lines") > 1) & F.col("c.text").rlike(r"[^\x20\x09-\x0D]"))
-    each = each.select("id", "h", F.col("c.i").alias("i"), F.col("c.text").alias("text"), F.xxhash64("c.text").alias("ch"))
+    each = c.select("key", F.posexplode("hashes").alias("i", "ch")).where("ch is not null")
     twice = staged(each.groupBy("ch").agg(F.count("*").alias("n")).where("n > 1").select(F.col("ch").alias("twice")))
-    found = staged(each.join(twice, each.ch == twice.twice, "left_semi"))
-    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "h", "i")
+    some = each.join(twice, each.ch == twice.twice, "left_semi").distinct()
+    some = staged(some.groupBy(F.col("key").alias("s_key")).agg(F.collect_list(F.struct("i", "ch")).alias("some")))
+    found = c.join(some, F.col("key") == F.col("s_key")).select(
+        F.col("row")[identifier].alias("id"), "key", F.split(F.col("row")[text].cast("string"), "\n").alias("lines"), "ends",
+        F.explode("some").alias("s"))
+    found = staged(found.select("id", "key", "s.i", "s.ch", _chunk_text(F.col("lines"), F.col("ends"), F.col("s.i")).alias("text")))
+    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "key", "i")
     first = staged(found.groupBy("ch", "text").agg(F.min(place).alias("place")).select(
         F.col("ch").alias("f_ch"), F.col("text").alias("f_text"), "place"))
     again = found.join(first, (found.ch == first.f_ch) & (found.text == first.f_text))
-    return again.where(~(F.col("id").eqNullSafe(F.col("place.id")) & (F.col("h") == F.col("place.h"))
-                         & (F.col("i") == F.col("place.i")))).select("id", "h", "i")
+    return again.where((F.col("key") != F.col("place.key")) | (F.col("i") != F.col("place.i"))).select("key", "i").distinct()
 
 
 def line_dedup(docs: DataFrame, text: str = "text", identifier: str = "doc_id", divisor: int = DIVISOR,
@@ -75,21 +87,23 @@ def line_dedup(docs: DataFrame, text: str = "text", identifier: str = "doc_id",
     stays, and there the first; the others go with their lines. NULL ids come before all others. Rows that repeat id
     and text are one document: they get equal results and don't count as copies of each other. NULL and empty text
     has one empty line; NULL stays NULL. A text of which nothing is left becomes empty; no row is dropped.
+
+    The texts are shuffled once, into buckets by document; places and decisions then come to them.
     """
     c = chunked(docs, text, identifier, divisor, window)
-    gone = repeated_chunks(c).distinct().groupBy(F.col("id").alias("g_id"), F.col("h").alias("g_h")).agg(
+    gone = repeated_chunks(c, text, identifier).groupBy(F.col("key").alias("g_key")).agg(
         F.collect_set("i").alias("gone"))  # at most the chunks of one document
-    lines = lambda a: F.aggregate(a, F.lit(0), lambda acc, x: acc + x["n_lines"]).cast("bigint")
-    counted = c.select("row", "id", "h", lines(F.col("chunks")).alias("n_lines"), F.size("chunks").cast("bigint").alias("n_chunks"))
-    j = counted.join(gone, counted.id.eqNullSafe(gone.g_id) & (counted.h == gone.g_h), "left")
-    again = F.when(F.col("gone").isNull(), F.array().cast(CHUNK)).otherwise(  # only the text itself went through the join
-        _chunks(F.split(F.col("row")[text].cast("string"), "\n"), divisor, window))
-    j = j.select("row", "gone", "n_lines", "n_chunks", again.alias("chunks"))
-    hit = lambda x: F.array_contains("gone", x["i"])
-    dropped = F.filter("chunks", hit)
-    left = F.array_join(F.transform(F.filter("chunks", lambda x: ~hit(x)), lambda x: x["text"]), "\n")
-    return j.select("row", F.when(F.col("gone").isNull(), F.col("row")[text]).otherwise(left).alias("new_text"), "n_lines",
-                    "n_chunks", lines(dropped).alias("removed_lines"), F.size(dropped).cast("bigint").alias("removed_chunks"))
+    j = c.join(gone, F.col("key") == F.col("g_key"), "left").select(
+        "row", "gone", "ends", F.split(F.col("row")[text].cast("string"), "\n").alias("lines"))
+    ends, chosen = F.col("ends"), F.sequence(F.lit(0), F.size("ends") - 1)
+    stays = F.filter(chosen, lambda k: ~F.array_contains("gone", k))
+    left = F.array_join(F.transform(stays, lambda k: _chunk_text(F.col("lines"), ends, k)), "\n")
+    removed = F.aggregate("gone", F.lit(0), lambda acc, k: acc + F.get(ends, k) - _begin(ends, k) + 1)
+    none = F.col("gone").isNull()
+    return j.select("row", F.when(none, F.col("row")[text]).otherwise(left).alias("new_text"),
+                    (F.element_at("ends", -1) + 1).cast("bigint").alias("n_lines"), F.size("ends").cast("bigint").alias("n_chunks"),
+                    F.when(none, 0).otherwise(removed).cast("bigint").alias("removed_lines"),
+                    F.when(none, 0).otherwise(F.size("gone")).cast("bigint").alias("removed_chunks"))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame:
