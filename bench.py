@@ -13,7 +13,7 @@ from suite.queries import PLAIN
 HEADLINE = ["window_rows_by_type", "carry_forward", "dn_quantile", "dn_moments", "en_shannonen", "dn_removepoints_absfar",
             "co_autocorr", "co_firstzero", "co_glscf", "en_apen", "en_sampen", "sb_binarystats", "sb_motiftwo", "sy_trend",
             "sc_dfa", "ex_movingthreshold", "dn_compareksfit_norm", "table_correlation", "feature_table_distribution",
-            "provenance_closure"]
+            "feature_table", "feature_job_then_correlation", "provenance_closure"]
 
 
 def main() -> None:

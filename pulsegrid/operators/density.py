@@ -1,7 +1,7 @@
 """Kernel density and periodogram features.
 
 Spark groups the points into windows and computes all features; two short numpy helpers supply, per
-Arrow batch of windows, the density on a grid and the power at the Fourier frequencies.
+Arrow batch of windows, the density on a grid and the best fit of a sine.
 """
 
 from __future__ import annotations
@@ -35,13 +35,44 @@ def _density_udf(points: int):
     return F.pandas_udf(density, "array<double>")
 
 
-def _power_udf():
-    def power(xs: pd.Series) -> pd.Series:
+def best_sine(d, finer: int = 4):
+    """Largest share of the variance of centred values that a sine with a constant explains (least squares).
+
+    Frequencies from one to n / 2 cycles in the window, ``finer`` times as close as whole cycles. A padded FFT gives the
+    sums with the values; sums of sines alone have closed forms.
+    """
+    import numpy as np
+
+    n = len(d)
+    size = finer * n
+    j = np.arange(finer, size // 2 + 1)
+    if not len(j):
+        return None
+    theta = 2 * np.pi * j / size
+    spectrum = np.fft.rfft(d, size)[j]
+
+    def sums(angle):  # of cos and sin of angle * i for i below n
+        low = np.sin(angle / 2)
+        flat = np.abs(low) < 1e-9
+        ratio = np.where(flat, 0.0, np.sin(n * angle / 2) / np.where(flat, 1.0, low))
+        return np.where(flat, float(n), ratio * np.cos((n - 1) * angle / 2)), ratio * np.sin((n - 1) * angle / 2)
+
+    (c, s), (c2, s2) = sums(theta), sums(2 * theta)
+    cc, ss, cs = (n + c2) / 2 - c * c / n, (n - c2) / 2 - s * s / n, s2 / 2 - c * s / n
+    xc, xs = spectrum.real, -spectrum.imag
+    det = cc * ss - cs * cs
+    one = det < 1e-6 * n * n  # at n / 2 cycles there is no sine part
+    both = (xc * xc * ss - 2 * xc * xs * cs + xs * xs * cc) / np.where(one, 1.0, det)
+    return float(np.max(np.where(one, xc * xc / np.maximum(cc, 1e-9), both)) / np.dot(d, d))
+
+
+def _best_sine_udf():
+    def best(xs: pd.Series) -> pd.Series:
         import numpy as np
 
-        return pd.Series([np.abs(np.fft.rfft(np.asarray(x, dtype="float64")))[1:] ** 2 for x in xs])
+        return pd.Series([best_sine(np.asarray(x, dtype="float64")) for x in xs], dtype="float64")
 
-    return F.pandas_udf(power, "array<double>")
+    return F.pandas_udf(best, "double")
 
 
 def kernel_density(vec: DataFrame, points: int, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -162,16 +193,14 @@ def kernel_shape(vec: DataFrame, numcross: tuple[float, ...] = (), area: tuple[f
 
 
 def seasonal(vec: DataFrame, level: float = 0.3) -> DataFrame:
-    """Whether one sine at a Fourier frequency explains more than ``level`` of the variance.
+    """Whether one sine explains more than ``level`` of the variance.
 
-    A global search over the frequencies; it does not depend on starting values.
+    A global search over frequencies a quarter of a cycle apart, so a cycle need not fit the window a whole number of
+    times, and nothing depends on starting values.
     """
-    spectrum = vec.where("n > 1 and sd > 0").select(
-        *KEYS, "n", "sd", _power_udf()("ds").alias("p"))
-    n, sst = F.col("n"), F.col("n") * F.col("sd") * F.col("sd")
-    # the highest frequency of an even length has no sine part and counts once
-    r2 = F.array_max(F.transform("p", lambda v, k: F.when(2 * (k + 1) == n, v).otherwise(2 * v))) / (n * sst)
-    return spectrum.select(*KEYS, r2.alias("seasonal_r2"), (r2 > level).alias("isseasonal"))
+    r2 = F.col("seasonal_r2")
+    return vec.where("n > 1 and sd > 0").select(*KEYS, _best_sine_udf()("ds").alias("seasonal_r2")).select(
+        *KEYS, r2, (r2 > level).alias("isseasonal"))
 
 
 __all__ = ["compare_fit", "kernel_density", "kernel_shape", "log_gamma", "seasonal"]

@@ -63,10 +63,16 @@ def _order_statistics(rows: DataFrame, wanted: dict[str, tuple[float, Column]],
     upto_x = F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     at = F.col("at")
     lower, upper = F.floor(at), F.ceil(at)
-    return counted.withColumn("upto", upto_x).groupBy(*keys, "q").agg(
+    count_of = lambda s: F.coalesce(F.sum(F.when(F.col("side") == s, F.col("c"))), F.lit(0))
+    held = counted.withColumn("upto", upto_x).groupBy(*keys, "q").agg(
+        # of the values outside only the two next to the bracket are known
+        ((F.max(lower) >= count_of(0) - 1) & (F.max(upper) <= count_of(0) + count_of(1))).alias("held"),
         F.max(at - lower).alias("f"),
         F.min(F.when(F.col("upto") > lower, F.col("x"))).alias("x0"),
         F.min(F.when(F.col("upto") > upper, F.col("x"))).alias("x1"))
+    checked = F.when(F.col("held"), F.col("x0")).otherwise(F.raise_error(F.lit(
+        "the sketch does not bracket the rank: raise accuracy")).cast("double"))
+    return held.select(*keys, "q", "f", checked.alias("x0"), "x1")
 
 
 def large_quantiles(rows: DataFrame, probs: dict[str, float], keys: list[str] = KEYS,

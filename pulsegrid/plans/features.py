@@ -61,14 +61,14 @@ def selected(select: list[str] | None) -> list[str]:
 
 def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
              groups: tuple[str, ...] | list[str] = GROUPS, select: list[str] | None = None,
-             impute: bool = True, published: bool = False, stage: bool = False, large: bool = False) -> DataFrame:
+             impute: bool = True, published: bool = False, stage: bool = True, large: bool = False) -> DataFrame:
     """One row per window: ``series, w, time, observations`` and the chosen features.
 
     A window with at most one point has only its time; with at most ten readings only time and count; a
     constant one stops after the standard deviation. ``groups`` chooses what is computed, ``select`` keeps
     the columns of the named operators or features (groups without any of them are not built). Gates never depend on the choice.
 
-    ``stage`` writes the windows once to the shared folder and computes every group from there. ``large`` is for
+    ``stage`` (the default) writes the windows once to the shared folder and computes every group from there. ``large`` is for
     crowded windows: quantiles are bracketed by sketches and lag operators look ahead in the series.
     """
     wanted = selected(select)

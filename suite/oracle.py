@@ -549,10 +549,13 @@ ks AS (SELECT *, f - lag(f) OVER q AS d1, lead(f) OVER q - f AS d2, lead(f) OVER
 
 def seasonal(kind: str = "user") -> str:
     ctes = windows(kind) + f""",
-fq AS (SELECT o.series, o.w, j, max(n) AS n, max(sd) AS sd, sum((x - mu) * cos(2 * pi() * j * i / n)) AS c,
-  sum((x - mu) * sin(2 * pi() * j * i / n)) AS s FROM o JOIN st USING (series, w),
-  (SELECT unnest(range(1, (SELECT max(n) // 2 + 1 FROM st))) AS j) WHERE j <= n // 2 GROUP BY o.series, o.w, j),
-pw AS (SELECT series, w, max(CASE WHEN 2 * j = n THEN 1 ELSE 2 END * (c * c + s * s) / (n * n * sd * sd)) AS r2 FROM fq {G})"""
+fq AS (SELECT o.series, o.w, j, max(n) AS n, max(sd) AS sd, var_pop(cos(pi() * j * i / (2 * n))) * max(n) AS cc, var_pop(sin(pi() * j * i / (2 * n))) * max(n) AS ss,
+  covar_pop(cos(pi() * j * i / (2 * n)), sin(pi() * j * i / (2 * n))) * max(n) AS cs,
+  sum((x - mu) * cos(pi() * j * i / (2 * n))) AS xc, sum((x - mu) * sin(pi() * j * i / (2 * n))) AS xs
+  FROM o JOIN st USING (series, w), (SELECT unnest(range(4, (SELECT 2 * max(n) + 1 FROM st))) AS j)
+  WHERE j <= 2 * n GROUP BY o.series, o.w, j),
+pw AS (SELECT series, w, max(CASE WHEN cc * ss - cs * cs < 1e-6 * n * n THEN xc * xc / greatest(cc, 1e-9)
+  ELSE (xc * xc * ss - 2 * xc * xs * cs + xs * xs * cc) / (cc * ss - cs * cs) END / (n * sd * sd)) AS r2 FROM fq WHERE sd > 0 {G})"""
     return (f"WITH RECURSIVE {ctes} SELECT series, w, {stable('r2')} AS seasonal_r2, r2 > 0.3 AS isseasonal FROM pw")
 
 

@@ -232,6 +232,7 @@ def _trend() -> None:
     on_ordered("dfa_power_sizes", S.dfa("dfa", f"t IN ({', '.join(map(str, sizes))})", "supplier"),
                lambda o: T.detrended_fluctuation(o, sizes, "dfa", F.log2), "supplier")
     on_vectors("dt_isseasonal", S.seasonal(), density.seasonal)
+    on_vectors("dt_isseasonal_by_type", S.seasonal("type"), density.seasonal, "type")
     for dist in ("norm", "uni", "beta"):
         on_vectors(f"dn_compareksfit_{dist}", S.compare_fit(dist), lambda v, dist=dist: density.compare_fit(v, dist))
     on_vectors("dn_fitkernalsmooth", S.kernel_shape(), lambda v: density.kernel_shape(v, (0.005,), (0.005,), (20.0,)))

@@ -330,14 +330,20 @@ def test_density(frames):
 
     def season(y):
         i, best = np.arange(len(y)), 0
-        for j in range(1, len(y) // 2 + 1):
-            a = np.column_stack([np.cos(2 * np.pi * j * i / len(y)), np.sin(2 * np.pi * j * i / len(y)), np.ones(len(y))])
-            r = y - a @ np.linalg.lstsq(a, y, rcond=None)[0]
+        for j in range(4, 2 * len(y) + 1):  # quarters of a cycle
+            a = np.column_stack([np.cos(.5 * np.pi * j * i / len(y)), np.sin(.5 * np.pi * j * i / len(y)), np.ones(len(y))])
+            r = y - a @ np.linalg.lstsq(a, y, rcond=1e-6)[0]
             best = max(best, 1 - np.sum(r ** 2) / np.sum((y - y.mean()) ** 2))
         return {"seasonal_r2": best, "isseasonal": bool(best > .3)}
     check(density.seasonal(frames["vec"]), season, 1e-6)
 
 
+def test_half_cycles_are_found():
+    i = np.arange(64)
+    y = np.sin(2 * np.pi * 5.5 * i / 64) + .7 * np.random.default_rng(1).normal(size=64)
+    assert density.best_sine(y - y.mean()) > .4
+
+
 def test_log_gamma(spark):
     xs = [0.01, 0.5, 1.0, 2.5, 30.0, 400.0]
     got = spark.createDataFrame([(x,) for x in xs], "x double").select(density.log_gamma(F.col("x"))).collect()

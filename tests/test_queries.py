@@ -1,9 +1,5 @@
-"""Registered queries against their SQL in DuckDB, and the shape of their plans.
+"""Every registered query against its SQL in DuckDB, and the shape of plans."""
 
-Queries that only pick other columns of the same builder run when ALL_QUERIES is set; ``suite.check`` runs all.
-"""
-
-import os
 import re
 
 import pytest
@@ -14,14 +10,6 @@ from suite.check import differences, duck
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = Q.QUERIES, Q.ORACLES
-SAME_BUILDER = {"dn_mean", "dn_range", "dn_iqr", "dn_median", "dn_minmax", "dn_burstiness", "dn_std", "dn_cumulants",
-                "dn_nlogl_norm", "dn_cv", "dn_withinp", "dn_highlowmu", "dn_spread", "dn_mode", "dn_unique",
-                "dn_removepoints_min", "dn_removepoints_max", "dn_outlierinclude_p", "co_firstzero", "co_firstmin",
-                "co_tc3_trev", "sub_acf", "co_autocorr_filled", "en_mse_scales", "table_drop_columns",
-                "table_drop_dead_column", "window_spine_by_type", "window_rows_by_type", "feature_table"}
-CHECKED = [n for n in QUERIES if n not in SAME_BUILDER or os.environ.get("ALL_QUERIES")]
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
@@ -31,7 +19,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", CHECKED)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()) == ""
 

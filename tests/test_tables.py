@@ -109,3 +109,17 @@ def test_closure_follows_long_chains(spark):
     edges = spark.createDataFrame([(f"{i}", f"{i + 1}") for i in range(40)], "src string, dst string")
     got = provenance.supports(edges, spark.createDataFrame([("0",)], "start string")).collect()
     assert sorted(r.depth for r in got) == list(range(1, 41))
+
+
+def test_stages_go_where_asked_and_can_be_cleared(spark, tmp_path):
+    from pulsegrid.plans import staging
+
+    df = staging.staged(spark.range(5), str(tmp_path))
+    assert df.count() == 5 and df.inputFiles()[0].startswith(f"file:{tmp_path}") or df.inputFiles()[0].startswith(f"file://{tmp_path}")
+    assert staging.clear_stages(spark, str(tmp_path)) and not list(tmp_path.iterdir())[0:1] == [None]
+
+
+def test_correlation_leaves_out_missing_pairs(spark):
+    rows = [("s", i, float(i), float(i) if i % 2 else None, float(i % 3)) for i in range(40)]
+    got = {(r.f1, r.f2): r.r for r in table.correlation(spark.createDataFrame(rows, "series string, w int, a double, b double, c double")).collect()}
+    assert abs(got["a", "b"] - 1) < 1e-12 and abs(got["b", "b"] - 1) < 1e-12
