@@ -19,17 +19,17 @@ from pulsegrid.functions.expr import KEYS, by, per, upto
 CELL_MARGIN = 1.0 + 1e-9
 
 
-def _tolerant(o: DataFrame, keys: list[str], share_of_sd: float) -> DataFrame:
-    """Adds the tolerance ``r`` and the length ``n``; constant windows have no templates."""
+def _tolerant(o: DataFrame, keys: list[str], share_of_sd: float, absolute: bool = False) -> DataFrame:
+    """Adds the tolerance ``r`` (a share of the deviation, or itself) and the length ``n``; without tolerance no templates."""
     whole = per(keys)
-    return o.select(*keys, "i", "x", (F.stddev_pop("x").over(whole) * F.lit(share_of_sd)).alias("r"),
+    return o.select(*keys, "i", "x", (F.lit(float(share_of_sd)) if absolute else F.stddev_pop("x").over(whole) * F.lit(share_of_sd)).alias("r"),
                     F.count("*").over(whole).alias("n")).where("r > 0")
 
 
-def _templates(o: DataFrame, keys: list[str], share_of_sd: float, size: int) -> DataFrame:
+def _templates(o: DataFrame, keys: list[str], share_of_sd: float, size: int, absolute: bool = False) -> DataFrame:
     """Distinct templates of ``size`` consecutive values with their count ``c``."""
     step = by("i", keys=keys)
-    rows = _tolerant(o, keys, share_of_sd)
+    rows = _tolerant(o, keys, share_of_sd, absolute)
     cols = [F.col("x").alias("x0"), *[F.lead("x", k).over(step).alias(f"x{k}") for k in range(1, size)]]
     names = [f"x{k}" for k in range(size)]
     return rows.select(*keys, "n", "r", *cols).where(F.col(names[-1]).isNotNull()).groupBy(
@@ -53,9 +53,9 @@ def _meet(tpl: DataFrame, keys: list[str], dims: int, near) -> DataFrame:
     return left.join(right, on).where(close)
 
 
-def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] = KEYS) -> DataFrame:
-    """Sample and quadratic entropy; infinite when no match goes on, NULL when there is no match."""
-    met = _meet(_templates(o, keys, rth, m + 1), keys, m, lambda d, r: d < r)
+def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] = KEYS, absolute: bool = False) -> DataFrame:
+    """Sample and quadratic entropy, with a tolerance of ``rth`` deviations or ``absolute``; infinite when no match goes on, NULL when there is no match."""
+    met = _meet(_templates(o, keys, rth, m + 1, absolute), keys, m, lambda d, r: d < r)
     goes_on = F.abs(F.col(f"x{m}") - F.col(f"y{m}")) < F.col("r")
     weight = F.col("c") * F.col("d")
     own = F.max("n") - m  # every template meets itself once

@@ -14,9 +14,31 @@ def digests(df: DataFrame, key: str, content: str | Column) -> DataFrame:
                      F.octet_length(body).cast("long").alias("bytes"))
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Digests of whole files."""
-    return digests(spark.read.format("binaryFile").load(path), "path", "content")
+def file_digests(spark: SparkSession, path: str, block: int = 4 << 20) -> DataFrame:
+    """``(item, sha256, bytes)`` of whole files of any size.
+
+    Spark lists the files; each is read in blocks where its row is, through the file systems that pyarrow knows.
+    """
+    def hashed(batches):
+        import hashlib
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for pdf in batches:
+            rows = []
+            for item in pdf["path"]:
+                system, place = fs.FileSystem.from_uri(item)
+                h, size = hashlib.sha256(), 0
+                with system.open_input_stream(place, compression=None) as f:
+                    while data := f.read(block):
+                        h.update(data)
+                        size += len(data)
+                rows.append((item, h.hexdigest(), size))
+            yield pd.DataFrame(rows, columns=["item", "sha256", "bytes"])
+
+    files = spark.read.format("binaryFile").load(path).select("path")  # the content column is not read
+    return files.mapInPandas(hashed, "item string, sha256 string, bytes long")
 
 
 def compare_digests(old: DataFrame, new: DataFrame) -> DataFrame:

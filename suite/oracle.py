@@ -246,6 +246,14 @@ tr AS MATERIALIZED (SELECT a.series, a.w, a.x AS a, b.x AS b, c.x AS c FROM o_z
     return simple({c: e[c] for c in cols}, f"FROM tr {G}", ctes)
 
 
+def lagged_products_mi(cols: list[str], kind: str = "user") -> str:
+    """The same at the first minimum of the mutual information; NULL where that is beyond the window."""
+    inner = first_minimum_mi(kind).replace("WITH RECURSIVE", "WITH", 1)
+    sql = lagged_products(cols, kind).replace("tr AS MATERIALIZED", f"zi AS (SELECT series, w, CAST(co_firstmin_mi AS BIGINT) AS tau FROM ({inner})),\ntr AS MATERIALIZED", 1)
+    return sql.replace("FROM o_z z", "FROM zi z", 1).replace("JOIN o a ON", "LEFT JOIN o a ON", 1).replace("JOIN o b ON", "LEFT JOIN o b ON", 1).replace(
+        "SELECT a.series, a.w, a.x AS a", "SELECT z.series, z.w, CASE WHEN b.x IS NOT NULL THEN a.x END AS a", 1)
+
+
 def mutual_information(delays: list[int], kind: str = "user") -> str:
     e = {f"in_automutualinfo_auto_mutual_{k}": f"max(CASE WHEN k = {k} THEN -0.5 * ln(nullif(1 - r * r, 0)) END)"
          for k in delays}
@@ -306,14 +314,14 @@ p1 AS (SELECT series, w, avg(ln(c)) AS p FROM c1 {G}), p2 AS (SELECT series, w,
     return simple({"en_apen": "p1.p - p2.p"}, "FROM p1 JOIN p2 USING (series, w)", ctes)
 
 
-def sampen_ctes(src: str, keys: str, m: int, rth: float) -> str:
+def sampen_ctes(src: str, keys: str, m: int, rth: float, absolute: bool = False) -> str:
     """CTE ``ab(keys, a, b, r)`` for ``src(keys, i, x)``."""
     k = [c.strip() for c in keys.split(",")]
     on = " AND ".join(f"p.{c} = q.{c}" for c in k)
     cheb = " AND ".join(f"abs(p.x{j} - q.x{j}) < p.r" for j in range(m))
     leads = ", ".join(f"lead(x, {j}) OVER (PARTITION BY {keys} ORDER BY i) AS x{j}" for j in range(1, m + 1))
     return f"""tq AS MATERIALIZED (SELECT * FROM (SELECT {keys}, i, x AS x0, {leads},
-  {rth} * stddev_pop(x) OVER (PARTITION BY {keys}) AS r FROM {src}) WHERE x{m} IS NOT NULL AND r > 0),
+  {f"{rth}::DOUBLE" if absolute else f"{rth} * stddev_pop(x) OVER (PARTITION BY {keys})"} AS r FROM {src}) WHERE x{m} IS NOT NULL AND r > 0),
 hit AS (SELECT {', '.join('p.' + c for c in k)}, count(*) AS b, count(*) FILTER (WHERE abs(p.x{m} - q.x{m}) < p.r) AS a
   FROM tq p JOIN tq q ON {on} AND p.i <> q.i AND {cheb} GROUP BY ALL),
 ab AS (SELECT {keys}, r, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM (
@@ -321,8 +329,8 @@ ab AS (SELECT {keys}, r, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM (
 en AS (SELECT {keys}, r, CASE WHEN b = 0 THEN NULL WHEN a = 0 THEN 'inf'::DOUBLE ELSE -ln(a / b) END AS e FROM ab)"""
 
 
-def sampen(kind: str = "user") -> str:
-    ctes = windows(kind) + ", " + sampen_ctes("o", "series, w", 2, 0.2)
+def sampen(kind: str = "user", rth: float = 0.2, absolute: bool = False) -> str:
+    ctes = windows(kind) + ", " + sampen_ctes("o", "series, w", 2, rth, absolute)
     return simple({"en_sample_entropy": "e", "en_quadratic_entropy": "e + ln(2 * r)"}, "FROM en", ctes)
 
 
@@ -449,8 +457,8 @@ sv AS (SELECT series, w, kind, k, stddev_samp(m) / max(s) AS v FROM sm GROUP BY
     return simple(e, f"FROM sv {G}", ctes)
 
 
-def drifting_mean(size: str = "5", kind: str = "user") -> str:
-    ctes = windows(kind) + f""",
+def drifting_mean(size: str = "5", kind: str = "user", span: tuple[int, int] | None = None) -> str:
+    ctes = windows(kind, span) + f""",
 dm AS (SELECT series, w, i // ({size}) AS g, avg(x) AS m, var_samp(x) AS v FROM o JOIN st USING (series, w)
   WHERE n >= {size} AND i < n // ({size}) * ({size}) GROUP BY ALL),
 dv AS (SELECT series, w, max(m) / avg(v) AS mx, min(m) / avg(v) AS mn, avg(m) / avg(v) AS me FROM dm {G})"""

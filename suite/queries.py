@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import names as N
+from pulsegrid.functions import vectors as V
 from pulsegrid.functions.vectors import vectors
 from pulsegrid.operators import density, dependence, distribution, entropy, provenance, symbolic, table, trend
 from pulsegrid.plans import windows as W
@@ -185,6 +186,8 @@ def _dependence() -> None:
     on_vectors("co_glscf", S.lagged_products(glscf), lambda v: C.lagged_products(v).select("series", "w", *glscf))
     both = ["co_tc3", "co_trev"]
     on_vectors("co_tc3_trev", S.lagged_products(both), lambda v: C.lagged_products(v).select("series", "w", *both))
+    on_vectors("co_tc3_trev_mi", S.lagged_products_mi(both), lambda v: C.lagged_products(
+        v, tau=V.first_minimum_of_information(F.col("ds"), F.col("n"))).select("series", "w", *both))
     on_series_leads("in_automutualinfo", S.mutual_information([1, 2, 3], "type"),
                     lambda l: C.mutual_information(l, [1, 2, 3]), [1, 2, 3])
     on_vectors("in_automutualinfo_tau", S.mutual_information_tau(), C.mutual_information_at_zero)
@@ -207,6 +210,7 @@ def _entropy() -> None:
     E = entropy
     on_ordered("en_apen", S.apen(), E.approximate_entropy)
     on_ordered("en_sampen", S.sampen(), E.sample_entropy)
+    on_ordered("en_sampen_absolute", S.sampen(rth=6.5, absolute=True), lambda o: E.sample_entropy(o, rth=6.5, absolute=True))
     on_ordered("en_mse_scales", S.mse_scales(), lambda o: E.multiscale_entropy(o)[0], "supplier", ("series", "w", "scale"))
     on_ordered("en_mse", S.mse(), lambda o: E.multiscale_entropy(o)[1], "supplier")
     on_series_leads("en_permen_2_1", S.permen(2, 1, "type"), lambda l: E.permutation_entropy(l, 2, 1), [1])
@@ -224,6 +228,8 @@ def _trend() -> None:
     on_ordered("sy_trend", S.trend(), T.trend)
     on_ordered("sy_statav", S.segment_means(), T.segment_means)
     on_ordered("sy_driftingmean", S.drifting_mean(), T.drifting_mean)
+    long = (6 * DAY, 3 * DAY)
+    on_ordered("sy_driftingmean_fix", S.drifting_mean("200", "type", long), lambda o: T.drifting_mean(o, "fix"), "type", span=long)
     on_ordered("sy_driftingmean_parts", S.drifting_mean("(n // 3)"), lambda o: T.drifting_mean(o, "num", 3))
     on_vectors("ex_movingthreshold", S.moving_threshold(), T.moving_threshold)
     on_ordered("sc_hurstexp", S.hurst(), T.hurst_exponent)
