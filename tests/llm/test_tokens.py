@@ -140,4 +140,4 @@ def test_sharding_gathers_groups_and_splits_a_hot_one(spark):
     hot = max(where.values(), key=lambda c: sum(c.values()))
     small = [c for c in where.values() if c is not hot]
     together = sum(max(c.values()) for c in small) / sum(sum(c.values()) for c in small)
-    assert together > 0.6 and max(hot.values()) > 600  # a share of 1/8 each if dealt at random
+    assert together > 0.6 and max(hot.values()) > 1.5 * 2000 / 8  # dealt at random, 1/8 of either stands together
