@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,46 +46,46 @@ BODIES = [
     ("copyright", "copyright (?:c )?(?:19|20)\\d\\d(?: (?:19|20)\\d\\d)?", "copyright"),
 ]
 
-# Fixed values. Families: label, how the license is named in words, keyword.
+# Fixed values. Families: label, how the license is named in words, keywords of which a text must have one.
 FAMILIES = [
-    ("apache-1.1", "apache(?: software)? license (?:version )?1 1", "apache"),
-    ("apache-2.0", "apache(?: software)? license (?:version |v ?)?2(?: 0)?", "apache"),
-    ("apache", "apache(?: software)? license", "apache"),
-    ("mit", "mit(?: x11)?(?: style)?", "mit"),
-    ("x11", "x11", "x11"),
-    ("isc", "isc", "isc"),
+    ("apache-1.1", "apache(?: software)? license (?:version )?1 1", " apache "),
+    ("apache-2.0", "apache(?: software)? license (?:version |v ?)?2(?: 0)?", " apache "),
+    ("apache", "apache(?: software)? license", " apache "),
+    ("mit", "mit(?: x11)?(?: style)?", " mit "),
+    ("x11", "x11", " x11 "),
+    ("isc", "isc", " isc "),
     ("bsd-2-clause", "(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)", "bsd"),
     ("bsd-3-clause", "(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd)", "bsd"),
     ("bsd-4-clause", "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd"),
     ("bsd", "bsd", "bsd"),
-    ("gpl-1.0", "(?:gnu )?(?:gpl|general public license) (?:version |v ?)?1(?: 0)?", "g"),
-    ("gpl-2.0", "(?:gnu )?(?:gpl ?v?2|gpl version 2|general public license (?:version |v ?)?2)(?: 0)?", "g"),
-    ("gpl-3.0", "(?:gnu )?(?:gpl ?v?3|gpl version 3|general public license (?:version |v ?)?3)(?: 0)?", "g"),
-    ("gpl", "(?:gnu )?(?:gpl|general public license)", "g"),
-    ("lgpl-2.1", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license) (?:version |v ?)?2 1", "l"),
-    ("lgpl-3.0", "(?:gnu )?(?:lgpl|lesser general public license) (?:version |v ?)?3(?: 0)?", "l"),
-    ("lgpl", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license)", "l"),
-    ("agpl-3.0", "(?:gnu )?(?:agpl|affero general public license) (?:version |v ?)?3(?: 0)?", "a"),
-    ("agpl", "(?:gnu )?(?:agpl|affero general public license)", "a"),
-    ("gfdl", "(?:gnu )?(?:gfdl|free documentation license)", "f"),
-    ("mpl-1.1", "(?:mpl|mozilla public license) (?:version |v ?)?1 1", "m"),
-    ("mpl-2.0", "(?:mpl|mozilla public license) (?:version |v ?)?2(?: 0)?", "m"),
-    ("mpl", "(?:mpl|mozilla public license)", "m"),
-    ("epl-1.0", "(?:epl|eclipse public license) (?:version |v ?)?1(?: 0)?", "e"),
-    ("epl-2.0", "(?:epl|eclipse public license) (?:version |v ?)?2(?: 0)?", "e"),
-    ("cddl-1.0", "(?:cddl|common development and distribution license)(?: (?:version )?1 0)?", "d"),
+    ("gpl-1.0", "(?:gnu )?(?:gpl|general public license) (?:version |v ?)?1(?: 0)?", " gpl", "general public"),
+    ("gpl-2.0", "(?:gnu )?(?:gpl ?v?2|gpl version 2|general public license (?:version |v ?)?2)(?: 0)?", " gpl", "general public"),
+    ("gpl-3.0", "(?:gnu )?(?:gpl ?v?3|gpl version 3|general public license (?:version |v ?)?3)(?: 0)?", " gpl", "general public"),
+    ("gpl", "(?:gnu )?(?:gpl|general public license)", " gpl", "general public"),
+    ("lgpl-2.1", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license) (?:version |v ?)?2 1", " lgpl", "general public"),
+    ("lgpl-3.0", "(?:gnu )?(?:lgpl|lesser general public license) (?:version |v ?)?3(?: 0)?", " lgpl", "general public"),
+    ("lgpl", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license)", " lgpl", "general public"),
+    ("agpl-3.0", "(?:gnu )?(?:agpl|affero general public license) (?:version |v ?)?3(?: 0)?", " agpl", "affero"),
+    ("agpl", "(?:gnu )?(?:agpl|affero general public license)", " agpl", "affero"),
+    ("gfdl", "(?:gnu )?(?:gfdl|free documentation license)", " gfdl ", "free documentation"),
+    ("mpl-1.1", "(?:mpl|mozilla public license) (?:version |v ?)?1 1", " mpl ", "mozilla"),
+    ("mpl-2.0", "(?:mpl|mozilla public license) (?:version |v ?)?2(?: 0)?", " mpl ", "mozilla"),
+    ("mpl", "(?:mpl|mozilla public license)", " mpl ", "mozilla"),
+    ("epl-1.0", "(?:epl|eclipse public license) (?:version |v ?)?1(?: 0)?", " epl ", "eclipse"),
+    ("epl-2.0", "(?:epl|eclipse public license) (?:version |v ?)?2(?: 0)?", " epl ", "eclipse"),
+    ("cddl-1.0", "(?:cddl|common development and distribution license)(?: (?:version )?1 0)?", " cddl ", "common development"),
     ("cpl-1.0", "common public license(?: (?:version )?1 0)?", "common public"),
-    ("eupl-1.2", "(?:eupl|european union public licen[cs]e)(?: (?:version |v ?)?1 2)?", "eu"),
+    ("eupl-1.2", "(?:eupl|european union public licen[cs]e)(?: (?:version |v ?)?1 2)?", " eupl ", "european union"),
     ("artistic-2.0", "artistic license 2(?: 0)?", "artistic"),
     ("artistic", "artistic license", "artistic"),
     ("zlib", "zlib(?: libpng)?", "zlib"),
     ("boost-1.0", "boost(?: software)?(?: license)? 1 0", "boost"),
-    ("python-2.0", "(?:psf|python software foundation)(?: license)?(?: (?:version )?2)?", "p"),
-    ("ofl-1.1", "(?:ofl|sil open font license)(?: 1 1)?", "o"),
-    ("odbl-1.0", "(?:odbl|open database license)(?: (?:v ?)?1 0)?", "od"),
+    ("python-2.0", "(?:psf|python software foundation)(?: license)?(?: (?:version )?2)?", " psf ", "python software"),
+    ("ofl-1.1", "(?:ofl|sil open font license)(?: 1 1)?", " ofl ", "open font"),
+    ("odbl-1.0", "(?:odbl|open database license)(?: (?:v ?)?1 0)?", " odbl ", "open database"),
     ("unlicense", "unlicense", "unlicense"),
-    ("cc0-1.0", "cc ?0(?: 1 0)?", "cc"),
-    *((f"cc-{kind.replace(' ', '-')}-{version}", f"(?:cc|creative commons) {kind} {version.replace('.', ' ')}", "c")
+    ("cc0-1.0", "cc ?0(?: 1 0)?", " cc0 ", " cc 0 "),
+    *((f"cc-{kind.replace(' ', '-')}-{version}", f"(?:cc|creative commons) {kind} {version.replace('.', ' ')}", " cc ", "creative commons")
       for kind in ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd") for version in ("1.0", "2.0", "2.5", "3.0", "4.0")),
     *((f"cc-{label}", f"creative commons {name}(?: license)?", "creative commons")
       for label, name in (("by", "attribution"), ("by-sa", "attribution share ?alike"), ("by-nd", "attribution no ?deriv(?:s|atives)"),
@@ -97,18 +99,21 @@ NOTICES = ["spdx license identifier {}", "(?:dual |multi )?licen[cs]ed under (?:
            "(?:subject to|under) the terms (?:and conditions )?of (?:the )?{}(?: licen[cs]e)?", "licen[cs]e {}", "{} licen[cs]e"]
 
 #: A text without any of these is not looked at: every rule's regex contains one of them.
-ANCHORS = ["licen", "spdx", "cc by", "general public", "rights reserved", "copyright", "permission", "warranty",
-           "redistribution", "neither the name", "free software", "public domain", "source distribution", "creative commons",
-           "under", "reproduced", "proprietary", "mozilla", "boost"]
+ANCHORS = [" licen", " spdx ", " cc ", " cc0 ", "general public", "rights reserved", " copyright ", "hereby granted",
+           "permission notice", "permission to use", "without warranty", " redistribution", "neither the name", "applicable law",
+           "free software", " affero ", "public domain", " you want to ", "source distribution", "creative commons", "the terms",
+           "may be reproduced", "and proprietary", "released under", "distributed under", "published under", "available under",
+           "provided under", " mozilla ", " boost ", " unlicense "]
 
 
-def rules() -> list[tuple[str, str, str, bool]]:
-    """(label, regex, keyword, base), strongest first: bodies, then notices of families, then base phrases."""
+def rules() -> list[tuple[str, str, tuple[str, ...], bool]]:
+    """(label, regex, keywords, base), strongest first: bodies, then notices of families, names alone, and base phrases."""
     out = list(BODIES)
-    out += [(label, notice.format(name), keyword) for notice in NOTICES for label, name, keyword in FAMILIES]
-    out += [(label, name, keyword) for label, name, keyword in FAMILIES if "license" in name and not name.startswith("(?:gnu )?(?:")]
-    out = [(label, f"(?<= )(?:{regex})(?= )", keyword, False) for label, regex, keyword in out]
-    return out + [(label, f"(?<= ){phrase}(?= )", phrase, True) for label, phrase in BASE.items()]
+    out += [(label, notice.format(name), *keys) for notice in NOTICES for label, name, *keys in FAMILIES]
+    out += [(label, name, *keys) for label, name, *keys in FAMILIES if "license" in name and not name.startswith("(?:gnu )?(?:")
+            or label.startswith("cc")]
+    out = [(label, f"(?<= )(?:{regex})(?= )", tuple(keys), False) for label, regex, *keys in out]
+    return out + [(label, f"(?<= ){phrase}(?= )", (phrase,), True) for label, phrase in BASE.items()]
 
 
 def _blanks(text: Column) -> Column:
@@ -117,16 +122,16 @@ def _blanks(text: Column) -> Column:
 
 def _detections(words: Column) -> Column:
     """All matches of all rules whose keyword the text has, in words."""
-    table = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(label).alias("label"), F.lit(regex).alias("regex"),
-                               F.lit(keyword).alias("keyword"), F.lit(base).alias("base"))
-                      for i, (label, regex, keyword, base) in enumerate(rules())])
-    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]))
+    rows = [dict(zip(("rank", "label", "regex", "keys", "base"), (i, *rule))) for i, rule in enumerate(rules())]
+    table = F.from_json(F.lit(json.dumps(rows)), RULE)  # one constant, folded when the plan is made
+    gated = F.filter(table, lambda r: F.exists(r["keys"], lambda k: F.contains(words, k)))
     of_rule = lambda r: F.transform(match_spans(words, r["regex"], 0, _blanks), lambda m: F.struct(
         (m["start"] - 1).alias("start"), (m["start"] + _blanks(m["text"])).alias("stop"), r["rank"].alias("rank"),
         r["label"].alias("label"), r["base"].alias("base")))
     return F.flatten(F.transform(gated, of_rule))
 
 
+RULE = "array<struct<rank:int,label:string,regex:string,keys:array<string>,base:boolean>>"
 DETECTION = "array<struct<start:bigint,stop:bigint,rank:int,label:string,base:boolean>>"
 
 
