@@ -31,11 +31,21 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Generations(self.whole)
+        self.words = Generations(self.word)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, word: str) -> bytes:
+        """Letters and a mark behind them don't touch, and the tokenizer lower-cases: such words share what is cached."""
+        if word.isascii() and "<|" not in word:
+            low = word.lower()
+            if len(low) > 1 and low[-1] in ".,;:!?" and "a" <= low[-2] <= "z":
+                return self.words[low[:-1]] + self.words[low[-1]]
+            if low != word:
+                return self.words[low]
+        return self.whole(word)
+
     def encode(self, text: str) -> bytes:
         if any(c in text for c in MORE_BLANKS):
             return self.whole(text)
