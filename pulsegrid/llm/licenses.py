@@ -93,27 +93,28 @@ FAMILIES = [
                           ("by-nc-nd", "attribution non ?commercial no ?deriv(?:s|atives)"))),
 ]
 
-# Fixed values. How a notice names its license; the first are the most telling.
-NOTICES = ["spdx license identifier {}", "(?:dual |multi )?licen[cs]ed under (?:the )?(?:terms of (?:the )?)?{}(?: licen[cs]e)?",
-           "(?:released|distributed|published|available|provided) under (?:the )?(?:terms of (?:the )?)?{}(?: licen[cs]e)?",
-           "(?:subject to|under) the terms (?:and conditions )?of (?:the )?{}(?: licen[cs]e)?", "licen[cs]e {}", "{} licen[cs]e"]
+# Fixed values. How a notice names its license, and words of which a text with it must have one; the first are the most telling.
+NOTICES = [("spdx license identifier {}", "spdx license identifier"),
+           ("(?:dual |multi )?licen[cs]ed under (?:the )?(?:terms of (?:the )?)?{}(?: licen[cs]e)?", "licensed under", "licenced under"),
+           ("(?:released|distributed|published|available|provided) under (?:the )?(?:terms of (?:the )?)?{}(?: licen[cs]e)?",
+            "released under", "distributed under", "published under", "available under", "provided under"),
+           ("(?:subject to|under) the terms (?:and conditions )?of (?:the )?{}(?: licen[cs]e)?", "the terms"),
+           ("licen[cs]e {}", " license ", " licence "), ("{} licen[cs]e", " license ", " licence ")]
 
-#: A text without any of these is not looked at: every rule's regex contains one of them.
-ANCHORS = [" licen", " spdx ", " cc ", " cc0 ", "general public", "rights reserved", " copyright ", "hereby granted",
-           "permission notice", "permission to use", "without warranty", " redistribution", "neither the name", "applicable law",
-           "free software", " affero ", "public domain", " you want to ", "source distribution", "creative commons", "the terms",
-           "may be reproduced", "and proprietary", "released under", "distributed under", "published under", "available under",
-           "provided under", " mozilla ", " boost ", " unlicense "]
+
+def _gates() -> list[tuple[str, str, tuple[str, ...], tuple[str, ...], bool]]:
+    """As ``rules``, with the words of the notice before ``base``; a rule without a notice has none."""
+    out = [(label, regex, (key,), ()) for label, regex, key in BODIES]
+    out += [(label, notice.format(name), tuple(keys), tuple(words)) for notice, *words in NOTICES for label, name, *keys in FAMILIES]
+    out += [(label, name, tuple(keys), ()) for label, name, *keys in FAMILIES
+            if "license" in name and not name.startswith("(?:gnu )?(?:") or label.startswith("cc")]
+    out = [(label, f"(?<= )(?:{regex})(?= )", keys, words, False) for label, regex, keys, words in out]
+    return out + [(label, f"(?<= ){phrase}(?= )", (phrase,), (), True) for label, phrase in BASE.items()]
 
 
 def rules() -> list[tuple[str, str, tuple[str, ...], bool]]:
     """(label, regex, keywords, base), strongest first: bodies, then notices of families, names alone, and base phrases."""
-    out = list(BODIES)
-    out += [(label, notice.format(name), *keys) for notice in NOTICES for label, name, *keys in FAMILIES]
-    out += [(label, name, *keys) for label, name, *keys in FAMILIES if "license" in name and not name.startswith("(?:gnu )?(?:")
-            or label.startswith("cc")]
-    out = [(label, f"(?<= )(?:{regex})(?= )", tuple(keys), False) for label, regex, *keys in out]
-    return out + [(label, f"(?<= ){phrase}(?= )", (phrase,), True) for label, phrase in BASE.items()]
+    return [(label, regex, keys, base) for label, regex, keys, _, base in _gates()]
 
 
 def _blanks(text: Column) -> Column:
@@ -121,17 +122,26 @@ def _blanks(text: Column) -> Column:
 
 
 def _detections(words: Column) -> Column:
-    """All matches of all rules whose keyword the text has, in words."""
-    rows = [dict(zip(("rank", "label", "regex", "keys", "base"), (i, *rule))) for i, rule in enumerate(rules())]
-    table = F.from_json(F.lit(json.dumps(rows)), RULE)  # one constant, folded when the plan is made
-    gated = F.filter(table, lambda r: F.exists(r["keys"], lambda k: F.contains(words, k)))
+    """All matches of all rules whose keyword the text has, and whose notice has one of its words there.
+
+    Rules are listed under each of their keywords, so a text is searched once per keyword, whatever the number of rules.
+    A rule that is reached by two keywords repeats its detections; of equal ones all but one are suppressed.
+    """
+    by_key = {}
+    for i, (label, regex, keys, notice, base) in enumerate(_gates()):
+        for key in keys:
+            by_key.setdefault(key, []).append({"rank": i, "label": label, "regex": regex, "notice": notice, "base": base})
+    rows = [{"key": key, "rules": of_key} for key, of_key in by_key.items()]
+    table = F.from_json(F.lit(json.dumps(rows)), GATES)  # one constant, folded when the plan is made
+    reached = F.flatten(F.transform(F.filter(table, lambda g: F.contains(words, g["key"])), lambda g: g["rules"]))
+    gated = F.filter(reached, lambda r: (F.size(r["notice"]) == 0) | F.exists(r["notice"], lambda w: F.contains(words, w)))
     of_rule = lambda r: F.transform(match_spans(words, r["regex"], 0, _blanks), lambda m: F.struct(
         (m["start"] - 1).alias("start"), (m["start"] + _blanks(m["text"])).alias("stop"), r["rank"].alias("rank"),
         r["label"].alias("label"), r["base"].alias("base")))
     return F.flatten(F.transform(gated, of_rule))
 
 
-RULE = "array<struct<rank:int,label:string,regex:string,keys:array<string>,base:boolean>>"
+GATES = "array<struct<key:string,rules:array<struct<rank:int,label:string,regex:string,notice:array<string>,base:boolean>>>>"
 DETECTION = "array<struct<start:bigint,stop:bigint,rank:int,label:string,base:boolean>>"
 
 
@@ -150,20 +160,17 @@ def _unsuppressed(found: Column) -> Column:
 def license_scan(docs: DataFrame, text: str = "text", columns=None) -> DataFrame:
     """``row`` (all columns or ``columns``), ``n_words`` and ``detections``: start, stop in words, rank, label, base.
 
-    Each document is worked on where it is read; nothing is shuffled. Rules run only on texts that have one of the
-    anchors, and each rule only where its keyword stands. NULL and empty texts have no words and no detections;
-    repeated rows each get their result.
+    Each document is worked on where it is read; nothing is shuffled. Each rule runs only on texts that have one of its
+    keywords, without which its regex cannot match. NULL and empty texts have no words and no detections; repeated
+    rows each get their result.
     """
     docs = docs.select(*dict.fromkeys([*(columns or docs.columns), text]))
     t = packed(docs, t=F.lower(text_of(docs, text)))
     t = t.select(F.struct(*[F.col("row")[c].alias(c) for c in (columns or docs.columns)]).alias("row"),
                  F.trim(F.regexp_replace("t", NO_WORD, " ")).alias("t"))
     t = t.select("row", F.when(F.col("t") == "", " ").otherwise(F.concat(F.lit(" "), "t", F.lit(" "))).alias("t"))
-    anchored = F.lit(False)
-    for a in ANCHORS:
-        anchored |= F.contains("t", F.lit(a))
     t = t.select("row", F.when(F.col("t") == " ", 0).otherwise(_blanks(F.col("t")) - 1).cast("bigint").alias("n_words"),
-                 F.when(anchored, _detections(F.col("t"))).otherwise(F.array().cast(DETECTION)).alias("found"))
+                 _detections(F.col("t")).alias("found"))
     return t.select("row", "n_words", F.when(F.size("found") > 0, _unsuppressed(F.col("found")))
                     .otherwise(F.col("found")).alias("detections"))
 

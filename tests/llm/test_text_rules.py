@@ -72,6 +72,51 @@ def test_license_suppression(spark):
         assert keys and all(isinstance(k, str) and len(k) > 2 for k in keys)
 
 
+def sample(parsed, last):
+    """A text that a regex matches: its first branches and least repeats, or its last branches and all that is optional."""
+    out = ""
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            out += chr(arg)
+        elif kind == "IN":
+            item = arg[-1 if last else 0]
+            out += {"LITERAL": lambda: chr(item[1]), "CATEGORY": lambda: "7"}[str(item[0])]()
+        elif kind == "BRANCH":
+            out += sample(arg[1][-1 if last else 0], last)
+        elif kind == "SUBPATTERN":
+            out += sample(arg[-1], last)
+        elif kind == "MAX_REPEAT":  # at most three without a bound
+            out += sample(arg[2], last) * max(arg[0], min(arg[1], 3) if last else 0)
+        else:
+            assert kind == "ASSERT"  # the blanks around a rule
+    return out
+
+
+def plain_license_labels(t, compiled):
+    """Labels by all rules on the words of a text, without any gate."""
+    words = f" {' '.join(re.findall(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', t.translate(LOWER)))} "
+    found = sorted((m.start(), -m.end(), rank, label, base) for rank, (label, regex, base) in enumerate(compiled)
+                   for m in regex.finditer(words))
+    reach, out = -1, set()
+    for _, stop, _, label, base in found:
+        if -stop > reach or base:
+            out.add(label)
+        reach = max(reach, -stop)
+    return ",".join(sorted(out))
+
+
+def test_license_gate_loses_nothing(spark):
+    made = ["this file is MPL 2.0", "covered under EPL 2.0", "source code is CDDL 1.0", "Python Software Foundation", "under MPL 1.1",
+            "OFL 1.1", "see ODbL 1.0", "by the PSF", "nothing", "mit ohne alles"]
+    made += [f"so is {sample(re._parser.parse(regex), last)} here" for _, regex, _, _ in licenses.rules() for last in (False, True)]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.labels for r in licenses.digest(licenses.license_scan(df, columns=["doc_id"])).collect()}
+    compiled = [(label, re.compile(regex), base) for label, regex, _, base in licenses.rules()]
+    want = {i: plain_license_labels(t, compiled) for i, t in enumerate(made)}
+    assert got == want and all(want[i] for i in range(8)) and all(want[i] for i in range(10, len(made)))
+
+
 def plain_spans(t):
     out = []
     for rank, rule in enumerate(secret_scans.RULES):
