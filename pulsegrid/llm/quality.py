@@ -9,10 +9,16 @@ from pulsegrid.llm.common import BLANK_RUN, BLANKS, packed, small, staged, text_
 
 SYMBOLS = "#*$%&|<>"
 
-#: Shares that are compared with their group: (name, least width of the fence, also from below).
+#: Shares that are compared with their group: (name, width where the group has no spread, also from below).
 SHARES = (("mean_word_chars", 0.5, True), ("symbol_share", 0.02, False), ("dup_line_share", 0.1, False),
           ("repeat_share", 0.05, False))
 
+#: By share: the two quantiles whose distance is the spread, and how much of ``reach`` the fence stands beyond the upper.
+#: Most documents have no repeats, so their spread is in the tail. Documents of symbols are up to a tenth of a group: a
+#: quantile above 0.9 would lie among them.
+LEVELS = {"mean_word_chars": (0.25, 0.75, 1.0), "symbol_share": (0.25, 0.75, 1.0), "dup_line_share": (0.5, 0.99, 0.25),
+          "repeat_share": (0.5, 0.95, 1.0)}
+
 
 def _repeated_words(windows: Column) -> Column:
     """Words inside windows whose hash occurs twice or more: equal hashes stand side by side once sorted."""
@@ -70,19 +76,21 @@ def shares(m: DataFrame) -> DataFrame:
 def fences(m: DataFrame, reach: float = 4.0, accuracy: int = 1000) -> DataFrame:
     """Per language and source, the interval each share must lie in.
 
-    A mergeable quantile sketch per group gives the quartiles of all documents that pass the base rules; the fence
-    stands ``reach`` times the distance of the quartiles beyond them. Sketches merge before the shuffle, so a group
-    with a third of all rows costs its reducer one sketch per task.
+    A mergeable quantile sketch per group gives two quantiles of all documents that pass the base rules; the fence
+    stands ``reach`` times their distance beyond them, or the part of it that LEVELS names. Only where they are equal
+    a fixed width takes the place of the distance. Sketches merge before the shuffle, so a group with a third of all
+    rows costs its reducer one sketch per task.
     """
     sketches = m.where(~F.col("base_failed")).groupBy("g_lang", "g_source").agg(
-        *[F.percentile_approx(name, [0.25, 0.75], accuracy).alias(name) for name, _, _ in SHARES])
+        *[F.percentile_approx(name, list(LEVELS[name][:2]), accuracy).alias(name) for name, _, _ in SHARES])
     bounds = []
     for name, least, below in SHARES:
         q = F.col(name)
-        reach_of = reach * F.greatest(q[1] - q[0], F.lit(least))
-        bounds.append((q[1] + reach_of).alias(f"{name}_most"))
+        spread = q[1] - q[0]
+        beyond = F.when(spread > 0, LEVELS[name][2] * reach * spread).otherwise(reach * least)
+        bounds.append((q[1] + beyond).alias(f"{name}_most"))
         if below:
-            bounds.append((q[0] - reach_of).alias(f"{name}_least"))
+            bounds.append((q[0] - beyond).alias(f"{name}_least"))
     return sketches.select("g_lang", "g_source", *bounds)
 
 

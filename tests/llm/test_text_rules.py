@@ -44,6 +44,20 @@ def test_fences_follow_their_group(spark):
     assert not j.pop(99) and all(j.values())  # long words are usual in b, and kept there
 
 
+def test_spread_of_the_group_sets_its_fence(spark):
+    rows = [("en", s, False, 5 + k % 20 * wide / 100, 0.0, max(0.0, k - 189) * wide / 100, max(0.0, k - 179) * wide / 1000)
+            for s, wide in (("narrow", 1), ("wide", 4), ("none", 0)) for k in range(200)]
+    m = spark.createDataFrame(rows, "g_lang string, g_source string, base_failed boolean, mean_word_chars double, "
+                                    "symbol_share double, dup_line_share double, repeat_share double")
+    f = {r.g_source: r for r in quality.fences(m).collect()}
+    assert f["narrow"].mean_word_chars_most < 5.7 and f["narrow"].mean_word_chars_least > 4.6
+    assert 0.1 < f["narrow"].dup_line_share_most < 0.25 and 0.02 < f["narrow"].repeat_share_most < 0.1
+    for name in ("mean_word_chars_most", "dup_line_share_most", "repeat_share_most"):
+        assert f["wide"][name] > f["narrow"][name]
+    for name, least, _ in quality.SHARES:  # without a spread the fixed width holds
+        assert abs(f["none"][f"{name}_most"] - (5 if name == "mean_word_chars" else 0) - 4 * least) < 1e-9
+
+
 def test_filter_keeps_columns(odd, empty):
     assert quality.quality_filter(odd).schema == odd.schema and quality.quality_filter(empty).count() == 0
 
