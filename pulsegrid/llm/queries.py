@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, embeddings, licenses, lines, packing, quality, secret_scans, sharding, simhash, warc
+from pulsegrid.llm import (bpe, codes, embeddings, fingerprints, licenses, lines, packing, prefixes, quality, secret_scans, sharding, simhash,
+                           warc)
 from pulsegrid.llm.common import read, staged
 
 QUERIES = {}
@@ -123,3 +124,93 @@ def op1_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     d = embeddings.near_vectors(read(spark, sf, "embeddings"))
     return d.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
                     (F.col("id") == F.col("component")).alias("kept"))
+
+
+@query
+def op11_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document: its fingerprint, that of its edited text, and their likeness and that to the next document's."""
+    v = fingerprints.versions(read(spark, sf, "documents"))
+    return v.select(F.col("id").alias("doc_id"), "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+                    *[F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")], "near_edited", "near_next")
+
+
+ORACLES["op11_fingerprints"] = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+  row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS r, count(*) OVER () AS rows FROM documents),
+e AS (SELECT a.doc_id, a.r, b.r AS f, a.t, length(a.t) AS n, left(a.t, length(a.t) - length(a.t) // 2) || left(b.t, length(a.t) // 2) AS u
+  FROM d a JOIN d b ON b.r = (a.r + 1) % a.rows),
+v AS (SELECT r, 0 AS k, t FROM e UNION ALL SELECT r, 1, u FROM e),
+p AS (SELECT r, k, unnest(regexp_extract_all(t, '[^.!?\n]*[.!?\n]+|[^.!?\n]+')) AS p FROM v),
+q AS (SELECT r, k, (row_number() OVER (PARTITION BY r, k, p) - 1)::VARCHAR || ':' || p AS p FROM p),
+g AS MATERIALIZED (SELECT r, k, ('0x' || substr(md5(p), 1, 16))::UBIGINT AS key FROM q),
+s AS (SELECT r, k, j * 5 + ((key >> (16 * j)) & 4294967295) % 5 AS cell, key,
+  (((key >> 32) * (key & 4294967295)) >> 16) & 4294967295 AS ch FROM g, (SELECT unnest([0, 1, 2])::UBIGINT AS j)),
+c AS (SELECT r, k, cell, count(*) AS n, bit_xor(key) AS key, bit_xor(ch) AS ch FROM s GROUP BY r, k, cell),
+h AS (SELECT v.r, v.k, string_agg(lower(lpad(hex(coalesce(n, 0)), 8, '0') || lpad(hex(coalesce(key, 0)), 16, '0') ||
+  lpad(hex(coalesce(ch, 0)), 8, '0')), '' ORDER BY x.cell) AS fp FROM v JOIN (SELECT unnest(range(15)) AS cell) x ON true
+  LEFT JOIN c ON c.r = v.r AND c.k = v.k AND c.cell = x.cell GROUP BY v.r, v.k),
+z AS (SELECT v.r, v.k, count(key) AS n FROM v LEFT JOIN g USING (r, k) GROUP BY v.r, v.k),
+w AS (SELECT e.r, 1 AS k, count(*) AS met FROM e JOIN g a ON a.r = e.r AND a.k = 0 JOIN g b ON b.r = e.r AND b.k = 1 AND b.key = a.key GROUP BY e.r
+  UNION ALL SELECT e.r, 0, count(*) AS met FROM e JOIN g a ON a.r = e.r AND a.k = 0 JOIN g b ON b.r = e.f AND b.k = 0 AND b.key = a.key GROUP BY e.r),
+l AS (SELECT e.r, y.k, CASE WHEN m.n + o.n = 0 THEN 1 ELSE coalesce(met, 0) / (m.n + o.n - coalesce(met, 0)) END::DOUBLE AS near
+  FROM e JOIN (SELECT unnest([0, 1]) AS k) y ON true JOIN z m ON m.r = e.r AND m.k = 0
+  JOIN z o ON o.k = y.k AND o.r = CASE WHEN y.k = 1 THEN e.r ELSE e.f END LEFT JOIN w ON w.r = e.r AND w.k = y.k)
+SELECT e.doc_id, e.n::BIGINT AS n_chars, sha256(e.u) AS edited_sha256, a.fp AS fingerprint, b.fp AS edited_fingerprint,
+  x.near AS near_edited, y.near AS near_next
+FROM e JOIN h a ON a.r = e.r AND a.k = 0 JOIN h b ON b.r = e.r AND b.k = 1
+  JOIN l x ON x.r = e.r AND x.k = 1 JOIN l y ON y.r = e.r AND y.k = 0"""
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Code and error of every vector, the error of its label, and a digest of the codebooks."""
+    coded, books = codes.compress(read(spark, sf, "embeddings"), columns=["vec_id", "label"])
+    return codes.label_errors(coded).select("row.vec_id", "code", "error", "label_error",
+                                            F.lit(codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    near = ("SELECT p.vec_id, p.part, min({{'d': p.xx + b.yy - 2 * list_dot_product(p.x, b.y), 'e': b.e}}) AS m "
+            "FROM p JOIN b{r} b USING (part) GROUP BY p.vec_id, p.part")
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""a{r} AS MATERIALIZED ({near.format(r=r)}),
+s{r} AS (SELECT part, m.e AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{r} JOIN p USING (vec_id, part), (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM p))) AS i) GROUP BY part, m.e, i),
+m{r} AS (SELECT part, e, list(((s - ((s % n) + n) % n) / n)::BIGINT::DOUBLE ORDER BY i) AS y FROM s{r} GROUP BY part, e),
+b{r + 1} AS MATERIALIZED (SELECT *, list_dot_product(y, y) AS yy FROM (SELECT b.part, b.e, coalesce(m{r}.y, b.y) AS y FROM b{r} b LEFT JOIN m{r} USING (part, e)))""")
+    return f"""WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (SELECT *, list_dot_product(x, x) AS xx FROM (SELECT vec_id, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS x FROM k, (SELECT unnest(range(4)) AS part))),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x AS y, xx AS yy FROM p
+  WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 256)),
+{(","+chr(10)).join(steps)},
+z AS MATERIALIZED ({near.format(r=rounds)}),
+c AS (SELECT vec_id, string_agg(lower(lpad(hex(m.e), 2, '0')), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM z GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(y[i]::BIGINT::VARCHAR, ',' ORDER BY part, e, i)) AS sha FROM b{rounds}, (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM p))) AS i))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT sha FROM h) AS codebooks_sha256
+FROM c JOIN k USING (vec_id)"""
+
+
+ORACLES["op12_vector_codes"] = _codes_sql()
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with the totals of its subtree."""
+    return prefixes.trie(read(spark, sf, "conversations"))
+
+
+ORACLES["op13_prefix_trie"] = """WITH t AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS ms
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(c::VARCHAR, ''),
+  lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) ELSE xor(a >> 1, 3988292384 * (a & 1)) END),
+  4294967295) % 9 AS h FROM t),
+b AS (SELECT h.c, list_concat(coalesce(s.ms[1:h.h], []), h.ms[h.h + 1:]) AS ms FROM h LEFT JOIN t s ON s.c = h.c - h.c % 5),
+x AS (SELECT c, len(ms) AS n, d, ms[1:d] AS p FROM (SELECT *, unnest(range(0, len(ms) + 1)) AS d FROM b)),
+n AS MATERIALIZED (SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d) AS ends,
+  CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * octet_length(encode(p[d].t)) END AS saved FROM x GROUP BY d, p),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+m AS MATERIALIZED (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN k USING (p)),
+s AS (SELECT p[1:a] AS p, count(*) FILTER (kids = 0) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d::BIGINT AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.kids AS n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN s USING (p) LEFT JOIN n u ON m.d > 0 AND u.p = m.p[1:m.d - 1]"""
