@@ -1,22 +1,19 @@
 """Entropy and complexity features of the filled, ordered values of a window.
 
-Template matching never forms all pairs of a window: equal templates are merged with a count, the
-rest meet only inside neighbouring cells of a grid whose cell is as wide as the tolerance, and a
-one-dimensional range count is read off a running count over sorted values.
+Template matching never forms pairs of a window: equal templates are merged with a count, and those within the tolerance
+are counted by ranges of sorted values, one coordinate after the other (``ranges``); a one-dimensional range count is
+read off a running count.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.expr import KEYS, by, per, upto
-
-# cells are a hair wider than the tolerance, so that rounding cannot put a match two cells away
-CELL_MARGIN = 1.0 + 1e-9
+from pulsegrid.operators import ranges as R
 
 
 def _tolerant(o: DataFrame, keys: list[str], share_of_sd: float, absolute: bool = False) -> DataFrame:
@@ -36,36 +33,50 @@ def _templates(o: DataFrame, keys: list[str], share_of_sd: float, size: int, abs
         *keys, "n", "r", *names).agg(F.count("*").alias("c"))
 
 
-def _meet(tpl: DataFrame, keys: list[str], dims: int, near) -> DataFrame:
-    """Joins each template with those in its own and the neighbouring cells; right side is ``y*``."""
-    grid = min(dims, 2)
-    cell = [F.floor(F.col(f"x{k}") / (F.col("r") * CELL_MARGIN)) for k in range(grid)]
-    left = tpl.select("*", *[c.alias(f"c{k}") for k, c in enumerate(cell)])
-    size = sum(1 for name in tpl.columns if name.startswith("x"))
-    moves = F.array(*[F.struct(*[(c + F.lit(m)).alias(f"c{k}") for k, (c, m) in enumerate(zip(cell, move))])
-                      for move in product((-1, 0, 1), repeat=grid)])
-    right = tpl.select(*keys, *[F.col(f"x{k}").alias(f"y{k}") for k in range(size)],
-                       F.col("c").alias("d"), F.inline(moves))
-    on = keys + [f"c{k}" for k in range(grid)]
-    close = near(F.abs(F.col("x0") - F.col("y0")), F.col("r"))
-    for k in range(1, dims):
-        close = close & near(F.abs(F.col(f"x{k}") - F.col(f"y{k}")), F.col("r"))
-    return left.join(right, on).where(close)
-
-
 def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] = KEYS, absolute: bool = False) -> DataFrame:
-    """Sample and quadratic entropy, with a tolerance of ``rth`` deviations or ``absolute``; infinite when no match goes on, NULL when there is no match."""
-    met = _meet(_templates(o, keys, rth, m + 1, absolute), keys, m, lambda d, r: d < r)
-    goes_on = F.abs(F.col(f"x{m}") - F.col(f"y{m}")) < F.col("r")
-    weight = F.col("c") * F.col("d")
+    """Sample and quadratic entropy, with a tolerance of ``rth`` deviations or ``absolute``; infinite when no match goes on, NULL when there is no match.
+
+    Matches of the first ``m`` values (``b``) and of all ``m + 1`` (``a``) are counted coordinate by coordinate (``ranges``).
+    """
+    first, *rest = [f"x{k}" for k in range(m + 1)]
+    at = R.located(_templates(o, keys, rth, m + 1, absolute), keys, first, ["r", "n", "c", first, *rest], "<", both=False)
+    at = at.selectExpr("*", "p AS q", "0L AS a", f"{'2 * c * met' if m == 1 else '0L'} AS b")
+    blocks, roles = list(keys), {"done": "b > 0"}
+    for depth, x in enumerate(rest, 1):
+        left = rest[depth - 1:]
+        rows = R.running(R.dealt(at, blocks, x, ["r", "n", "c", "q", "a", "b", *left], "<", **roles), blocks, "c", left)
+
+        def counted(name: str, compared: list[str], last: int) -> str:
+            """What a row adds to the count ``name``, which the blocks of depth ``last`` have decided."""
+            out = f"CASE WHEN kind = {R.DONE} THEN {name}"
+            if depth <= last:
+                out += f" WHEN kind = {R.SINGLE} THEN IF({' AND '.join([R.close(y, f'mate.{y}', '<') for y in compared]) or 'true'}, 2 * c * mate.c, 0)"
+            if depth == 1:  # every template meets its copies; each other pair is counted once, from the one that sorts first
+                out += f" WHEN kind = {R.POINT} AND k = 0 THEN c * c"
+            if depth == last:
+                out += f" WHEN kind = {R.CLOSE} THEN 2 * c * sums WHEN kind = {R.OPEN} THEN -2 * c * sums"
+            return f"CAST({out} ELSE 0 END AS BIGINT) AS {name}"
+
+        sums = [counted("a", left, m), counted("b", left[:-1], m - 1)]
+        if depth == m:
+            at = rows.selectExpr(*keys, "r", "n", *sums)
+            break
+        alone = f"kind IN ({R.SINGLE}, {R.DONE}) OR k = 0"  # nothing follows in such blocks but their counts
+        rows = rows.selectExpr(
+            *blocks, f"k AS k{depth}", f"j AS j{depth}", "r", "n", f"CASE WHEN {alone} THEN 'done' WHEN kind = {R.POINT} THEN 'point' ELSE 'asks' END AS role",
+            *[f"IF({alone}, NULL, {c}) AS {c}" for c in ("c", "q", *left[1:])], "kind", "below", *sums)
+        blocks += [f"k{depth}", f"j{depth}"]
+        of = lambda kind: f"max(CASE WHEN kind = {kind} THEN below END)"
+        at = rows.groupBy(*blocks, "r", "n", "role", "c", "q", *left[1:]).agg(*[F.expr(e) for e in (
+            f"{of(R.POINT)} - 1 AS p", f"{of(R.OPEN)} AS lo", f"{of(R.CLOSE)} AS hi", "sum(a) AS a", "sum(b) AS b")])
+        at = at.withColumn("top", F.expr(f"max(CASE WHEN role = 'asks' THEN {R.levels('lo', 'hi')} END)").over(per(blocks)))
+        roles = {"point": "role = 'point'", "asks": "role = 'asks'", "done": "a <> 0 OR b <> 0"}
     own = F.max("n") - m  # every template meets itself once
-    counted = met.groupBy(*keys).agg(
-        (F.sum(F.when(goes_on, weight).otherwise(F.lit(0))) - own).alias("a"),
-        (F.sum(weight) - own).alias("b"), F.max("r").alias("r"))
+    totals = at.groupBy(*keys).agg((F.sum("a") - own).alias("a"), (F.sum("b") - own).alias("b"), F.max("r").alias("r"))
     entropy = F.when(F.col("b") == 0, F.lit(None)).when(F.col("a") == 0, F.lit(float("inf"))).otherwise(
         -F.ln(F.nullif(F.col("a"), F.lit(0)) / F.nullif(F.col("b"), F.lit(0))))
-    return counted.select(*keys, entropy.alias("en_sample_entropy"),
-                          (entropy + F.ln(2 * F.col("r"))).alias("en_quadratic_entropy"))
+    return totals.select(*keys, entropy.alias("en_sample_entropy"),
+                         (entropy + F.ln(2 * F.col("r"))).alias("en_quadratic_entropy"))
 
 
 def _range_counts(o: DataFrame, rth: float) -> DataFrame:
@@ -86,10 +97,10 @@ def approximate_entropy(o: DataFrame, rth: float = 0.2) -> DataFrame:
     """Approximate entropy with template lengths 1 and 2."""
     one = _range_counts(o, rth).groupBy(*KEYS).agg(
         F.avg(F.ln(F.col("hits") / F.col("n"))).alias("phi1"))
-    met = _meet(_templates(o, KEYS, rth, 2), KEYS, 2, lambda d, r: d <= r)
-    # the cells stay in the key, so this groups where the join already put the rows
-    hits = met.groupBy(*KEYS, "c0", "c1", "x0", "x1").agg(
-        F.sum("d").alias("hits"), F.max("c").alias("c"), (F.max("n") - 1).alias("m"))
+    at = R.located(_templates(o, KEYS, rth, 2), KEYS, "x0", ["r", "n", "c", "x0", "x1"], "<=", both=True)
+    rows = R.running(R.dealt(at.withColumn("q", F.col("p")), KEYS, "x1", ["r", "n", "c", "q", "x1"], "<="), KEYS, "c", ["x1"])
+    met = F.expr(f"CASE kind WHEN {R.SINGLE} THEN IF({R.close('x1', 'mate.x1', '<=')}, mate.c, 0) WHEN {R.CLOSE} THEN sums WHEN {R.OPEN} THEN -sums ELSE 0 END")
+    hits = rows.groupBy(*KEYS, "q").agg(F.sum(met).alias("hits"), F.max("c").alias("c"), (F.max("n") - 1).alias("m"))
     two = hits.groupBy(*KEYS).agg(
         (F.sum(F.col("c") * F.ln(F.col("hits") / F.col("m"))) / F.max("m")).alias("phi2"))
     return one.join(two, KEYS).select(*KEYS, (F.col("phi1") - F.col("phi2")).alias("en_apen"))
