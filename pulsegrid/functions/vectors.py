@@ -7,8 +7,6 @@ is shuffled after the array has been built, and no pairs of rows are made.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +23,30 @@ def vectors(o: DataFrame, keys: list[str] = KEYS) -> DataFrame:
         "ds", F.transform("xs", lambda x: x - F.col("mu")))
 
 
+#: Items after which a list that grows inside an expression is put aside.
+FOLD = 256
+
+
+def states_before(items: Column, zero: Column, step, kind: str = "bigint") -> Column:
+    """The state before each item of an array, for a state of type ``kind`` that starts as ``zero`` and becomes ``step(state, item)``.
+
+    A first fold keeps the states at the starts of blocks, a second the states inside each block, so no list that is copied
+    at every step grows beyond a block or the number of blocks.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+    pair = lambda at, out: F.struct(at.cast(kind).alias("at"), out.alias("out"))
+
+    def states(xs: Column) -> Column:
+        block = lambda b: F.slice(xs, b * FOLD + 1, F.lit(FOLD))
+        blocks = F.sequence(F.lit(0), F.greatest(F.floor((F.size(xs) - 1) / FOLD).cast("int"), F.lit(0)))
+        starts = F.aggregate(blocks, pair(zero, empty), lambda acc, b: pair(
+            F.aggregate(block(b), acc["at"], lambda q, x: step(q, x).cast(kind)), F.concat(acc["out"], F.array(acc["at"]))), lambda acc: acc["out"])
+        return F.flatten(F.transform(starts, lambda start, b: F.aggregate(block(b), pair(start, empty), lambda acc, x: pair(
+            step(acc["at"], x), F.concat(acc["out"], F.array(acc["at"]))), lambda acc: acc["out"])))
+
+    return F.transform(F.array(items), states)[0]
+
+
 def lag_dot(xs: Column, n: Column, k) -> Column:
     """Sum of x[j] * x[j + k] over the positions where both exist; NULL when the lag is too long."""
     total = F.aggregate(F.sequence(F.lit(0), n - 1 - k), F.lit(0.0),
@@ -43,58 +65,6 @@ def first_zero(ds: Column, n: Column) -> Column:
     return F.when((n >= 3) & (hit > 0), hit).otherwise(n)
 
 
-def _first_rise(value, n: Column, most: Column) -> Column:
-    """First lag whose ``value(k)`` is below both neighbours', or 1 if it rises at once, else n; lags up to ``most``."""
-    def step(acc, k):
-        cur = value(k)
-        hit = (acc["a"] > acc["b"]) & (acc["b"] < cur)
-        return F.when(acc["found"] > 0, acc).otherwise(F.struct(
-            acc["b"].alias("a"), cur.alias("b"),
-            F.when(hit, k - 1).otherwise(F.lit(0)).alias("found")))
-
-    start = F.struct(value(F.lit(1)).alias("a"), value(F.lit(2)).alias("b"), F.lit(0).alias("found"))
-    later = F.aggregate(F.sequence(F.lit(3), most), start, step, lambda acc: acc["found"])
-    rises = value(F.lit(2)) > value(F.lit(1))
-    return (F.when((n >= 4) & (most >= 2) & rises, F.lit(1))
-            .when((n >= 5) & (most >= 3) & (later > 0), later).otherwise(n))
-
-
-def first_minimum(ds: Column, n: Column) -> Column:
-    """First local minimum of the autocorrelation, else n. ``ds`` must be centred."""
-    return _first_rise(lambda k: lag_dot(ds, n, k), n, n - 2)
-
-
-def slice_pearson(ds: Column, n: Column, k) -> Column:
-    """Pearson correlation of the values with those ``k`` positions later; NULL without variance."""
-    zero = F.struct(*[F.lit(0.0).alias(c) for c in ("a", "b", "aa", "bb", "ab")])
-    return F.aggregate(
-        F.sequence(F.lit(0), n - 1 - k), zero,
-        lambda s, j: F.struct((s["a"] + ds[j]).alias("a"), (s["b"] + ds[j + k]).alias("b"),
-                              (s["aa"] + ds[j] * ds[j]).alias("aa"),
-                              (s["bb"] + ds[j + k] * ds[j + k]).alias("bb"),
-                              (s["ab"] + ds[j] * ds[j + k]).alias("ab")),
-        lambda s: F.try_divide(
-            s["ab"] - s["a"] * s["b"] / (n - k),
-            F.sqrt((s["aa"] - s["a"] * s["a"] / (n - k)) * (s["bb"] - s["b"] * s["b"] / (n - k)))))
-
-
-def first_minimum_of_information(ds: Column, n: Column, delays: int | None = None) -> Column:
-    """First local minimum of the Gaussian mutual information, else n; it grows with the squared correlation."""
-    def squared(k):
-        return F.transform(F.array(slice_pearson(ds, n, k)), lambda r: r * r)[0]
-
-    return _first_rise(squared, n, n - 2 if delays is None else F.least(n - 2, F.lit(delays)))
-
-
-def first_below(ds: Column, n: Column, level: float = 1 / math.e) -> Column:
-    """First lag whose slice-wise Pearson correlation is below ``level``, else n."""
-    # one point (n - k = 1) has no correlation
-    hit = F.aggregate(
-        F.sequence(F.lit(1), n - 2), F.lit(0),
-        lambda found, k: F.when(found > 0, found).when(slice_pearson(ds, n, k) < level, k).otherwise(F.lit(0)))
-    return F.when((n >= 3) & (hit > 0), hit).otherwise(n)
-
-
 def mean_of(xs: Column) -> Column:
     """Mean of an array; NULL when empty."""
     return F.try_divide(F.aggregate(xs, F.lit(0.0), lambda a, x: a + x), F.size(xs))

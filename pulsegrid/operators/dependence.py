@@ -40,34 +40,13 @@ def slice_correlation(led: DataFrame, lags: Iterable[int] = range(1, 6)) -> Data
         *[pearson(F.col("x"), F.col(f"x{k}")).alias(f"co_slicecorr_lag_{k}") for k in lags])
 
 
-def first_lags(vec: DataFrame) -> DataFrame:
-    """First zero, first minimum and first lag under 1/e of the autocorrelation."""
-    ds, n = F.col("ds"), F.col("n")
-    return vec.select(*KEYS, V.first_below(ds, n).alias("co_f1ecac"),
-                      V.first_minimum(ds, n).alias("co_firstmin"),
-                      V.first_zero(ds, n).alias("co_firstzero"))
+def lagged_products(led: DataFrame, powers: range = range(1, 5)) -> DataFrame:
+    """Generalised self-correlation, third-order correlation and time-reversal asymmetry at the window's own lag.
 
-
-def first_minimum_of_information(vec: DataFrame, delays: int | None = None) -> DataFrame:
-    """First local minimum of the Gaussian mutual information over all lags 1..n-2 (or up to ``delays``), else n."""
-    ds, n = F.col("ds"), F.col("n")
-    return vec.select(*KEYS, V.first_minimum_of_information(ds, n, delays).alias("co_firstmin_mi"))
-
-
-def lagged_products(vec: DataFrame, powers: range = range(1, 5), tau: Column | None = None) -> DataFrame:
-    """Generalised self-correlation, third-order correlation and time-reversal asymmetry.
-
-    All use the window's own lag (its first zero unless given). Triples ``(x[j], x[j+tau], x[j+2 tau])``
-    come from the array of the window, so nothing is joined or shuffled again.
+    ``led`` has the values one and two lags later as ``xtau`` and ``x2tau`` (``own_lag_leads``).
     """
-    lag = V.first_zero(F.col("ds"), F.col("n")) if tau is None else tau
-    at = vec.select(*KEYS, "n", "xs", lag.alias("tau"))
-    xs, step = F.col("xs"), F.col("tau")
-    triples = F.when(step < F.col("n"), F.transform(
-        F.sequence(F.lit(0), F.col("n") - 1 - step),
-        lambda j: F.struct(xs[j].alias("a"), xs[j + step].alias("b"), F.get(xs, j + 2 * step).alias("c"))))
-    long = at.select(*KEYS, F.inline_outer(triples)).withColumns(
-        {"p": F.abs("a"), "q": F.abs("b"), "dx": F.col("b") - F.col("a")})
+    both = "CASE WHEN xtau IS NOT NULL THEN x END"
+    long = led.selectExpr(*KEYS, f"{both} AS a", "xtau AS b", "x2tau AS c", f"abs({both}) AS p", "abs(xtau) AS q", "xtau - x AS dx")
 
     def pw(c: str, k: int) -> str:
         return " * ".join([c] * k)
@@ -104,20 +83,16 @@ def mutual_information(led: DataFrame, delays: Iterable[int] = (1,)) -> DataFram
         for k in delays])
 
 
-def mutual_information_at_zero(vec: DataFrame) -> DataFrame:
-    """Gaussian mutual information at the window's first zero of the autocorrelation."""
-    at = vec.select(*KEYS, "n", "xs", V.first_zero(F.col("ds"), F.col("n")).alias("tau"))
-    xs, step = F.col("xs"), F.col("tau")
-    pairs = F.when(step < F.col("n"), F.transform(
-        F.sequence(F.lit(0), F.col("n") - 1 - step),
-        lambda j: F.struct(xs[j].alias("a"), xs[j + step].alias("b"))))
-    return at.select(*KEYS, "tau", F.inline_outer(pairs)).groupBy(*KEYS).agg(
-        F.max("tau").alias("tau"),
-        _information(pearson(F.col("a"), F.col("b"))).alias("in_automutualinfo_tau"))
+def mutual_information_at_zero(led: DataFrame) -> DataFrame:
+    """Gaussian mutual information at the window's own lag, from rows with ``xtau`` (``own_lag_leads``)."""
+    return led.groupBy(*KEYS).agg(F.max("tau").alias("tau"), _information(pearson(F.col("x"), F.col("xtau"))).alias("in_automutualinfo_tau"))
+
 
+def embedding_density(led: DataFrame, tau: int | str = 5, scale: float = 1.0) -> DataFrame:
+    """Shares of points near diagonals, parabolas, rings and discs in the plane (x[j], x[j + tau]).
 
-def embedding_density(led: DataFrame, tau: int = 5, scale: float = 1.0) -> DataFrame:
-    """Shares of points near diagonals, parabolas, rings and discs in the plane (x[j], x[j + tau])."""
+    ``tau="tau"`` takes the window's own lag, from ``own_lag_leads``.
+    """
     d = led.select(*KEYS, "x", F.col(f"x{tau}").alias("z")).where(F.col("z").isNotNull())
     x, z = F.col("x"), F.col("z")
     r2 = x * x + z * z

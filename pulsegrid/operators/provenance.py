@@ -29,8 +29,27 @@ def reach(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     return pairs
 
 
+#: Rounds after which the pairs found so far are written to one table.
+MERGE = 16
+
+
 def supports(edges: DataFrame, starts: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """``(start, item, depth)``: all items reached from each start, or those within ``max_depth`` steps if given."""
-    first = starts.select("start").distinct()
-    found = reach(edges, max_depth)
-    return first.join(found, first["start"] == found["item"]).select("start", F.col("next").alias("item"), "depth")
+    """``(start, item, depth)``: all items reached from each start by the shortest way, or those within ``max_depth`` steps if given.
+
+    A frontier moves on from the starts, one step a round, and leaves out what it has visited, so what is read and written
+    is in proportion to what the starts reach; nothing else of the graph is closed. Rounds are as many as the longest shortest
+    way. Edges are merged and staged once, and frontiers are staged, so an item that very many starts reach, or with very
+    many edges, is split at run time. A start doesn't support itself; NULL items have no edges.
+    """
+    steps = staged(edges.select(F.col("src").alias("s_src"), F.col("dst").alias("next")).where("s_src <> next").distinct())
+    frontier = staged(starts.select("start", F.col("start").alias("item"), F.lit(0).cast("bigint").alias("depth")).where("start is not null").distinct())
+    visited, depth = frontier, 0
+    while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
+        depth += 1
+        ahead = frontier.join(steps, frontier["item"] == steps["s_src"]).select("start", F.col("next").alias("item")).distinct()
+        frontier = staged(ahead.join(visited.select("start", "item"), ["start", "item"], "left_anti").withColumn(
+            "depth", F.lit(depth).cast("bigint")))
+        visited = visited.unionByName(frontier)
+        if depth % MERGE == 0:
+            visited = staged(visited)
+    return visited.where("depth > 0")

@@ -79,8 +79,7 @@ def _slug(v: float) -> str:
 def moving_threshold(vec: DataFrame, gains=KICK_GAINS, decays=DECAYS) -> DataFrame:
     """A threshold that decays by ``b`` per step and is kicked to (1 + a)|x| by any value above it.
 
-    The fold keeps only the kicks. Between kicks the threshold is a known power of its decay, so its values
-    follow without a growing state.
+    The threshold before each value is folded block by block (``states_before``); kicks are the values above it.
     """
     plans = {f"a{_slug(a)}_b{_slug(b)}": (float(a), float(b)) for a in gains for b in decays}
     grid = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(tag).alias("tag"))
@@ -88,27 +87,21 @@ def moving_threshold(vec: DataFrame, gains=KICK_GAINS, decays=DECAYS) -> DataFra
     rows = vec.select(*KEYS, "n", F.transform("xs", lambda x: F.abs(x)).alias("ys"), F.inline(grid))
     ys, a, b, n = F.col("ys"), F.col("a"), F.col("b"), F.col("n")
 
-    def kick(i, v, jump):
-        return F.struct(i.alias("i"), v.alias("v"), jump.alias("jump"))
-
-    def step(acc, i):
-        up = (1 + a) * ys[i]
-        return F.when(ys[i] > acc["q"], F.struct(
-            up.alias("q"), F.concat(acc["kicks"], F.array(kick(i, up, up - acc["q"]))).alias("kicks"))
-        ).otherwise(F.struct(((1 - b) * acc["q"]).alias("q"), acc["kicks"].alias("kicks")))
-
-    start = F.struct(F.lit(1.0).alias("q"), F.array(kick(F.lit(0), F.lit(1.0), F.lit(0.0))).alias("kicks"))
-    folded = rows.where("n > 1").select(*KEYS, "tag", "b", "n", "ys", F.aggregate(
-        F.sequence(F.lit(1), n - 1), start, step, lambda acc: acc["kicks"]).alias("kicks"))
-    kicks = F.col("kicks")
-    spans = F.transform(kicks, lambda k, j: F.transform(
-        F.sequence(F.lit(0), F.coalesce(F.get(kicks["i"], j + 1), n) - k["i"] - 1),
-        lambda age: k["v"] * F.pow(1 - b, age)))
-    at = F.slice(kicks["i"], 2, F.size(kicks))
+    def moved(q, y):
+        return F.when(y > q, (1 + a) * y).otherwise((1 - b) * q)
+
+    later = F.slice(ys, 2, F.greatest(n - 1, F.lit(0)))
+    rows = rows.where("n > 1").select(*KEYS, "a", "b", "tag", "n", "ys", V.states_before(later, F.lit(1.0), moved, "double").alias("before"))
+    # q: the threshold after each value; the first is 1, and the last follows from what was before it
+    before = F.col("before")
+    rows = rows.select(*KEYS, "a", "tag", "n", "ys", "before", F.filter(F.sequence(F.lit(1), n - 1), lambda i: ys[i] > before[i - 1]).alias("at"),
+                       F.concat(before, F.array(moved(before[n - 2], ys[n - 1]))).alias("q"))
+    at = F.col("at")
+    jumps = F.transform(at, lambda i: (1 + a) * ys[i] - before[i - 1])
     gaps = F.transform(F.slice(at, 2, F.size(at)), lambda v, j: (v - at[j]).cast("double"))
-    state = folded.select(
-        *KEYS, "tag", "n", F.sort_array(F.flatten(spans)).alias("q"), F.sort_array(gaps).alias("gaps"),
-        V.mean_of(ys).alias("my"), V.mean_of(kicks["jump"]).alias("mj"), F.size(kicks).alias("nk"))
+    state = rows.select(  # the start counts as a kick without a jump
+        *KEYS, "tag", "n", F.sort_array("q").alias("q"), F.sort_array(gaps).alias("gaps"),
+        V.mean_of(ys).alias("my"), V.mean_of(F.concat(F.array(F.lit(0.0)), jumps)).alias("mj"), (F.size(at) + 1).alias("nk"))
     state = state.withColumns({"mq": V.mean_of(F.col("q")), "mg": V.mean_of(F.col("gaps"))})
     q, gaps = F.col("q"), F.col("gaps")
     out = {

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import names as N
 from pulsegrid.functions.expr import KEYS, combine
-from pulsegrid.functions.vectors import first_zero, vectors
-from pulsegrid.operators import density, dependence, distribution, entropy, symbolic, table, trend
-from pulsegrid.plans.leads import series_leads, window_leads
+from pulsegrid.functions.vectors import vectors
+from pulsegrid.operators import density, dependence, distribution, entropy, lags, symbolic, table, trend
+from pulsegrid.plans.leads import own_lag_leads, series_leads, window_leads
 from pulsegrid.plans.staging import staged
 from pulsegrid.plans.windows import observed, ordered, window_spine, windowed
 
@@ -26,8 +26,8 @@ def _groups(large: bool = False) -> dict:
         "trimmed": lambda r, b, o, v, l: (D.large_trimmed_means if large else D.trimmed_means)(r),
         "removed": lambda r, b, o, v, l: D.remove_points(r, "absfar", 0.5),
         "autocorrelation": lambda r, b, o, v, l: C.autocorrelation(l, exact_centre=not large),
-        "first_lags": lambda r, b, o, v, l: C.first_lags(v),
-        "lagged": lambda r, b, o, v, l: C.lagged_products(v, tau=F.col("tau")),
+        "first_lags": lambda r, b, o, v, l: lags.first_lags(o),
+        "lagged": lambda r, b, o, v, l: C.lagged_products(own_lag_leads(o, lags.first_lags(o, ["co_firstzero"]), "co_firstzero", 2)),
         "fit": lambda r, b, o, v, l: density.compare_fit(v),
         "season": lambda r, b, o, v, l: density.seasonal(v).drop("seasonal_r2"),
         "apen": lambda r, b, o, v, l: E.approximate_entropy(o),
@@ -50,9 +50,9 @@ def _groups(large: bool = False) -> dict:
 GROUPS = tuple(_groups())
 DISTRIBUTION_GROUPS = GROUPS[:5]
 # groups that read windows as arrays, and groups that read rows in order
-FROM_ARRAYS = ("first_lags", "lagged", "fit", "season", "threshold")
+FROM_ARRAYS = ("fit", "season", "threshold")
 FROM_ORDER = ("autocorrelation", "apen", "cid", "sampen", "information", "trend", "removed_far", "removed_close", "crinkle",
-              "motifs", "binary", "drift", *FROM_ARRAYS)
+              "motifs", "binary", "drift", "first_lags", "lagged", *FROM_ARRAYS)
 
 
 def selected(select: list[str] | None) -> list[str]:
@@ -72,8 +72,7 @@ def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
     constant one stops after the standard deviation. ``groups`` chooses what is computed, ``select`` keeps
     the columns of the named operators or features (groups without any of them are not built). Gates never depend on the choice.
 
-    ``stage`` (the default) writes the windows, and what several groups share of them (ranks, arrays with their first
-    zero), once to the shared folder and computes every group from there. ``large`` is for
+    ``stage`` (the default) writes the windows, and what several groups share of them (ranks, arrays), once to the shared folder and computes every group from there. ``large`` is for
     crowded windows: quantiles are bracketed by sketches and lag operators look ahead in the series.
     """
     wanted = selected(select)
@@ -88,12 +87,11 @@ def features(points: DataFrame, length: float = 600.0, step: float = 300.0,
     if several(FROM_ORDER):  # ranked once
         o = staged(o)
     vec = vectors(o)
-    vec = vec.withColumn("tau", first_zero(F.col("ds"), F.col("n")))  # the lag of several features
     if several(FROM_ARRAYS):
         vec = staged(vec)
     base = distribution.base(rows, large=large)
-    lags = range(1, 26)
-    led = series_leads(points, length, step, lags, impute) if large else window_leads(o, lags)
+    ahead = range(1, 26)
+    led = series_leads(points, length, step, ahead, impute) if large else window_leads(o, ahead)
     counts = win.groupBy(*KEYS).agg(
         F.count("*").alias("points"), F.count("y").alias("observations"), F.stddev_pop("y").alias("gate_sd"))
     builders = _groups(large)

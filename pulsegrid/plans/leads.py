@@ -51,3 +51,20 @@ def series_leads(points: DataFrame, length: float, step: float, lags: Iterable[i
     spread = spread_over_windows(led, length, step)
     return spread.select(*KEYS, "t", "x", "c", *[
         F.when(F.col(f"at{k}") <= F.col("edge"), F.col(f"x{k}")).alias(f"x{k}") for k in lags])
+
+
+def own_lag_leads(o: DataFrame, found: DataFrame, lag: str, times: int = 1) -> DataFrame:
+    """Rows of ``ordered(win)`` with ``tau``, the window's own lag (column ``lag`` of ``found``), and the values ``tau``, 2 ``tau``, ...
+    positions later as ``xtau``, ``x2tau``, ...: NULL past the end of the window.
+
+    Every row asks for the position it needs, and positions meet in equi-joins, so rows of a window may lie in any task.
+    """
+    keyed = o.join(found.select(*[F.col(k).alias(f"f_{k}") for k in KEYS], F.col(lag).alias("tau")),
+                   (F.col("series") == F.col("f_series")) & (F.col("w") == F.col("f_w")))
+    led = keyed.select(*KEYS, "i", "x", "tau")
+    for n in range(1, times + 1):
+        name = f"x{n if n > 1 else ''}tau"
+        there = o.select(*[F.col(k).alias(f"y_{k}") for k in KEYS], F.col("i").alias("y_i"), F.col("x").alias(name))
+        led = led.join(there, (F.col("series") == F.col("y_series")) & (F.col("w") == F.col("y_w"))
+                       & (F.col("i") + n * F.col("tau") == F.col("y_i")), "left").drop("y_series", "y_w", "y_i")
+    return led

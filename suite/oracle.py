@@ -266,7 +266,7 @@ def mutual_information_tau(kind: str = "user") -> str:
     return simple(e, f"FROM o_z LEFT JOIN sr USING (series, w) {G}", ctes)
 
 
-def embedding(kind: str = "scaled", tau: int = 5) -> str:
+def embedding(kind: str = "scaled", tau: int | str = 5, more: str = "", own: str = "") -> str:
     def sh(c):
         return f"avg(CASE WHEN {c} THEN 1.0 ELSE 0.0 END)"
     e = {}
@@ -281,8 +281,8 @@ def embedding(kind: str = "scaled", tau: int = 5) -> str:
     discs = {"incircle_01": 1, "incircle_02": 2, "incircle_05": 5, "incircle_1": 10, "incircle_2": 20, "incircle_3": 30}
     for nm, k in discs.items():
         e[nm] = sh(f"z * z + x * x < {k}")
-    ctes = windows(kind) + f""",
-em AS (SELECT a.series, a.w, a.x, b.x AS z FROM o a JOIN o b ON a.series = b.series AND a.w = b.w AND b.i = a.i + {tau}),
+    ctes = windows(kind) + more + f""",
+em AS (SELECT a.series, a.w, a.x, b.x AS z FROM o a {own} JOIN o b ON a.series = b.series AND a.w = b.w AND b.i = a.i + {tau}),
 e0 AS ({pick(e, f'FROM em {G}')})"""
     f = {f"co_embed2_{c}": c for c in e}
     f["co_embed2_ratdiag01"] = "updiag01 / nullif(downdiag01, 0)"
@@ -293,6 +293,11 @@ e0 AS ({pick(e, f'FROM em {G}')})"""
     return simple(f, "FROM e0", ctes)
 
 
+def embedding_tau(kind: str = "scaled") -> str:
+    """The same at the first zero of the window's autocorrelation; all NULL where the window is not longer."""
+    return embedding(kind, "z.tau", ", " + _acf_tables("o", "o"), "JOIN o_z z ON z.series = a.series AND z.w = a.w")
+
+
 def crinkle(kind: str = "user") -> str:
     ctes = windows(kind) + """,
 cr AS (SELECT series, w, x, x - mu AS d, lag(x - mu) OVER q AS b, lead(x - mu) OVER q AS f, lead(x) OVER q AS x1

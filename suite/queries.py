@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import names as N
 from pulsegrid.functions import vectors as V
 from pulsegrid.functions.vectors import vectors
-from pulsegrid.operators import density, dependence, distribution, entropy, provenance, symbolic, table, trend
+from pulsegrid.operators import density, dependence, distribution, entropy, lags, provenance, symbolic, table, trend
 from pulsegrid.plans import windows as W
-from pulsegrid.plans.leads import series_leads, window_leads
+from pulsegrid.plans.leads import own_lag_leads, series_leads, window_leads
 from pulsegrid.plans.features import DISTRIBUTION_GROUPS, GROUPS, correlate, features
 from pulsegrid.plans.staging import shared_folder
 from pulsegrid.sources import digest, series
@@ -121,6 +121,12 @@ def _windows_and_gates() -> None:
         f'SELECT series, w, time, observations AS "Observations", dn_mean AS "DN_Mean", dn_max AS "DN_Max" FROM ({published})',
         lambda s, d: features(points(s, d, "type"), *S.SPANS["type"], select=["DN_Mean", "DN_Max"], impute=False,
                               published=True))
+    plain = S.gated({"dn_mean": ("mu", True), "dn_std": ("sd", True), "dn_quantile_90": ("q90", False), "dn_cv_1": ("sd / nullif(mu, 0)", False)},
+                    "type", S.SPANS["type"])
+    add("plain_names", 'SELECT series, w, time, observations AS "Observations", dn_mean AS "mean", dn_std AS "std", dn_quantile_90 AS "Quantile 90", '
+        f'dn_cv_1 AS "DN_cv 1" FROM ({plain})',
+        lambda s, d: N.with_plain_names(features(points(s, d, "type"), *S.SPANS["type"], impute=False,
+                                                 select=["DN_Mean", "DN_std", "DN_Quantile_90", "DN_cv 1"])))
 
 
 DISTRIBUTION = {
@@ -180,18 +186,21 @@ def _dependence() -> None:
     on_series_leads("co_autocorr_slices", S.slice_correlation(kind="type"), C.slice_correlation, range(1, 6))
     on_leads("sub_acf", S.autocorrelation(range(1, 9)), lambda l: C.autocorrelation(l, range(1, 9)), range(1, 9))
     for name in ("co_firstzero", "co_firstmin", "co_f1ecac"):
-        on_vectors(name, S.first_lags([name]), lambda v, name=name: C.first_lags(v).select("series", "w", name))
-    on_vectors("co_firstmin_mi", S.first_minimum_mi(), C.first_minimum_of_information)
+        on_ordered(name, S.first_lags([name]), lambda o, name=name: lags.first_lags(o, [name]))
+        on_ordered(f"{name}_by_type", S.first_lags([name], "type"), lambda o, name=name: lags.first_lags(o, [name]), "type")
+    on_ordered("co_firstmin_mi", S.first_minimum_mi(), lambda o: lags.first_lags(o, ["co_firstmin_mi"]))
+    at_own_lag = lambda o, times=1, lag="co_firstzero": own_lag_leads(o, lags.first_lags(o, [lag]), lag, times)
     glscf = [f"co_glscf_{a}_{b}" for a in range(1, 5) for b in range(1, 5)]
-    on_vectors("co_glscf", S.lagged_products(glscf), lambda v: C.lagged_products(v).select("series", "w", *glscf))
+    on_ordered("co_glscf", S.lagged_products(glscf), lambda o: C.lagged_products(at_own_lag(o, 2)).select("series", "w", *glscf))
     both = ["co_tc3", "co_trev"]
-    on_vectors("co_tc3_trev", S.lagged_products(both), lambda v: C.lagged_products(v).select("series", "w", *both))
-    on_vectors("co_tc3_trev_mi", S.lagged_products_mi(both), lambda v: C.lagged_products(
-        v, tau=V.first_minimum_of_information(F.col("ds"), F.col("n"))).select("series", "w", *both))
+    on_ordered("co_tc3_trev", S.lagged_products(both), lambda o: C.lagged_products(at_own_lag(o, 2)).select("series", "w", *both))
+    on_ordered("co_tc3_trev_mi", S.lagged_products_mi(both), lambda o: C.lagged_products(
+        at_own_lag(o, 2, "co_firstmin_mi")).select("series", "w", *both))
     on_series_leads("in_automutualinfo", S.mutual_information([1, 2, 3], "type"),
                     lambda l: C.mutual_information(l, [1, 2, 3]), [1, 2, 3])
-    on_vectors("in_automutualinfo_tau", S.mutual_information_tau(), C.mutual_information_at_zero)
+    on_ordered("in_automutualinfo_tau", S.mutual_information_tau(), lambda o: C.mutual_information_at_zero(at_own_lag(o)))
     on_series_leads("co_embed2_basic", S.embedding(), C.embedding_density, [5], "scaled")
+    on_ordered("co_embed2_tau", S.embedding_tau(), lambda o: C.embedding_density(at_own_lag(o), "tau"), "scaled")
     on_series_leads("dk_crinkle_theilerq", S.crinkle("type"), C.crinkle_and_q, [1, 2])
     on_ordered("bf_embed", S.tidy(["i", "e0", "e1", "e2"], "SELECT a.series, a.w, a.i, a.x AS e0, b.x AS e1, c.x AS e2 "
                "FROM o a JOIN o b ON a.series = b.series AND a.w = b.w AND b.i = a.i + 2 "
@@ -210,6 +219,7 @@ def _entropy() -> None:
     E = entropy
     on_ordered("en_apen", S.apen(), E.approximate_entropy)
     on_ordered("en_sampen", S.sampen(), E.sample_entropy)
+    on_ordered("en_sampen_by_type", S.sampen("type"), E.sample_entropy, "type")
     on_ordered("en_sampen_absolute", S.sampen(rth=6.5, absolute=True), lambda o: E.sample_entropy(o, rth=6.5, absolute=True))
     on_ordered("en_mse_scales", S.mse_scales(), lambda o: E.multiscale_entropy(o)[0], "supplier", ("series", "w", "scale"))
     on_ordered("en_mse", S.mse(), lambda o: E.multiscale_entropy(o)[1], "supplier")
@@ -232,6 +242,7 @@ def _trend() -> None:
     on_ordered("sy_driftingmean_fix", S.drifting_mean("200", "type", long), lambda o: T.drifting_mean(o, "fix"), "type", span=long)
     on_ordered("sy_driftingmean_parts", S.drifting_mean("(n // 3)"), lambda o: T.drifting_mean(o, "num", 3))
     on_vectors("ex_movingthreshold", S.moving_threshold(), T.moving_threshold)
+    on_vectors("ex_movingthreshold_by_type", S.moving_threshold("type"), T.moving_threshold, "type")
     on_ordered("sc_hurstexp", S.hurst(), T.hurst_exponent)
     on_ordered("sc_dfa", S.dfa("sc_dfa", "t >= 5 AND t <= n // 2"), T.detrended_fluctuation)
     sizes = T.power_sizes()
@@ -404,6 +415,14 @@ def _records() -> None:
         "CAST(strlen(text) AS DOUBLE) AS bytes FROM documents",
         lambda s, d: digest.digests(s.read.parquet(f"{d}/documents.parquet"), "doc_id", "text"), ("item",))
 
+    def of_files(s, d):  # a file per supplier
+        path = shared_folder(s)
+        s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_name").write.partitionBy("s_suppkey").text(path)
+        return digest.file_digests(s, f"{path}/*/*.txt").withColumn("item", F.regexp_extract("item", "s_suppkey=([0-9]+)", 1))
+
+    add("file_digests", "SELECT CAST(s_suppkey AS VARCHAR) AS item, sha256(s_name || chr(10)) AS sha256, "
+        "CAST(strlen(s_name) + 1 AS DOUBLE) AS bytes FROM supplier", of_files, ("item",))
+
     def compare(s, d):
         docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
         new = docs.where("doc_id % 11 <> 0").withColumn(

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import names as N
 from pulsegrid.functions.vectors import vectors
-from pulsegrid.operators import density, dependence, distribution, entropy, symbolic, trend
+from pulsegrid.operators import density, dependence, distribution, entropy, lags, symbolic, trend
 from pulsegrid.plans import windows as W
 from pulsegrid.plans.features import features
-from pulsegrid.plans.leads import window_leads
+from pulsegrid.plans.leads import own_lag_leads, window_leads
 
 RNG = np.random.default_rng(7)
 SERIES = {
@@ -111,10 +111,10 @@ def test_remove_points(frames, how, p):
 
 
 def test_autocorrelation_and_first_lags(frames):
-    def lags(y):
+    def per_lag(y):
         a = acf(y)
         return {f"co_autocorr_lag_{k}": (a[k] if k < len(y) else None) for k in range(1, 26)}
-    check(dependence.autocorrelation(frames["led"]), lags)
+    check(dependence.autocorrelation(frames["led"]), per_lag)
 
     def first(y):
         a, n = acf(y), len(y)
@@ -133,7 +133,8 @@ def test_autocorrelation_and_first_lags(frames):
                 fe = k
                 break
         return {"co_firstzero": zero(y), "co_firstmin": fm, "co_f1ecac": fe}
-    check(dependence.first_lags(frames["vec"]), first)
+    check(lags.first_lags(frames["o"]), first)
+    check(lags.first_lags(frames["o"], block=4), first)
 
 
 def test_lagged_products(frames):
@@ -153,7 +154,8 @@ def test_lagged_products(frames):
         else:
             out["co_tc3"] = None
         return out
-    check(dependence.lagged_products(frames["vec"]), expected, 1e-6)
+    found = lags.first_lags(frames["o"], ["co_firstzero"])
+    check(dependence.lagged_products(own_lag_leads(frames["o"], found, "co_firstzero", 2)), expected, 1e-6)
 
 
 def test_entropies(frames):

@@ -123,3 +123,14 @@ def test_correlation_leaves_out_missing_pairs(spark):
     rows = [("s", i, float(i), float(i) if i % 2 else None, float(i % 3)) for i in range(40)]
     got = {(r.f1, r.f2): r.r for r in table.correlation(spark.createDataFrame(rows, "series string, w int, a double, b double, c double")).collect()}
     assert abs(got["a", "b"] - 1) < 1e-12 and abs(got["b", "b"] - 1) < 1e-12
+
+
+def test_closure_leaves_out_what_no_start_reaches(spark, monkeypatch):
+    """2,000 items meet in a hub, and one of them is a start: what is written is what it reaches, and a cycle ends."""
+    edges = [(f"a{i}", "hub") for i in range(2000)] + [("hub", "x"), ("x", "y"), ("y", "hub")] + [(f"b{i}", f"b{i + 1}") for i in range(30)]
+    written, keep = [], provenance.staged
+    monkeypatch.setattr(provenance, "staged", lambda df, *a: (lambda out: (written.append((out.columns, out.count())), out)[1])(keep(df, *a)))
+    df = spark.createDataFrame(edges, "src string, dst string")
+    got = provenance.supports(df, spark.createDataFrame([("a5",), ("b28",), (None,), ("none",)], "start string")).collect()
+    assert sorted(tuple(r) for r in got) == [("a5", "hub", 1), ("a5", "x", 2), ("a5", "y", 3), ("b28", "b29", 1), ("b28", "b30", 2)]
+    assert sum(n for columns, n in written if "start" in columns) == 3 + 5
