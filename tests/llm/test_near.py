@@ -44,6 +44,19 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
+    """A sorted chain of 1,024 links, and one whose numbers are shuffled."""
+    from pulsegrid.llm import components as module
+
+    rounds, rooted = [], module._rooted
+    monkeypatch.setattr(module, "_rooted", lambda p: (rounds.append(1), rooted(p))[1])
+    for names in (list(range(1025)), random.Random(3).sample(range(5000), 1025)):
+        rounds.clear()
+        pairs = list(zip(names, names[1:]))
+        got = {x.node: x.component for x in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+        assert got == dict.fromkeys(names, min(names)) and len(rounds) <= 12
+
+
 def plain_fingerprint(t):
     w = WORD.findall(t.translate(LOWER))
     if not w:
