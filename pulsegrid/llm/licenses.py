@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.vectors import states_before
 from pulsegrid.llm.common import packed, text_of
 from pulsegrid.llm.spans import match_spans
 
@@ -142,19 +143,17 @@ def _detections(words: Column) -> Column:
 
 
 GATES = "array<struct<key:string,rules:array<struct<rank:int,label:string,regex:string,notice:array<string>,base:boolean>>>>"
-DETECTION = "array<struct<start:bigint,stop:bigint,rank:int,label:string,base:boolean>>"
 
 
 def _unsuppressed(found: Column) -> Column:
     """Without detections that lie inside another; of equal intervals the strongest rule stays. Base phrases stay."""
     ordered = F.transform(F.sort_array(F.transform(found, lambda d: F.struct(
         d["start"].alias("a"), (-d["stop"]).alias("b"), d["rank"].alias("c"), d.alias("d")))), lambda s: s["d"])
-    zero = F.struct(F.lit(-1).cast("bigint").alias("reach"), F.array().cast(DETECTION).alias("out"))
-    step = lambda acc, d: F.struct(
-        F.greatest(acc["reach"], d["stop"]).alias("reach"),
-        F.when((d["stop"] > acc["reach"]) | d["base"], F.concat(acc["out"], F.array(d))).otherwise(acc["out"])
-        .cast(DETECTION).alias("out"))
-    return F.aggregate(ordered, zero, step, lambda acc: acc["out"])
+    def standing(ds: Column) -> Column:
+        reach = states_before(ds, F.lit(-1), lambda r, d: F.greatest(r, d["stop"]))
+        return F.transform(F.array(reach), lambda before: F.filter(ds, lambda d, i: (d["stop"] > before[i]) | d["base"]))[0]
+
+    return F.transform(F.array(ordered), standing)[0]
 
 
 def license_scan(docs: DataFrame, text: str = "text", columns=None) -> DataFrame:

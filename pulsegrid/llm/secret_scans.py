@@ -9,6 +9,7 @@ from re import _parser as P
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.vectors import FOLD, states_before
 from pulsegrid.llm.common import packed, row_key, staged, text_of
 from pulsegrid.llm.spans import match_spans
 
@@ -167,13 +168,22 @@ def redact(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     Texts without secrets, NULL among them, stay as they were.
     """
     scan = secret_scan(docs, text=text, **options)
-    t, spans = F.col("t"), F.col("spans")
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-    step = lambda acc, s: F.struct(
-        F.when(s["start"] >= acc["at"], F.concat(
-            acc["out"], F.substring(t, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit("[secret]")))
-        .otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], s["stop"]).alias("at"))
-    clean = F.aggregate(spans, zero, step, lambda acc: F.concat(
-        acc["out"], F.substring(t, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    spans = F.col("spans")
+    reach = states_before(spans, F.lit(0), lambda r, s: F.greatest(r, s["stop"]))
+    scan = scan.select("*", F.array_max(F.transform(spans, lambda s: s["stop"])).alias("end"), F.transform(F.array(reach), lambda before: F.filter(
+        F.transform(spans, lambda s, i: F.struct(before[i].alias("at"), s["start"].alias("start"))), lambda s: s["start"] >= s["at"]))[0].alias("runs"))
+
+    def cut(chunk: Column, at: Column, stop: Column) -> Column:
+        return F.substring(chunk, (at + 1).cast("int"), (stop - at).cast("int"))
+
+    def kept(runs: Column) -> Column:
+        """The text before each run, read from one part of the text for every block of runs."""
+        first, last = runs[0]["at"], F.element_at(runs, -1)["start"]
+        return F.transform(F.array(cut(F.col("t"), first, last)), lambda chunk: F.transform(
+            runs, lambda s: cut(chunk, s["at"] - first, s["start"] - first)))[0]
+
+    blocks = F.sequence(F.lit(0), F.greatest(F.floor((F.size("runs") - 1) / FOLD).cast("int"), F.lit(0)))
+    before = F.flatten(F.transform(blocks, lambda b: F.transform(F.array(F.slice("runs", b * FOLD + 1, F.lit(FOLD))), kept)[0]))
+    clean = F.array_join(F.concat(before, F.array(F.substring(F.col("t"), (F.col("end") + 1).cast("int"), F.lit(2**31 - 1)))), "[secret]")
     new = F.when(F.size(spans) > 0, clean).otherwise(F.col("row")[text])
     return scan.select(*[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -226,3 +227,18 @@ def test_query_equals_sql(spark, name):
 def test_native_plans_have_no_python(spark, name):
     plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_very_many_matches_in_one_text(spark):
+    """100,000 matches in a text: time grows with their number, and places, labels and redaction are right."""
+    n = 100_000
+    secret = "".join(f'password = "abcd{i:06d}" x' for i in range(n))
+    spaced = "all rights reserved under mit license x " * n
+    d = spark.createDataFrame([(1, secret)], "doc_id long, text string")
+    begun = time.time()
+    spans = secret_scans.secret_scan(d).select("spans").first().spans
+    assert [(s.start, s.stop) for s in spans] == [m.span() for m in re.finditer(r'password = "abcd\d{6}', secret)]
+    assert secret_scans.redact(d).first().text == re.sub(r'password = "abcd\d{6}', "[secret]", secret)
+    found = licenses.digest(licenses.license_scan(spark.createDataFrame([(1, spaced)], "doc_id long, text string"), columns=["doc_id"])).first()
+    assert (found.n_words, found.n_base, found.first_word, found.last_word, found.labels) == (7 * n, n, 0, 7 * n - 7, "mit,reserved")
+    assert time.time() - begun < 60  # a tenth as many took longer when the time grew with the square
