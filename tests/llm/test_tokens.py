@@ -141,3 +141,45 @@ def test_sharding_gathers_groups_and_splits_a_hot_one(spark):
     small = [c for c in where.values() if c is not hot]
     together = sum(max(c.values()) for c in small) / sum(sum(c.values()) for c in small)
     assert together > 0.6 and max(hot.values()) > 1.5 * 2000 / 8  # dealt at random, 1/8 of either stands together
+
+
+def cut_share(out, texts):
+    """Of all pairs of documents with equal texts, the share that lies in two shards."""
+    groups = {}
+    for r in out:
+        groups.setdefault(texts[r.id], []).append(r.shard)
+    pairs = lambda n: n * (n - 1) // 2
+    every = sum(pairs(len(x)) for x in groups.values())
+    return 1 - sum(pairs(n) for x in groups.values() for n in Counter(x).values()) / max(every, 1)
+
+
+def test_equal_texts_stay_together(spark):
+    """Where no group exceeds a shard: hardly a pair is cut. A group with a third of all rows fills three of eight shards."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    out = sharding.shard(docs).collect()
+    check_shards(out, 16)
+    assert cut_share(out, texts) <= 0.02
+    sizes = [120, 110, 90] + [40] * 8 + [7] * 20  # all shards hold 125
+    texts = dict(enumerate(f"text {k}" for k, n in enumerate(sizes) for _ in range(n)))
+    texts |= {i: f"single {i}" for i in range(len(texts), 1000)}
+    out = sharding.shard(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 8).collect()
+    check_shards(out, 8)
+    assert cut_share(out, texts) <= 0.02
+    texts = {i: "hot" if i % 3 == 0 else f"text {i // 4}" for i in range(6000)}
+    out = sharding.shard(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 8).collect()
+    check_shards(out, 8)
+    hot = Counter(r.shard for r in out if texts[r.id] == "hot")
+    assert len(hot) <= 4 and cut_share([r for r in out if texts[r.id] != "hot"], texts) <= 0.02
+
+
+def test_documents_that_share_lines_move_together(spark):
+    """Families of different texts with lines in common: most end in one shard, where by chance an eighth would."""
+    line = lambda k, i: f"a long enough line of family {k} with number {i} in it"
+    texts = {k * 20 + m: "\n".join([line(k, i) for i in range(6) if (m + i) % 5] + [f"own line {k} {m} that nobody else has in his text"])
+             for k in range(60) for m in range(20)}
+    out = sharding.shard(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 8).collect()
+    check_shards(out, 8)
+    shard = {r.id: r.shard for r in out}
+    together = sum(max(Counter(shard[k * 20 + m] for m in range(20)).values()) for k in range(60))
+    assert together > 0.6 * len(texts)
