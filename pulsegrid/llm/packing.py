@@ -14,6 +14,8 @@ from pulsegrid.llm.common import staged, text_of
 
 #: Tokens per unit of length in the linear program, and pieces in which documents of a length are ranked.
 UNIT, BUCKETS = 16, 256
+#: Pieces shorter than 1 / SHORT of a sequence are bundled to nearly whole ones, in buckets of about BUNDLES sequences.
+SHORT, BUNDLES = 32, 64
 
 #: What str.split() takes for white space though Unicode doesn't.
 MORE_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -180,24 +182,53 @@ def plan(demand: dict[int, int], room: int) -> list[tuple[int, int, int, int, in
     return out
 
 
+def _bundled(cut: DataFrame, length: int) -> DataFrame:
+    """The pieces with bucket ``b``, number of their ``bundle`` (NULL for a long piece), ``item_length`` of the bundle or of the
+    piece itself, and ``opens``: 1 for a long piece and for the first of a bundle, else 0. Staged.
+
+    Short pieces of about equal length, up to a power of two, are laid end to end in buckets; those that begin in the same
+    stretch are a bundle. A stretch is so much less than a sequence that the last piece still fits.
+    """
+    none = F.lit(None).cast("bigint")
+    long = cut.where(F.col("length") >= length // SHORT).select(
+        "*", F.pmod(F.xxhash64("id", "start"), F.lit(BUCKETS)).cast("int").alias("b"), none.alias("place"), none.alias("bundle"),
+        F.col("length").alias("item_length"), F.lit(1).alias("opens"))
+    short = cut.where(F.col("length") < length // SHORT).withColumn("bits", F.length(F.bin("length")))
+    tokens = {r.bits: r.n for r in short.groupBy("bits").agg(F.sum("length").alias("n")).collect()}  # a row per power of two
+    parts = F.lit(1).cast("bigint")
+    for bits, n in tokens.items():
+        parts = F.when(F.col("bits") == bits, F.lit(1 + n // (BUNDLES * length)).cast("bigint")).otherwise(parts)
+    short = short.withColumn("place", F.pmod(F.xxhash64("id", "start"), parts))
+    at = F.expr("sum(length) over (partition by bits, place order by id, start, crc rows between unbounded preceding and current row) - length")
+    stretch = F.lit(length + 2) - F.call_function("shiftleft", F.lit(1), F.col("bits"))
+    short = short.withColumn("bundle", F.floor(at / stretch))
+    one = "partition by bits, place, bundle"
+    short = short.select(*cut.columns, F.pmod(F.xxhash64("bits", "place"), F.lit(BUCKETS)).cast("int").alias("b"),
+                         F.struct("bits", "place").alias("place"), "bundle", F.expr(f"sum(length) over ({one})").alias("item_length"),
+                         F.expr(f"CASE WHEN row_number() over ({one} order by id, start, crc) = 1 THEN 1 ELSE 0 END").alias("opens"))
+    return staged(long.withColumn("place", F.lit(None).cast(short.schema["place"].dataType)).unionByName(short))
+
+
 def pack(cut: DataFrame, length: int = 4096, unit: int = UNIT) -> DataFrame:
     """The staged pieces with ``sequence_id`` (gapless from 0) and ``offset`` in it.
 
     The linear program sees lengths in units, rounded up: a histogram of at most length / unit numbers goes to the
-    driver and a plan of patterns comes back, whatever the size of the corpus. Pieces of a length are ranked in
-    buckets, so a length that a third of all pieces have is no single task. Repeated rows are pieces of their own.
+    driver and a plan of patterns comes back, whatever the size of the corpus. Short pieces, on which rounding would lose
+    much, are bundled first, by running sums in buckets; a bundle is planned like a piece, and its pieces follow one another in it.
+    Pieces of a length are ranked in buckets, so a length that a third of all pieces have is no single task. Repeated rows are
+    pieces of their own.
     """
     room = length // unit
+    bundled = _bundled(cut, length)
     # the bucket of a piece depends on its document, not on its length
-    p = cut.select("*", F.ceil(F.col("length") / unit).cast("int").alias("c"),
-                   F.pmod(F.xxhash64("id", "start"), F.lit(BUCKETS)).cast("int").alias("b"))
-    counts = staged(p.groupBy("c", "b").agg(F.count("*").alias("n")))  # at most room * BUCKETS rows
+    p = bundled.select("*", F.ceil(F.col("item_length") / unit).cast("int").alias("c"))
+    counts = staged(p.groupBy("c", "b").agg(F.sum("opens").alias("n")))  # at most room * BUCKETS rows
     demand = {r.c: r.n for r in counts.groupBy("c").agg(F.sum("n").alias("n")).collect()}
     spark = cut.sparkSession
     intervals = spark.createDataFrame(plan(demand, room), "p_c int, low long, high long, per long, first long")
     before = counts.select(F.col("c").alias("o_c"), F.col("b").alias("o_b"), F.expr(
         "sum(n) over (partition by c order by b) - n").alias("before"))
-    ranked = p.withColumn("k", F.expr("row_number() over (partition by c, b order by id, start, crc)") - 1)
+    ranked = p.withColumn("k", F.expr("sum(opens) over (partition by c, b order by place, bundle, id, start, crc rows between unbounded preceding and current row)") - 1)
     ranked = ranked.join(F.broadcast(before), (F.col("c") == F.col("o_c")) & (F.col("b") == F.col("o_b"))).select(
         *p.columns, (F.col("k") + F.col("before")).alias("rank"))
     placed = ranked.join(F.broadcast(intervals), (F.col("c") == F.col("p_c")) & (F.col("rank") >= F.col("low"))
@@ -205,7 +236,7 @@ def pack(cut: DataFrame, length: int = 4096, unit: int = UNIT) -> DataFrame:
     placed = placed.select(*p.columns, "rank", (F.col("first") + F.floor((F.col("rank") - F.col("low")) / F.col("per")))
                            .cast("bigint").alias("sequence_id"))
     return placed.select(*cut.columns, "sequence_id", F.expr(
-        "sum(length) over (partition by sequence_id order by c desc, rank) - length").cast("bigint").alias("offset"))
+        "sum(length) over (partition by sequence_id order by c desc, rank, id, start, crc rows between unbounded preceding and current row) - length").cast("bigint").alias("offset"))
 
 
 def sequences(packed: DataFrame, length: int = 4096, pad: int = 0) -> DataFrame:

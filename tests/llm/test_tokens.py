@@ -183,3 +183,19 @@ def test_documents_that_share_lines_move_together(spark):
     shard = {r.id: r.shard for r in out}
     together = sum(max(Counter(shard[k * 20 + m] for m in range(20)).values()) for k in range(60))
     assert together > 0.6 * len(texts)
+
+
+@pytest.mark.parametrize("least,most", [(3, 3), (40, 40), (3, 42), (100, 600)])
+def test_short_pieces_leave_little_padding(spark, least, most):
+    from pyspark.sql import functions as F
+
+    n = (F.col("id") * 2654435761 % (most - least + 1) + least).cast("bigint")
+    cut = spark.range(0, 200_000 if most < 50 else 40_000).select(
+        "id", F.lit(0).cast("bigint").alias("start"), n.alias("length"), F.lit(0).cast("bigint").alias("crc"), n.alias("doc_tokens"))
+    packed = packing.staged(packing.pack(packing.staged(cut)))
+    each = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.min("offset").alias("low"), F.max(F.col("offset") + F.col("length")).alias("high"),
+                                             F.count_distinct("offset").alias("places"), F.count("*").alias("pieces")).collect()
+    assert all(r.n == r.high <= 4096 and r.low == 0 and r.places == r.pieces for r in each)  # gapless, no two at one place
+    assert sorted(r.sequence_id for r in each) == list(range(len(each)))
+    assert sum(r.n for r in each) == cut.agg(F.sum("length")).first()[0] and sum(r.n for r in each) >= 0.95 * 4096 * len(each)
+    print(least, most, sum(r.n for r in each) / 4096 / len(each))
