@@ -109,9 +109,10 @@ def propagate(v: DataFrame, linked: DataFrame, shards: int, quota: float) -> Dat
         load = dict(still)
         for r in moving.where("not fixed").groupBy("shard").agg(F.sum("n").alias("n")).collect():  # one row per shard
             load[r.shard] = load.get(r.shard, 0) + r.n
-        here = moving.join(hubs, (F.col("g") == F.col("l_g")) & (F.col("crc") == F.col("l_crc"))).select(*vertex, "hub", "weight")
-        at = here.groupBy("hub", "shard").agg(F.sum("n").alias("w")).groupBy(F.col("hub").alias("b_hub")).agg(
-            F.max_by("shard", F.struct("w", F.xxhash64("hub", "shard"))).alias("label"))
+        # tables on both sides of the next join: a line that very many texts have is split there
+        here = staged(moving.join(hubs, (F.col("g") == F.col("l_g")) & (F.col("crc") == F.col("l_crc"))).select(*vertex, "hub", "weight"))
+        at = staged(here.groupBy("hub", "shard").agg(F.sum("n").alias("w")).groupBy(F.col("hub").alias("b_hub")).agg(
+            F.max_by("shard", F.struct("w", F.xxhash64("hub", "shard"))).alias("label")))
         votes = here.join(at, F.col("hub") == F.col("b_hub")).groupBy(*vertex, "label").agg(F.sum("weight").alias("w"))
         asked = staged(votes.groupBy(*vertex).agg(
             F.max_by("label", F.struct("w", F.col("label") == F.col("shard"), F.xxhash64("g", "label"))).alias("best"),
