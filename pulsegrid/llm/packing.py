@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -9,13 +10,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.bpe import ROWS, Generations
+from pulsegrid.llm.bpe import ROWS, Generations, byte_letters
 from pulsegrid.llm.common import staged, text_of
 
 #: Tokens per unit of length in the linear program, and pieces in which documents of a length are ranked.
 UNIT, BUCKETS = 16, 256
 #: Pieces shorter than 1 / SHORT of a sequence are bundled to nearly whole ones, in buckets of about BUNDLES sequences.
-SHORT, BUNDLES = 32, 64
+SHORT, BUNDLES = 32, 16
+
+#: Letters that have one small form each, and a mark or none behind them.
+PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
 
 #: What str.split() takes for white space though Unicode doesn't.
 MORE_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -34,19 +38,28 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.words = Generations(self.word)
+        self.spelling = byte_letters()  # how a byte-level model writes bytes
+        # another kind of tokenizer encodes whole words only
+        self.direct = all(self.letters(w) == self.whole(w) == self.whole(w.upper()) and self.whole(w + m) == self.whole(w) + self.whole(m)
+                          for w in ("hello", "été", "übergrößen", "øyn") for m in ".,;:!?" if w.upper().lower() == w)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def letters(self, word: str) -> bytes:
+        """A word of small letters, past the normalizer and the cutting into pieces, which leave it as it is."""
+        spelt = word if word.isascii() else "".join([self.spelling[b] for b in word.encode()])
+        return np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
+
     def word(self, word: str) -> bytes:
         """Letters and a mark behind them don't touch, and the tokenizer lower-cases: such words share what is cached."""
-        if word.isascii() and "<|" not in word:
-            low = word.lower()
-            if len(low) > 1 and low[-1] in ".,;:!?" and "a" <= low[-2] <= "z":
-                return self.words[low[:-1]] + self.words[low[-1]]
-            if low != word:
-                return self.words[low]
-        return self.whole(word)
+        plain = PLAIN(word) if self.direct else None
+        if plain is None:
+            return self.whole(word)
+        low, mark = plain[1].lower(), plain[2]
+        if mark:
+            return self.words[low] + self.words[mark]
+        return self.letters(low) if low == word else self.words[low]
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in MORE_BLANKS):
