@@ -77,7 +77,7 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
     t = t.select(F.xxhash64("t").alias("g"), F.crc32(F.col("t").cast("binary")).alias("crc"), F.explode(F.array_distinct(F.transform(
         F.filter(F.split("t", "\n"), lambda x: F.length(x) >= LINE_CHARS), lambda x: F.xxhash64(x)))).alias("hub"))
     t = staged(t.distinct())
-    shared = t.groupBy(F.col("hub").alias("s_hub")).agg(F.count("*").alias("texts")).where("texts > 1")
+    shared = staged(t.groupBy(F.col("hub").alias("s_hub")).agg(F.count("*").alias("texts")).where("texts > 1"))
     return staged(t.join(shared, F.col("hub") == F.col("s_hub")).select("g", "crc", "hub", (1.0 / F.col("texts")).alias("weight")))
 
 
