@@ -151,12 +151,15 @@ def shard(docs: DataFrame, shards: int = 16, text: str = "text", identifier: str
     moved = propagate(v, links(docs, text), shards, rows / shards)
     m = moved.select(F.col("g").alias("m_g"), F.col("crc").alias("m_crc"), F.col("v").alias("m_v"), F.col("shard").alias("m_shard"))
     v = v.join(m, (F.col("g") == F.col("m_g")) & (F.col("crc") == F.col("m_crc")) & (F.col("v") == F.col("m_v")), "left").select(
-        F.col("g").alias("v_g"), F.col("crc").alias("v_crc"), "v", F.coalesce("m_shard", "shard").cast("int").alias("s"), (F.col("n") > 1).alias("copies"))
+        F.col("g").alias("v_g"), F.col("crc").alias("v_crc"), "v", F.coalesce("m_shard", "shard").cast("int").alias("s"), (F.col("n") > 1).alias("copies"),
+        "fixed")
     v = staged(v)
     at = d.join(v, (F.col("g") == F.col("v_g")) & (F.col("crc") == F.col("v_crc")) & ((F.col("v") == -1) | (F.col("v") == F.col("salt"))))
-    at = staged(at.select("id", "size", "crc", "g", "salt", "s", (F.pmod(F.xxhash64("g", "crc", "v"), F.lit(PIECES)) + F.when(
-        F.col("copies") | (F.col("v") >= 0), 0).otherwise(PIECES)).cast("int").alias("piece")))
-    counts = at.groupBy("s", "piece").agg(F.count("*").alias("n")).collect()  # at most shards * 2 * PIECES rows
+    # large texts first, their rows in many pieces; then texts with copies, each in one piece; single texts last
+    hashed = F.pmod(F.xxhash64("g", "crc", "v"), F.lit(PIECES))
+    piece = F.when(F.col("fixed"), F.pmod("salt", F.lit(PIECES))).when(F.col("copies"), hashed + PIECES).otherwise(hashed + 2 * PIECES)
+    at = staged(at.select("id", "size", "crc", "g", "salt", "s", piece.cast("int").alias("piece")))
+    counts = at.groupBy("s", "piece").agg(F.count("*").alias("n")).collect()  # at most shards * 3 * PIECES rows
     total, before = dict.fromkeys(range(shards), 0), []
     for s, piece, n in sorted(counts):
         before.append((s, piece, total[s]))
