@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import vectors as V
@@ -10,6 +10,8 @@ from pulsegrid.functions.expr import KEYS, by, div, per, upto
 
 KICK_GAINS = (0.25, 0.5, 1.0)
 DECAYS = (0.05, 0.1, 0.25)
+#: Positions of a window that are summed as one piece of work.
+BLOCK = 4096
 
 
 def trend(o: DataFrame) -> DataFrame:
@@ -150,7 +152,7 @@ def detrended_fluctuation(o: DataFrame, sizes: list[int] | None = None,
     """Slope of ln F on ln box size; F is the RMS around a line in each box of the summed series.
 
     ``sizes=None`` takes every size from 5 to n/2. Boxes are read off running sums at their two ends, so all
-    sizes together cost n log n rows, not n * n.
+    sizes together cost n log n rows, not n * n. A window is one row here; ``large_fluctuation`` spreads it.
     """
     d = o.select(*KEYS, "i", (F.col("x") - F.avg("x").over(per())).alias("d"))
     p = d.select(*KEYS, "i", F.sum("d").over(upto("i")).alias("p"))
@@ -181,6 +183,81 @@ def detrended_fluctuation(o: DataFrame, sizes: list[int] | None = None,
         F.regr_slope(log(F.nullif(F.col("f"), F.lit(0.0))), log(F.col("t").cast("double"))).alias(name))
 
 
+def _profile(o: DataFrame, block: int) -> DataFrame:
+    """``(series, w, i, n, p)``: running sums ``p`` of the centred values.
+
+    Blocks of positions are summed on their own; a table with one row per block holds what lies before each.
+    """
+    centre = o.groupBy(*KEYS).agg(F.count("x").alias("n"), F.avg("x").alias("mu"))
+    d = o.join(centre, KEYS).select(*KEYS, "i", "n", (F.col("x") - F.col("mu")).alias("d"),
+                                    F.floor(F.col("i") / block).alias("b"))
+    earlier = by("b").rowsBetween(Window.unboundedPreceding, -1)
+    before = d.groupBy(*KEYS, "b").agg(F.sum("d").alias("s")).select(
+        *KEYS, "b", F.coalesce(F.sum("s").over(earlier), F.lit(0.0)).alias("before"))
+    inside = d.withColumn("p", F.sum("d").over(upto("i", keys=KEYS + ["b"])))
+    return inside.join(before, KEYS + ["b"]).select(*KEYS, "i", "n", (F.col("before") + F.col("p")).alias("p"))
+
+
+def _segments(profile: DataFrame) -> DataFrame:
+    """Statistics of every aligned segment ``m`` of 2**l positions: mean ``p``, product sum ``sxy`` and ``rss`` about its own line.
+
+    All are central moments that Spark merges from partial aggregates, so neither an offset nor a drift costs digits.
+    """
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.col("n").cast("double"))).cast("int"))
+    long = profile.select(*KEYS, "p", F.col("i").cast("bigint").alias("i"), F.explode(levels).alias("l"))
+    long = long.withColumn("m", F.expr("shiftright(i, l)"))
+    i, p = F.col("i").cast("double"), F.col("p")
+    each = long.groupBy(*KEYS, "l", "m").agg(F.avg(p).alias("p"), F.count(p).cast("double").alias("c"),
+                                             F.regr_sxy(p, i).alias("sxy"), F.regr_syy(p, i).alias("syy"))
+    c, sxy = F.col("c"), F.col("sxy")
+    # one or two points lie on their line
+    rss = F.when(F.col("l") < 2, 0.0).otherwise(F.greatest(F.col("syy") - sxy * sxy / (c * (c * c - 1) / 12), F.lit(0.0)))
+    return each.select(*KEYS, "l", "m", "p", "sxy", rss.alias("rss"))
+
+
+def _pieces(windows: DataFrame, sizes: list[int] | None) -> DataFrame:
+    """The aligned segments each box is made of: at most two per level. ``windows`` is ``(series, w, n)``."""
+    long = windows.select(*KEYS, "n", F.explode(_box_sizes(F.col("n"), sizes)).alias("t")).repartition(*KEYS, "t")
+    box = long.select(*KEYS, "t", F.explode(F.expr("sequence(0L, n div t - 1)")).alias("k")).withColumn("lo", F.expr("k * t"))
+    level = box.select("*", F.explode(F.expr("sequence(0, CAST(floor(log2(t)) AS INT))")).alias("l"))
+    ends = level.withColumns({"a": F.expr("shiftright(lo + shiftleft(1L, l) - 1, l)"), "b": F.expr("shiftright(lo + t, l)")})
+    return ends.where("a < b").select(*KEYS, "t", "k", "lo", "l", F.explode(F.expr(
+        "array_compact(array(CASE WHEN a % 2 = 1 THEN a END, CASE WHEN b % 2 = 1 THEN b - 1 END))")).alias("m"))
+
+
+def large_fluctuation(o: DataFrame, sizes: list[int] | None = None, name: str = "sc_dfa", log=F.ln,
+                      block: int = BLOCK) -> DataFrame:
+    """``detrended_fluctuation`` for windows of any size.
+
+    A box is assembled from aligned segments of the profile, at most two of each power of two, which meet it in an equi-join;
+    no row, task or group holds a window. What is left around the box's line is the sum of what is left around the segments' own
+    lines and of their distances to the common one: only squares are added, nothing is subtracted.
+    """
+    windows = o.groupBy(*KEYS).agg(F.count("x").alias("n"))
+    met = _pieces(windows, sizes).join(_segments(_profile(o, block)), [*KEYS, "l", "m"])
+    size = F.expr("CAST(shiftleft(1L, l) AS DOUBLE)")
+    middle = F.col("m") * size + (size - 1) / 2
+    t = F.col("t")
+    piece = F.struct(size.alias("c"), (middle - F.col("lo") - (t - 1) / 2.0).alias("j"), "p", "sxy", "rss",
+                     (size * (size * size - 1) / 12).alias("sxx"))
+    boxes = met.groupBy(*KEYS, "t", "k").agg(F.collect_list(piece).alias("s"))  # two per level at most
+    total = lambda f: F.aggregate("s", F.lit(0.0), lambda acc, v: acc + f(v))
+    boxes = boxes.withColumn("mean", total(lambda v: v["c"] * v["p"]) / t)
+    sxx = t * (t * t.cast("double") - 1.0) / 12.0
+    boxes = boxes.withColumn("slope", total(lambda v: v["sxy"] + v["c"] * v["j"] * (v["p"] - F.col("mean"))) / sxx)
+
+    def left(v):
+        own = F.coalesce(div(v["sxy"], v["sxx"]), F.lit(0.0)) - F.col("slope")
+        off = v["p"] - F.col("mean") - F.col("slope") * v["j"]
+        return v["rss"] + v["sxx"] * own * own + v["c"] * off * off
+
+    each = boxes.select(*KEYS, "t", total(left).alias("rss")).groupBy(*KEYS, "t").agg(
+        F.sqrt(F.sum("rss") / (F.count("rss") * t)).alias("f"))
+    found = each.groupBy(*KEYS).agg(
+        F.regr_slope(log(F.nullif(F.col("f"), F.lit(0.0))), log(t.cast("double"))).alias(name))
+    return windows.select(*KEYS).join(found, KEYS, "left")
+
+
 def power_sizes(low: float = 5, high: float = 9, density: float = 0.25) -> list[int]:
     """Whole-number box sizes 2**low .. 2**high (exclusive) in steps of ``density`` in the exponent."""
     count = round((high - low) / density)

@@ -248,6 +248,8 @@ def _trend() -> None:
     sizes = T.power_sizes()
     on_ordered("dfa_power_sizes", S.dfa("dfa", f"t IN ({', '.join(map(str, sizes))})", "supplier"),
                lambda o: T.detrended_fluctuation(o, sizes, "dfa", F.log2), "supplier")
+    on_ordered("dfa_power_sizes_by_type", S.dfa("dfa", f"t IN ({', '.join(map(str, sizes))})", "type"),
+               lambda o: T.large_fluctuation(o, sizes, "dfa", F.log2), "type")
     on_vectors("dt_isseasonal", S.seasonal(), density.seasonal)
     on_vectors("dt_isseasonal_by_type", S.seasonal("type"), density.seasonal, "type")
     for dist in ("norm", "uni", "beta"):

@@ -304,6 +304,10 @@ def test_scaling(frames):
             logs.append(math.log(math.sqrt(rss / boxes.size)))
         return float(np.polyfit(np.log(sizes), logs, 1)[0]) if len(logs) > 1 else None
     check(trend.detrended_fluctuation(frames["o"]), lambda y: {"sc_dfa": dfa(y, range(5, len(y) // 2 + 1))}, 1e-5)
+    spread = trend.large_fluctuation(frames["o"], block=7)
+    check(spread, lambda y: {"sc_dfa": dfa(y, range(5, len(y) // 2 + 1))}, 1e-9)
+    lifted = frames["o"].withColumn("x", F.col("x") + 1e9)
+    check(trend.large_fluctuation(lifted, block=16), lambda y: {"sc_dfa": dfa(y + 1e9, range(5, len(y) // 2 + 1))}, 1e-9)
 
     def hurst(y):
         n, pts = len(y), []
