@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import vectors as V
 from pulsegrid.functions.expr import KEYS, by, combine, div, per, share
+from pulsegrid.operators import lags as L
+from pulsegrid.plans.staging import staged
 
 QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
@@ -230,7 +232,7 @@ def remove_points(rows: DataFrame, how: str = "absfar", p: float = 0.1, lags: in
     """How statistics change when a share ``p`` of the points is taken out.
 
     Lags are true lags: ``ac1`` to ``ac3`` compare lags 1 to 3, and ``sumabsacfdiff`` sums the absolute
-    differences over lags 1 to ``lags``.
+    differences over lags 1 to ``lags``. A window is one row here; ``large_remove_points`` spreads it.
     """
     keep_first = F.bround(F.col("n") * F.lit(1 - p))
     marked = (rows.select(*KEYS, "t", "x")
@@ -280,6 +282,81 @@ def remove_points(rows: DataFrame, how: str = "absfar", p: float = 0.1, lags: in
     return acf.select(*KEYS, *[c.alias(prefix + name) for name, c in out.items()])
 
 
+def _kept_points(rows: DataFrame, how: str, p: float, pieces: int, accuracy: int) -> DataFrame:
+    """``(series, w, x, i, kept, j)``: position in the window, whether a point stays, and its position among those that stay.
+
+    The value at the cut is selected without ordering the window. Points on the near side of it stay, and of those at it
+    the earliest. Positions come from short pieces of a window's time, which are ordered on their own, and a table
+    with one row per piece that counts what lies before.
+    """
+    keep = F.bround(F.col("n") * F.lit(1 - p))
+    score = rows.select(F.col("series").cast("string").alias("series"), F.col("w").cast("bigint").alias("w"), "t", "x",
+                        REMOVE_ORDER[how](F.col("x")).alias("by"))
+    cut = _order_statistics(score.select(*KEYS, F.col("by").alias("x")), {"cut": (1 - p, F.greatest(keep - 1, F.lit(0)))},
+                            KEYS, accuracy).select(*KEYS, F.col("x0").alias("cut"))
+    bounds = score.groupBy(*KEYS).agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.count("*").alias("n"))
+    known = score.join(bounds.join(cut, KEYS), KEYS)
+    part = F.least(F.floor(div(F.col("t") - F.col("t0"), F.col("t1") - F.col("t0")) * pieces), F.lit(pieces - 1))
+    near, tied = (F.col("by") < F.col("cut")) & (keep > 0), (F.col("by") == F.col("cut")) & (keep > 0)
+    placed = known.select(*KEYS, "t", "x", F.coalesce(part, F.lit(0)).alias("piece"), keep.alias("keep"),
+                          near.cast("int").alias("near"), tied.cast("int").alias("tied"))
+    counts = placed.groupBy(*KEYS, "piece").agg(
+        F.count("*").alias("rows"), F.sum("near").alias("nears"), F.sum("tied").alias("ties"), F.max("keep").alias("keep"))
+    earlier = by("piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    table = counts.select(*KEYS, "piece", before("rows").alias("rows0"), before("nears").alias("near0"),
+                          before("ties").alias("tied0"), (F.col("keep") - F.sum("nears").over(per())).alias("quota"))
+    inside = by("t", "x", keys=KEYS + ["piece"])
+    upto_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.withColumns({"r": F.row_number().over(inside), "nr": F.sum("near").over(upto_here),
+                                 "tr": F.sum("tied").over(upto_here)}).join(table, [*KEYS, "piece"])
+    tie_rank = F.col("tied0") + F.col("tr")
+    stays = (F.col("near") == 1) | ((F.col("tied") == 1) & (tie_rank <= F.col("quota")))
+    return ranked.select(*KEYS, "x", (F.col("rows0") + F.col("r") - 1).alias("i"), stays.alias("kept"),
+                         (F.col("near0") + F.col("nr") + F.least(tie_rank, F.col("quota")) - 1).cast("bigint").alias("j"))
+
+
+def large_remove_points(rows: DataFrame, how: str = "absfar", p: float = 0.1, lags: int = 8,
+                        prefix: str = "dn_removepoints_", pieces: int = 256, accuracy: int = 10000,
+                        block: int = L.BLOCK) -> DataFrame:
+    """``remove_points`` for windows of any size: no row, task or group holds a window.
+
+    The cut is found by ``_kept_points``, lags are summed over overlapping blocks of positions, all of them and those of the
+    points that stay, and the first zeros are searched in ranges of lags that double. The marked points are staged.
+    """
+    marked = staged(_kept_points(rows, how, p, pieces, accuracy))
+    trim = F.when(F.col("kept"), F.col("x"))
+    stats = marked.groupBy(*KEYS).agg(
+        F.count("*").alias("n"), F.count(trim).alias("m"), F.avg("x").alias("mu"), F.avg(trim).alias("mu_k"),
+        F.stddev_samp(trim).alias("std_k"), F.skewness("x").alias("sk"), F.skewness(trim).alias("sk_k"),
+        F.kurtosis("x").alias("ku"), F.kurtosis(trim).alias("ku_k"))
+    kept = marked.where("kept").select(*KEYS, F.col("j").alias("i"), "x")
+    middle = large_quantiles(kept, {"med_k": 0.5}, accuracy=accuracy)
+
+    def self_correlation(points: DataFrame, n: str, mu: str, name: str) -> DataFrame:
+        centred = points.join(stats.select(*KEYS, F.col(n).alias("n"), mu), KEYS).select(
+            *KEYS, "n", "i", (F.col("x") - F.col(mu)).alias("d"))
+        sums = L.lag_sums(centred, 0, lags, block).groupBy(*KEYS).agg(
+            *[F.max(F.when(F.col("k") == k, F.col("s"))).alias(f"s{k}") for k in range(lags + 1)])
+        zero = L.first_lags(points, ["co_firstzero"], block=block).withColumnRenamed("co_firstzero", f"z{name}")
+        return sums.select(*KEYS, *[div(F.col(f"s{k}"), F.col("s0")).alias(f"{name}{k}") for k in range(1, lags + 1)]).join(
+            zero, KEYS)
+
+    both = combine([stats, middle, self_correlation(marked.select(*KEYS, "i", "x"), "n", "mu", "a"),
+                    self_correlation(kept, "m", "mu_k", "b")])
+    a, b = (lambda k: F.col(f"a{k}")), (lambda k: F.col(f"b{k}"))
+    # without points that stay the number of them, 0, is their first zero
+    out = {"fzcacrat": F.coalesce(F.col("zb"), F.lit(0)) / F.col("za")}
+    for k in (1, 2, 3):
+        out[f"ac{k}rat"] = div(b(k), a(k))
+        out[f"ac{k}diff"] = F.abs(b(k) - a(k))
+    out["sumabsacfdiff"] = sum((F.abs(b(k) - a(k)) for k in range(2, lags + 1)), F.abs(b(1) - a(1)))
+    out["mean"], out["median"], out["std"] = F.col("mu_k"), F.col("med_k"), F.col("std_k")
+    out["skewnessrat"] = div(F.col("sk_k"), F.col("sk"))
+    out["kurtosisrat"] = div(F.col("ku_k") + 3, F.col("ku") + 3)
+    return both.select(*KEYS, *[c.alias(prefix + name) for name, c in out.items()])
+
+
 def outlier_thresholds(rows: DataFrame, how: str = "abs", inc: float = 0.01) -> DataFrame:
     """Timing of extreme values per threshold of the z-score: ``(series, w, th, ...)``.
 
@@ -314,4 +391,4 @@ def distribution(rows: DataFrame, large: bool = False) -> DataFrame:
     b = base(rows, large=large)
     return combine([summary(b), deviations(rows, b, large=large), value_counts(rows),
                     large_trimmed_means(rows) if large else trimmed_means(rows),
-                    remove_points(rows, "absfar", 0.5)])
+                    (large_remove_points if large else remove_points)(rows, "absfar", 0.5)])

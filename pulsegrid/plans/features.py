@@ -19,12 +19,13 @@ LEAST_READINGS = 10
 def _groups(large: bool = False) -> dict:
     """Feature groups: name -> builder(rows, base, o, vec, led). A group is one aggregate over one grouping."""
     D, C, E, S, T = distribution, dependence, entropy, symbolic, trend
+    remove_points = D.large_remove_points if large else D.remove_points
     return {
         "summary": lambda r, b, o, v, l: D.summary(b),
         "deviations": lambda r, b, o, v, l: D.deviations(r, b, large=large),
         "values": lambda r, b, o, v, l: D.value_counts(r),
         "trimmed": lambda r, b, o, v, l: (D.large_trimmed_means if large else D.trimmed_means)(r),
-        "removed": lambda r, b, o, v, l: D.remove_points(r, "absfar", 0.5),
+        "removed": lambda r, b, o, v, l: remove_points(r, "absfar", 0.5),
         "autocorrelation": lambda r, b, o, v, l: C.autocorrelation(l, exact_centre=not large),
         "first_lags": lambda r, b, o, v, l: lags.first_lags(o),
         "lagged": lambda r, b, o, v, l: C.lagged_products(own_lag_leads(o, lags.first_lags(o, ["co_firstzero"]), "co_firstzero", 2)),
@@ -35,9 +36,9 @@ def _groups(large: bool = False) -> dict:
         "sampen": lambda r, b, o, v, l: E.sample_entropy(o),
         "information": lambda r, b, o, v, l: C.mutual_information(l),
         "trend": lambda r, b, o, v, l: T.trend(o),
-        "removed_far": lambda r, b, o, v, l: D.remove_points(
+        "removed_far": lambda r, b, o, v, l: remove_points(
             o, "absfar", 0.6, prefix="dn_removepointsabsfar_0_6_"),
-        "removed_close": lambda r, b, o, v, l: D.remove_points(
+        "removed_close": lambda r, b, o, v, l: remove_points(
             o, "absclose", 0.6, prefix="dn_removepointsabsclose_0_6_"),
         "crinkle": lambda r, b, o, v, l: C.crinkle_and_q(l),
         "motifs": lambda r, b, o, v, l: S.motifs(l),

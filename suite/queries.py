@@ -170,6 +170,8 @@ def _distribution() -> None:
     for how, p in (("absfar", 0.5), ("absclose", 0.6), ("min", 0.1), ("max", 0.1)):
         on_rows(f"dn_removepoints_{how}", S.remove_points(how, p, "dn_removepoints_", kind="centred"),
                 lambda r, how=how, p=p: D.remove_points(r, how, p), "centred")
+    on_rows("dn_removepoints_absfar_by_type", S.remove_points("absfar", 0.5, "dn_removepoints_", kind="type"),
+            lambda r: D.large_remove_points(r, "absfar", 0.5), "type")
     for how in ("abs", "p", "n"):
         on_ordered(f"dn_outlierinclude_{how}", S.outliers(how, 0.01), lambda o, how=how: D.outlier_thresholds(o, how))
 

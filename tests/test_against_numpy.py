@@ -95,8 +95,9 @@ def test_distribution(frames, large):
     check(distribution.distribution(frames["rows"], large), expected)
 
 
+@pytest.mark.parametrize("large", [False, True])
 @pytest.mark.parametrize("how,p", [("absfar", .5), ("absclose", .6), ("min", .1), ("max", .3)])
-def test_remove_points(frames, how, p):
+def test_remove_points(frames, how, p, large):
     def expected(y):
         key = {"absfar": abs(y), "absclose": -abs(y), "min": -y, "max": y}[how]
         keep = np.sort(np.argsort(key, kind="stable")[:int(np.round(len(y) * (1 - p)))])
@@ -107,7 +108,10 @@ def test_remove_points(frames, how, p):
         if z.std() > 0:
             out["fzcacrat"] = zero(z) / zero(y)
         return {"dn_removepoints_" + c: v for c, v in out.items()}
-    check(distribution.remove_points(frames["rows"], how, p), expected)
+    if large:  # short pieces and blocks, so that windows of forty points are spread
+        check(distribution.large_remove_points(frames["rows"], how, p, pieces=5, block=9), expected)
+    else:
+        check(distribution.remove_points(frames["rows"], how, p), expected)
 
 
 def test_autocorrelation_and_first_lags(frames):
