@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.expr import KEYS, div
 
+#: Positions of a window whose part of the density is one piece of work.
+BLOCK = 4096
+
+
+def _kernel_sums(x, grid, width):
+    """Sum of the unscaled kernels of the values at each grid point."""
+    import numpy as np
+
+    total = np.zeros(len(grid))
+    for at in range(0, len(x), 2048):  # bounded working memory for any window
+        total += np.exp(-0.5 * ((grid[:, None] - x[at:at + 2048]) / width) ** 2).sum(axis=1)
+    return total
+
 
 def _density_udf(points: int):
     def density(xs: pd.Series, h: pd.Series) -> pd.Series:
@@ -26,9 +39,7 @@ def _density_udf(points: int):
                 continue
             x = np.asarray(x, dtype="float64")
             grid = np.linspace(x.min(), x.max(), points)
-            total = np.zeros(points)
-            for at in range(0, len(x), 2048):  # bounded working memory for any window
-                total += np.exp(-0.5 * ((grid[:, None] - x[at:at + 2048]) / width) ** 2).sum(axis=1)
+            total = _kernel_sums(x, grid, width)
             out.append(total / (len(x) * width * math.sqrt(2 * math.pi)))
         return pd.Series(out)
 
@@ -90,6 +101,48 @@ def kernel_density(vec: DataFrame, points: int, carry: tuple[str, ...] = ()) ->
                        _density_udf(points)("xs", "h").alias("f"))
 
 
+def large_density(o: DataFrame, points: int, dist: str = "norm", block: int = BLOCK) -> DataFrame:
+    """``kernel_density`` of ``ordered`` rows for windows of any size (``beta``: of the squeezed values, with the fitted shape).
+
+    Blocks of a window's positions add up their own part of the density, and the parts are added per grid point; a window
+    is never one row, cell or group. What is left per window are ``points`` numbers.
+    """
+    import pyarrow as pa
+
+    stats = o.groupBy(*KEYS).agg(F.count("x").cast("int").alias("n"), F.avg("x").alias("mu"), F.stddev_pop("x").alias("sd"),
+                                 F.min("x").alias("lo"), F.max("x").alias("hi")).where("n > 1 and sd > 0")
+    carry = ()
+    # a squeezed value is (x - from) / width
+    stats = stats.withColumns({"from": F.lit(0.0), "width": F.lit(1.0)})
+    if dist == "beta":
+        stats = stats.withColumns({"from": F.col("lo") - 0.01 * F.col("sd"), "width": F.col("hi") - F.col("lo") + 0.02 * F.col("sd")})
+        squeezed = lambda c: (F.col(c) - F.col("from")) / F.col("width")
+        stats = _beta_shape(stats.withColumns({"mu": squeezed("mu"), "lo": squeezed("lo"), "hi": squeezed("hi"),
+                                               "sd": F.col("sd") / F.col("width")}))
+        carry = ("al", "be", "lb")
+    n = F.col("n")
+    stats = stats.withColumn("h", F.col("sd") * F.sqrt(n / (n - 1)) * F.pow(n.cast("double"), F.lit(-0.2)))
+    placed = o.join(stats, KEYS).select(
+        F.col("series").cast("string").alias("series"), F.col("w").cast("bigint").alias("w"), F.floor(F.col("i") / block).alias("b"),
+        ((F.col("x") - F.col("from")) / F.col("width")).alias("x"), "lo", "hi", "h")
+
+    def part(key, table):
+        import numpy as np
+
+        series, w, _ = (k.as_py() for k in key)
+        lo, hi, h = (table[c][0].as_py() for c in ("lo", "hi", "h"))
+        return pa.table({"series": pa.array([series], pa.string()), "w": pa.array([w], pa.int64()),
+                         "f": pa.array([_kernel_sums(table["x"].to_numpy(), np.linspace(lo, hi, points), h)], pa.list_(pa.float64()))})
+
+    parts = placed.groupBy(*KEYS, "b").applyInArrow(part, "series string, w bigint, f array<double>")
+    sums = parts.select(*KEYS, F.posexplode("f").alias("k", "f")).groupBy(*KEYS, "k").agg(F.sum("f").alias("f"))
+    whole = sums.groupBy(*KEYS).agg(F.sort_array(F.collect_list(F.struct("k", "f"))).alias("p"))  # ``points`` numbers
+    scale = n * F.col("h") * math.sqrt(2 * math.pi)
+    return stats.join(whole, KEYS).select(
+        *KEYS, *carry, "n", "mu", "sd", "lo", "hi", "h", ((F.col("hi") - F.col("lo")) / (points - 1)).alias("dx"),
+        F.transform("p.f", lambda v: v / scale).alias("f"))
+
+
 # fixed values: Lanczos coefficients for g = 7
 LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313,
            -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6,
@@ -116,6 +169,10 @@ def _scaled(vec: DataFrame) -> DataFrame:
     xs = F.transform("xs", lambda x: (x - F.col("lo") + 0.01 * F.col("sd0")) / F.col("width"))
     unit = wide.select(*KEYS, "n", xs.alias("xs"), (F.col("sd0") / F.col("width")).alias("sd"),
                        ((F.col("mu") - F.col("lo") + 0.01 * F.col("sd0")) / F.col("width")).alias("mu"))
+    return _beta_shape(unit)
+
+
+def _beta_shape(unit: DataFrame) -> DataFrame:
     mu, sd = F.col("mu"), F.col("sd")
     both = mu * (1 - mu) / (sd * sd) - 1
     shaped = unit.withColumns({"al": mu * both, "be": (1 - mu) * both})
@@ -126,12 +183,20 @@ def _scaled(vec: DataFrame) -> DataFrame:
 def compare_fit(vec: DataFrame, dist: str = "norm", points: int = 1000) -> DataFrame:
     """Distance between the kernel density and a fitted normal, uniform or beta density.
 
-    The beta shape comes from the mean and variance of the squeezed values.
+    The beta shape comes from the mean and variance of the squeezed values. A window is one row here;
+    ``large_compare_fit`` spreads it.
     """
     if dist == "beta":
-        grid = kernel_density(_scaled(vec), points, ("al", "be", "lb"))
-    else:
-        grid = kernel_density(vec, points)
+        return _compare(kernel_density(_scaled(vec), points, ("al", "be", "lb")), dist, points)
+    return _compare(kernel_density(vec, points), dist, points)
+
+
+def large_compare_fit(o: DataFrame, dist: str = "norm", points: int = 1000, block: int = BLOCK) -> DataFrame:
+    """``compare_fit`` of ``ordered`` rows for windows of any size."""
+    return _compare(large_density(o, points, dist, block), dist, points)
+
+
+def _compare(grid: DataFrame, dist: str, points: int) -> DataFrame:
     mu, sd, lo, dx = (F.col(c) for c in ("mu", "sd", "lo", "dx"))
     if dist == "norm":
         fit = lambda x: F.exp(-0.5 * F.pow((x - mu) / sd, F.lit(2.0))) / (sd * math.sqrt(2 * math.pi))
@@ -153,7 +218,16 @@ def compare_fit(vec: DataFrame, dist: str = "norm", points: int = 1000) -> DataF
 def kernel_shape(vec: DataFrame, numcross: tuple[float, ...] = (), area: tuple[float, ...] = (),
                  arclength: tuple[float, ...] = (), points: int = 100) -> DataFrame:
     """Peaks, height, entropy and asymmetry of the kernel density; optional counts per threshold."""
-    grid = kernel_density(vec, points)
+    return _shape(kernel_density(vec, points), numcross, area, arclength, points)
+
+
+def large_kernel_shape(o: DataFrame, numcross: tuple[float, ...] = (), area: tuple[float, ...] = (),
+                       arclength: tuple[float, ...] = (), points: int = 100, block: int = BLOCK) -> DataFrame:
+    """``kernel_shape`` of ``ordered`` rows for windows of any size."""
+    return _shape(large_density(o, points, block=block), numcross, area, arclength, points)
+
+
+def _shape(grid: DataFrame, numcross, area, arclength, points: int) -> DataFrame:
     f, lo, dx, mu = F.col("f"), F.col("lo"), F.col("dx"), F.col("mu")
     last = points - 1
 
@@ -203,4 +277,4 @@ def seasonal(vec: DataFrame, level: float = 0.3) -> DataFrame:
         *KEYS, r2, (r2 > level).alias("isseasonal"))
 
 
-__all__ = ["compare_fit", "kernel_density", "kernel_shape", "log_gamma", "seasonal"]
+__all__ = ["compare_fit", "kernel_density", "kernel_shape", "large_compare_fit", "large_density", "large_kernel_shape", "log_gamma", "seasonal"]

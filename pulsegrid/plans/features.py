@@ -29,7 +29,7 @@ def _groups(large: bool = False) -> dict:
         "autocorrelation": lambda r, b, o, v, l: C.autocorrelation(l, exact_centre=not large),
         "first_lags": lambda r, b, o, v, l: lags.first_lags(o),
         "lagged": lambda r, b, o, v, l: C.lagged_products(own_lag_leads(o, lags.first_lags(o, ["co_firstzero"]), "co_firstzero", 2)),
-        "fit": lambda r, b, o, v, l: density.compare_fit(v),
+        "fit": lambda r, b, o, v, l: density.large_compare_fit(o) if large else density.compare_fit(v),
         "season": lambda r, b, o, v, l: density.seasonal(v).drop("seasonal_r2"),
         "apen": lambda r, b, o, v, l: E.approximate_entropy(o),
         "cid": lambda r, b, o, v, l: E.complexity_invariant(o),

@@ -256,6 +256,10 @@ def _trend() -> None:
     on_vectors("dt_isseasonal_by_type", S.seasonal("type"), density.seasonal, "type")
     for dist in ("norm", "uni", "beta"):
         on_vectors(f"dn_compareksfit_{dist}", S.compare_fit(dist), lambda v, dist=dist: density.compare_fit(v, dist))
+        on_ordered(f"dn_compareksfit_{dist}_by_type", S.compare_fit(dist, "type"),
+                   lambda o, dist=dist: density.large_compare_fit(o, dist), "type")
+    on_ordered("dn_fitkernalsmooth_by_type", S.kernel_shape("type"),
+               lambda o: density.large_kernel_shape(o, (0.005,), (0.005,), (20.0,)), "type")
     on_vectors("dn_fitkernalsmooth", S.kernel_shape(), lambda v: density.kernel_shape(v, (0.005,), (0.005,), (20.0,)))
 
 

@@ -337,6 +337,14 @@ def test_density(frames):
         return {"dn_compareksfit_adiff": np.sum(abs(k - f)) * dx, "dn_compareksfit_peaksepy": f.max() - k.max(),
                 "dn_compareksfit_relent": np.sum(k * np.log(k / f)) * dx}
     check(density.compare_fit(frames["vec"]), fit, 1e-6)
+    check(density.large_compare_fit(frames["o"], block=16), fit, 1e-6)
+    for one, spread in ((density.compare_fit(frames["vec"], "beta"), density.large_compare_fit(frames["o"], "beta", block=16)),
+                        (density.kernel_shape(frames["vec"], (.05,), (.05,), (2.0,)),
+                         density.large_kernel_shape(frames["o"], (.05,), (.05,), (2.0,), block=16))):
+        got = {r.series: r.asDict() for r in spread.collect()}
+        for r in one.collect():
+            for c, v in r.asDict().items():
+                assert got[r.series][c] == (v if v is None or isinstance(v, str) else pytest.approx(v, rel=1e-8, abs=1e-10)), (r.series, c)
 
     def season(y):
         i, best = np.arange(len(y)), 0
