@@ -41,6 +41,10 @@ def _chunk_text(lines: Column, ends: Column, k: Column) -> Column:
     return F.array_join(F.slice(lines, _begin(ends, k) + 1, F.get(ends, k) - _begin(ends, k) + 1), "\n")
 
 
+def _lines(text: str) -> Column:
+    return F.split(F.col("row")[text].cast("string"), "\n")
+
+
 def chunked(docs: DataFrame, text: str = "text", identifier: str = "doc_id", divisor: int = DIVISOR,
             window: int = WINDOW) -> DataFrame:
     """``row`` (all columns), ``key`` of the document, ``ends`` of its chunks, and their ``hashes``.
@@ -59,24 +63,28 @@ def chunked(docs: DataFrame, text: str = "text", identifier: str = "doc_id", div
 
 
 def repeated_chunks(c: DataFrame, text: str, identifier: str) -> DataFrame:
-    """(key, i) of the chunks that also stand earlier: in a smaller id, or further up.
+    """(id, key, i) of the chunks that also stand earlier: in a smaller id, or further up.
 
     Hashes travel first, without text. Chunks whose hash occurs twice are then grouped by their text itself, which
-    compares bytes; equal hashes of different texts are told apart there.
+    compares bytes; equal hashes of different texts are told apart there. A document is its id and ``key``: tables meet by the
+    key, and ids are compared where they have met.
     """
-    each = c.select("key", F.posexplode("hashes").alias("i", "ch")).where("ch is not null")
+    own = F.col("row")[identifier]
+    each = c.select(own.alias("id"), "key", F.posexplode("hashes").alias("i", "ch")).where("ch is not null")
     twice = staged(each.groupBy("ch").agg(F.count("*").alias("n")).where("n > 1").select(F.col("ch").alias("twice")))
     some = each.join(twice, each.ch == twice.twice, "left_semi").distinct()
-    some = staged(some.groupBy(F.col("key").alias("s_key")).agg(F.collect_list(F.struct("i", "ch")).alias("some")))
-    found = c.join(some, F.col("key") == F.col("s_key")).select(
-        F.col("row")[identifier].alias("id"), "key", F.split(F.col("row")[text].cast("string"), "\n").alias("lines"), "ends",
-        F.explode("some").alias("s"))
-    found = staged(found.select("id", "key", "s.i", "s.ch", _chunk_text(F.col("lines"), F.col("ends"), F.col("s.i")).alias("text")))
+    some = staged(some.groupBy(F.col("key").alias("s_key")).agg(F.collect_list(F.struct("id", "i", "ch")).alias("some")))
+    mine = F.filter("some", lambda s: s["id"].eqNullSafe(own))
+    # bound once per document: the text is split once, not once per chunk
+    texts = F.transform(F.array(_lines(text)), lambda lines: F.transform(mine, lambda s: F.struct(
+        s["i"].alias("i"), s["ch"].alias("ch"), _chunk_text(lines, F.col("ends"), s["i"]).alias("text"))))[0]
+    found = staged(c.join(some, F.col("key") == F.col("s_key")).select(own.alias("id"), "key", F.inline(texts)))
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "key", "i")
     first = staged(found.groupBy("ch", "text").agg(F.min(place).alias("place")).select(
         F.col("ch").alias("f_ch"), F.col("text").alias("f_text"), "place"))
     again = found.join(first, (found.ch == first.f_ch) & (found.text == first.f_text))
-    return again.where((F.col("key") != F.col("place.key")) | (F.col("i") != F.col("place.i"))).select("key", "i").distinct()
+    elsewhere = (F.col("key") != F.col("place.key")) | (F.col("i") != F.col("place.i")) | ~F.col("id").eqNullSafe(F.col("place.id"))
+    return again.where(elsewhere).select("id", "key", "i").distinct()
 
 
 def line_dedup(docs: DataFrame, text: str = "text", identifier: str = "doc_id", divisor: int = DIVISOR,
@@ -92,14 +100,15 @@ def line_dedup(docs: DataFrame, text: str = "text", identifier: str = "doc_id",
     """
     c = chunked(docs, text, identifier, divisor, window)
     gone = repeated_chunks(c, text, identifier).groupBy(F.col("key").alias("g_key")).agg(
-        F.collect_set("i").alias("gone"))  # at most the chunks of one document
-    j = c.join(gone, F.col("key") == F.col("g_key"), "left").select(
-        "row", "gone", "ends", F.split(F.col("row")[text].cast("string"), "\n").alias("lines"))
+        F.collect_list(F.struct("id", "i")).alias("all"))  # at most the chunks of one document, but for keys that collide
+    own = F.filter("all", lambda g: g["id"].eqNullSafe(F.col("row")[identifier]))
+    j = c.join(gone, F.col("key") == F.col("g_key"), "left").select("row", "ends", F.transform(own, lambda g: g["i"]).alias("gone"))
     ends, chosen = F.col("ends"), F.sequence(F.lit(0), F.size("ends") - 1)
-    stays = F.filter(chosen, lambda k: ~F.array_contains("gone", k))
-    left = F.array_join(F.transform(stays, lambda k: _chunk_text(F.col("lines"), ends, k)), "\n")
+    stays = F.array_except(chosen, "gone")  # by hash, so linear in the chunks
+    left = F.transform(F.array(_lines(text)), lambda lines: F.array_join(
+        F.transform(stays, lambda k: _chunk_text(lines, ends, k)), "\n"))[0]
     removed = F.aggregate("gone", F.lit(0), lambda acc, k: acc + F.get(ends, k) - _begin(ends, k) + 1)
-    none = F.col("gone").isNull()
+    none = F.coalesce(F.size("gone"), F.lit(0)) <= 0
     return j.select("row", F.when(none, F.col("row")[text]).otherwise(left).alias("new_text"),
                     (F.element_at("ends", -1) + 1).cast("bigint").alias("n_lines"), F.size("ends").cast("bigint").alias("n_chunks"),
                     F.when(none, 0).otherwise(removed).cast("bigint").alias("removed_lines"),
