@@ -16,6 +16,9 @@ from pulsegrid.llm.common import shared_folder, staged, text_of
 #: Bytes after which a task starts another archive; bytes of a merged read, and of a gap that is read over.
 ARCHIVE_BYTES, READ_BYTES, GAP_BYTES = 256 << 20, 8 << 20, 64 << 10
 
+#: Bytes of archives that a reading task takes, about.
+TASK_BYTES = 128 << 20
+
 INDEX = ("archive string, offset bigint, length bigint, url string, digest string, payload_bytes bigint, record_type string, "
          "page_id bigint, refers_to bigint")
 
@@ -87,7 +90,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, page_id: str =
         kinds = [pa.string() if "string" in c else pa.int64() for c in INDEX.split(",")]
         for b in batches:
             rows = []
-            for r in b.to_pylist():
+            for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):  # one payload at a time
                 if out is None or at >= ARCHIVE_BYTES:
                     if out is not None:
                         out.close()
@@ -119,7 +122,10 @@ def read_records(index: DataFrame) -> DataFrame:
     parsed, and a response's digest is worked out again; a broken archive fails the job.
     """
     places = index.select("archive", "offset", "length", (F.col("offset") / READ_BYTES).cast("bigint").alias("part"))
-    places = places.repartition("archive", "part").sortWithinPartitions("archive", "offset")
+    # parted by the archives' bytes: the places alone are small, and would be read by one task
+    held = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // TASK_BYTES))
+    places = places.repartition(tasks, "archive", "part").sortWithinPartitions("archive", "offset")
     schema = ("page_id bigint, url string, payload binary, payload_bytes bigint, digest string, record_type string, "
               "refers_to bigint")
 
