@@ -14,8 +14,8 @@ from pulsegrid.llm.common import shared_folder, staged
 from pulsegrid.llm.components import components
 from pulsegrid.llm.warc import _open
 
-#: Least number of shards, and rows a shard may have: its graph (about 500 bytes a row) must fit into a task.
-SHARDS, SHARD_ROWS = 8, 250_000
+#: Least number of shards, and rows and bytes of vectors a shard may have: both and its graph (about 500 bytes a row) must fit into a task.
+SHARDS, SHARD_ROWS, SHARD_BYTES = 8, 250_000, 128 << 20
 #: First width of beams, share of an audit's links that must be found, and audited queries per block.
 BEAM, RECALL, AUDITED = 48, 0.999, 64
 #: Similarities come in single precision first; what lies this close below the limit is looked at in double.
@@ -116,10 +116,10 @@ def search_shards(classes: DataFrame, graphs: DataFrame, least: float, beam: int
 
     Every file of the classes is read against every graph; a task has one of each in memory, a block of it at a time.
     """
-    files = classes.inputFiles()  # names only
-    tasks = graphs.select("dim", "path", F.explode(F.array(*[F.lit(p) for p in files])).alias("file")) if files else \
-        graphs.select("dim", "path", F.lit("").alias("file")).limit(0)
-    tasks = tasks.repartition(max(1, len(files)) * 8, "path", "file")
+    # files and graphs meet by dimension, as the names that a scan gives
+    files = classes.groupBy(F.col("dim").alias("f_dim"), F.col("_metadata.file_path").alias("file")).count()
+    tasks = graphs.join(files, F.col("dim") == F.col("f_dim")).select("dim", "path", "file")
+    tasks = tasks.repartition(8 * int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "file")
 
     def run(batches):
         import pyarrow as pa
@@ -168,7 +168,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, identifier: str = "vec_
     # numbered once, in a table: later reads find the same numbers
     classes = staged(classes.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "v").select(
         "*", F.monotonically_increasing_id().alias("cid")))
-    shards = max(shards, -(-classes.count() // SHARD_ROWS))
+    held = classes.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("dim").cast("bigint")) * 8, F.lit(0)).alias("bytes")).first()
+    shards = max(shards, -(-held["rows"] // SHARD_ROWS), -(-held["bytes"] // SHARD_BYTES))
     graphs = staged(build_shards(classes, shards, shared_folder(spark)))
     found = staged(search_shards(classes, graphs, least, beam, recall))
     counts = found.where("links is not null").groupBy(F.col("cid").alias("l_cid")).agg(F.sum("links").alias("links"))
