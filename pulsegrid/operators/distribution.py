@@ -322,7 +322,8 @@ def large_remove_points(rows: DataFrame, how: str = "absfar", p: float = 0.1, la
     """``remove_points`` for windows of any size: no row, task or group holds a window.
 
     The cut is found by ``_kept_points``, lags are summed over overlapping blocks of positions, all of them and those of the
-    points that stay, and the first zeros are searched in ranges of lags that double. The marked points are staged.
+    points that stay, and the first zeros are searched in ranges of lags that double. The marked points are staged. ``sumabsacfdiff`` is over the lags that both have; ``remove_points`` gives NULL there
+    if one of them is too long for what stays.
     """
     marked = staged(_kept_points(rows, how, p, pieces, accuracy))
     trim = F.when(F.col("kept"), F.col("x"))
@@ -350,7 +351,7 @@ def large_remove_points(rows: DataFrame, how: str = "absfar", p: float = 0.1, la
     for k in (1, 2, 3):
         out[f"ac{k}rat"] = div(b(k), a(k))
         out[f"ac{k}diff"] = F.abs(b(k) - a(k))
-    out["sumabsacfdiff"] = sum((F.abs(b(k) - a(k)) for k in range(2, lags + 1)), F.abs(b(1) - a(1)))
+    out["sumabsacfdiff"] = sum((F.coalesce(F.abs(b(k) - a(k)), F.lit(0.0)) for k in range(2, lags + 1)), F.abs(b(1) - a(1)))
     out["mean"], out["median"], out["std"] = F.col("mu_k"), F.col("med_k"), F.col("std_k")
     out["skewnessrat"] = div(F.col("sk_k"), F.col("sk"))
     out["kurtosisrat"] = div(F.col("ku_k") + 3, F.col("ku") + 3)
