@@ -198,21 +198,36 @@ def _profile(o: DataFrame, block: int) -> DataFrame:
     return inside.join(before, KEYS + ["b"]).select(*KEYS, "i", "n", (F.col("before") + F.col("p")).alias("p"))
 
 
-def _segments(profile: DataFrame) -> DataFrame:
+def _segments(profile: DataFrame, longest: int | None = None) -> DataFrame:
     """Statistics of every aligned segment ``m`` of 2**l positions: mean ``p``, product sum ``sxy`` and ``rss`` about its own line.
 
-    All are central moments that Spark merges from partial aggregates, so neither an offset nor a drift costs digits.
+    All are central moments that Spark merges from partial aggregates, so neither an offset nor a drift costs digits. No
+    segment is longer than ``longest``.
     """
-    levels = F.sequence(F.lit(0), F.floor(F.log2(F.col("n").cast("double"))).cast("int"))
-    long = profile.select(*KEYS, "p", F.col("i").cast("bigint").alias("i"), F.explode(levels).alias("l"))
+    top = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
+    levels = F.sequence(F.lit(0), top if longest is None else F.least(top, F.lit(longest.bit_length() - 1)))
+    long = profile.select(*KEYS, "n", "p", F.col("i").cast("bigint").alias("i"), F.explode(levels).alias("l"))
     long = long.withColumn("m", F.expr("shiftright(i, l)"))
     i, p = F.col("i").cast("double"), F.col("p")
-    each = long.groupBy(*KEYS, "l", "m").agg(F.avg(p).alias("p"), F.count(p).cast("double").alias("c"),
+    each = long.groupBy(*KEYS, "l", "m").agg(F.avg(p).alias("p"), F.count(p).cast("double").alias("c"), F.max("n").alias("n"),
                                              F.regr_sxy(p, i).alias("sxy"), F.regr_syy(p, i).alias("syy"))
     c, sxy = F.col("c"), F.col("sxy")
     # one or two points lie on their line
-    rss = F.when(F.col("l") < 2, 0.0).otherwise(F.greatest(F.col("syy") - sxy * sxy / (c * (c * c - 1) / 12), F.lit(0.0)))
-    return each.select(*KEYS, "l", "m", "p", "sxy", rss.alias("rss"))
+    rss = F.when(c < 3, 0.0).otherwise(F.greatest(F.col("syy") - sxy * sxy / (c * (c * c - 1) / 12), F.lit(0.0)))
+    return each.select(*KEYS, "n", "l", "m", "p", "sxy", rss.alias("rss"))
+
+
+#: The whole segments of level ``l`` in the box from ``lo`` on, and those of them that its cover takes: at most two per level.
+FIRST, BEHIND = "shiftright(lo + shiftleft(1L, l) - 1, l)", "shiftright(lo + t, l)"
+
+
+def _assigned(segments: DataFrame, sizes: list[int]) -> DataFrame:
+    """Segments with each box they are a part of. Every segment finds its boxes by itself, so nothing is joined or broadcast."""
+    tried = segments.withColumn("t", F.explode(F.array(*[F.lit(t) for t in sizes])))
+    box = tried.withColumn("k", F.expr("shiftleft(m, l) div t")).where("k < n div t").withColumn("lo", F.expr("k * t"))
+    taken = box.withColumns({"a": F.expr(FIRST), "b": F.expr(BEHIND)}).where(
+        "a <= m AND m < b AND (m = a AND a % 2 = 1 OR m = b - 1 AND b % 2 = 1)")
+    return taken.drop("a", "b")
 
 
 def _pieces(windows: DataFrame, sizes: list[int] | None) -> DataFrame:
@@ -220,21 +235,28 @@ def _pieces(windows: DataFrame, sizes: list[int] | None) -> DataFrame:
     long = windows.select(*KEYS, "n", F.explode(_box_sizes(F.col("n"), sizes)).alias("t")).repartition(*KEYS, "t")
     box = long.select(*KEYS, "t", F.explode(F.expr("sequence(0L, n div t - 1)")).alias("k")).withColumn("lo", F.expr("k * t"))
     level = box.select("*", F.explode(F.expr("sequence(0, CAST(floor(log2(t)) AS INT))")).alias("l"))
-    ends = level.withColumns({"a": F.expr("shiftright(lo + shiftleft(1L, l) - 1, l)"), "b": F.expr("shiftright(lo + t, l)")})
+    ends = level.withColumns({"a": F.expr(FIRST), "b": F.expr(BEHIND)})
+    # shuffled as they are, so that Spark knows their size when it chooses a join
     return ends.where("a < b").select(*KEYS, "t", "k", "lo", "l", F.explode(F.expr(
-        "array_compact(array(CASE WHEN a % 2 = 1 THEN a END, CASE WHEN b % 2 = 1 THEN b - 1 END))")).alias("m"))
+        "array_compact(array(CASE WHEN a % 2 = 1 THEN a END, CASE WHEN b % 2 = 1 THEN b - 1 END))")).alias("m")).repartition(*KEYS, "l", "m")
 
 
 def large_fluctuation(o: DataFrame, sizes: list[int] | None = None, name: str = "sc_dfa", log=F.ln,
                       block: int = BLOCK) -> DataFrame:
     """``detrended_fluctuation`` for windows of any size.
 
-    A box is assembled from aligned segments of the profile, at most two of each power of two, which meet it in an equi-join;
-    no row, task or group holds a window. What is left around the box's line is the sum of what is left around the segments' own
+    A box is assembled from aligned segments of the profile, at most two of each power of two: with a list of ``sizes`` each segment
+    tells its boxes, without one they meet in an equi-join. No row, task or group holds a window; one without a box has no row. What is left around the box's line is the sum of what is left around the segments' own
     lines and of their distances to the common one: only squares are added, nothing is subtracted.
     """
-    windows = o.groupBy(*KEYS).agg(F.count("x").alias("n"))
-    met = _pieces(windows, sizes).join(_segments(_profile(o, block)), [*KEYS, "l", "m"])
+    # the levels multiply the rows after this shuffle, so its small size must not decide how many tasks there are
+    tasks = int(o.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    profile = _profile(o, block).repartition(tasks, *KEYS, F.floor(F.col("i") / block))
+    if sizes is None:
+        windows = o.groupBy(*KEYS).agg(F.count("x").alias("n"))
+        met = _pieces(windows, sizes).join(_segments(profile), [*KEYS, "l", "m"])
+    else:
+        met = _assigned(_segments(profile, max(sizes)), sizes)
     size = F.expr("CAST(shiftleft(1L, l) AS DOUBLE)")
     middle = F.col("m") * size + (size - 1) / 2
     t = F.col("t")
@@ -253,9 +275,8 @@ def large_fluctuation(o: DataFrame, sizes: list[int] | None = None, name: str =
 
     each = boxes.select(*KEYS, "t", total(left).alias("rss")).groupBy(*KEYS, "t").agg(
         F.sqrt(F.sum("rss") / (F.count("rss") * t)).alias("f"))
-    found = each.groupBy(*KEYS).agg(
+    return each.groupBy(*KEYS).agg(
         F.regr_slope(log(F.nullif(F.col("f"), F.lit(0.0))), log(t.cast("double"))).alias(name))
-    return windows.select(*KEYS).join(found, KEYS, "left")
 
 
 def power_sizes(low: float = 5, high: float = 9, density: float = 0.25) -> list[int]:
