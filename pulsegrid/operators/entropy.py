@@ -1,6 +1,7 @@
 """Entropy and complexity features of the filled, ordered values of a window.
 
-Template matching never forms pairs of a window: equal templates are merged with a count, and those within the tolerance
+Template matching never forms rows for pairs. Windows of at most ``SMALL`` values are one row each, and numpy compares their
+values where the row lies. In larger ones equal templates are merged with a count, and those within the tolerance
 are counted by ranges of sorted values, one coordinate after the other (``ranges``); a one-dimensional range count is
 read off a running count.
 """
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.expr import KEYS, by, per, upto
 from pulsegrid.operators import ranges as R
 
+#: Values of a window whose pairs are compared at once, in a square of that side, and rows of a batch that goes back to Spark.
+SMALL, ROWS = 1024, 1024
+
 
 def _tolerant(o: DataFrame, keys: list[str], share_of_sd: float, absolute: bool = False) -> DataFrame:
     """Adds the tolerance ``r`` (a share of the deviation, or itself) and the length ``n``; without tolerance no templates."""
@@ -24,20 +28,81 @@ def _tolerant(o: DataFrame, keys: list[str], share_of_sd: float, absolute: bool
 
 
 def _templates(o: DataFrame, keys: list[str], share_of_sd: float, size: int, absolute: bool = False) -> DataFrame:
-    """Distinct templates of ``size`` consecutive values with their count ``c``."""
+    """Distinct templates of ``size`` consecutive values of windows that are not small, with their count ``c``."""
     step = by("i", keys=keys)
-    rows = _tolerant(o, keys, share_of_sd, absolute)
+    rows = _tolerant(o, keys, share_of_sd, absolute).where(F.col("n") > SMALL)
     cols = [F.col("x").alias("x0"), *[F.lead("x", k).over(step).alias(f"x{k}") for k in range(1, size)]]
     names = [f"x{k}" for k in range(size)]
     return rows.select(*keys, "n", "r", *cols).where(F.col(names[-1]).isNotNull()).groupBy(
         *keys, "n", "r", *names).agg(F.count("*").alias("c"))
 
 
+def _arrays(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per small window: ``xs`` by position, with its ``n`` and tolerance ``r``."""
+    return rows.where(F.col("n") <= SMALL).groupBy(*keys).agg(
+        F.max("n").alias("n"), F.max("r").alias("r"), F.sort_array(F.collect_list(F.struct("i", "x"))).alias("p")).select(
+        *keys, "n", "r", F.col("p.x").alias("xs"))
+
+
+def _per_window(windows: DataFrame, keys: list[str], found: dict[str, str], work) -> DataFrame:
+    """Applies ``work(xs, r)`` to each row; what it returns, lists of tuples, becomes rows with the ``keys`` and the columns ``found``."""
+    import pyarrow as pa
+
+    kinds = {"double": pa.float64(), "bigint": pa.int64()}
+
+    def run(batches):
+        import numpy as np
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b, out, of = whole.slice(at, ROWS), [], []
+                values, starts = b.column("xs"), b.column("xs").offsets.to_numpy()
+                flat = values.values.to_numpy(zero_copy_only=False)
+                for k, r in enumerate(b.column("r").to_numpy(zero_copy_only=False)):
+                    made = work(flat[starts[k]:starts[k + 1]], np.float64(r))
+                    out += made
+                    of += [k] * len(made)
+                columns = [b.column(c).take(pa.array(of, pa.int64())) for c in keys]
+                columns += [pa.array([x[j] for x in out], kinds[kind]) for j, kind in enumerate(found.values())]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, *found])
+
+    names = [f"`{c}` {windows.schema[c].dataType.simpleString()}" for c in keys] + [f"{c} {kind}" for c, kind in found.items()]
+    return windows.select(*keys, "r", "xs").mapInArrow(run, ", ".join(names))
+
+
+def _matches(xs, r, m: int) -> tuple[int, int]:
+    """Pairs, also with themselves, of templates that match in all ``m + 1`` values and in the first ``m``."""
+    import numpy as np
+
+    n = len(xs) - m
+    with np.errstate(invalid="ignore"):
+        near = np.abs(xs[:, None] - xs) < r
+    np.fill_diagonal(near, True)
+    both = near[:n, :n]
+    for k in range(1, m):
+        both = both & near[k:k + n, k:k + n]
+    return int(np.count_nonzero(both & near[m:, m:])), int(np.count_nonzero(both))
+
+
+def _match_counts(rows: DataFrame, keys: list[str], m: int) -> DataFrame:
+    """``(keys, n, r, a, b)`` of the small windows among ``_tolerant`` rows."""
+    windows = _arrays(rows.where(F.col("n") > m), keys)
+    return _per_window(windows, keys, {"n": "bigint", "r": "double", "a": "bigint", "b": "bigint"},
+                       lambda xs, r: [(len(xs), float(r), *_matches(xs, r, m))])
+
+
 def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] = KEYS, absolute: bool = False) -> DataFrame:
     """Sample and quadratic entropy, with a tolerance of ``rth`` deviations or ``absolute``; infinite when no match goes on, NULL when there is no match.
 
-    Matches of the first ``m`` values (``b``) and of all ``m + 1`` (``a``) are counted coordinate by coordinate (``ranges``).
+    Matches of the first ``m`` values (``b``) and of all ``m + 1`` (``a``) are counted window by window or, in large ones,
+    coordinate by coordinate (``ranges``).
     """
+    small = _match_counts(_tolerant(o, keys, rth, absolute), keys, m)
+    return _sample_entropies(small.unionByName(_large_matches(o, m, rth, keys, absolute)), m, keys)
+
+
+def _large_matches(o: DataFrame, m: int, rth: float, keys: list[str], absolute: bool = False) -> DataFrame:
+    """``(keys, n, r, a, b)`` of windows that are not small, in parts."""
     first, *rest = [f"x{k}" for k in range(m + 1)]
     at = R.located(_templates(o, keys, rth, m + 1, absolute), keys, first, ["r", "n", "c", first, *rest], "<", both=False)
     at = at.selectExpr("*", "p AS q", "0L AS a", f"{'2 * c * met' if m == 1 else '0L'} AS b")
@@ -59,7 +124,7 @@ def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] =
 
         sums = [counted("a", left, m), counted("b", left[:-1], m - 1)]
         if depth == m:
-            at = rows.selectExpr(*keys, "r", "n", *sums)
+            at = rows.selectExpr(*keys, "n", "r", *sums)
             break
         alone = f"kind IN ({R.SINGLE}, {R.DONE}) OR k = 0"  # nothing follows in such blocks but their counts
         rows = rows.selectExpr(
@@ -71,6 +136,10 @@ def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] =
             f"{of(R.POINT)} - 1 AS p", f"{of(R.OPEN)} AS lo", f"{of(R.CLOSE)} AS hi", "sum(a) AS a", "sum(b) AS b")])
         at = at.withColumn("top", F.expr(f"max(CASE WHEN role = 'asks' THEN {R.levels('lo', 'hi')} END)").over(per(blocks)))
         roles = {"point": "role = 'point'", "asks": "role = 'asks'", "done": "a <> 0 OR b <> 0"}
+    return at
+
+
+def _sample_entropies(at: DataFrame, m: int, keys: list[str]) -> DataFrame:
     own = F.max("n") - m  # every template meets itself once
     totals = at.groupBy(*keys).agg((F.sum("a") - own).alias("a"), (F.sum("b") - own).alias("b"), F.max("r").alias("r"))
     entropy = F.when(F.col("b") == 0, F.lit(None)).when(F.col("a") == 0, F.lit(float("inf"))).otherwise(
@@ -80,8 +149,8 @@ def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] =
 
 
 def _range_counts(o: DataFrame, rth: float) -> DataFrame:
-    """Per point: number of values of its window within the tolerance, itself included."""
-    rows = _tolerant(o, KEYS, rth)
+    """Per point of windows that are not small: number of values of its window within the tolerance, itself included."""
+    rows = _tolerant(o, KEYS, rth).where(F.col("n") > SMALL)
     x, r = F.col("x"), F.col("r")
     # at equal values a lower probe comes before the points and an upper probe after them
     marks = F.array(*[F.struct(v.alias("v"), F.lit(kind).alias("kind"))
@@ -93,8 +162,29 @@ def _range_counts(o: DataFrame, rth: float) -> DataFrame:
          - F.max(F.when(F.col("kind") == 0, F.col("below")))).alias("hits"), F.max("n").alias("n"))
 
 
+def _phis(xs, r) -> float | None:
+    """Difference of the mean log shares of neighbours of single values and of pairs of values."""
+    import numpy as np
+
+    n, ordered = len(xs), np.sort(xs)
+    # the ends of the range are worked out as in ``_range_counts``
+    one = np.searchsorted(ordered, xs + r, "right") - np.searchsorted(ordered, xs - r, "left")
+    with np.errstate(invalid="ignore"):
+        near = np.abs(xs[:, None] - xs) <= r
+    two = np.count_nonzero(near[:-1, :-1] & near[1:, 1:], axis=1)
+    if n < 2 or not (one.all() and two.all()):
+        return None
+    return float(np.log(one / n).mean() - np.log(two / (n - 1)).mean())
+
+
 def approximate_entropy(o: DataFrame, rth: float = 0.2) -> DataFrame:
     """Approximate entropy with template lengths 1 and 2."""
+    windows = _arrays(_tolerant(o, KEYS, rth), KEYS)
+    small = _per_window(windows, KEYS, {"en_apen": "double"}, lambda xs, r: [(_phis(xs, r),)])
+    return small.unionByName(_large_approximate_entropy(o, rth))
+
+
+def _large_approximate_entropy(o: DataFrame, rth: float) -> DataFrame:
     one = _range_counts(o, rth).groupBy(*KEYS).agg(
         F.avg(F.ln(F.col("hits") / F.col("n"))).alias("phi1"))
     at = R.located(_templates(o, KEYS, rth, 2), KEYS, "x0", ["r", "n", "c", "x0", "x1"], "<=", both=True)
@@ -113,13 +203,36 @@ def multiscale_entropy(o: DataFrame, scales: range | list[int] = range(2, 11), m
     Scales that leave fewer than ``least`` buffers, or have no finite entropy, do not take part.
     """
     keys = KEYS + ["scale"]
-    n = F.count("*").over(per())
-    long = o.withColumn("n", n).select(
+    scales = [*scales]
+    sized = o.select(*KEYS, "i", "x", F.count("*").over(per()).alias("n"))
+
+    def small_window(xs, r):
+        import numpy as np
+
+        out = []
+        for s in scales:
+            full = len(xs) // s
+            if full < least or full <= m:
+                continue
+            coarse = np.zeros(full)
+            for k in range(s):  # added up in order, as Spark does
+                coarse += xs[k:full * s:s]
+            coarse /= s
+            r = coarse.std() * rth
+            if r > 0 or np.isnan(r):
+                out.append((s, full, float(r), *_matches(coarse, r, m)))
+        return out
+
+    found = {"scale": "bigint", "n": "bigint", "r": "double", "a": "bigint", "b": "bigint"}
+    small = _per_window(_arrays(sized.withColumn("r", F.lit(0.0)), KEYS), KEYS, found, small_window).withColumn(
+        "scale", F.col("scale").cast("int"))
+    long = sized.where(F.col("n") > SMALL).select(
         *KEYS, "i", "n", "x", F.explode(F.array(*[F.lit(s) for s in scales])).alias("scale"))
     full = F.floor(F.col("n") / F.col("scale"))
     coarse = long.where((full >= least) & (F.col("i") < full * F.col("scale"))).groupBy(
         *keys, F.floor(F.col("i") / F.col("scale")).alias("i")).agg(F.avg("x").alias("x"))
-    each = sample_entropy(coarse, m, rth, keys).select(
+    counts = small.unionByName(_match_counts(_tolerant(coarse, keys, rth), keys, m)).unionByName(_large_matches(coarse, m, rth, keys))
+    each = _sample_entropies(counts, m, keys).select(
         *keys, F.when(F.col("en_sample_entropy") < float("inf"), F.col("en_sample_entropy")).alias("e"))
     e = F.col("e")
     change = e - F.lag("e").over(by("scale"))

@@ -1,10 +1,14 @@
 """Steps that must not grow faster than their input: nothing is broadcast, repeated or held that a larger table would multiply."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import trend
+from pulsegrid.functions.vectors import vectors
+from pulsegrid.operators import density, distribution, entropy, trend
+from pulsegrid.operators import ranges as R
 
 SCHEMA = "series string, w long, t double, x double, i int"
 
@@ -28,3 +32,30 @@ def test_boxes_of_crowded_windows_are_not_broadcast(spark):
     assert set(got) == {"a", "b"}  # a window shorter than every box has no row
     assert all(got[s] == pytest.approx(want[s], rel=1e-7) for s in got)
     assert "Join" not in executed(trend._assigned(trend._segments(trend._profile(o, 64).localCheckpoint(), 512), sizes))
+
+
+def some(n=4):
+    r = np.random.default_rng(5)
+    return {f"{kind}{k}": xs for k in range(n) for kind, xs in (
+        ("normal", r.normal(size=40 + k)), ("ties", np.round(r.normal(size=70), 1)), ("walk", np.cumsum(r.normal(size=130))))} | {
+        "constant": np.ones(30), "two": np.array([1.0, 2.0]), "one": np.ones(1)}
+
+
+OPERATORS = {
+    "sampen": entropy.sample_entropy, "apen": entropy.approximate_entropy,
+    "scales": lambda o: entropy.multiscale_entropy(o, [2, 3, 5])[0], "mse": lambda o: entropy.multiscale_entropy(o, [2, 3, 5])[1]}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_small_windows_make_no_rows_for_ranges(spark, monkeypatch, name):
+    made, run = [], R.running
+    monkeypatch.setattr(R, "running", lambda rows, *a: (made.append(rows.count()), run(rows, *a))[1])
+    o = frame(spark, some())
+    rows = lambda: {tuple(r[c] for c in ("series", "scale") if c in r): r.asDict() for r in OPERATORS[name](o).collect()}
+    at_once = rows()
+    assert sum(made) == 0
+    monkeypatch.setattr(entropy, "SMALL", 1)
+    by_ranges = rows()
+    assert sum(made) > 0 and set(at_once) == set(by_ranges)
+    for key, want in by_ranges.items():
+        assert at_once[key] == {c: v if v is None or isinstance(v, str) else pytest.approx(v, abs=1e-9) for c, v in want.items()}
