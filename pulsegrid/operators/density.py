@@ -28,22 +28,35 @@ def _kernel_sums(x, grid, width):
     return total
 
 
-def _density_udf(points: int):
-    def density(xs: pd.Series, h: pd.Series) -> pd.Series:
+#: Windows whose densities go back to Spark in one batch.
+ROWS = 64
+
+
+def _with_density(wide: DataFrame, points: int) -> DataFrame:
+    """Replaces ``xs`` by the density ``f`` on ``points`` numbers; a task holds the densities of ``ROWS`` windows, however many it has."""
+    import pyarrow as pa
+
+    kept = [c for c in wide.columns if c != "xs"]
+
+    def run(batches):
         import numpy as np
 
-        out = []
-        for x, width in zip(xs, h):
-            if x is None or width is None or not width > 0:
-                out.append(None)
-                continue
-            x = np.asarray(x, dtype="float64")
-            grid = np.linspace(x.min(), x.max(), points)
-            total = _kernel_sums(x, grid, width)
-            out.append(total / (len(x) * width * math.sqrt(2 * math.pi)))
-        return pd.Series(out)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                xs, h = b.column("xs"), b.column("h").to_pylist()
+                out = []
+                for k, width in enumerate(h):
+                    if not xs[k].is_valid or width is None or not width > 0:
+                        out.append(None)
+                        continue
+                    x = xs[k].values.to_numpy(zero_copy_only=False)
+                    grid = np.linspace(x.min(), x.max(), points)
+                    out.append(_kernel_sums(x, grid, width) / (len(x) * width * math.sqrt(2 * math.pi)))
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(out, pa.list_(pa.float64()))], [*kept, "f"])
 
-    return F.pandas_udf(density, "array<double>")
+    kinds = [f"`{c}` {wide.schema[c].dataType.simpleString()}" for c in kept]
+    return wide.select(*kept, "xs").mapInArrow(run, ", ".join([*kinds, "f array<double>"]))
 
 
 def best_sine(d, finer: int = 4):
@@ -96,9 +109,7 @@ def kernel_density(vec: DataFrame, points: int, carry: tuple[str, ...] = ()) ->
     wide = vec.where("n > 1 and sd > 0").select(
         *KEYS, *carry, "n", "mu", "sd", "xs", (sd1 * F.pow(n.cast("double"), F.lit(-0.2))).alias("h"),
         F.array_min("xs").alias("lo"), F.array_max("xs").alias("hi"))
-    return wide.select(*KEYS, *carry, "n", "mu", "sd", "lo", "hi", "h",
-                       ((F.col("hi") - F.col("lo")) / (points - 1)).alias("dx"),
-                       _density_udf(points)("xs", "h").alias("f"))
+    return _with_density(wide.withColumn("dx", (F.col("hi") - F.col("lo")) / (points - 1)), points)
 
 
 def large_density(o: DataFrame, points: int, dist: str = "norm", block: int = BLOCK) -> DataFrame:

@@ -59,3 +59,12 @@ def test_small_windows_make_no_rows_for_ranges(spark, monkeypatch, name):
     assert sum(made) > 0 and set(at_once) == set(by_ranges)
     for key, want in by_ranges.items():
         assert at_once[key] == {c: v if v is None or isinstance(v, str) else pytest.approx(v, abs=1e-9) for c, v in want.items()}
+
+
+def test_densities_return_in_small_batches(spark, monkeypatch):
+    vec = vectors(frame(spark, some(30)))
+    want = {r.series: r.f for r in density.kernel_density(vec, 50).collect()}
+    plan = executed(density.kernel_density(vec, 50))
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    monkeypatch.setattr(density, "ROWS", 3)
+    assert {r.series: r.f for r in density.kernel_density(vec, 50).collect()} == want and set(want) == set(some(30)) - {"constant", "one"}
