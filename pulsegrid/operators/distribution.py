@@ -361,7 +361,8 @@ def large_remove_points(rows: DataFrame, how: str = "absfar", p: float = 0.1, la
 def outlier_thresholds(rows: DataFrame, how: str = "abs", inc: float = 0.01) -> DataFrame:
     """Timing of extreme values per threshold of the z-score: ``(series, w, th, ...)``.
 
-    A point reaches only the thresholds at or below its own score.
+    A point reaches only the thresholds at or below its own score. A window is one row here; it is repeated for each set of points
+    that thresholds share, where it lies, and the numbers of a set for each of its thresholds.
     """
     z = div(F.col("x") - F.avg("x").over(per()), F.stddev_pop("x").over(per()))
     scored = rows.select(*KEYS, "t", "x").withColumn("i", F.row_number().over(by("t", "x")) - 1).withColumn(
@@ -372,19 +373,24 @@ def outlier_thresholds(rows: DataFrame, how: str = "abs", inc: float = 0.01) ->
         "top", F.max("s").over(per())).where("s >= 0")
     # arange(0, top, inc) leaves out top itself
     last = F.least(F.floor(F.col("s") / F.lit(inc)), F.ceil(F.col("top") / F.lit(inc)) - 1)
-    hit = scored.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    keys = KEYS + ["step"]
-    hit = hit.withColumn("gap", F.col("i") - F.lag("i").over(by("i", keys=keys)))
-    half = F.max("n") / 2
-    root = F.sqrt(F.count("*").cast("double"))
-    return hit.groupBy(*keys).agg(
-        F.avg("gap").alias("mean_gap"),
-        (F.stddev_pop("gap") / root).alias("std_gap"),
-        (F.count("gap") / F.max("tot") * 100).alias("pct"),
-        (F.median("i") / half - 1).alias("median_at"),
-        (F.avg("i") / half - 1).alias("mean_at"),
-        (F.stddev_pop("i") / root).alias("std_at"),
-    ).withColumn("th", F.col("step") * F.lit(inc)).drop("step")
+    packed = scored.groupBy(*KEYS).agg(F.max("n").alias("n"), F.max("tot").alias("tot"), F.sort_array(F.collect_list(
+        F.struct("i", last.alias("last")))).alias("p"))
+    # the points at or above a threshold change only where one has its last threshold
+    levels = F.array_sort(F.array_distinct("p.last"))
+    each = packed.withColumn("levels", levels).select("*", F.posexplode("levels").alias("at", "to"))
+    first = F.when(F.col("at") == 0, F.lit(0).cast("long")).otherwise(F.get("levels", F.col("at") - 1) + 1)
+    member = F.filter("p", lambda v: v["last"] >= F.col("to"))
+    each = each.select(*KEYS, "n", "tot", first.alias("from"), "to", F.transform(member, lambda v: v["i"].cast("double")).alias("is"))
+    at = F.col("is")
+    gaps = F.transform(F.slice(at, 2, F.size(at)), lambda v, j: v - at[j])
+    each = each.select("*", gaps.alias("gaps"), V.mean_of(gaps).alias("mg"), V.mean_of(at).alias("mi"))
+    half, root = F.col("n") / 2, F.sqrt(F.size("is").cast("double"))
+    out = each.select(
+        *KEYS, "from", "to", F.col("mg").alias("mean_gap"), (V.std_of(F.col("gaps"), F.col("mg")) / root).alias("std_gap"),
+        (F.size("gaps") / F.col("tot") * 100).alias("pct"), (V.quantile_of(at, 0.5) / half - 1).alias("median_at"),
+        (F.col("mi") / half - 1).alias("mean_at"), (V.std_of(at, F.col("mi")) / root).alias("std_at"))
+    return out.withColumn("step", F.explode(F.sequence("from", "to"))).withColumn(
+        "th", F.col("step") * F.lit(inc)).drop("step", "from", "to")
 
 
 def distribution(rows: DataFrame, large: bool = False) -> DataFrame:

@@ -68,3 +68,29 @@ def test_densities_return_in_small_batches(spark, monkeypatch):
     assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
     monkeypatch.setattr(density, "ROWS", 3)
     assert {r.series: r.f for r in density.kernel_density(vec, 50).collect()} == want and set(want) == set(some(30)) - {"constant", "one"}
+
+
+@pytest.mark.parametrize("how", ["abs", "p", "n"])
+def test_outlier_thresholds_sort_nothing_by_threshold(spark, how):
+    windows = some(2)
+    out = distribution.outlier_thresholds(frame(spark, windows), how, 0.25)
+    assert not re.search(r"(Sort|Window|hashpartitioning)[^\n]*step", executed(out))
+    got = {(r.series, round(r.th, 4)): r for r in out.collect()}
+    seen = 0
+    for s, y in windows.items():
+        if not y.std() > 0:
+            continue
+        z = (y - y.mean()) / y.std()
+        z = {"abs": abs(z), "p": z, "n": -z}[how]
+        for th in np.arange(0, z.max(), 0.25):
+            at = np.flatnonzero(z >= th)
+            r, seen = got[s, round(float(th), 4)], seen + 1
+            assert r.mean_at == pytest.approx(at.mean() / (len(y) / 2) - 1) and r.median_at == pytest.approx(np.median(at) / (len(y) / 2) - 1)
+            assert r.std_at == pytest.approx(at.std() / np.sqrt(len(at)), abs=1e-9)
+            assert r.pct == pytest.approx((len(at) - 1) / (z >= 0).sum() * 100)
+            if len(at) > 1:
+                assert r.mean_gap == pytest.approx(np.diff(at).mean())
+                assert r.std_gap == pytest.approx(np.diff(at).std() / np.sqrt(len(at)), abs=1e-9)
+            else:
+                assert r.mean_gap is None and r.std_gap is None
+    assert seen == len(got)
