@@ -19,11 +19,12 @@ from pulsegrid.plans.staging import staged
 QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
-def base(rows: DataFrame, keys: list[str] = KEYS, large: bool = False) -> DataFrame:
+def base(rows: DataFrame, keys: list[str] = KEYS, large: bool = False, quantiles: tuple[str, ...] | None = None) -> DataFrame:
     """The per-window numbers many features start from; computed once and joined where needed.
 
     ``large`` is for windows whose distinct values may not fit the memory of one task: quantiles are then
-    found by ``large_quantiles``, and all else is merged from partial sums.
+    found by ``large_quantiles``, which finds no others than the named ``quantiles`` if given (the rest is NULL), and all else is
+    merged from partial sums.
     """
     x = F.col("x")
     names = ("q25", "med", "q75", "q90", "q95", "q99")
@@ -32,8 +33,10 @@ def base(rows: DataFrame, keys: list[str] = KEYS, large: bool = False) -> DataFr
             F.skewness(x).alias("skew"), F.kurtosis(x).alias("kurt")]
     plain = ["n", "mu", "sd", "lo", "hi", "skew", "kurt"]
     if large:
-        found = large_quantiles(rows, dict(zip(names, QUANTILES)), keys)
-        return rows.groupBy(*keys).agg(*sums).join(found, keys).select(*keys, *plain, *names)
+        wanted = {c: q for c, q in zip(names, QUANTILES) if quantiles is None or c in quantiles}
+        found = large_quantiles(rows, wanted, keys)
+        return rows.groupBy(*keys).agg(*sums).join(found, keys).select(
+            *keys, *plain, *[c if c in wanted else F.lit(None).cast("double").alias(c) for c in names])
     agg = rows.groupBy(*keys).agg(*sums, F.percentile(x, F.array(*[F.lit(q) for q in QUANTILES])).alias("q"))
     return agg.select(*keys, *plain, *[F.col("q")[i].alias(c) for i, c in enumerate(names)])
 
@@ -149,8 +152,8 @@ def summary(b: DataFrame) -> DataFrame:
         div(sd * sd * sd, mu * mu * mu).alias("dn_cv_3"))
 
 
-def deviations(rows: DataFrame, b: DataFrame, th: float = 0.1, large: bool = False) -> DataFrame:
-    """Features of the distance to the window's mean or median. ``large`` as in ``base``."""
+def deviations(rows: DataFrame, b: DataFrame, th: float = 0.1, large: bool = False, only: list[str] | None = None) -> DataFrame:
+    """Features of the distance to the window's mean or median, or those in ``only``. ``large`` as in ``base``."""
     x, mu, sd, med = F.col("x"), F.col("mu"), F.col("sd"), F.col("med")
     near = rows.join(b.select(*KEYS, "mu", "sd", "med", "q25", "q75"), KEYS)
     wide = 1.35 * (F.col("q75") - F.col("q25"))
@@ -172,10 +175,15 @@ def deviations(rows: DataFrame, b: DataFrame, th: float = 0.1, large: bool = Fal
         return near.groupBy(*KEYS).agg(
             *sums, div(F.percentile(F.abs(x - mu), F.lit(1 - th)), F.max(sd)).alias("dn_pleft"),
             F.median(F.abs(x - med)).alias("dn__spread_mead"))
-    far = large_quantiles(near.select(*KEYS, F.abs(x - mu).alias("x")), {"far": 1 - th})
-    mid = large_quantiles(near.select(*KEYS, F.abs(x - med).alias("x")), {"dn__spread_mead": 0.5})
-    return combine([near.groupBy(*KEYS).agg(*sums, F.max(sd).alias("sd")), far, mid]).withColumn(
-        "dn_pleft", div(F.col("far"), F.col("sd"))).drop("far", "sd")
+    out = [near.groupBy(*KEYS).agg(*sums, F.max(sd).alias("sd"))]
+    if only is None or "dn_pleft" in only:
+        out.append(large_quantiles(near.select(*KEYS, F.abs(x - mu).alias("x")), {"far": 1 - th}))
+    if only is None or "dn__spread_mead" in only:
+        out.append(large_quantiles(near.select(*KEYS, F.abs(x - med).alias("x")), {"dn__spread_mead": 0.5}))
+    all_of = combine(out)
+    if "far" in all_of.columns:
+        all_of = all_of.withColumn("dn_pleft", div(F.col("far"), F.col("sd"))).drop("far")
+    return all_of.drop("sd") if only is None else all_of.select(*KEYS, *only)
 
 
 def value_counts(rows: DataFrame) -> DataFrame:

@@ -144,6 +144,7 @@ DEVIATIONS = {
 }
 # these need quantiles; in the others the quantiles of ``base`` are pruned and only sums remain
 RANKED = {"dn_iqr", "dn_median", "dn_customskewness", "dn_quantile", "dn_withinp", "dn_pleft", "dn_spread"}
+QUANTILES_OF = {"dn_spread": ("med",)}  # what these read of them, where they are found one by one
 COUNTED = {"dn_mode": ["dn_mode"], "dn_unique": ["dn_unique"], "en_shannonen": ["en_shannonentropy"]}
 
 
@@ -154,8 +155,8 @@ def _distribution() -> None:
                 lambda r, cols=cols, big=name in RANKED: D.summary(D.base(r, large=big)).select("series", "w", *cols), "type")
     for name, cols in DEVIATIONS.items():
         on_rows(name, S.distribution(cols, "type"),
-                lambda r, cols=cols, big=name in RANKED: D.deviations(r, D.base(r, large=big), large=big).select(
-                    "series", "w", *cols), "type")
+                lambda r, cols=cols, big=name in RANKED, qs=QUANTILES_OF.get(name): D.deviations(
+                    r, D.base(r, large=big, quantiles=qs), large=big, only=cols).select("series", "w", *cols), "type")
     for name, cols in COUNTED.items():
         on_rows(name, S.value_counts(cols, "type"),
                 lambda r, cols=cols: D.value_counts(r).select("series", "w", *cols), "type")

@@ -94,3 +94,12 @@ def test_outlier_thresholds_sort_nothing_by_threshold(spark, how):
             else:
                 assert r.mean_gap is None and r.std_gap is None
     assert seen == len(got)
+
+
+def test_spread_finds_only_its_quantiles(spark, monkeypatch):
+    from suite import queries as Q
+
+    sought, run = [], distribution.large_quantiles
+    monkeypatch.setattr(distribution, "large_quantiles", lambda rows, probs, *a, **k: (sought.append(set(probs)), run(rows, probs, *a, **k))[1])
+    Q.QUERIES["dn_spread"](spark, "/root/testdata/sf0.001")
+    assert sought == [{"med"}, {"dn__spread_mead"}]
