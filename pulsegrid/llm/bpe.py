@@ -30,16 +30,16 @@ def byte_letters() -> list[str]:
 class Generations(dict):
     """A cache of bounded size: when full it becomes the old generation, whose entries return when asked for."""
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int | None = None):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.old, self.entries = make, {}, entries or CACHED
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= CACHED_CHARS:
-            if len(self) >= CACHED:
+            if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.bpe import ROWS, Generations, byte_letters
+from pulsegrid.llm.bpe import CACHED_CHARS, ROWS, Generations, byte_letters
 from pulsegrid.llm.common import staged, text_of
 
 #: Tokens per unit of length in the linear program, and pieces in which documents of a length are ranked.
@@ -21,6 +22,12 @@ SHORT, BUNDLES = 32, 16
 #: Letters that have one small form each, and a mark or none behind them.
 PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
 
+#: How the tokenizer cuts a lower-cased word of printable ASCII.
+CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+
+#: Entries of each generation of known words.
+KNOWN = 600_000
+
 #: What str.split() takes for white space though Unicode doesn't.
 MORE_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -37,24 +44,35 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Generations(self.word)
-        self.spelling = byte_letters()  # how a byte-level model writes bytes
+        self.model = self.tokenizer.model
+        self.words = Generations(self.word, KNOWN)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.spelling = {b: c for b, c in enumerate(byte_letters()) if chr(b) != c}  # how a byte-level model writes bytes
         # another kind of tokenizer encodes whole words only
         self.direct = all(self.letters(w) == self.whole(w) == self.whole(w.upper()) and self.whole(w + m) == self.whole(w) + self.whole(m)
                           for w in ("hello", "été", "übergrößen", "øyn") for m in ".,;:!?" if w.upper().lower() == w)
+        marks = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+        self.cuts = self.direct and all(self.cut(w) == self.whole(w) for m in marks for w in (
+            m, f"a{m}B", f"{m}{m}re1", f"don{m}t{m}S", f"we{m}LL{m}m9{m}VEx", f"{m}d{m}{m}R{m}re", f"12{m}z{m}st3{m}Dog", f"a{m}'s'{m}'Re{marks}"))
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def letters(self, word: str) -> bytes:
         """A word of small letters, past the normalizer and the cutting into pieces, which leave it as it is."""
-        spelt = word if word.isascii() else "".join([self.spelling[b] for b in word.encode()])
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
+        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
+    def cut(self, word: str) -> bytes:
+        """A word of printable ASCII, past the normalizer, which lower-cases it; parts of letters share what is cached."""
+        return b"".join([self.words[p] if p.isalpha() else self.letters(p) for p in CUT(word.lower())])
 
     def word(self, word: str) -> bytes:
         """Letters and a mark behind them don't touch, and the tokenizer lower-cases: such words share what is cached."""
         plain = PLAIN(word) if self.direct else None
         if plain is None:
+            if self.cuts and word.isascii() and word.isprintable() and len(word) <= CACHED_CHARS and not any(t in word for t in self.special):
+                return self.cut(word)
             return self.whole(word)
         low, mark = plain[1].lower(), plain[2]
         if mark:

@@ -42,6 +42,16 @@ def test_ids_equal_the_library(odd_texts):
         assert np.frombuffer(w.encode(s), "<u4").tolist() == other.encode(s, add_special_tokens=False).ids, repr(s)
 
 
+def test_ascii_words_are_cut_as_the_library_does():
+    w, r = packing.Words(WORDS), random.Random(7)
+    assert w.direct and w.cuts
+    for _ in range(5000):
+        x = "".join(r.choice("abzABZstREllVEmdT'''.-_/()<>|\\\"#$&*+=0189") for _ in range(r.randint(1, 12)))
+        assert w.word(x) == w.whole(x), x
+    for x in ("<|endoftext|>", "a<|endoftext|>b", "<|x", "a\x00b", "don\x7ft", "x" * 200 + "-1"):
+        assert w.word(x) == w.whole(x), x
+
+
 def test_decoding_any_ids():
     ids = [random.Random(3).randrange(50257) for _ in range(3000)]
     assert bpe.Codec(BYTES).decode(array("I", ids).tobytes()) == library(BYTES).decode(ids, skip_special_tokens=False)
