@@ -98,41 +98,46 @@ def propagate(v: DataFrame, linked: DataFrame, shards: int, quota: float) -> Dat
     with most weight among its hubs. Flows between shards, a table of shards squared, tell how many may go: as many as
     come back, and what the target has room for; a hash of vertex and round picks them. Rounds end when nobody asks, or
     when the weight of links that lead to another shard no longer falls by ``GAIN``; the best round counts.
+    A vertex carries its links, so that hubs and votes are one shuffle each; sums are kept per shard, in columns.
     """
-    spark = v.sparkSession
-    hubs = linked.select(F.col("g").alias("l_g"), F.col("crc").alias("l_crc"), "hub", "weight")
-    some = linked.select(F.col("g").alias("k_g"), F.col("crc").alias("k_crc")).distinct()
-    moving = staged(v.join(some, (F.col("g") == F.col("k_g")) & (F.col("crc") == F.col("k_crc")), "left_semi"))
+    key, every = ["g", "crc", "v"], range(shards)
+    lists = linked.groupBy(F.col("g").alias("l_g"), F.col("crc").alias("l_crc")).agg(F.collect_list(F.struct("hub", "weight")).alias("links"))
+    moving = staged(v.join(lists, (F.col("g") == F.col("l_g")) & (F.col("crc") == F.col("l_crc"))).select(*v.columns, "links"))
     still = {r.shard: r.n for r in v.where("fixed").groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # one row per shard
-    least, kept, rounds, tired, vertex = None, moving, 0, 0, ["g", "crc", "v", "n", "shard", "fixed"]
+    least, kept, rounds, tired = None, moving, 0, 0
     while True:
-        load = dict(still)
-        for r in moving.where("not fixed").groupBy("shard").agg(F.sum("n").alias("n")).collect():  # one row per shard
-            load[r.shard] = load.get(r.shard, 0) + r.n
+        here = moving.select(*key, "n", "shard", F.explode("links").alias("l")).select(*key, "n", "shard", "l.hub", "l.weight")
+        in_shard = here.groupBy("hub").agg(*[F.sum(F.when(F.col("shard") == s, F.col("n")).otherwise(0)).alias(f"w{s}") for s in every])
         # tables on both sides of the next join: a line that very many texts have is split there
-        here = staged(moving.join(hubs, (F.col("g") == F.col("l_g")) & (F.col("crc") == F.col("l_crc"))).select(*vertex, "hub", "weight"))
-        at = staged(here.groupBy("hub", "shard").agg(F.sum("n").alias("w")).groupBy(F.col("hub").alias("b_hub")).agg(
-            F.max_by("shard", F.struct("w", F.xxhash64("hub", "shard"))).alias("label")))
-        votes = here.join(at, F.col("hub") == F.col("b_hub")).groupBy(*vertex, "label").agg(F.sum("weight").alias("w"))
-        asked = staged(votes.groupBy(*vertex).agg(
-            F.max_by("label", F.struct("w", F.col("label") == F.col("shard"), F.xxhash64("g", "label"))).alias("best"),
-            F.coalesce(F.sum(F.when(F.col("label") != F.col("shard"), F.col("w"))), F.lit(0.0)).alias("away")))
-        wants = (F.col("shard") != F.col("best")) & ~F.col("fixed")
-        cut = asked.agg(F.sum(F.col("n") * F.col("away"))).first()[0] or 0.0
+        at = staged(in_shard.select(F.col("hub").alias("b_hub"), F.array_max(F.array(*[
+            F.struct(F.col(f"w{s}").alias("w"), F.xxhash64("hub", F.lit(s)).alias("h"), F.lit(s).alias("s")) for s in every]))["s"].alias("label")))
+        votes = here.join(at, F.col("hub") == F.col("b_hub")).groupBy(*[F.col(c).alias(f"v_{c}") for c in key]).agg(
+            *[F.sum(F.when(F.col("label") == s, F.col("weight")).otherwise(0.0)).alias(f"w{s}") for s in every])
+        best = F.array_max(F.array(*[F.struct(F.col(f"w{s}").alias("w"), (F.col("shard") == s).alias("stays"), F.xxhash64("g", F.lit(s)).alias("h"),
+                                              F.lit(s).alias("s")) for s in every]))["s"]
+        away = sum((F.when(F.col("shard") != s, F.col(f"w{s}")).otherwise(0.0) for s in every), F.lit(0.0))
+        asked = staged(moving.join(votes, [F.col(c) == F.col(f"v_{c}") for c in key]).select(
+            *v.columns, "links", best.alias("best"), away.alias("away")))
+        cut, load, flow = 0.0, dict(still), {}
+        for r in asked.groupBy("shard", "best", "fixed").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("away")).alias("cut")).collect():
+            cut += r.cut  # at most 2 * shards squared rows
+            if not r.fixed:
+                load[r.shard] = load.get(r.shard, 0) + r.n
+                if r.shard != r.best:
+                    flow[r.shard, r.best] = r.n
         if least is None or cut < least * (1 - GAIN):
             least, kept, tired = cut, moving, 0
         else:
             tired += 1
             if tired == PATIENCE:
                 return kept
-        flow = {(x.shard, x.best): x.n for x in asked.where(wants).groupBy("shard", "best").agg(F.sum("n").alias("n")).collect()}
-        if not flow:  # at most shards squared rows
+        if not flow:
             return kept
-        chances = spark.createDataFrame(_chances(flow, load, quota * (1 + SLACK)), "c_shard int, c_best int, chance double")
+        chances = {(s, t): c for s, t, c in _chances(flow, load, quota * (1 + SLACK))}
+        chance = F.expr(f"array({', '.join(f'{float(chances.get((s, t), 0))!r}D' for s in every for t in every)})")
         lot = F.pmod(F.xxhash64("g", "crc", "v", F.lit(rounds)), F.lit(1_000_000)) / 1_000_000
-        goes = F.coalesce(wants & (lot < F.col("chance")), F.lit(False))
-        asked = asked.join(F.broadcast(chances), (F.col("shard") == F.col("c_shard")) & (F.col("best") == F.col("c_best")), "left")
-        moving = staged(asked.select("g", "crc", "v", "n", F.when(goes, F.col("best")).otherwise(F.col("shard")).cast("int").alias("shard"), "fixed"))
+        goes = ~F.col("fixed") & (lot < F.get(chance, F.col("shard") * shards + F.col("best")))
+        moving = asked.select("g", "crc", "v", "n", F.when(goes, F.col("best")).otherwise(F.col("shard")).cast("int").alias("shard"), "fixed", "links")
         rounds += 1
 
 

@@ -153,6 +153,19 @@ def test_sharding_gathers_groups_and_splits_a_hot_one(spark):
     assert together > 0.6 and max(hot.values()) > 1.5 * 2000 / 8  # dealt at random, 1/8 of either stands together
 
 
+def test_a_round_of_sharding_writes_two_tables(spark, monkeypatch):
+    line = lambda k: f"line {k} ".ljust(50, "x")
+    docs = [(i, f"{line(i % 5)}\n{line(5 + i % 3)}\n{i}") for i in range(300)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    linked, v = sharding.links(d), sharding.vertices(sharding._documents(d, "text", "doc_id"), 300 / 4, 4)
+    tables, rounds, staged, chances = [], [], sharding.staged, sharding._chances
+    monkeypatch.setattr(sharding, "staged", lambda df: tables.append(1) or staged(df))
+    monkeypatch.setattr(sharding, "_chances", lambda *a: rounds.append(1) or chances(*a))
+    out = sharding.propagate(v, linked, 4, 300 / 4).select("g", "crc", "v", "n", "shard").collect()
+    assert len(out) == 300 and len({(r.g, r.crc, r.v) for r in out}) == 300 and {r.shard for r in out} <= set(range(4))
+    assert rounds and len(tables) <= 2 * len(rounds) + 3
+
+
 def cut_share(out, texts):
     """Of all pairs of documents with equal texts, the share that lies in two shards."""
     groups = {}
