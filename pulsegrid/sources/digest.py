@@ -14,6 +14,40 @@ def digests(df: DataFrame, key: str, content: str | Column) -> DataFrame:
                      F.octet_length(body).cast("long").alias("bytes"))
 
 
+#: Folders over which files are dealt, so that a folder is listed at once and none holds them all.
+FOLDERS = 64
+
+
+def write_files(texts: DataFrame, path: str) -> None:
+    """A file per ``name``, below ``path`` in one of ``FOLDERS`` folders, of its ``line`` values in the order of the frame.
+
+    Tasks write them where they are to stay; a task that runs again writes the same file. A NULL line is empty.
+    """
+    def written(batches):
+        from pyarrow import fs
+
+        system, out, last = None, None, None
+        try:
+            for pdf in batches:
+                for folder, name, line in zip(pdf["folder"], pdf["name"], pdf["line"]):
+                    if (folder, name) != last:
+                        if out is not None:
+                            out.close()
+                        at = f"{path}/{folder}"
+                        system, place = fs.FileSystem.from_uri(at) if ":/" in at else (fs.LocalFileSystem(), at)
+                        if last is None or last[0] != folder:
+                            system.create_dir(place, recursive=True)
+                        out, last = system.open_output_stream(f"{place}/{name}", compression=None), (folder, name)
+                    out.write((line or "").encode() + b"\n")
+        finally:
+            if out is not None:
+                out.close()
+        yield from ()
+
+    dealt = texts.select(F.pmod(F.xxhash64("name"), F.lit(FOLDERS)).alias("folder"), "name", "line", F.monotonically_increasing_id().alias("at"))
+    dealt.repartition("folder").sortWithinPartitions("folder", "name", "at").mapInPandas(written, "name string").write.format("noop").mode("overwrite").save()
+
+
 def file_digests(spark: SparkSession, path: str, block: int = 4 << 20) -> DataFrame:
     """``(item, sha256, bytes)`` of whole files of any size.
 

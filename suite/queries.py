@@ -426,8 +426,10 @@ def _records() -> None:
 
     def of_files(s, d):  # a file per supplier
         path = shared_folder(s)
-        s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_name").write.partitionBy("s_suppkey").text(path)
-        return digest.file_digests(s, f"{path}/*/*.txt").withColumn("item", F.regexp_extract("item", "s_suppkey=([0-9]+)", 1))
+        texts = s.read.parquet(f"{d}/supplier.parquet").select(F.concat(F.lit("s_suppkey="), F.coalesce(F.col("s_suppkey").cast("string"), F.lit("")),
+                                                                        F.lit(".txt")).alias("name"), F.col("s_name").alias("line"))
+        digest.write_files(texts, path)
+        return digest.file_digests(s, f"{path}/*").withColumn("item", F.regexp_extract("item", "s_suppkey=([0-9]+)", 1))
 
     add("file_digests", "SELECT CAST(s_suppkey AS VARCHAR) AS item, sha256(s_name || chr(10)) AS sha256, "
         "CAST(strlen(s_name) + 1 AS DOUBLE) AS bytes FROM supplier", of_files, ("item",))

@@ -97,6 +97,15 @@ def test_digests(spark, tmp_path):
     assert sorted((r.item, r.status) for r in got) == [("2", "changed"), ("3", "missing"), ("4", "added")]
 
 
+def test_files_are_written_in_few_folders(spark, tmp_path):
+    rows = [(f"k={i}.txt", f"n{i}") for i in range(500)] + [("k=7.txt", None), ("k=7.txt", "é")]
+    digest.write_files(spark.createDataFrame(rows, "name string, line string").coalesce(1), f"{tmp_path}/files")
+    assert len(list((tmp_path / "files").iterdir())) <= digest.FOLDERS
+    got = {r.item.rpartition("/")[2]: r.sha256 for r in digest.file_digests(spark, f"{tmp_path}/files/*").collect()}
+    want = {f"k={i}.txt": f"n{i}\n" for i in range(500)} | {"k=7.txt": "n7\n\né\n"}
+    assert got == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in want.items()}
+
+
 def test_closure_ends_on_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y")], "src string, dst string")
     starts = spark.createDataFrame([("a",), ("d",), ("x",)], "start string")
