@@ -38,17 +38,28 @@ def supports(edges: DataFrame, starts: DataFrame, max_depth: int | None = None)
 
     A frontier moves on from the starts, one step a round, and leaves out what it has visited, so what is read and written
     is in proportion to what the starts reach; nothing else of the graph is closed. Rounds are as many as the longest shortest
-    way. Edges are merged and staged once, and frontiers are staged, so an item that very many starts reach, or with very
-    many edges, is split at run time. A start doesn't support itself; NULL items have no edges.
+    way. Frontiers are staged, so an item that very many starts reach, or with very many edges, is split at run time.
+    A start doesn't support itself; NULL items have no edges.
+
+    Beside the pairs go the items that a round has reached, and the edges that leave them: the next round reads those edges only,
+    and looks through visited pairs only for items that an earlier round has reached, too.
     """
-    steps = staged(edges.select(F.col("src").alias("s_src"), F.col("dst").alias("next")).where("s_src <> next").distinct())
+    steps = staged(edges.select(F.col("src").alias("s_src"), F.col("dst").alias("next")).where("s_src <> next"))
     frontier = staged(starts.select("start", F.col("start").alias("item"), F.lit(0).cast("bigint").alias("depth")).where("start is not null").distinct())
-    visited, depth = frontier, 0
+    visited, used, seen, depth = frontier, steps, None, 0
     while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
+        if depth:  # edges may repeat, but the first round reads each once; from here on many starts share them
+            level = staged(frontier.select(F.col("item").alias("i")).distinct())
+            used = staged(steps.join(level, F.col("s_src") == F.col("i"), "left_semi").distinct())
+            seen = level if seen is None else staged(seen.unionByName(level).distinct())
         depth += 1
-        ahead = frontier.join(steps, frontier["item"] == steps["s_src"]).select("start", F.col("next").alias("item")).distinct()
-        frontier = staged(ahead.join(visited.select("start", "item"), ["start", "item"], "left_anti").withColumn(
-            "depth", F.lit(depth).cast("bigint")))
+        ahead = frontier.join(used, frontier["item"] == used["s_src"]).select("start", F.col("next").alias("item")).where("start <> item").distinct()
+        if seen is not None:
+            again = staged(seen.join(used.select("next"), F.col("i") == F.col("next"), "left_semi"))
+            if not again.isEmpty():
+                before = visited.select("start", "item").join(again, F.col("item") == F.col("i"), "left_semi")
+                ahead = ahead.join(before, ["start", "item"], "left_anti")
+        frontier = staged(ahead.withColumn("depth", F.lit(depth).cast("bigint")))
         visited = visited.unionByName(frontier)
         if depth % MERGE == 0:
             visited = staged(visited)

@@ -106,6 +106,19 @@ def test_files_are_written_in_few_folders(spark, tmp_path):
     assert got == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in want.items()}
 
 
+def test_closure_looks_at_visited_pairs_only_for_items_reached_again(spark, monkeypatch):
+    edges = [(f"s{i}", f"c{i % 3}") for i in range(30)] * 2 + [(f"c{i}", "n") for i in range(3)] + [("n", "r"), ("x", "r"), ("r", None)]
+    edges, starts = spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(f"s{i}",) for i in range(30)], "start string")
+    plans, staged = [], provenance.staged
+    monkeypatch.setattr(provenance, "staged", lambda df: plans.append(df._jdf.queryExecution().logical().toString()) or staged(df))
+    got = sorted(tuple(r) for r in provenance.supports(edges, starts).collect())
+    assert got == sorted((f"s{i}", x, d) for i in range(30) for x, d in ((f"c{i % 3}", 1), ("n", 2), ("r", 3)))
+    assert not any("LeftAnti" in p for p in plans)
+    back = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("a", "d"), ("d", "c"), ("c", "e"), ("e", "a")], "src string, dst string")
+    got = sorted(tuple(r) for r in provenance.supports(back, spark.createDataFrame([("a",), ("c",)], "start string")).collect())
+    assert got == [("a", "b", 1), ("a", "c", 2), ("a", "d", 1), ("a", "e", 3), ("c", "a", 2), ("c", "b", 1), ("c", "d", 3), ("c", "e", 1)]
+
+
 def test_closure_ends_on_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y")], "src string, dst string")
     starts = spark.createDataFrame([("a",), ("d",), ("x",)], "start string")
