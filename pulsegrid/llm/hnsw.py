@@ -8,6 +8,12 @@ import numpy as np
 NEIGHBOURS, GROUND, LAYER, BUILD_BEAM = 12, 24, 12, 48
 #: Queries searched at once, nodes expanded per step, nodes inserted at once.
 BLOCK, EXPAND, INSERT = 256, 4, 512
+#: Width of beams from which blocks have fewer queries.
+WIDE = 4096
+#: Steps in which a beam wider than EXPAND times it is expanded at least; queries whose candidates are compared at once.
+STEPS, GATHER = 12, 32
+#: The entry of a beam that holds no node: the largest, and expanded. The bits of a node.
+NONE, NODE = np.uint64(2**64 - 1), np.uint64(2**31 - 1)
 
 
 class Graph:
@@ -57,6 +63,7 @@ class Graph:
         for at in range(0, len(nodes), 256):
             i, s = ids[at:at + 256], sims[at:at + 256]
             o = np.argsort(-s, axis=1, kind="stable")
+            o = o[:, :max(1, int((s > -np.inf).sum(1).max()))]  # without columns that hold no candidate
             i, s = np.take_along_axis(i, o, 1), np.take_along_axis(s, o, 1)
             v = self.x[np.maximum(i, 0)]
             between = np.matmul(v, v.transpose(0, 2, 1))
@@ -86,6 +93,8 @@ class Graph:
         ids = np.concatenate([layer[nodes].astype(np.int64), extra], 1)
         ids = np.sort(ids, axis=1)
         repeat = np.concatenate([np.zeros((len(ids), 1), bool), ids[:, 1:] == ids[:, :-1]], 1)
+        by_count = np.argsort(counts, kind="stable")  # nodes with as many candidates are compared together
+        nodes, ids, repeat = nodes[by_count], ids[by_count], repeat[by_count]
         sims = np.empty(ids.shape, np.float32)
         for at in range(0, len(nodes), 512):
             part = slice(at, at + 512)
@@ -93,42 +102,51 @@ class Graph:
         layer[nodes] = self._spread(nodes, ids, np.where((ids < 0) | repeat, -np.inf, sims), layer.shape[1])
 
     def _beam(self, q: np.ndarray, start: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``beam`` best nodes met for each query (similarity -2 where there is none), best first."""
-        layer, m = self.layers[k], len(q)
-        seen = np.zeros((m, len(self.x)), bool)
-        rows = np.arange(m)[:, None]
-        start = np.asarray(start, np.int64)
-        ids = np.full((m, beam), -1, np.int64)
-        sims = np.full((m, beam), -2, np.float32)
-        w = min(start.shape[1], beam)
-        ids[:, :w] = start[:, :w]
-        sims[:, :w] = np.where(ids[:, :w] >= 0, np.einsum("nd,nkd->nk", q, self.x[np.maximum(ids[:, :w], 0)]), -2)
-        seen[rows, np.maximum(ids[:, :w], 0)] = True
-        done = ids < 0
+        """The ``beam`` best nodes met for each query (similarity -2 where there is none), best first.
+
+        An entry of a beam is one number: 1 - similarity as the bits of a positive float, the node, and whether it was expanded.
+        Wider beams expand more nodes per step, so that the number of steps does not grow with them.
+        """
+        layer, m, n, most = self.layers[k], len(q), len(self.x), max(EXPAND, beam // STEPS)
+        # "no node" is -1 in layers, n in here; it is always seen, in a row's last place, which stands before the next row's first
+        seen = np.zeros((m, n + 1), bool)
+        seen[:, n] = True
+        seen, row0 = seen.ravel(), np.arange(m)[:, None] * (n + 1)
+        beams = np.full((m, beam), NONE)
+        near = np.where(start[:, :beam] < 0, n, start[:, :beam]).astype(np.int32)
         active = np.arange(m)
         while len(active):
-            a_ids, a_sims, a_done = ids[active], sims[active], done[active]
-            pick = np.argsort(a_done, axis=1, kind="stable")[:, :EXPAND]  # beams are sorted: the best not yet expanded
-            fresh = ~np.take_along_axis(a_done, pick, 1)
-            np.put_along_axis(a_done, pick, True, 1)
-            near = np.where(fresh[:, :, None], layer[np.maximum(np.take_along_axis(a_ids, pick, 1), 0)], -1).reshape(len(active), -1)
-            near = np.sort(near, axis=1).astype(np.int64)
-            r = active[:, None]
-            new = (near >= 0) & ~seen[r, np.maximum(near, 0)]
-            new[:, 1:] &= near[:, 1:] != near[:, :-1]
-            seen[np.broadcast_to(r, near.shape)[new], near[new]] = True
-            s = np.full(near.shape, -2, np.float32)
-            who, what = np.nonzero(new)
-            if len(who):
-                s[who, what] = np.einsum("nd,nd->n", q[active[who]], self.x[near[who, what]])
-            all_ids = np.concatenate([a_ids, np.where(new, near, -1)], 1)
-            all_sims = np.concatenate([a_sims, s], 1)
-            all_done = np.concatenate([a_done, ~new], 1)
-            o = np.argsort(-all_sims, axis=1, kind="stable")[:, :beam]
-            ids[active], sims[active] = np.take_along_axis(all_ids, o, 1), np.take_along_axis(all_sims, o, 1)
-            done[active] = np.take_along_axis(all_done, o, 1) | (ids[active] < 0)
-            active = active[~done[active].all(axis=1)]
-        return ids, sims
+            seen[near + row0[active]] = True
+            a = np.concatenate([beams[active], self._entries(q[active], near)], 1)
+            a.sort(axis=1)
+            a = a[:, :beam]
+            fresh = (a & 1) == 0
+            place = np.cumsum(fresh, axis=1, dtype=np.int32)
+            row, column = np.nonzero(fresh & (place <= most))  # beams are sorted: the best not yet expanded
+            node = (a[row, column] >> 1 & NODE).astype(np.int64)
+            a[row, column] |= 1
+            beams[active] = a
+            ways = np.full((len(active), most, layer.shape[1]), n, np.int32)
+            ways[row, place[row, column] - 1] = layer[node]
+            going = place[:, -1] > 0
+            active, near = active[going], ways[going].reshape(-1, most * layer.shape[1])
+            np.copyto(near, n, where=seen.take(near + row0[active]))
+            near.sort(axis=1)
+            np.copyto(near[:, 1:], n, where=near[:, 1:] == near[:, :-1])
+            near = near[:, :np.flatnonzero((near < n).any(axis=0)).max(initial=-1) + 1]
+        there = beams < NONE
+        sims = 1 - (beams >> 32).astype(np.uint32).view(np.float32)
+        return np.where(there, (beams >> 1 & NODE).astype(np.int64), -1), np.where(there, sims, np.float32(-2))
+
+    def _entries(self, q: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Beam entries, not expanded, for a row of nodes per query; ``NONE`` for no node."""
+        away = np.empty(near.shape, np.float32)
+        for at in range(0, len(near), GATHER):  # few enough vectors at once for a processor's cache
+            part = slice(at, at + GATHER)
+            away[part] = 1 - np.matmul(np.take(self.x, near[part], axis=0, mode="clip"), q[part, :, None])[:, :, 0]
+        entries = np.maximum(away, 0).view(np.uint32).astype(np.uint64) << 32 | near.astype(np.uint64) << 1
+        np.copyto(entries, NONE, where=near == len(self.x))
+        return entries
 
     def _unreached(self) -> np.ndarray:
         """Nodes to which no way leads on the ground; every query is compared with them as well."""
@@ -150,17 +168,23 @@ class Graph:
         q = np.ascontiguousarray(q, np.float32)
         out = [np.nonzero(q @ self.x[self.apart].T >= least)] if len(self.apart) else []
         out = [(a, self.apart[b]) for a, b in out]
-        for at in range(0, len(q), BLOCK):
-            rest, width = np.arange(at, min(at + BLOCK, len(q))), min(beam, len(self.x))
-            start = np.repeat(self.entry[None, :1], len(rest), axis=0)
-            for k in range(len(self.layers) - 1, 0, -1):
-                start = self._beam(q[rest], start, k, min(EXPAND, len(self.x)))[0]
-            while len(rest):
-                ids, sims = self._beam(q[rest], start, 0, width)
+        rest, width = np.arange(len(q)), min(beam, len(self.x))
+        start = np.repeat(self.entry[None, :1], len(q), axis=0)
+        for k in range(len(self.layers) - 1, 0, -1):
+            start = np.concatenate([self._beam(q[at:at + BLOCK], start[at:at + BLOCK], k, min(EXPAND, len(self.x)))[0]
+                                    for at in range(0, len(q), BLOCK)] or [start])
+        while len(rest):
+            block, wider = max(1, min(BLOCK, BLOCK * WIDE // width)), []
+            for at in range(0, len(rest), block):
+                some = rest[at:at + block]
+                ids, sims = self._beam(q[some], start[some], 0, width)
                 full = (sims[:, -1] >= least) & (width < len(self.x))
                 a, b = np.nonzero((sims >= least) & (ids >= 0) & ~full[:, None])
-                out.append((rest[a], ids[a, b]))
-                rest, start, width = rest[full], start[full], min(4 * width, len(self.x))
+                out.append((some[a], ids[a, b]))
+                wider.append(some[full])
+            rest, width = np.concatenate(wider), min(4 * width, len(self.x))
+        if not out:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         a, b = (np.concatenate([o[j] for o in out]) for j in (0, 1))
         pairs = np.unique(a * len(self.x) + b)
         return pairs // len(self.x), pairs % len(self.x)

@@ -137,6 +137,40 @@ def test_beams_widen_until_all_is_found():
     assert len(set(zip(a.tolist(), b.tolist())) ^ want) <= 0.001 * len(want)
 
 
+def test_full_beams_of_all_blocks_widen_together(monkeypatch):
+    """A few queries of each block have more hits than a beam holds: they are searched again at once, not block by block."""
+    r = np.random.default_rng(5)
+    n = 8 * hnsw.BLOCK
+    x = r.normal(size=(n, 32))
+    x[::64] = r.normal(size=32) * 2 + r.normal(size=(n // 64, 32)) * 0.1
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    g = hnsw.Graph(x)
+    ground, beam = [], hnsw.Graph._beam
+    monkeypatch.setattr(hnsw.Graph, "_beam", lambda self, q, start, k, width: (k or ground.append(width), beam(self, q, start, k, width))[1])
+    a, b = g.search(x, 0.9, 8)
+    want = set(zip(*map(np.ndarray.tolist, np.nonzero(x @ x.T >= 0.9))))
+    assert set(zip(a.tolist(), b.tolist())) == want and len(want) == n - n // 64 + (n // 64) ** 2
+    assert ground == [8] * 8 + [32, 128]
+
+
+def test_beams_hold_the_nearest():
+    """Wide and narrow beams, best first, against all similarities; no node stands twice; missing nodes are -1 with -2."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(300, 12))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    g = hnsw.Graph(x)
+    for width in (8, 120, 300, 310):
+        ids, sims = g._beam(x[:40], np.repeat(g.entry[None, :1], 40, axis=0), 0, width)
+        held = min(width, 300)
+        assert ids.shape == (40, width) and (ids[:, held:] == -1).all() and (sims[:, held:] == -2).all()
+        assert all(len(set(i[:held].tolist())) == held for i in ids) and (np.diff(sims[:, :held]) <= 0).all()
+        assert np.abs(np.einsum("nd,nkd->nk", x[:40], x[ids[:, :held]]) - sims[:, :held]).max() < 1e-5
+        assert (ids[:, 0] == np.arange(40)).mean() > 0.9
+        if width >= 120:
+            best = np.sort(x[:40] @ x.T, axis=1)[:, ::-1][:, :held]
+            assert np.abs(best - sims[:, :held]).max(axis=1).mean() < 0.02
+
+
 def test_warc(spark):
     rows = [(1, "http://a/", "<p>x</p>"), (2, "http://b/\r\nX: y", "<p>x</p>"), (3, None, None), (4, "u", ""), (5, "v", "é\r\n\r\nWARC/1.1" * 9),
             (5, "v", "é\r\n\r\nWARC/1.1" * 9), (6, "w", "y" * 300_000), (None, "n", "lonely"), (None, "m", "<p>x</p>")]
