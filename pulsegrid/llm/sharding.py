@@ -19,6 +19,8 @@ SHARE = 0.6
 #: Part of a shard by which it may be too full while vertices move; least share by which a round must lower the cut, and rounds
 #: without such a gain after which they stop.
 SLACK, GAIN, PATIENCE = 0.05, 0.005, 2
+#: Links per file of the tables that every round writes: small rounds don't write a file per shuffle partition.
+FILE_LINKS = 1 << 17
 
 
 def _documents(docs: DataFrame, text: str, identifier: str) -> DataFrame:
@@ -98,9 +100,10 @@ def propagate(v: DataFrame, linked: DataFrame, shards: int, quota: float) -> Dat
     with most weight among its hubs. Flows between shards, a table of shards squared, tell how many may go: as many as
     come back, and what the target has room for; a hash of vertex and round picks them. Rounds end when nobody asks, or
     when the weight of links that lead to another shard no longer falls by ``GAIN``; the best round counts.
-    A vertex carries its links, so that hubs and votes are one shuffle each; sums are kept per shard, in columns.
+    A vertex carries its links, so that hubs and votes are one shuffle each; sums are kept per shard, in columns. The tables
+    of a round have as many files as the number of links asks for.
     """
-    key, every = ["g", "crc", "v"], range(shards)
+    key, every, files = ["g", "crc", "v"], range(shards), 1 + linked.count() // FILE_LINKS
     lists = linked.groupBy(F.col("g").alias("l_g"), F.col("crc").alias("l_crc")).agg(F.collect_list(F.struct("hub", "weight")).alias("links"))
     moving = staged(v.join(lists, (F.col("g") == F.col("l_g")) & (F.col("crc") == F.col("l_crc"))).select(*v.columns, "links"))
     still = {r.shard: r.n for r in v.where("fixed").groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # one row per shard
@@ -110,14 +113,14 @@ def propagate(v: DataFrame, linked: DataFrame, shards: int, quota: float) -> Dat
         in_shard = here.groupBy("hub").agg(*[F.sum(F.when(F.col("shard") == s, F.col("n")).otherwise(0)).alias(f"w{s}") for s in every])
         # tables on both sides of the next join: a line that very many texts have is split there
         at = staged(in_shard.select(F.col("hub").alias("b_hub"), F.array_max(F.array(*[
-            F.struct(F.col(f"w{s}").alias("w"), F.xxhash64("hub", F.lit(s)).alias("h"), F.lit(s).alias("s")) for s in every]))["s"].alias("label")))
+            F.struct(F.col(f"w{s}").alias("w"), F.xxhash64("hub", F.lit(s)).alias("h"), F.lit(s).alias("s")) for s in every]))["s"].alias("label")).coalesce(files))
         votes = here.join(at, F.col("hub") == F.col("b_hub")).groupBy(*[F.col(c).alias(f"v_{c}") for c in key]).agg(
             *[F.sum(F.when(F.col("label") == s, F.col("weight")).otherwise(0.0)).alias(f"w{s}") for s in every])
         best = F.array_max(F.array(*[F.struct(F.col(f"w{s}").alias("w"), (F.col("shard") == s).alias("stays"), F.xxhash64("g", F.lit(s)).alias("h"),
                                               F.lit(s).alias("s")) for s in every]))["s"]
         away = sum((F.when(F.col("shard") != s, F.col(f"w{s}")).otherwise(0.0) for s in every), F.lit(0.0))
         asked = staged(moving.join(votes, [F.col(c) == F.col(f"v_{c}") for c in key]).select(
-            *v.columns, "links", best.alias("best"), away.alias("away")))
+            *v.columns, "links", best.alias("best"), away.alias("away")).coalesce(files))
         cut, load, flow = 0.0, dict(still), {}
         for r in asked.groupBy("shard", "best", "fixed").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("away")).alias("cut")).collect():
             cut += r.cut  # at most 2 * shards squared rows

@@ -153,6 +153,29 @@ def test_sharding_gathers_groups_and_splits_a_hot_one(spark):
     assert together > 0.6 and max(hot.values()) > 1.5 * 2000 / 8  # dealt at random, 1/8 of either stands together
 
 
+def test_rounds_of_sharding_write_files_by_links(spark, monkeypatch):
+    """A small table of a round is one file, not one per shuffle partition; more links make more files; no row is lost."""
+    rows = [(i, "\n".join(f"a line long enough to be shared, number {(i * 7 + j * 13) % 90}" for j in range(4)) + str(i)) for i in range(120)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    linked, v = sharding.links(d), sharding.vertices(sharding._documents(d, "text", "doc_id"), 120 / 4, 4)
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {k: spark.conf.get(k) for k in held}
+    written, staged = [], sharding.staged
+    monkeypatch.setattr(sharding, "staged", lambda df: written.append(staged(df)) or written[-1])
+    try:
+        for k, x in held.items():
+            spark.conf.set(k, x)
+        for links, most in ((1 << 17, 1), (linked.count() // 2, 3)):
+            monkeypatch.setattr(sharding, "FILE_LINKS", links)
+            written.clear()
+            assert sharding.propagate(v, linked, 4, 120 / 4).count() == v.count()
+            files = [len(t.inputFiles()) for t in written[1:]]  # the first is made before the rounds
+            assert len(files) >= 2 and max(files) <= most and (most == 1 or max(files) > 1)
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
+
+
 def test_a_round_of_sharding_writes_two_tables(spark, monkeypatch):
     line = lambda k: f"line {k} ".ljust(50, "x")
     docs = [(i, f"{line(i % 5)}\n{line(5 + i % 3)}\n{i}") for i in range(300)]
