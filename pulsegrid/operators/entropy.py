@@ -2,8 +2,8 @@
 
 Template matching never forms rows for pairs. Windows of at most ``SMALL`` values are one row each, and numpy compares their
 values where the row lies. In larger ones equal templates are merged with a count, and those within the tolerance
-are counted by ranges of sorted values, one coordinate after the other (``ranges``); a one-dimensional range count is
-read off a running count.
+are counted by ranges of sorted values, one coordinate after the other (``ranges``): templates of two values as rows,
+longer ones in blocks of one row each. A one-dimensional range count is read off a running count.
 """
 
 from __future__ import annotations
@@ -95,48 +95,16 @@ def sample_entropy(o: DataFrame, m: int = 2, rth: float = 0.2, keys: list[str] =
     """Sample and quadratic entropy, with a tolerance of ``rth`` deviations or ``absolute``; infinite when no match goes on, NULL when there is no match.
 
     Matches of the first ``m`` values (``b``) and of all ``m + 1`` (``a``) are counted window by window or, in large ones,
-    coordinate by coordinate (``ranges``).
+    block by block (``ranges``).
     """
     small = _match_counts(_tolerant(o, keys, rth, absolute), keys, m)
     return _sample_entropies(small.unionByName(_large_matches(o, m, rth, keys, absolute)), m, keys)
 
 
 def _large_matches(o: DataFrame, m: int, rth: float, keys: list[str], absolute: bool = False) -> DataFrame:
-    """``(keys, n, r, a, b)`` of windows that are not small, in parts."""
-    first, *rest = [f"x{k}" for k in range(m + 1)]
-    at = R.located(_templates(o, keys, rth, m + 1, absolute), keys, first, ["r", "n", "c", first, *rest], "<", both=False)
-    at = at.selectExpr("*", "p AS q", "0L AS a", f"{'2 * c * met' if m == 1 else '0L'} AS b")
-    blocks, roles = list(keys), {"done": "b > 0"}
-    for depth, x in enumerate(rest, 1):
-        left = rest[depth - 1:]
-        rows = R.running(R.dealt(at, blocks, x, ["r", "n", "c", "q", "a", "b", *left], "<", **roles), blocks, "c", left)
-
-        def counted(name: str, compared: list[str], last: int) -> str:
-            """What a row adds to the count ``name``, which the blocks of depth ``last`` have decided."""
-            out = f"CASE WHEN kind = {R.DONE} THEN {name}"
-            if depth <= last:
-                out += f" WHEN kind = {R.SINGLE} THEN IF({' AND '.join([R.close(y, f'mate.{y}', '<') for y in compared]) or 'true'}, 2 * c * mate.c, 0)"
-            if depth == 1:  # every template meets its copies; each other pair is counted once, from the one that sorts first
-                out += f" WHEN kind = {R.POINT} AND k = 0 THEN c * c"
-            if depth == last:
-                out += f" WHEN kind = {R.CLOSE} THEN 2 * c * sums WHEN kind = {R.OPEN} THEN -2 * c * sums"
-            return f"CAST({out} ELSE 0 END AS BIGINT) AS {name}"
-
-        sums = [counted("a", left, m), counted("b", left[:-1], m - 1)]
-        if depth == m:
-            at = rows.selectExpr(*keys, "n", "r", *sums)
-            break
-        alone = f"kind IN ({R.SINGLE}, {R.DONE}) OR k = 0"  # nothing follows in such blocks but their counts
-        rows = rows.selectExpr(
-            *blocks, f"k AS k{depth}", f"j AS j{depth}", "r", "n", f"CASE WHEN {alone} THEN 'done' WHEN kind = {R.POINT} THEN 'point' ELSE 'asks' END AS role",
-            *[f"IF({alone}, NULL, {c}) AS {c}" for c in ("c", "q", *left[1:])], "kind", "below", *sums)
-        blocks += [f"k{depth}", f"j{depth}"]
-        of = lambda kind: f"max(CASE WHEN kind = {kind} THEN below END)"
-        at = rows.groupBy(*blocks, "r", "n", "role", "c", "q", *left[1:]).agg(*[F.expr(e) for e in (
-            f"{of(R.POINT)} - 1 AS p", f"{of(R.OPEN)} AS lo", f"{of(R.CLOSE)} AS hi", "sum(a) AS a", "sum(b) AS b")])
-        at = at.withColumn("top", F.expr(f"max(CASE WHEN role = 'asks' THEN {R.levels('lo', 'hi')} END)").over(per(blocks)))
-        roles = {"point": "role = 'point'", "asks": "role = 'asks'", "done": "a <> 0 OR b <> 0"}
-    return at
+    """``(keys, n, r, a, b)`` of windows that are not small, in parts: pairs, also with themselves, that match in all values and in the first ``m``."""
+    blocks = R.packed(_tolerant(o, keys, rth, absolute).where(F.col("n") > SMALL), keys, m)
+    return R.running(blocks, keys, "c", [f"x{k}" for k in range(1, m + 1)])
 
 
 def _sample_entropies(at: DataFrame, m: int, keys: list[str]) -> DataFrame:

@@ -2,25 +2,35 @@
 
 Points of a window are sorted by their first coordinate. The neighbours of a point in that coordinate are a run of
 positions, and a run is made of a few aligned blocks of 8, 16, 32, ... positions and at most 14 single positions at
-its ends. Every block is then a smaller problem in the coordinates that are left: it is sorted by the next one, where
-its neighbours are a run again. Singles are compared at once, and in the last coordinate running sums over a block give the
-count. A window of n points so makes n log n rows for two coordinates and n log² n for three, however many
+its ends. Every block is then a smaller problem in the coordinate that is left: it is sorted by that one, where
+its neighbours are a run again. Singles are compared at once, and running sums over a block give the
+count. A window of n points so makes n log n rows for two coordinates, however many
 of its points are neighbours, and a crowded window is spread over its blocks.
+
+For more coordinates rows would be n log² n and more. There a block is one row (``packed``), and numpy takes the same steps
+inside it (``blocks``): a window makes some rows, not some per point, and one of many points is spread over its blocks too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.expr import per, upto
+from pulsegrid.operators import blocks
 
 #: Positions of the smallest block, as a power of two.
 BITS = 3
-#: Kinds of rows in a block, in their order at equal values: what opens a range, points, what closes it, single comparisons,
-#: and counts that are only handed on.
-OPEN, POINT, CLOSE, SINGLE, DONE = range(5)
+#: Kinds of rows in a block, in their order at equal values: what opens a range, points, what closes it, single comparisons.
+OPEN, POINT, CLOSE, SINGLE = range(4)
 NODES = "array<struct<k:int,j:bigint,kind:int,v:double>>"
+#: Positions of the smallest packed block, the columns of such blocks, and those of their pairs.
+PACKED = 1 << 17
+BLOCKS = {"j": "bigint", "n": "bigint", "r": "double", "a": "bigint", "b": "bigint", "points": "binary", "asked": "binary"}
+PAIRS = {"n": "bigint", "r": "double", "a": "bigint", "b": "bigint"}
 
 
 def close(x: str, y: str, near: str) -> str:
@@ -102,25 +112,66 @@ def located(t: DataFrame, keys: list[str], x: str, carried: list[str], near: str
     return one.withColumn("top", F.expr(f"max({levels('lo', 'hi')})").over(per(keys)))
 
 
-def dealt(at: DataFrame, keys: list[str], x: str, carried: list[str], near: str, point: str = "true", asks: str = "true",
-          done: str = "false") -> DataFrame:
+def dealt(at: DataFrame, keys: list[str], x: str, carried: list[str], near: str) -> DataFrame:
     """The rows of all blocks in the next coordinate ``x``: ``k``, ``j``, ``kind``, the value ``v`` to sort by, and ``carried``.
 
-    ``at`` has ``p``, ``lo``, ``hi``, ``top``; rows are points where ``point`` holds and ask for neighbours where ``asks`` does. Rows
-    with something already counted are handed on as they are where ``done`` holds.
+    ``at`` has ``p``, ``lo``, ``hi``, ``top``.
     """
     low, high = ends(x, near)
     at = at.withColumns({"low": F.expr(low), "high": F.expr(high)})
-    where = lambda condition, rows: f"CASE WHEN {condition} THEN {rows} ELSE CAST(array() AS {NODES}) END"
-    return at.selectExpr(*keys, *carried, "inline(concat(" + ", ".join([
-        where(point, homes("p", "top", x)), where(asks, cover("lo", "hi", "low", "high")), where(done, f"array({_row('-1', '0', DONE)})")]) + "))")
+    return at.selectExpr(*keys, *carried, f"inline(concat({homes('p', 'top', x)}, {cover('lo', 'hi', 'low', 'high')}))")
 
 
 def running(rows: DataFrame, keys: list[str], weight: str, mate: list[str]) -> DataFrame:
     """Adds ``below`` and ``sums``, numbers and weights of the block's points up to each row, and ``mate``, the point of a block
-    of level 0. ``q`` tells the points of a window apart."""
+    of level 0. ``q`` tells the points of a window apart. Blocks of one row (``packed``) are counted
+    with numpy where they lie: ``_pairs``."""
+    if "asked" in rows.columns:
+        return _pairs(rows, keys, len(mate))
     node = [*keys, "k", "j"]
     here = upto("v", "kind", "q", keys=node)
     return rows.withColumns({
         "below": F.expr(f"count_if(kind = {POINT})").over(here), "sums": F.expr(f"sum(IF(kind = {POINT}, {weight}, 0))").over(here),
         "mate": F.expr(f"max(CASE WHEN kind = {POINT} AND k = 0 THEN struct({', '.join([*mate, weight])}) END)").over(per(node))})
+
+
+def packed(rows: DataFrame, keys: list[str], m: int) -> DataFrame:
+    """Blocks of the templates of ``m + 1`` values, one row each, with ``points`` and who of the window has ``asked`` for some of them.
+
+    ``rows`` are values ``x`` by position ``i`` with the tolerance ``r`` of their window. ``a`` and ``b`` are the pairs of equal templates. One
+    task ranks the values of a window; what takes time, the counting, is dealt out by blocks of ``PACKED`` positions and more.
+    """
+    most = PACKED
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        i, x, r = (np.concatenate(c) for c in zip(*[[b.column(c).to_numpy(zero_copy_only=False) for c in ("i", "x", "r")] for b in batches]))
+        if len(x) > m:
+            for j, found in enumerate(blocks.window_blocks(x[np.argsort(i)], r[0], m, most)):
+                yield _batch(keys, key, BLOCKS, [(j, len(x), float(r[0]), *found)])
+
+    return rows.select(*keys, "i", "x", "r").groupBy(*keys).applyInArrow(run, _fields(rows, keys, BLOCKS))
+
+
+def _pairs(rows: DataFrame, keys: list[str], m: int) -> DataFrame:
+    """``(keys, n, r, a, b)`` of ``packed`` blocks: pairs of templates that match in all values, and in all but the last."""
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.select([*BLOCKS][1:]).to_pylist():
+                a, b = blocks.block_pairs(row["points"], row["asked"], m)
+                yield _batch(keys, key, PAIRS, [(row["n"], row["r"], row["a"] + 2 * a, row["b"] + 2 * b)])
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a block is few bytes for its work: tasks aren't merged by size
+    return rows.repartition(parts, *keys, "j").groupBy(*keys, "j").applyInArrow(run, _fields(rows, keys, PAIRS))
+
+
+def _fields(rows: DataFrame, keys: list[str], found: dict[str, str]) -> str:
+    return ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys] + [f"{c} {kind}" for c, kind in found.items()])
+
+
+def _batch(keys: list[str], key: tuple, found: dict[str, str], rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of one window: its ``key`` and the columns ``found``."""
+    kinds = {"bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.repeat(k, len(rows)) for k in key[:len(keys)]] + [
+        pa.array(c, kinds[kind]) for c, kind in zip(zip(*rows), found.values())], [*keys, *found])

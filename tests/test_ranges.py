@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from pulsegrid.operators import blocks as B
 from pulsegrid.operators import entropy as E
 from pulsegrid.operators import ranges as R
 
@@ -80,3 +81,62 @@ def test_rows_grow_slower_than_pairs(spark, monkeypatch):
 
     assert rows(E.approximate_entropy, 4000) < 2.5 * rows(E.approximate_entropy, 2000)
     assert rows(E.sample_entropy, 4000) < 3 * rows(E.sample_entropy, 2000)
+
+
+def pairs(xs, r, m):
+    """All pairs of templates, also with themselves: those that match in all values, and in the first ``m``."""
+    n = len(xs) - m
+    with np.errstate(invalid="ignore"):
+        near = np.abs(xs[:, None] - xs) < r
+    np.fill_diagonal(near, True)
+    both = np.ones((n, n), bool)
+    for k in range(m):
+        both &= near[k:k + n, k:k + n]
+    return [int((both & near[m:, m:]).sum()), int(both.sum())]
+
+
+def test_blocks_hold_every_pair_once(windows):
+    r = np.random.default_rng(4)
+    more = {"copies": np.repeat(np.round(r.exponential(50, 500), 2), 4), "infinite": np.where(r.random(400) < 0.02, np.inf, r.normal(size=400)),
+            "long": np.round(r.exponential(50, 2500), 2)}
+    for s, xs in (windows | more).items():
+        sd = xs[np.isfinite(xs)].std()
+        for m in (m for m in (1, 2, 3) if len(xs) > m):
+            for tolerance in (t for t in (0.2 * sd, 3 * sd, 0.2, np.nan) if not t <= 0):
+                want = pairs(xs, tolerance, m)
+                for most in (64, 500, R.PACKED):
+                    found = [(a, b, *B.block_pairs(points, asked, m)) for a, b, points, asked in B.window_blocks(xs, tolerance, m, most)]
+                    assert [sum(a + 2 * x for a, _, x, _ in found), sum(b + 2 * x for _, b, _, x in found)] == want, (s, m, tolerance, most)
+
+
+def test_large_windows_make_fewer_rows_than_values(spark, monkeypatch):
+    made, run = [], R.running
+    monkeypatch.setattr(R, "running", lambda rows, *a: (made.append(rows.count()), run(rows, *a))[1])
+    r = np.random.default_rng(2)
+    large = {"plain": np.round(r.exponential(50, 3000), 2), "copies": np.repeat(np.round(r.exponential(50, 60), 2), 30), "walk": np.cumsum(r.normal(size=1500))}
+    for most, rows in ((R.PACKED, len(large)), (256, 300)):
+        made.clear()
+        monkeypatch.setattr(R, "PACKED", most)
+        got = {x.series: x for x in E.sample_entropy(frame(spark, large)).collect()}
+        assert len(large) <= sum(made) <= rows  # 6,300 values
+        for s, xs in large.items():
+            a, b = (x - len(xs) + 2 for x in pairs(xs, 0.2 * xs.std(), 2))
+            assert got[s].en_sample_entropy == pytest.approx(-np.log(a / b), abs=1e-9)
+            assert got[s].en_quadratic_entropy == pytest.approx(-np.log(a / b) + np.log(0.4 * xs.std()), abs=1e-9)
+
+
+def test_steps_in_a_block_grow_slower_than_pairs(monkeypatch):
+    """Twice the points make less than 3 times the steps; pairs are 4 times as many."""
+    made, compared, between = [], B._compared, B._between
+    monkeypatch.setattr(B, "_compared", lambda c, ranks, w, *a: (made.append(len(c) * len(w)), compared(c, ranks, w, *a))[1])
+    monkeypatch.setattr(B, "_between", lambda c, v, w, *a: (made.append((len(c) + 2 * len(w)) * int(v.max() + 1).bit_length()), between(c, v, w, *a))[1])
+    r = np.random.default_rng(1)
+
+    def steps(n):
+        made.clear()
+        xs = r.normal(size=n)
+        for _, _, points, asked in B.window_blocks(xs, 0.2 * xs.std(), 2, R.PACKED):
+            B.block_pairs(points, asked, 2)
+        return sum(made)
+
+    assert steps(32000) < 3 * steps(16000)
